@@ -81,3 +81,45 @@ def natural_join(a: DataFrame, b: DataFrame) -> DataFrame:
     if not shared:
         raise ValueError("natural_join: no shared columns")
     return a.join(b, shared, "inner")
+
+
+def other_side(df: DataFrame, group_cols: Sequence[str], side_col: str,
+               value_cols: Sequence[str], prefix: str = "o_") -> DataFrame:
+    """Pair each row with the rows of the same group whose ``side_col``
+    differs (J7: ``a.g = b.g AND a.side != b.side``), without a self-join.
+
+    Groups with exactly two rows on two different sides (a game's two teams)
+    are answered by one partial aggregate per group joined back to the rows
+    (a key-unique side: AQE can split a hot key). Only other groups (more
+    rows, repeated sides) fall back to the explicit pairing, restricted to
+    those groups, so the result is the same as the self-join's. Adds
+    ``prefix + side_col`` and ``prefix + v`` for each value column.
+    """
+    g = list(group_cols)
+    vals = list(value_cols)
+    side = F.col(side_col)
+    agg = df.groupBy(*g).agg(
+        F.count(F.lit(1)).alias("__n"), F.count(side).alias("__ns"),
+        F.min(side).alias("__s_lo"), F.max(side).alias("__s_hi"),
+        *[F.min_by(F.col(v), side).alias(f"__lo_{v}") for v in vals],
+        *[F.max_by(F.col(v), side).alias(f"__hi_{v}") for v in vals])
+    # exactly two rows, both with a side, and the two sides differ
+    pair = (F.col("__n") == 2) & (F.col("__ns") == 2) & (F.col("__s_lo") < F.col("__s_hi"))
+    normal_keys = agg.filter(pair)
+    j = df.join(normal_keys, g, "inner").filter(side.isNotNull())
+    is_lo = side == F.col("__s_lo")
+    fast = j.select(*df.columns,
+                    F.when(is_lo, F.col("__s_hi")).otherwise(F.col("__s_lo")).alias(prefix + side_col),
+                    *[F.when(is_lo, F.col(f"__hi_{v}")).otherwise(F.col(f"__lo_{v}")).alias(prefix + v)
+                      for v in vals])
+    odd_keys = agg.filter(~pair).select(*g)
+    odd = df.join(odd_keys, g, "left_semi")
+    other = odd.select(*[F.col(c).alias(f"__k_{c}") for c in g], side.alias(prefix + side_col),
+                       *[F.col(v).alias(prefix + v) for v in vals])
+    cond = None
+    for c in g:
+        e = F.col(c) == F.col(f"__k_{c}")
+        cond = e if cond is None else cond & e
+    slow = (odd.join(other, cond & (side != F.col(prefix + side_col)), "inner")
+            .select(*df.columns, prefix + side_col, *[prefix + v for v in vals]))
+    return fast.unionByName(slow)

@@ -143,3 +143,25 @@ def union_relations(relations: Mapping[str, DataFrame] | Sequence[tuple[str, Dat
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def unpivot_groups(df: DataFrame, ids: Sequence[str], groups: Mapping[str, Mapping[str, str]],
+                   field_name: str = "field_name", cast_to: str | None = None) -> DataFrame:
+    """Unpivot several value columns at once: ``groups`` maps each output
+    label to {value_name: source column}. One scan, one Generate (explode of
+    an array of structs); NULL values are kept, as in ``unpivot``."""
+    names = None
+    structs = []
+    for label, cols in groups.items():
+        if names is None:
+            names = list(cols)
+        elif list(cols) != names:
+            raise ValueError("unpivot_groups: every group needs the same value names")
+        fields = [F.lit(label).alias(field_name)]
+        for vname, src in cols.items():
+            c = F.col(f"`{src}`")
+            fields.append((c.cast(cast_to) if cast_to else c).alias(vname))
+        structs.append(F.struct(*fields))
+    exploded = df.select(*[F.col(f"`{c}`") for c in ids], F.explode(F.array(*structs)).alias("__u"))
+    return exploded.select(*[F.col(f"`{c}`") for c in ids], F.col(f"__u.{field_name}").alias(field_name),
+                           *[F.col(f"__u.{v}").alias(v) for v in names])

@@ -9,7 +9,6 @@ a cluster: the written tables cut the lineage between layers.
 
 from __future__ import annotations
 
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +25,11 @@ class Warehouse:
         self.spark = spark
         self.raw = raw or Raw(spark, base)
         self._sources = dict(sources or {})
+        self._memo: dict[str, DataFrame] = {}
+
+    def use(self, name: str, df: DataFrame) -> None:
+        """Replace a model by a stored copy (e.g. the table just written)."""
+        self._memo[name] = df
 
     def src(self, name: str) -> DataFrame:
         """A raw or seed table (overridable, e.g. by already-written tables)."""
@@ -34,78 +38,110 @@ class Warehouse:
         return getattr(self.raw, name)
 
     # staging
-    @cached_property
+    @property
     def stg_line_scores(self):
-        return S.stg_line_scores(self.src("line_scores"))
+        if "stg_line_scores" not in self._memo:
+            self._memo["stg_line_scores"] = S.stg_line_scores(self.src("line_scores"))
+        return self._memo["stg_line_scores"]
 
-    @cached_property
+    @property
     def stg_games(self):
-        return S.stg_games(self.src("games"), self.stg_line_scores)
+        if "stg_games" not in self._memo:
+            self._memo["stg_games"] = S.stg_games(self.src("games"), self.stg_line_scores)
+        return self._memo["stg_games"]
 
-    @cached_property
+    @property
     def stg_player_game_basic_stats(self):
-        return S.stg_player_game_basic_stats(self.src("player_game_basic_stats"))
+        if "stg_player_game_basic_stats" not in self._memo:
+            self._memo["stg_player_game_basic_stats"] = S.stg_player_game_basic_stats(self.src("player_game_basic_stats"))
+        return self._memo["stg_player_game_basic_stats"]
 
-    @cached_property
+    @property
     def stg_player_game_adv_stats(self):
-        return S.stg_player_game_adv_stats(self.src("player_game_adv_stats"))
+        if "stg_player_game_adv_stats" not in self._memo:
+            self._memo["stg_player_game_adv_stats"] = S.stg_player_game_adv_stats(self.src("player_game_adv_stats"))
+        return self._memo["stg_player_game_adv_stats"]
 
-    @cached_property
+    @property
     def stg_player_game_adv_stats_extended(self):
-        return S.stg_player_game_adv_stats_extended(self.src("player_game_adv_stats"))
+        if "stg_player_game_adv_stats_extended" not in self._memo:
+            self._memo["stg_player_game_adv_stats_extended"] = S.stg_player_game_adv_stats_extended(self.src("player_game_adv_stats"))
+        return self._memo["stg_player_game_adv_stats_extended"]
 
-    @cached_property
+    @property
     def stg_team_game_basic_stats(self):
-        return S.stg_team_game_basic_stats(self.src("team_game_basic_stats"))
+        if "stg_team_game_basic_stats" not in self._memo:
+            self._memo["stg_team_game_basic_stats"] = S.stg_team_game_basic_stats(self.src("team_game_basic_stats"))
+        return self._memo["stg_team_game_basic_stats"]
 
-    @cached_property
+    @property
     def stg_team_game_adv_stats(self):
-        return S.stg_team_game_adv_stats(self.src("team_game_adv_stats"))
+        if "stg_team_game_adv_stats" not in self._memo:
+            self._memo["stg_team_game_adv_stats"] = S.stg_team_game_adv_stats(self.src("team_game_adv_stats"))
+        return self._memo["stg_team_game_adv_stats"]
 
     # intermediate
-    @cached_property
+    @property
     def int_player_performance(self):
-        return I.int_player_performance(self.stg_player_game_basic_stats,
+        if "int_player_performance" not in self._memo:
+            self._memo["int_player_performance"] = I.int_player_performance(self.stg_player_game_basic_stats,
                                         self.stg_player_game_adv_stats, self.stg_games,
                                         self.src("team_abbreviation_mappings"),
                                         self.src("team_mappings"))
+        return self._memo["int_player_performance"]
 
-    @cached_property
+    @property
     def int_team_performance(self):
-        return I.int_team_performance(self.stg_team_game_basic_stats,
+        if "int_team_performance" not in self._memo:
+            self._memo["int_team_performance"] = I.int_team_performance(self.stg_team_game_basic_stats,
                                       self.stg_team_game_adv_stats, self.stg_games,
                                       self.src("team_abbreviation_mappings"),
                                       self.src("team_mappings"))
+        return self._memo["int_team_performance"]
 
-    @cached_property
+    @property
     def int_games_enriched(self):
-        return I.int_games_enriched(self.stg_games, self.int_team_performance,
+        if "int_games_enriched" not in self._memo:
+            self._memo["int_games_enriched"] = I.int_games_enriched(self.stg_games, self.int_team_performance,
                                     self.src("team_mappings"), self.src("arena_mappings"))
+        return self._memo["int_games_enriched"]
 
     # dimensions
-    @cached_property
+    @property
     def dim_arenas(self):
-        return D.dim_arenas(self.src("arena_mappings"))
+        if "dim_arenas" not in self._memo:
+            self._memo["dim_arenas"] = D.dim_arenas(self.src("arena_mappings"))
+        return self._memo["dim_arenas"]
 
-    @cached_property
+    @property
     def dim_dates(self):
-        return D.dim_dates(self.stg_games)
+        if "dim_dates" not in self._memo:
+            self._memo["dim_dates"] = D.dim_dates(self.stg_games)
+        return self._memo["dim_dates"]
 
-    @cached_property
+    @property
     def dim_player_game_archetypes(self):
-        return D.dim_player_game_archetypes(self.int_player_performance)
+        if "dim_player_game_archetypes" not in self._memo:
+            self._memo["dim_player_game_archetypes"] = D.dim_player_game_archetypes(self.int_player_performance)
+        return self._memo["dim_player_game_archetypes"]
 
-    @cached_property
+    @property
     def dim_players(self):
-        return D.dim_players(self.stg_player_game_basic_stats, self.stg_games)
+        if "dim_players" not in self._memo:
+            self._memo["dim_players"] = D.dim_players(self.stg_player_game_basic_stats, self.stg_games)
+        return self._memo["dim_players"]
 
-    @cached_property
+    @property
     def dim_seasons(self):
-        return D.dim_seasons(self.int_games_enriched)
+        if "dim_seasons" not in self._memo:
+            self._memo["dim_seasons"] = D.dim_seasons(self.int_games_enriched)
+        return self._memo["dim_seasons"]
 
-    @cached_property
+    @property
     def dim_teams(self):
-        return D.dim_teams(self.src("team_mappings"))
+        if "dim_teams" not in self._memo:
+            self._memo["dim_teams"] = D.dim_teams(self.src("team_mappings"))
+        return self._memo["dim_teams"]
 
     # facts (full refresh; ``fact(name, since)`` for an incremental window)
     def fact(self, name: str, since: DataFrame | None = None) -> DataFrame:
@@ -153,3 +189,43 @@ DIMENSIONS = ["dim_arenas", "dim_dates", "dim_player_game_archetypes", "dim_play
 FACTS = ["fct_game_results", "fct_player_game_stats", "fct_quarter_scoring",
          "fct_team_game_stats"]
 MODELS = STAGING + INTERMEDIATE + DIMENSIONS + FACTS
+
+# Materialisation of the layers: which models are written as tables (as in
+# the reference: intermediate and dimensions are tables, facts incremental,
+# one staging model is a table; the other staging models stay views).
+TABLE_MODELS = ["stg_player_game_adv_stats_extended"] + INTERMEDIATE + DIMENSIONS
+FACT_KEYS = {"fct_game_results": "game_key", "fct_player_game_stats": "player_game_key",
+             "fct_quarter_scoring": "quarter_scoring_key", "fct_team_game_stats": "team_game_key"}
+
+
+def build_warehouse(spark: SparkSession, base: str, out_dir: str,
+                    models: list[str] | None = None) -> dict[str, str]:
+    """Write every layer under ``out_dir`` in dependency order.
+
+    Each written table is read back and used downstream, so every model is
+    computed once and each job's lineage starts at the previous layer's
+    files. Facts are loaded with the incremental sink (full on the first
+    run, look-back upsert afterwards). Returns {model: how it was written}.
+    """
+    from ..sources.sinks import _fs_exists, incremental_refresh, write_layer
+
+    w = Warehouse(spark, base)
+    wanted = set(models or (TABLE_MODELS + FACTS))
+    done: dict[str, str] = {}
+    root = out_dir.rstrip("/")
+    for name in TABLE_MODELS:
+        path = f"{root}/{name}"
+        if name not in wanted:
+            if _fs_exists(spark, path):  # reuse the stored layer
+                w.use(name, spark.read.parquet(path))
+            continue
+        write_layer(getattr(w, name), path)
+        w.use(name, spark.read.parquet(path))
+        done[name] = "table"
+    for name in FACTS:
+        if name not in wanted:
+            continue
+        done[name] = incremental_refresh(spark, f"{root}/{name}",
+                                         lambda since, _n=name: w.fact(_n, since),
+                                         FACT_KEYS[name])
+    return done

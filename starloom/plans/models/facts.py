@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ... import functions as X
-from ...operators.joins import lookup
-from ...operators.reshape import unpivot
+from ...operators.joins import lookup, other_side
+from ...operators.reshape import unpivot_groups
 from .dimensions import ARCHETYPE_COLS
 
 LINE_SCORE_PERIODS = ["q1_points", "q2_points", "q3_points", "q4_points",
@@ -104,19 +104,17 @@ def fct_quarter_scoring(stg_line_scores: DataFrame, ge: DataFrame,
                         since: DataFrame | None = None) -> DataFrame:
     games = _since_filter(ge.select("game_id", "game_date", "season_start_year"), since,
                           "game_date")
-    remove = [c for c in stg_line_scores.columns
-              if c not in ("game_id", "team", *LINE_SCORE_PERIODS)]
-    scores = unpivot(stg_line_scores, cast_to="int", exclude=["game_id", "team"], remove=remove,
-                     field_name="period_name", value_name="points_scored")
-    # pre-filter by the games in range before the self-join
-    scores = scores.join(games.select("game_id"), "game_id", "left_semi")
-    opp = scores.select(F.col("game_id").alias("o_game_id"), F.col("team").alias("o_team"),
-                        F.col("period_name").alias("o_period"),
-                        F.col("points_scored").alias("opponent_points_scored"))
-    # opponent row: same game and period, other team (equi-join + residual, J7)
-    df = scores.join(opp, (F.col("game_id") == F.col("o_game_id"))
-                     & (F.col("period_name") == F.col("o_period"))
-                     & (F.col("team") != F.col("o_team")), "inner")
+    # pre-filter by the games in range
+    ls = (stg_line_scores.select("game_id", "team", *LINE_SCORE_PERIODS)
+          .join(games.select("game_id"), "game_id", "left_semi"))
+    # opponent row: same game, other team (J7). Every line-score row yields all
+    # periods, so pairing the rows per game and then unpivoting both sides
+    # gives the same pairs as the per-period self-join, on 1/7 of the rows.
+    paired = other_side(ls, ["game_id"], "team", LINE_SCORE_PERIODS, prefix="o_")
+    df = unpivot_groups(paired, ["game_id", "team", "o_team"],
+                        {p: {"points_scored": p, "opponent_points_scored": f"o_{p}"}
+                         for p in LINE_SCORE_PERIODS},
+                        field_name="period_name", cast_to="int")
     g = games.select(F.col("game_id").alias("g_game_id"), "game_date", "season_start_year")
     df = df.join(g, F.col("game_id") == F.col("g_game_id"), "inner")
     df = lookup(df, team_abbreviation_mappings, [("team", "source_abbr")],

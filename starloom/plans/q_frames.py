@@ -480,11 +480,9 @@ FROM stg_line_scores a JOIN stg_line_scores b ON a.game_id = b.game_id AND a.tea
 """))
 def q_self_join_opponent(spark, d):
     ls = Warehouse(spark, d).stg_line_scores.select("game_id", "team", "total_points")
-    # each game has exactly two sides: the pair count per key is bounded
-    b = ls.select(F.col("game_id").alias("b_gid"), F.col("team").alias("opponent_team"),
-                  F.col("total_points").alias("opponent_points"))
-    return ls.join(b, (F.col("game_id") == F.col("b_gid")) & (F.col("team") != F.col("opponent_team")),
-                   "inner").drop("b_gid")
+    out = J.other_side(ls, ["game_id"], "team", ["total_points"], prefix="opp_")
+    return out.select("game_id", "team", "total_points", F.col("opp_team").alias("opponent_team"),
+                      F.col("opp_total_points").alias("opponent_points"))
 
 
 @query("join_junk_dim", with_models("""

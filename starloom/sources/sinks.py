@@ -108,21 +108,24 @@ def incremental_refresh(spark: SparkSession, path: str,
         return "full"
     target = spark.read.parquet(path)
     since = lookback_start(target, date_col, lookback_days)
-    delta = build(since).withColumn(part_col, partition_month(date_col))
+    run = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging-{uuid.uuid4().hex}"
+    # the delta (look-back window) is computed once and read back by the
+    # steps below: this cuts its lineage and keeps the merge plan small
+    build(since).withColumn(part_col, partition_month(date_col)).write.parquet(f"{run}/delta")
+    delta = spark.read.parquet(f"{run}/delta")
     delta_keys = delta.select(*keys).distinct()
     moved = target.join(delta_keys, keys, "left_semi").select(part_col)
     affected = delta.select(part_col).union(moved).distinct()
     scope = target.join(F.broadcast(affected), part_col, "left_semi")  # months: bounded
     rewritten = merge_by_key(scope, delta, keys)
-    staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging-{uuid.uuid4().hex}"
-    rewritten.write.mode("overwrite").parquet(staging)
+    rewritten.write.parquet(f"{run}/rows")
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        (spark.read.parquet(staging).write.mode("overwrite").partitionBy(part_col).parquet(path))
+        (spark.read.parquet(f"{run}/rows").write.mode("overwrite").partitionBy(part_col).parquet(path))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        _fs_delete(spark, staging)
+        _fs_delete(spark, run)
     return "incremental"
 
 

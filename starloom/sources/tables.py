@@ -10,10 +10,37 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+# Inputs at least this large are spread over the cluster's cores when their
+# scan yields fewer splits than cores (e.g. one file with one row group).
+SPREAD_MIN_BYTES = 1024 * 1024
+_spread_cache: dict[str, int] = {}
+
+
+def _scan_fanout(spark: SparkSession, df: DataFrame, path: str) -> int:
+    """Partitions to spread a scan over, or 0 to keep the scan as it is.
+
+    Only metadata is read (file sizes, split count). On a cluster the scan
+    of a large table has far more splits than cores, so this is 0 there.
+    """
+    if path not in _spread_cache:
+        cores = spark.sparkContext.defaultParallelism
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        size = fs.getContentSummary(p).getLength()
+        splits = df.rdd.getNumPartitions()
+        _spread_cache[path] = cores if (size >= SPREAD_MIN_BYTES and splits < cores) else 0
+    return _spread_cache[path]
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Columnar scan of one table; filters and projections applied later are
-    pushed into the Parquet reader by Catalyst."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    pushed into the Parquet reader by Catalyst (also through the spread
+    below, which the optimizer treats as a plain repartition)."""
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    n = _scan_fanout(spark, df, path)
+    return df.repartition(n) if n else df
 
 
 class Tables:
