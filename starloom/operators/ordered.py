@@ -27,8 +27,8 @@ _RANGEABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T
 def _sort_key(cols: Sequence[str]) -> list[Column]:
     """Ascending, NULLs last, as orderable struct fields."""
     out = []
-    for c in cols:
-        out += [F.col(c).isNull(), F.col(c)]
+    for i, c in enumerate(cols):
+        out += [F.col(c).isNull().alias(f"__n{i}"), F.col(c).alias(f"__o{i}")]
     return out
 
 
@@ -65,15 +65,20 @@ def neighbour(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str
             .withColumn("__has", fn(F.lit(True)).over(inner).isNotNull()))
 
     # edge row of each non-empty bucket: last (for 'prev') or first (for 'next')
-    key = F.struct(*_sort_key(order), F.col(value).alias("v"))
+    key = F.struct(*_sort_key(order), F.col(value).alias("__val"))
     edge_agg = F.max(key) if direction == "prev" else F.min(key)
     edges = rows.groupBy(*part, "__bucket").agg(edge_agg.alias("__edge"))
     bw = wspec.orderBy("__bucket") if part else Window.orderBy("__bucket")
     efn = F.lag if direction == "prev" else F.lead
-    edges = (edges.withColumn("__from", efn(F.col("__edge.v")).over(bw))
+    edges = (edges.withColumn("__from", efn(F.col("__edge.__val")).over(bw))
              .withColumn("__from_has", efn(F.lit(True)).over(bw).isNotNull())
-             .select(*part, "__bucket", "__from", "__from_has"))
-    joined = rows.join(edges, [*part, "__bucket"], "left")
+             .select(*[F.col(c).alias(f"__e_{c}") for c in part], F.col("__bucket").alias("__e_bucket"),
+                     "__from", "__from_has"))
+    # window partitions group NULLs together, so the join back is NULL-safe
+    cond = F.col("__bucket") == F.col("__e_bucket")
+    for c in part:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__e_{c}"))
+    joined = rows.join(edges, cond, "left").drop(*[f"__e_{c}" for c in part], "__e_bucket")
     return (joined.withColumn(out, F.when(F.col("__has"), F.col("__nb")).otherwise(F.col("__from")))
             .withColumn(out + "_exists", F.col("__has") | F.coalesce(F.col("__from_has"), F.lit(False)))
             .drop("__bucket", "__nb", "__has", "__from", "__from_has"))

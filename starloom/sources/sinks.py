@@ -119,10 +119,19 @@ def incremental_refresh(spark: SparkSession, path: str,
     scope = target.join(F.broadcast(affected), part_col, "left_semi")  # months: bounded
     rewritten = merge_by_key(scope, delta, keys)
     rewritten.write.parquet(f"{run}/rows")
+    rows = spark.read.parquet(f"{run}/rows")
+    # partition values only (months touched by the window): a bounded list
+    touched = {r[0] for r in affected.collect()}
+    kept = {r[0] for r in rows.select(part_col).distinct().collect()}
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        (spark.read.parquet(f"{run}/rows").write.mode("overwrite").partitionBy(part_col).parquet(path))
+        rows.write.mode("overwrite").partitionBy(part_col).parquet(path)
+        # dynamic overwrite leaves partitions that received no rows (all
+        # their keys moved elsewhere): remove those explicitly
+        for value in touched - kept:
+            name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+            _fs_delete(spark, f"{path.rstrip('/')}/{part_col}={name}")
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         _fs_delete(spark, run)
