@@ -375,3 +375,15 @@ def q_dq_suite(spark, d):
               Q.not_null(t.orders, "o_orderkey"),
               Q.fewer_rows_than(t.lineitem, t.orders)]
     return Q.run_suite(checks).drop("status")
+
+
+def _project_suite_sql():
+    from .project_tests import oracle_sql
+    return oracle_sql()
+
+
+@query("dq_project_suite", _project_suite_sql())
+def q_dq_project_suite(spark, d):
+    from .layers import Warehouse
+    from .project_tests import run_project_tests
+    return run_project_tests(Warehouse(spark, d))

@@ -108,10 +108,24 @@ def incremental_refresh(spark: SparkSession, path: str,
         return "full"
     target = spark.read.parquet(path)
     since = lookback_start(target, date_col, lookback_days)
+    upsert_partitions(spark, path, build(since), keys, date_col, part_col)
+    return "incremental"
+
+
+def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, key: Sequence[str] | str,
+                      date_col: str = "game_date", part_col: str = "_month") -> None:
+    """Upsert ``delta`` by key into the month-partitioned table at ``path``,
+    rewriting only the affected partitions (steps 3-5 above). Idempotent:
+    applying the same delta twice leaves the same table."""
+    keys = [key] if isinstance(key, str) else list(key)
+    if not _fs_exists(spark, path):
+        write_layer(delta.withColumn(part_col, partition_month(date_col)), path, partition_by=[part_col])
+        return
+    target = spark.read.parquet(path)
     run = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging-{uuid.uuid4().hex}"
-    # the delta (look-back window) is computed once and read back by the
-    # steps below: this cuts its lineage and keeps the merge plan small
-    build(since).withColumn(part_col, partition_month(date_col)).write.parquet(f"{run}/delta")
+    # the delta is computed once and read back by the steps below: this cuts
+    # its lineage and keeps the merge plan small
+    delta.withColumn(part_col, partition_month(date_col)).write.parquet(f"{run}/delta")
     delta = spark.read.parquet(f"{run}/delta")
     delta_keys = delta.select(*keys).distinct()
     moved = target.join(delta_keys, keys, "left_semi").select(part_col)
@@ -120,7 +134,7 @@ def incremental_refresh(spark: SparkSession, path: str,
     rewritten = merge_by_key(scope, delta, keys)
     rewritten.write.parquet(f"{run}/rows")
     rows = spark.read.parquet(f"{run}/rows")
-    # partition values only (months touched by the window): a bounded list
+    # partition values only (months touched by the delta): a bounded list
     touched = {r[0] for r in affected.collect()}
     kept = {r[0] for r in rows.select(part_col).distinct().collect()}
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
@@ -135,7 +149,6 @@ def incremental_refresh(spark: SparkSession, path: str,
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         _fs_delete(spark, run)
-    return "incremental"
 
 
 def store_failures(checks, base_path: str) -> None:
