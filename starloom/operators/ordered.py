@@ -32,19 +32,37 @@ def _sort_key(cols: Sequence[str]) -> list[Column]:
     return out
 
 
+# A window partition up to this many rows is sorted by one task; larger ones
+# (a hot group, or a whole table without partition) are range-split.
+SPLIT_ABOVE = 2_000_000
+
+
+def largest_group(df: DataFrame, partition_by: Sequence[str]) -> int:
+    """Row count of the largest ``partition_by`` group (one aggregate pass;
+    only the single number reaches the driver)."""
+    if not partition_by:
+        return df.count()
+    row = df.groupBy(*partition_by).count().agg(F.max("count")).collect()[0][0]
+    return int(row or 0)
+
+
 def neighbour(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], value: str,
-              direction: str, out: str, n_buckets: int = 64) -> DataFrame:
+              direction: str, out: str, n_buckets: int = 64,
+              split_above: int | None = SPLIT_ABOVE) -> DataFrame:
     """Add ``out`` = ``value`` of the previous (``direction='prev'``) or next
     row in order ``order_by`` (ascending, NULLs last) within ``partition_by``.
 
-    Also adds ``out + '_exists'``: whether such a row exists.
+    Also adds ``out + '_exists'``: whether such a row exists. When every
+    group has at most ``split_above`` rows a plain window is used; otherwise
+    (or with ``split_above=None``) the range-split plan below.
     """
     part = list(partition_by)
     order = list(order_by)
     first = order[0]
     dtype = dict((f.name, f.dataType) for f in df.schema.fields)[first]
     wspec = Window.partitionBy(*part) if part else Window.partitionBy()
-    if not isinstance(dtype, _RANGEABLE) or n_buckets <= 1:
+    small = split_above is not None and largest_group(df, part) <= split_above
+    if small or not isinstance(dtype, _RANGEABLE) or n_buckets <= 1:
         w = wspec.orderBy(*[F.col(c).asc_nulls_last() for c in order])
         fn = F.lag if direction == "prev" else F.lead
         return (df.withColumn(out, fn(F.col(value)).over(w))

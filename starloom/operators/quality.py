@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import slugify
-from .ordered import neighbour, replicate
+from .ordered import SPLIT_ABOVE, neighbour, replicate
 
 
 @dataclass
@@ -188,7 +188,7 @@ _GAP_OPS = {"not_allowed": ("=", "equal_to"), "allowed": ("<=", "less_than_or_eq
 def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_bound_column: str,
                               partition_by: str | None = None, gaps: str = "allowed",
                               zero_length_range_allowed: bool = False, where=None,
-                              n_buckets: int = 64) -> Check:
+                              n_buckets: int = 64, split_above: int | None = SPLIT_ABOVE) -> Check:
     """Ranges ordered by (lower, upper) must not overlap (gap rules as named).
 
     Equal (partition, lower, upper) rows are collapsed into counts: within a
@@ -206,7 +206,7 @@ def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_boun
     runs = src.select(*base_cols).groupBy(*part, "lower_bound", "upper_bound").agg(
         F.count(F.lit(1)).alias("__n"))
     nb = neighbour(runs, part, ["lower_bound", "upper_bound"], "lower_bound", "next",
-                   "__next", n_buckets)
+                   "__next", n_buckets, split_above)
     last_of_run = nb.select(*part, "lower_bound", "upper_bound",
                             F.col("__next").alias("next_lower_bound"),
                             (~F.col("__next_exists")).alias("is_last_record"))
@@ -331,7 +331,8 @@ def not_empty_string(df: DataFrame, column: str, trim_whitespace: bool = True, w
 
 # ------------------------------------------------------------------ Q14
 def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: str | None = None,
-                      group_by: Sequence[str] = (), where=None, n_buckets: int = 64) -> Check:
+                      group_by: Sequence[str] = (), where=None, n_buckets: int = 64,
+                      split_above: int | None = SPLIT_ABOVE) -> Check:
     """Value differs from the previous value (in value order) + interval.
 
     Runs on distinct values with counts: the first row of a run of equal
@@ -342,7 +343,7 @@ def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: s
     gb = list(group_by)
     src = _scope(df, where).filter(_c(column).isNotNull())
     runs = src.groupBy(*[_c(g) for g in gb], _c(column)).agg(F.count(F.lit(1)).alias("__n"))
-    nb = neighbour(runs, gb, [column], column, "prev", "__prev", n_buckets)
+    nb = neighbour(runs, gb, [column], column, "prev", "__prev", n_buckets, split_above)
     first_rows = nb.select(*[_c(g) for g in gb], _c(column), F.col("__prev").alias(prev))
     repeats = replicate(nb.select(*[_c(g) for g in gb], _c(column), "__n"), F.col("__n") - 1)
     repeats = repeats.select(*[_c(g) for g in gb], _c(column), _c(column).alias(prev))

@@ -190,14 +190,33 @@ FACTS = ["fct_game_results", "fct_player_game_stats", "fct_quarter_scoring",
          "fct_team_game_stats"]
 MODELS = STAGING + INTERMEDIATE + DIMENSIONS + FACTS
 
-# Materialisation of the layers: which models are written as tables (as in
-# the reference: intermediate and dimensions are tables, facts incremental,
-# one staging model is a table; the other staging models stay views).
-TABLE_MODELS = ["stg_player_game_adv_stats_extended"] + INTERMEDIATE + DIMENSIONS
+# Materialisation of the layers. As in the reference, intermediate and
+# dimension models are tables, facts are incremental and one staging model is
+# a table. Staging models that feed several downstream models are written
+# too (one scan of the sources instead of one per consumer); the others stay
+# lazy views.
+RAW_SOURCES = ["games", "line_scores", "player_game_basic_stats", "player_game_adv_stats",
+               "team_game_basic_stats", "team_game_adv_stats", "team_mappings",
+               "team_abbreviation_mappings", "arena_mappings"]
+TABLE_MODELS = (["stg_line_scores", "stg_games", "stg_player_game_basic_stats",
+                 "stg_player_game_adv_stats_extended"] + INTERMEDIATE + DIMENSIONS)
 FACT_KEYS = {"fct_game_results": "game_key", "fct_player_game_stats": "player_game_key",
              "fct_quarter_scoring": "quarter_scoring_key", "fct_team_game_stats": "team_game_key"}
 
 
+def land_sources(spark: SparkSession, base: str, out_dir: str) -> dict[str, DataFrame]:
+    """Write the raw source and seed tables (derived from the test tables)
+    once; the models then read them like the reference reads its sources."""
+    from ..sources.sinks import write_layer
+    raw = Raw(spark, base)
+    stored = {}
+    for name in RAW_SOURCES:
+        path = f"{out_dir.rstrip('/')}/raw/{name}"
+        write_layer(getattr(raw, name), path)
+        stored[name] = spark.read.parquet(path)
+    return stored
+
+
 def build_warehouse(spark: SparkSession, base: str, out_dir: str,
                     models: list[str] | None = None) -> dict[str, str]:
     """Write every layer under ``out_dir`` in dependency order.
@@ -205,14 +224,20 @@ def build_warehouse(spark: SparkSession, base: str, out_dir: str,
     Each written table is read back and used downstream, so every model is
     computed once and each job's lineage starts at the previous layer's
     files. Facts are loaded with the incremental sink (full on the first
-    run, look-back upsert afterwards). Returns {model: how it was written}.
+    run, look-back upsert afterwards). Already written sources and layers
+    that are not selected are reused. Returns {model: how it was written}.
     """
     from ..sources.sinks import _fs_exists, incremental_refresh, write_layer
 
-    w = Warehouse(spark, base)
-    wanted = set(models or (TABLE_MODELS + FACTS))
-    done: dict[str, str] = {}
     root = out_dir.rstrip("/")
+    done: dict[str, str] = {}
+    if models is None or not all(_fs_exists(spark, f"{root}/raw/{n}") for n in RAW_SOURCES):
+        sources = land_sources(spark, base, root)
+        done["sources"] = "landed"
+    else:
+        sources = {n: spark.read.parquet(f"{root}/raw/{n}") for n in RAW_SOURCES}
+    w = Warehouse(spark, base, sources=sources)
+    wanted = set(models or (TABLE_MODELS + FACTS))
     for name in TABLE_MODELS:
         path = f"{root}/{name}"
         if name not in wanted:

@@ -51,7 +51,13 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 sort_within: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Full-refresh sink (S4). Sorting within partitions (not a global sort)
     gives clustered files without a range shuffle."""
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    out = df
+    if partition_by:
+        # REBALANCE: AQE groups rows of a partition value into right-sized
+        # tasks -- small months are coalesced (few files), a huge month is
+        # split over several tasks (no single task writes it all)
+        out = out.hint("rebalance", *partition_by)
+    out = out.sortWithinPartitions(*sort_within) if sort_within else out
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -140,7 +146,7 @@ def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, key: Seq
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        rows.write.mode("overwrite").partitionBy(part_col).parquet(path)
+        rows.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col).parquet(path)
         # dynamic overwrite leaves partitions that received no rows (all
         # their keys moved elsewhere): remove those explicitly
         for value in touched - kept:

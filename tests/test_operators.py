@@ -130,7 +130,7 @@ def test_neighbour_equals_global_window(spark):
     data += [("p", None), (None, None)]
     df = spark.createDataFrame(data, "p string, v int").dropDuplicates()
     for direction, fn in (("prev", F.lag), ("next", F.lead)):
-        got = neighbour(df, ["p"], ["v"], "v", direction, "nb", n_buckets=7)
+        got = neighbour(df, ["p"], ["v"], "v", direction, "nb", n_buckets=7, split_above=None)
         w = Window.partitionBy("p").orderBy(F.col("v").asc_nulls_last())
         want = df.withColumn("nb", fn("v").over(w)).withColumn("nb_exists", fn(F.lit(True)).over(w).isNotNull())
         assert rows(got.select("p", "v", "nb", "nb_exists")) == rows(want.select("p", "v", "nb", "nb_exists"))
