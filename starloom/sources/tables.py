@@ -10,17 +10,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-# Inputs at least this large are spread over the cluster's cores when their
-# scan yields fewer splits than cores (e.g. one file with one row group).
-SPREAD_MIN_BYTES = 1024 * 1024
+# A scan is spread when it yields at most half of the partitions it should
+# have: one per core, but no more than one per SPREAD_BYTES of input (so a
+# small table is never fanned out over a large cluster).
+SPREAD_BYTES = 1024 * 1024
 _spread_cache: dict[str, int] = {}
 
 
 def _scan_fanout(spark: SparkSession, df: DataFrame, path: str) -> int:
     """Partitions to spread a scan over, or 0 to keep the scan as it is.
 
-    Only metadata is read (file sizes, split count). On a cluster the scan
-    of a large table has far more splits than cores, so this is 0 there.
+    Only metadata is read (file sizes, split count). A large table on a
+    cluster is stored as many files and already has enough splits, so this
+    is 0 there; it triggers for single-file, single-row-group inputs.
     """
     if path not in _spread_cache:
         cores = spark.sparkContext.defaultParallelism
@@ -28,8 +30,9 @@ def _scan_fanout(spark: SparkSession, df: DataFrame, path: str) -> int:
         p = jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         size = fs.getContentSummary(p).getLength()
+        want = min(cores, -(-size // SPREAD_BYTES))
         splits = df.rdd.getNumPartitions()
-        _spread_cache[path] = cores if (size >= SPREAD_MIN_BYTES and splits < cores) else 0
+        _spread_cache[path] = want if splits * 2 <= want else 0
     return _spread_cache[path]
 
 
