@@ -62,7 +62,7 @@ def q_dq_cardinality_equality(spark, d):
 @query("dq_equal_rowcount", """
 WITH a AS (SELECT o_orderstatus, 1 AS id, count(*) AS count_a FROM orders GROUP BY o_orderstatus),
      b AS (SELECT o_orderstatus, 1 AS id, count(*) AS count_b FROM orders
-           WHERE o_orderkey % 10 <> 0 AND o_orderstatus <> 'P' GROUP BY o_orderstatus)
+           WHERE o_totalprice >= 10000 AND o_orderstatus <> 'P' GROUP BY o_orderstatus)
 SELECT a.id AS id_dbtutils_test_equal_rowcount_a, b.id AS id_dbtutils_test_equal_rowcount_b,
        a.o_orderstatus AS o_orderstatus_a, b.o_orderstatus AS o_orderstatus_b,
        count_a, count_b, abs(count_a - count_b) AS diff_count
@@ -70,15 +70,15 @@ FROM a FULL JOIN b ON a.id = b.id AND a.o_orderstatus = b.o_orderstatus
 """)
 def q_dq_equal_rowcount(spark, d):
     o = Tables(spark, d).orders
-    other = o.filter((F.col("o_orderkey") % 10 != 0) & (F.col("o_orderstatus") != "P"))
+    other = o.filter((F.col("o_totalprice") >= 10000) & (F.col("o_orderstatus") != "P"))
     return Q.equal_rowcount(o, other, group_by=["o_orderstatus"]).failures
 
 
 @query("dq_fewer_rows_than", """
 WITH a AS (SELECT o_orderpriority, 1 AS id, count(*) AS count_our_model FROM orders
-           WHERE o_orderkey % 3 = 0 GROUP BY o_orderpriority),
+           WHERE o_orderstatus = 'F' GROUP BY o_orderpriority),
      b AS (SELECT o_orderpriority, 1 AS id, count(*) AS count_comparison_model FROM orders
-           WHERE o_orderkey % 2 = 0 AND o_orderpriority <> '2-HIGH' GROUP BY o_orderpriority)
+           WHERE o_orderstatus = 'O' AND o_orderpriority <> '2-HIGH' GROUP BY o_orderpriority)
 SELECT a.id AS id_dbtutils_test_fewer_rows_than_a, b.id AS id_dbtutils_test_fewer_rows_than_b,
        a.o_orderpriority AS o_orderpriority_a, b.o_orderpriority AS o_orderpriority_b,
        count_our_model, count_comparison_model,
@@ -88,8 +88,8 @@ FROM a FULL JOIN b ON a.id = b.id AND a.o_orderpriority = b.o_orderpriority
 """)
 def q_dq_fewer_rows_than(spark, d):
     o = Tables(spark, d).orders
-    a = o.filter(F.col("o_orderkey") % 3 == 0)
-    b = o.filter((F.col("o_orderkey") % 2 == 0) & (F.col("o_orderpriority") != "2-HIGH"))
+    a = o.filter(F.col("o_orderstatus") == "F")
+    b = o.filter((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") != "2-HIGH"))
     return Q.fewer_rows_than(a, b, group_by=["o_orderpriority"]).failures
 
 
@@ -175,7 +175,7 @@ def q_dq_mutually_exclusive_ranges(spark, d):
 
 _GLOBAL_RANGES = ("(SELECT o_orderkey * 10 AS lo, o_orderkey * 10 + o_orderkey % 12 AS hi FROM orders "
                   "UNION ALL SELECT o_orderkey * 10, o_orderkey * 10 + o_orderkey % 12 FROM orders "
-                  "WHERE o_orderkey % 500 = 0) r")
+                  "WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P') r")
 
 
 @query("dq_mutually_exclusive_ranges_global",
@@ -184,7 +184,8 @@ def q_dq_mutually_exclusive_ranges_global(spark, d):
     o = Tables(spark, d).orders
     k = F.col("o_orderkey")
     r = o.select((k * 10).alias("lo"), (k * 10 + k % 12).alias("hi"))
-    r = r.unionByName(o.filter(k % 500 == 0).select((k * 10).alias("lo"), (k * 10 + k % 12).alias("hi")))
+    dup = o.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"))
+    r = r.unionByName(dup.select((k * 10).alias("lo"), (k * 10 + k % 12).alias("hi")))
     return Q.mutually_exclusive_ranges(r, "lo", "hi", gaps="not_allowed", n_buckets=16).failures
 
 
@@ -237,14 +238,14 @@ def q_dq_recency(spark, d):
 
 @query("dq_relationships_where", """
 SELECT l.id, CAST(NULL AS BIGINT) AS right_id
-FROM (SELECT o_custkey AS id FROM orders WHERE o_orderkey % 2 = 0 AND o_custkey IS NOT NULL) l
-WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey % 7 <> 0 AND c.c_custkey IS NOT NULL AND c.c_custkey = l.id)
+FROM (SELECT o_custkey AS id FROM orders WHERE o_orderstatus = 'F' AND o_custkey IS NOT NULL) l
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_mktsegment <> 'BUILDING' AND c.c_custkey IS NOT NULL AND c.c_custkey = l.id)
 """)
 def q_dq_relationships_where(spark, d):
     t = Tables(spark, d)
     return Q.relationships_where(t.orders, "o_custkey", t.customer, "c_custkey",
-                                 from_condition="o_orderkey % 2 = 0",
-                                 to_condition="c_custkey % 7 <> 0").failures
+                                 from_condition="o_orderstatus = 'F'",
+                                 to_condition="c_mktsegment <> 'BUILDING'").failures
 
 
 @query("dq_not_empty_string", """
@@ -272,21 +273,21 @@ def q_dq_sequential_values(spark, d):
 
 @query("dq_sequential_values_global", """
 WITH w AS (SELECT o_orderkey, lag(o_orderkey) OVER (ORDER BY o_orderkey) AS previous_o_orderkey
-           FROM orders WHERE o_orderkey % 13 <> 0)
+           FROM orders WHERE o_orderstatus = 'F')
 SELECT * FROM w WHERE NOT (o_orderkey = previous_o_orderkey + 1)
 """)
 def q_dq_sequential_values_global(spark, d):
-    o = Tables(spark, d).orders.filter(F.col("o_orderkey") % 13 != 0)
+    o = Tables(spark, d).orders.filter(F.col("o_orderstatus") == "F")
     return Q.sequential_values(o, "o_orderkey", n_buckets=16).failures
 
 
 @query("dq_sequential_dates", """
-WITH t AS (SELECT CAST(o_orderdate AS DATE) AS order_day FROM orders WHERE o_orderkey % 3 = 0),
+WITH t AS (SELECT CAST(o_orderdate AS DATE) AS order_day FROM orders WHERE o_orderpriority = '1-URGENT'),
 w AS (SELECT order_day, lag(order_day) OVER (ORDER BY order_day) AS previous_order_day FROM t)
 SELECT * FROM w WHERE NOT (CAST(order_day AS TIMESTAMP) = CAST(previous_order_day + INTERVAL 1 DAY AS TIMESTAMP))
 """)
 def q_dq_sequential_dates(spark, d):
-    o = Tables(spark, d).orders.filter(F.col("o_orderkey") % 3 == 0)
+    o = Tables(spark, d).orders.filter(F.col("o_orderpriority") == "1-URGENT")
     t = o.select(F.col("o_orderdate").cast("date").alias("order_day"))
     return Q.sequential_values(t, "order_day", datepart="day", n_buckets=8).failures
 
@@ -318,11 +319,11 @@ def q_dq_not_null(spark, d):
 
 @query("dq_relationships", """
 SELECT l_partkey AS from_field FROM lineitem l
-WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey % 13 <> 0 AND p.p_partkey = l.l_partkey)
+WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_size <= 45 AND p.p_partkey = l.l_partkey)
 """)
 def q_dq_relationships(spark, d):
     t = Tables(spark, d)
-    return Q.relationships(t.lineitem, "l_partkey", t.part.filter(F.col("p_partkey") % 13 != 0),
+    return Q.relationships(t.lineitem, "l_partkey", t.part.filter(F.col("p_size") <= 45),
                            "p_partkey").failures
 
 

@@ -198,26 +198,30 @@ def q_slugify_column(spark, d):
 
 
 # ------------------------------------------------- F11 clock text, P10 cast
-_MP_SQL = """CASE WHEN l_partkey % 17 = 0 THEN NULL
+def _mp_sql(junk: bool) -> str:
+    dnp = "WHEN l_partkey % 23 = 0 THEN 'DNP'" if junk else ""
+    return f"""CASE WHEN l_partkey % 17 = 0 THEN NULL
             WHEN l_partkey % 19 = 0 THEN ''
-            WHEN l_partkey % 23 = 0 THEN 'DNP'
+            {dnp}
             WHEN l_partkey % 9 = 0 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
             ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ':' || lpad(CAST((l_partkey * 13) % 60 AS VARCHAR), 2, '0') END"""
 
 
-def _mp_col():
+def _mp_col(junk: bool):
+    """Minutes text: 'MM:SS', plain numbers, NULL, '' and (with ``junk``)
+    non-numeric text, which only the guarded form may read."""
     q = F.col("l_quantity").cast("bigint").cast("string")
-    return (F.when(F.col("l_partkey") % 17 == 0, F.lit(None).cast("string"))
-            .when(F.col("l_partkey") % 19 == 0, F.lit(""))
-            .when(F.col("l_partkey") % 23 == 0, F.lit("DNP"))
-            .when(F.col("l_partkey") % 9 == 0, q)
+    e = (F.when(F.col("l_partkey") % 17 == 0, F.lit(None).cast("string"))
+         .when(F.col("l_partkey") % 19 == 0, F.lit("")))
+    if junk:
+        e = e.when(F.col("l_partkey") % 23 == 0, F.lit("DNP"))
+    return (e.when(F.col("l_partkey") % 9 == 0, q)
             .otherwise(F.concat(q, F.lit(":"),
                                 F.lpad(((F.col("l_partkey") * 13) % 60).cast("string"), 2, "0"))))
 
 
 @query("clock_to_minutes", f"""
-WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, {_MP_SQL} AS mp FROM lineitem
-           WHERE l_partkey % 23 <> 0)
+WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, {_mp_sql(False)} AS mp FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, mp,
        CASE WHEN mp IS NOT NULL AND mp <> '' AND mp LIKE '%:%'
             THEN CAST(split_part(mp, ':', 1) AS DOUBLE) + CAST(split_part(mp, ':', 2) AS DOUBLE) / 60.0
@@ -230,14 +234,14 @@ SELECT l_orderkey, l_linenumber, l_partkey, mp,
 FROM t
 """)
 def q_clock_to_minutes(spark, d):
-    li = Tables(spark, d).lineitem.filter(F.col("l_partkey") % 23 != 0)
-    t = li.select("l_orderkey", "l_linenumber", "l_partkey", _mp_col().alias("mp"))
+    li = Tables(spark, d).lineitem
+    t = li.select("l_orderkey", "l_linenumber", "l_partkey", _mp_col(False).alias("mp"))
     m = X.clock_to_minutes("mp")
     return t.select("*", m.alias("minutes"), m.cast("decimal(10,2)").alias("minutes_2dp"))
 
 
 @query("regex_guarded_cast", f"""
-WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, {_MP_SQL} AS mp FROM lineitem)
+WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, {_mp_sql(True)} AS mp FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, mp,
        CASE WHEN regexp_matches(mp, '^[0-9.]+$') THEN TRY_CAST(mp AS DOUBLE) ELSE 0.0 END AS mp_value,
        CASE WHEN mp IS NOT NULL AND mp <> '' AND mp LIKE '%:%'
@@ -249,7 +253,7 @@ FROM t
 """)
 def q_regex_guarded_cast(spark, d):
     li = Tables(spark, d).lineitem
-    t = li.select("l_orderkey", "l_linenumber", "l_partkey", _mp_col().alias("mp"))
+    t = li.select("l_orderkey", "l_linenumber", "l_partkey", _mp_col(True).alias("mp"))
     return t.select("*", X.regex_guarded_cast("mp").alias("mp_value"),
                     X.clock_to_minutes("mp", guarded=True).alias("minutes"))
 
