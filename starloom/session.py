@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE coalesces shuffle partitions toward this size (and splits skewed ones)
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     # Runtime re-plan: a join side measured under this size at runtime becomes
     # a broadcast; anything larger stays a shuffle join.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
@@ -24,19 +26,25 @@ BASE_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "starloom") -> SparkSession:
     """Build (or reuse) a session with the library's base settings.
 
-    On a cluster ``master`` is left to spark-submit; tests pass ``local[*]``.
+    On a cluster ``master`` is left to spark-submit and the cluster's
+    ``spark.sql.shuffle.partitions`` is kept (set it high; AQE coalesces
+    toward the advisory size). In local mode it defaults to the core count.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEM", "8g"))
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = os.cpu_count() or 8
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        builder = builder.config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEM", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

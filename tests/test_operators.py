@@ -140,3 +140,39 @@ def test_replicate(spark):
     df = spark.createDataFrame([("a", 3), ("b", 0), ("c", 70000)], "k string, n long")
     out = replicate(df, "n").groupBy("k").count()
     assert rows(out) == [("a", 3), ("c", 70000)]
+
+
+def test_seed_csv_and_catalog_prefix(spark, tmp_path):
+    from starloom.sources.catalog import tables_by_pattern, tables_by_prefix, union_by_pattern
+    from starloom.sources.tables import read_seed_csv
+    p = tmp_path / "team_mappings.csv"
+    p.write_text("team_abbr,full_name\nT1,One\nT2,Two\n")
+    seed = read_seed_csv(spark, str(p), "team_abbr string, full_name string")
+    assert rows(seed) == [("T1", "One"), ("T2", "Two")]
+    seed.createOrReplaceTempView("data_events_20180101")
+    seed.createOrReplaceTempView("data_events_20180102")
+    seed.createOrReplaceTempView("data_eventsX20180103")
+    assert tables_by_prefix(spark, "data_events_") == ["data_events_20180101", "data_events_20180102"]
+    assert len(tables_by_pattern(spark, "DATA\\_EVENTS\\_%", exclude="%0102")) == 1
+    assert union_by_pattern(spark, "data_events%").count() == 6
+
+
+def test_date_spine_parts(spark):
+    b = spark.createDataFrame([(dt.date(2018, 1, 31), dt.date(2019, 7, 1))], "s date, e date")
+    q = [r[0] for r in G.date_spine(b, "s", "e", "quarter").orderBy("date_quarter").collect()]
+    assert q == [dt.date(2018, 1, 31), dt.date(2018, 4, 30), dt.date(2018, 7, 31), dt.date(2018, 10, 31),
+                 dt.date(2019, 1, 31), dt.date(2019, 4, 30)]
+    y = [r[0] for r in G.date_spine(b, "s", "e", "year").collect()]
+    assert y == [dt.date(2018, 1, 31)]
+    w = G.date_spine(b, "s", "e", "week")
+    assert w.count() == (dt.date(2019, 7, 1) - dt.date(2018, 1, 31)).days // 7
+    h = spark.createDataFrame([(dt.datetime(2018, 1, 1, 22), dt.datetime(2018, 1, 2, 3))], "s timestamp_ntz, e timestamp_ntz")
+    assert G.date_spine(h, "s", "e", "hour").count() == 5
+
+
+def test_ordered_dimensions(spark, sf_small):
+    from starloom.plans.models.dimensions import dim_teams
+    from starloom.plans.raw import Raw
+    teams = dim_teams(Raw(spark, sf_small).team_mappings, ordered=True)
+    codes = [r.team_abbr for r in teams.collect()]
+    assert codes == sorted(codes)
