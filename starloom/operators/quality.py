@@ -140,7 +140,8 @@ def equality(df: DataFrame, compare: DataFrame, compare_columns: Sequence[str] |
              where=None) -> Check:
     """Rows in one table only (set semantics), tagged ``which_diff``.
 
-    With ``precision``, numeric columns are rounded (as decimals) first.
+    With ``precision``, float and decimal columns (not integers) are rounded
+    (as decimals) first.
     fail_calc = rows + |#a_minus_b - #b_minus_a|.
     """
     if compare_columns and exclude_columns:
@@ -161,7 +162,7 @@ def equality(df: DataFrame, compare: DataFrame, compare_columns: Sequence[str] |
         out = []
         for c in cols:
             ref = F.col(f"`{c}`")
-            if precision is not None and isinstance(types[c.lower()], T.NumericType):
+            if precision is not None and isinstance(types[c.lower()], T.FractionalType):
                 ref = F.round(ref.cast("decimal(38,10)"), precision)
             out.append(ref.alias(c))
         return x.select(*out)

@@ -42,6 +42,29 @@ def norm(v):
     return v
 
 
+_SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+    "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def type_mismatches(sdf, dcols, dtypes):
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    out = []
+    dmap = {c: str(t) for c, t in zip(dcols, dtypes)}
+    for name, st in sdf.dtypes:
+        dt_ = dmap.get(name)
+        if dt_ is None:
+            continue
+        want = _SPARK_TO_DUCK.get(st)
+        if st.startswith("decimal"):
+            want = st.replace("decimal", "DECIMAL").replace(",", ", ")
+        if want is not None and want.replace(" ", "") != dt_.replace(" ", "").upper():
+            out.append((name, st, dt_))
+    return out
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -63,6 +86,8 @@ def compare(spark, con, key, fn, sql, sf_dir):
     t2 = time.time()
     res = {"key": key, "rows": len(srows), "oracle_rows": len(drows),
            "spark_s": round(t1 - t0, 2), "duck_s": round(t2 - t1, 2)}
+    dtypes = [d[1] for d in cur.description]
+    res["type_mismatch"] = type_mismatches(sdf, dcols, dtypes)
     if sorted(scols) != sorted(dcols):
         res["status"] = "COLUMNS"
         res["detail"] = (sorted(set(scols) - set(dcols)), sorted(set(dcols) - set(scols)))
@@ -98,6 +123,9 @@ def main(argv):
             r = {"key": k, "status": "ERROR", "detail": f"{type(e).__name__}: {str(e)[:400]}"}
         if r["status"] not in ("OK", "no-oracle"):
             bad += 1
+        if r.get("type_mismatch"):
+            print("TYPES", k, r["type_mismatch"], flush=True)
+        r.pop("type_mismatch", None)
         print(r, flush=True)
     print(f"== {len(keys or qs) - bad} ok / {bad} bad")
     return 1 if bad else 0
