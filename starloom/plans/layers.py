@@ -134,7 +134,7 @@ class Warehouse:
     @property
     def dim_seasons(self):
         if "dim_seasons" not in self._memo:
-            self._memo["dim_seasons"] = D.dim_seasons(self.int_games_enriched)
+            self._memo["dim_seasons"] = D.dim_seasons(self.stg_games)
         return self._memo["dim_seasons"]
 
     @property
