@@ -6,13 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..fixed_values import SURROGATE_KEY_NULL as NULL_TOKEN
+from ..fixed_values import SURROGATE_KEY_SEPARATOR as SEPARATOR
 from ._util import as_col
 
-# The NULL token and separator of the surrogate key text, which
-# must match the hashes the reference writes.
-NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
-SEPARATOR = "-"
-
 _HASHABLE = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType,
              T.BooleanType, T.DateType, T.DecimalType)
 

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..fixed_values import EQUAL_ROWCOUNT_ID, FEWER_ROWS_THAN_ID
 from ..functions.text import slugify
 from .ordered import SPLIT_ABOVE, neighbour, replicate
 
@@ -118,7 +119,7 @@ def equal_rowcount(df: DataFrame, compare: DataFrame, group_by: Sequence[str] =
                    where=None) -> Check:
     """Row counts per group; failures = sum of |a - b| (a one-sided group
     gives NULL, counted as 0)."""
-    j = _counts_full_join(df, compare, group_by, "id_dbtutils_test_equal_rowcount",
+    j = _counts_full_join(df, compare, group_by, EQUAL_ROWCOUNT_ID,
                           "count_a", "count_b", where)
     out = j.withColumn("diff_count", F.abs(F.col("count_a") - F.col("count_b")))
     return Check("equal_rowcount", out, F.sum(F.coalesce(F.col("diff_count"), F.lit(0))))
@@ -126,7 +127,7 @@ def equal_rowcount(df: DataFrame, compare: DataFrame, group_by: Sequence[str] =
 
 def fewer_rows_than(df: DataFrame, compare: DataFrame, group_by: Sequence[str] = (),
                     where=None) -> Check:
-    j = _counts_full_join(df, compare, group_by, "id_dbtutils_test_fewer_rows_than",
+    j = _counts_full_join(df, compare, group_by, FEWER_ROWS_THAN_ID,
                           "count_our_model", "count_comparison_model", where)
     a, b = F.col("count_our_model"), F.col("count_comparison_model")
     out = j.withColumn("row_count_delta",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..fixed_values import UNION_SOURCE_COLUMN
 from ..functions.text import slugify
 
 _AGGS = {
@@ -91,7 +92,7 @@ def unpivot(df: DataFrame, cast_to: str = "string", exclude: Iterable[str] = (),
 def union_relations(relations: Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]],
                     column_override: Mapping[str, str] | None = None,
                     include: Iterable[str] = (), exclude: Iterable[str] = (),
-                    source_column_name: str | None = "_dbt_source_relation",
+                    source_column_name: str | None = UNION_SOURCE_COLUMN,
                     where: str | Column | None = None) -> DataFrame:
     """UNION ALL over the superset of columns.
 
