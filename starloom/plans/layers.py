@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .models import dimensions as D
 from .models import facts as FCT
+from .models.facts import DIM_ROW_BOUNDS
 from .models import intermediate as I
 from .models import staging as S
 from .raw import Raw
@@ -26,6 +27,8 @@ class Warehouse:
         self.raw = raw or Raw(spark, base)
         self._sources = dict(sources or {})
         self._memo: dict[str, DataFrame] = {}
+        # dimensions that may be broadcast to the facts (see facts.DIM_ROW_BOUNDS)
+        self.broadcast_ok: dict[str, bool] = {}
 
     def use(self, name: str, df: DataFrame) -> None:
         """Replace a model by a stored copy (e.g. the table just written)."""
@@ -147,20 +150,22 @@ class Warehouse:
     def fact(self, name: str, since: DataFrame | None = None) -> DataFrame:
         if name == "fct_game_results":
             return FCT.fct_game_results(self.int_games_enriched, self.dim_dates, self.dim_seasons,
-                                        self.dim_arenas, self.dim_teams, since)
+                                        self.dim_arenas, self.dim_teams, since,
+                                        self.broadcast_ok)
         if name == "fct_player_game_stats":
             return FCT.fct_player_game_stats(self.int_player_performance, self.int_games_enriched,
                                              self.dim_player_game_archetypes, self.dim_players,
                                              self.dim_teams, self.dim_dates, self.dim_seasons,
-                                             self.dim_arenas, since)
+                                             self.dim_arenas, since, self.broadcast_ok)
         if name == "fct_quarter_scoring":
             return FCT.fct_quarter_scoring(self.stg_line_scores, self.int_games_enriched,
                                            self.src("team_abbreviation_mappings"), self.dim_teams,
-                                           self.dim_dates, self.dim_seasons, since)
+                                           self.dim_dates, self.dim_seasons, since,
+                                           self.broadcast_ok)
         if name == "fct_team_game_stats":
             return FCT.fct_team_game_stats(self.int_team_performance, self.int_games_enriched,
                                            self.dim_teams, self.dim_dates, self.dim_seasons,
-                                           self.dim_arenas, since)
+                                           self.dim_arenas, since, self.broadcast_ok)
         raise KeyError(name)
 
     @property
@@ -247,6 +252,13 @@ def build_warehouse(spark: SparkSession, base: str, out_dir: str,
         write_layer(getattr(w, name), path)
         w.use(name, spark.read.parquet(path))
         done[name] = "table"
+    # size check of the bounded dimensions before the facts broadcast them:
+    # a stored table's row count comes from file metadata
+    for name, bound in DIM_ROW_BOUNDS.items():
+        df = w.src(name) if name in RAW_SOURCES else getattr(w, name)
+        w.broadcast_ok[name] = df.count() <= bound
+        if not w.broadcast_ok[name]:
+            done[name] = done.get(name, "") + " (over its bound: joined without broadcast)"
     for name in FACTS:
         if name not in wanted:
             continue

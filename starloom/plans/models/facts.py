@@ -40,23 +40,37 @@ def _since_filter(df: DataFrame, since: DataFrame | None, col: Column | str) ->
     return df.crossJoin(s).filter(c >= F.col("__since")).drop("__since")
 
 
-def _team_lookup(df, dim_teams, expr, out):
-    return lookup(df, dim_teams, [(expr, "team_abbr")], [("team_key", out)], small=True)
+# Dimensions bounded by construction, broadcast unless a size check failed:
+# calendar days of the data range, seasons, seed teams/arenas/aliases, and the
+# archetype label combinations. ``build_warehouse`` counts each stored copy
+# against DIM_ROW_BOUNDS and passes False for any dimension over its bound.
+DIM_ROW_BOUNDS = {"dim_dates": 200 * 366, "dim_seasons": 1000, "dim_arenas": 100_000,
+                  "dim_teams": 100_000, "team_abbreviation_mappings": 100_000,
+                  "dim_player_game_archetypes": 100_000}
+
+
+def _b(bcast, name: str) -> bool:
+    return True if bcast is None else bcast.get(name, True)
+
+
+def _team_lookup(df, dim_teams, expr, out, bcast=None):
+    return lookup(df, dim_teams, [(expr, "team_abbr")], [("team_key", out)],
+                  small=_b(bcast, "dim_teams"))
 
 
 def fct_game_results(ge: DataFrame, dim_dates: DataFrame, dim_seasons: DataFrame,
                      dim_arenas: DataFrame, dim_teams: DataFrame,
-                     since: DataFrame | None = None) -> DataFrame:
+                     since: DataFrame | None = None, bcast: dict | None = None) -> DataFrame:
     ge = _since_filter(ge, since, "game_date")
     gdate = F.col("game_date").cast("date")
-    df = lookup(ge, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=True)
+    df = lookup(ge, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=_b(bcast, "dim_dates"))
     df = lookup(df, dim_seasons, [("season_start_year", "season_start_year")],
-                [("season_key", "season_key")], small=True)
+                [("season_key", "season_key")], small=_b(bcast, "dim_seasons"))
     df = lookup(df, dim_arenas, [("arena", "arena_name"), ("arena_city", "arena_city")],
-                [("arena_key", "arena_key")], small=True)
-    df = _team_lookup(df, dim_teams, "home_team", "home_team_key")
-    df = _team_lookup(df, dim_teams, "visitor_team", "visitor_team_key")
-    df = _team_lookup(df, dim_teams, "winning_team", "winning_team_key")
+                [("arena_key", "arena_key")], small=_b(bcast, "dim_arenas"))
+    df = _team_lookup(df, dim_teams, "home_team", "home_team_key", bcast)
+    df = _team_lookup(df, dim_teams, "visitor_team", "visitor_team_key", bcast)
+    df = _team_lookup(df, dim_teams, "winning_team", "winning_team_key", bcast)
     return df.select(
         X.surrogate_key("game_id").alias("game_key"), "date_key", "season_key", "arena_key",
         "home_team_key", "visitor_team_key", "winning_team_key", "game_id", "home_points",
@@ -72,21 +86,21 @@ def fct_game_results(ge: DataFrame, dim_dates: DataFrame, dim_seasons: DataFrame
 def fct_player_game_stats(pp: DataFrame, ge: DataFrame, dim_archetypes: DataFrame,
                           dim_players: DataFrame, dim_teams: DataFrame, dim_dates: DataFrame,
                           dim_seasons: DataFrame, dim_arenas: DataFrame,
-                          since: DataFrame | None = None) -> DataFrame:
+                          since: DataFrame | None = None, bcast: dict | None = None) -> DataFrame:
     gd = ge.select(F.col("game_id").alias("gd_game_id"), F.col("arena").alias("gd_arena_name"),
                    F.col("arena_city").alias("gd_arena_city"))
     df = pp.join(gd, F.col("game_id") == F.col("gd_game_id"), "left")
     # nine-column junk-dimension join with plain '=' (NULL never matches, J5)
     df = lookup(df, dim_archetypes, [(c, c) for c in ARCHETYPE_COLS],
-                [("archetype_key", "archetype_key")], small=True)
+                [("archetype_key", "archetype_key")], small=_b(bcast, "dim_player_game_archetypes"))
     df = lookup(df, dim_players, [("player_id", "player_id")], [("player_key", "player_key")])
-    df = _team_lookup(df, dim_teams, "team", "team_key")
+    df = _team_lookup(df, dim_teams, "team", "team_key", bcast)
     gdate = F.col("game_date").cast("date")
-    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=True)
+    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=_b(bcast, "dim_dates"))
     df = lookup(df, dim_seasons, [("season_start_year", "season_start_year")],
-                [("season_key", "season_key")], small=True)
+                [("season_key", "season_key")], small=_b(bcast, "dim_seasons"))
     df = lookup(df, dim_arenas, [("gd_arena_name", "arena_name"), ("gd_arena_city", "arena_city")],
-                [("arena_key", "arena_key")], small=True)
+                [("arena_key", "arena_key")], small=_b(bcast, "dim_arenas"))
     df = _since_filter(df, since, "game_date")
     return df.select(
         X.surrogate_key("game_id", "player_id").alias("player_game_key"), "player_key",
@@ -101,7 +115,7 @@ def fct_player_game_stats(pp: DataFrame, ge: DataFrame, dim_archetypes: DataFram
 def fct_quarter_scoring(stg_line_scores: DataFrame, ge: DataFrame,
                         team_abbreviation_mappings: DataFrame, dim_teams: DataFrame,
                         dim_dates: DataFrame, dim_seasons: DataFrame,
-                        since: DataFrame | None = None) -> DataFrame:
+                        since: DataFrame | None = None, bcast: dict | None = None) -> DataFrame:
     games = _since_filter(ge.select("game_id", "game_date", "season_start_year"), since,
                           "game_date")
     # pre-filter by the games in range
@@ -118,15 +132,15 @@ def fct_quarter_scoring(stg_line_scores: DataFrame, ge: DataFrame,
     g = games.select(F.col("game_id").alias("g_game_id"), "game_date", "season_start_year")
     df = df.join(g, F.col("game_id") == F.col("g_game_id"), "inner")
     df = lookup(df, team_abbreviation_mappings, [("team", "source_abbr")],
-                [("team_abbr", "team_abbr")], small=True)
+                [("team_abbr", "team_abbr")], small=_b(bcast, "team_abbreviation_mappings"))
     df = lookup(df, team_abbreviation_mappings, [("o_team", "source_abbr")],
-                [("team_abbr", "opp_abbr")], small=True)
-    df = _team_lookup(df, dim_teams, "team_abbr", "team_key")
-    df = _team_lookup(df, dim_teams, "opp_abbr", "opponent_key")
+                [("team_abbr", "opp_abbr")], small=_b(bcast, "team_abbreviation_mappings"))
+    df = _team_lookup(df, dim_teams, "team_abbr", "team_key", bcast)
+    df = _team_lookup(df, dim_teams, "opp_abbr", "opponent_key", bcast)
     gdate = F.col("game_date").cast("date")
-    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=True)
+    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=_b(bcast, "dim_dates"))
     df = lookup(df, dim_seasons, [("season_start_year", "season_start_year")],
-                [("season_key", "season_key")], small=True)
+                [("season_key", "season_key")], small=_b(bcast, "dim_seasons"))
     df = df.filter(F.col("points_scored").isNotNull())
     return df.select(
         X.surrogate_key("game_id", "team_abbr", "period_name").alias("quarter_scoring_key"),
@@ -139,21 +153,21 @@ def fct_quarter_scoring(stg_line_scores: DataFrame, ge: DataFrame,
 
 def fct_team_game_stats(tp: DataFrame, ge: DataFrame, dim_teams: DataFrame, dim_dates: DataFrame,
                         dim_seasons: DataFrame, dim_arenas: DataFrame,
-                        since: DataFrame | None = None) -> DataFrame:
+                        since: DataFrame | None = None, bcast: dict | None = None) -> DataFrame:
     gd = ge.select(F.col("game_id").alias("gd_game_id"), F.col("game_date").alias("gd_game_date"),
                    F.col("season_start_year").alias("gd_season"),
                    F.col("home_team").alias("gd_home"), F.col("visitor_team").alias("gd_visitor"),
                    F.col("arena").alias("gd_arena_name"), F.col("arena_city").alias("gd_arena_city"))
     df = tp.join(gd, F.col("game_id") == F.col("gd_game_id"), "left")
-    df = _team_lookup(df, dim_teams, "team", "team_key")
+    df = _team_lookup(df, dim_teams, "team", "team_key", bcast)
     opp_code = F.when(F.col("team") == F.col("gd_home"), F.col("gd_visitor")).otherwise(F.col("gd_home"))
-    df = _team_lookup(df, dim_teams, opp_code, "opponent_key")
+    df = _team_lookup(df, dim_teams, opp_code, "opponent_key", bcast)
     gdate = F.col("gd_game_date").cast("date")
-    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=True)
+    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=_b(bcast, "dim_dates"))
     df = lookup(df, dim_seasons, [("gd_season", "season_start_year")],
-                [("season_key", "season_key")], small=True)
+                [("season_key", "season_key")], small=_b(bcast, "dim_seasons"))
     df = lookup(df, dim_arenas, [("gd_arena_name", "arena_name"), ("gd_arena_city", "arena_city")],
-                [("arena_key", "arena_key")], small=True)
+                [("arena_key", "arena_key")], small=_b(bcast, "dim_arenas"))
     df = _since_filter(df, since, "gd_game_date")
     return df.select(
         X.surrogate_key("game_id", "team").alias("team_game_key"), "team_key", "date_key",
