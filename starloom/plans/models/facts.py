@@ -33,11 +33,20 @@ def lookback_since(target: DataFrame, days: int = 30, date_col: str = "game_date
 
 
 def _since_filter(df: DataFrame, since: DataFrame | None, col: Column | str) -> DataFrame:
+    """Keep rows on or after the look-back start.
+
+    The start is one value (a one-row aggregate); it is fetched and applied
+    as a literal so the predicate reaches the Parquet scan (row groups older
+    than the window are skipped by their min/max statistics). An empty
+    target (no start) keeps nothing, as ``x >= NULL`` does in SQL.
+    """
     if since is None:
         return df
     c = F.col(col) if isinstance(col, str) else col
-    s = F.broadcast(since.select(F.col("since").alias("__since")))
-    return df.crossJoin(s).filter(c >= F.col("__since")).drop("__since")
+    start = since.select("since").first()[0]
+    if start is None:
+        return df.limit(0)
+    return df.filter(c >= F.lit(start))
 
 
 # Dimensions bounded by construction, broadcast unless a size check failed:
