@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ordered import CHUNK
+
 _PARTS = ("day", "week", "month", "quarter", "year", "hour")
 
 
@@ -95,9 +97,17 @@ def generate_series(bounds: DataFrame | SparkSession, upper) -> DataFrame:
         return bounds.range(1, int(upper) + 1).select(F.col("id").alias("generated_number"))
     u = F.col(upper) if isinstance(upper, str) else upper
     checked = F.when(u > 0, u).otherwise(
-        F.raise_error(F.lit("generate_series: upper bound must be positive")))
-    return bounds.select(F.explode(F.sequence(F.lit(1).cast("long"), checked.cast("long")))
-                         .alias("generated_number"))
+        F.raise_error(F.lit("generate_series: upper bound must be positive"))).cast("long")
+    # chunks of at most CHUNK numbers, spread over the cluster before they
+    # are expanded: no single row or task holds the whole series
+    n = bounds.select(checked.alias("__n"))
+    chunks = n.select("__n", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                  F.floor((F.col("__n") - 1) / CHUNK).cast("long")))
+                      .alias("__c"))
+    lo = F.col("__c") * CHUNK + 1
+    hi = F.least(F.col("__n"), (F.col("__c") + 1) * CHUNK)
+    return (chunks.repartition("__c")
+            .select(F.explode(F.sequence(lo, hi)).alias("generated_number")))
 
 
 def single_value(df: DataFrame, default=None) -> DataFrame:
