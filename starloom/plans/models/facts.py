@@ -95,14 +95,28 @@ def fct_game_results(ge: DataFrame, dim_dates: DataFrame, dim_seasons: DataFrame
 def fct_player_game_stats(pp: DataFrame, ge: DataFrame, dim_archetypes: DataFrame,
                           dim_players: DataFrame, dim_teams: DataFrame, dim_dates: DataFrame,
                           dim_seasons: DataFrame, dim_arenas: DataFrame,
-                          since: DataFrame | None = None, bcast: dict | None = None) -> DataFrame:
+                          since: DataFrame | None = None, bcast: dict | None = None,
+                          join_players: bool = False) -> DataFrame:
+    """Player-game fact.
+
+    ``player_key``: ``dim_players`` holds exactly one row per player id of
+    the staging table this fact's rows come from, keyed by the hash of the
+    id, so the left join always returns ``surrogate_key(player_id)``. It is
+    computed in place (the join would shuffle the largest fact once more by
+    player); ``join_players=True`` does the lookup join instead, for a
+    ``dim_players`` that was built from other data.
+    """
     gd = ge.select(F.col("game_id").alias("gd_game_id"), F.col("arena").alias("gd_arena_name"),
                    F.col("arena_city").alias("gd_arena_city"))
     df = pp.join(gd, F.col("game_id") == F.col("gd_game_id"), "left")
     # nine-column junk-dimension join with plain '=' (NULL never matches, J5)
     df = lookup(df, dim_archetypes, [(c, c) for c in ARCHETYPE_COLS],
                 [("archetype_key", "archetype_key")], small=_b(bcast, "dim_player_game_archetypes"))
-    df = lookup(df, dim_players, [("player_id", "player_id")], [("player_key", "player_key")])
+    if join_players:
+        df = lookup(df, dim_players, [("player_id", "player_id")], [("player_key", "player_key")])
+    else:
+        df = df.withColumn("player_key", F.when(F.col("player_id").isNotNull(),
+                                                X.surrogate_key("player_id")))
     df = _team_lookup(df, dim_teams, "team", "team_key", bcast)
     gdate = F.col("game_date").cast("date")
     df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=_b(bcast, "dim_dates"))

@@ -40,3 +40,13 @@ def test_incremental_facts_equal_full_refresh(spark, sf_small):
         stored = spark.read.parquet(f"{out}/{name}").drop("_month")
         full = getattr(w, name)
         assert stored.exceptAll(full).count() == 0 and full.exceptAll(stored).count() == 0, name
+
+
+def test_player_key_in_place_equals_lookup(spark, sf_small):
+    from starloom.plans.models import facts as FCT
+    w = Warehouse(spark, sf_small)
+    args = (w.int_player_performance, w.int_games_enriched, w.dim_player_game_archetypes,
+            w.dim_players, w.dim_teams, w.dim_dates, w.dim_seasons, w.dim_arenas)
+    a = FCT.fct_player_game_stats(*args)
+    b = FCT.fct_player_game_stats(*args, join_players=True)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
