@@ -69,13 +69,18 @@ def neighbour(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str
                 .withColumn(out + "_exists", fn(F.lit(True)).over(w).isNotNull()))
 
     fracs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.filter(F.col(first).isNotNull()).agg(
-        F.percentile_approx(F.col(first), fracs, 10000).alias("__bounds"))
+    # n_buckets - 1 boundary values (one aggregate pass; a bounded list)
+    cuts = df.filter(F.col(first).isNotNull()).agg(
+        F.percentile_approx(F.col(first), fracs, 10000)).first()[0] or []
+    # dates/timestamps go through their ISO text so no time zone is applied
+    as_lit = (lambda b: F.lit(b.isoformat(sep=" ") if hasattr(b, "hour") else b.isoformat())
+              ) if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)) else F.lit
+    bounds = (F.array(*[as_lit(b).cast(dtype) for b in cuts]) if cuts
+              else F.array().cast(T.ArrayType(dtype)))
     # NULL first-order values sort last: they get bucket n_buckets
     bucket = F.when(F.col(first).isNull(), F.lit(n_buckets)).otherwise(
-        F.size(F.filter(F.col("__bounds"), lambda b: b <= F.col(first))))
-    rows = (df.crossJoin(F.broadcast(bounds))  # one row: an array of n-1 boundaries
-            .withColumn("__bucket", bucket).drop("__bounds"))
+        F.size(F.filter(bounds, lambda b: b <= F.col(first))))
+    rows = df.withColumn("__bucket", bucket)
 
     inner = Window.partitionBy(*part, "__bucket").orderBy(*[F.col(c).asc_nulls_last() for c in order])
     fn = F.lag if direction == "prev" else F.lead

@@ -354,7 +354,11 @@ def q_date_spine_month(spark, d):
     t = Tables(spark, d)
     lo = t.orders.agg(F.date_add(F.min(F.col("o_orderdate").cast("date")), 17).alias("lo"))
     hi = t.lineitem.agg(F.max(F.col("l_shipdate").cast("date")).alias("hi"))
-    return G.date_spine(lo.crossJoin(hi), "lo", "hi", "month")
+    # two one-row aggregates of different tables into one row
+    bounds = (lo.withColumn("hi", F.lit(None).cast("date"))
+              .unionByName(hi.withColumn("lo", F.lit(None).cast("date")))
+              .agg(F.max("lo").alias("lo"), F.max("hi").alias("hi")))
+    return G.date_spine(bounds, "lo", "hi", "month")
 
 
 @query("intervals_between", """
@@ -390,8 +394,12 @@ def q_scalar_value_default(spark, d):
     o = Tables(spark, d).orders
     first = G.single_value(o.agg(F.min(F.col("o_orderdate").cast("date"))))
     missing = G.single_value(o.filter(F.col("o_orderstatus") == "none").select("o_orderkey"), default=-1)
-    return (first.withColumnRenamed("value", "first_order_date")
-            .crossJoin(missing.select(F.col("value").cast("bigint").alias("missing_default"))))
+    both = (first.select(F.col("value").alias("first_order_date"),
+                         F.lit(None).cast("bigint").alias("missing_default"))
+            .unionByName(missing.select(F.lit(None).cast("date").alias("first_order_date"),
+                                        F.col("value").cast("bigint").alias("missing_default"))))
+    return both.agg(F.max("first_order_date").alias("first_order_date"),
+                    F.max("missing_default").alias("missing_default"))
 
 
 # ----------------------------------------------------------------- joins

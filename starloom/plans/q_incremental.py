@@ -26,10 +26,10 @@ def q_incremental_upsert(spark, d):
     target = full.filter(F.col("game_date") < F.lit(CUTOFF).cast("date"))
     # stale copies of the last weeks before the cut-off
     since = lookback_start(target, "game_date", 30)
-    stale = target.crossJoin(F.broadcast(since.withColumnRenamed("since", "__s")))
-    target = stale.withColumn(
-        "home_points", F.when(F.col("game_date") >= F.col("__s"), F.col("home_points") - 1)
-        .otherwise(F.col("home_points"))).drop("__s")
+    start = since.first()[0]  # one value
+    target = target.withColumn(
+        "home_points", F.when(F.col("game_date") >= F.lit(start), F.col("home_points") - 1)
+        .otherwise(F.col("home_points")))
     delta = w.fact("fct_game_results", since=since)
     return merge_by_key(target, delta, "game_key")
 

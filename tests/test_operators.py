@@ -176,3 +176,14 @@ def test_ordered_dimensions(spark, sf_small):
     teams = dim_teams(Raw(spark, sf_small).team_mappings, ordered=True)
     codes = [r.team_abbr for r in teams.collect()]
     assert codes == sorted(codes)
+
+
+def test_neighbour_split_on_timestamps(spark):
+    from pyspark.sql import Window
+    base = dt.datetime(2024, 1, 1)
+    data = [("a", base + dt.timedelta(minutes=7 * i)) for i in range(60)]
+    df = spark.createDataFrame(data, "p string, ts timestamp_ntz")
+    got = neighbour(df, ["p"], ["ts"], "ts", "prev", "nb", n_buckets=5, split_above=None)
+    w = Window.partitionBy("p").orderBy("ts")
+    want = df.withColumn("nb", F.lag("ts").over(w))
+    assert rows(got.select("p", "ts", "nb")) == rows(want.select("p", "ts", "nb"))
