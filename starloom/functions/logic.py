@@ -108,3 +108,19 @@ def threshold_count(cols: Sequence, threshold) -> Column:
     return reduce(lambda x, y: x + y,
                   [F.when(F.coalesce(as_col_or_lit(c), F.lit(0)) >= t, 1).otherwise(0)
                    for c in cols])
+
+
+def thresholds_from_data(df, column: str, quantiles, accuracy: int = 10000) -> list:
+    """Data-driven thresholds for ``tier`` (the optional form of P7): the
+    approximate quantiles of ``column`` in one aggregate pass. Only the
+    quantile values (as many as requested) reach the driver."""
+    row = df.agg(F.percentile_approx(F.col(column), list(quantiles), accuracy)).first()
+    return list(row[0] or [])
+
+
+def quartile_label(value, cuts, labels=("Q1", "Q2", "Q3", "Q4")) -> Column:
+    """``Q1`` below the first cut, ``Q2`` below the second, ... (strict ``<``),
+    the last label otherwise: the quartile labels of the extended model."""
+    if len(labels) != len(cuts) + 1:
+        raise ValueError("quartile_label needs one more label than cuts")
+    return tier(value, list(zip(cuts, labels[:-1])), labels[-1], op="<")

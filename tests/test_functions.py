@@ -99,3 +99,11 @@ def test_dates(spark):
                          X.date_key("d"), X.iso_day_of_week("d"), X.day_name("d", padded=True)))
     assert out[0] == (2022, "2022-23", 20221002, 7, "Sunday   ")
     assert out[1][0] == 2022
+
+
+def test_data_driven_quartiles(spark):
+    df = spark.range(1, 101).select(F.col("id").cast("double").alias("x"))
+    cuts = X.thresholds_from_data(df, "x", [0.25, 0.5, 0.75])
+    assert cuts == [25.0, 50.0, 75.0]
+    got = df.groupBy(X.quartile_label("x", cuts).alias("q")).count().orderBy("q").collect()
+    assert [(r.q, r["count"]) for r in got] == [("Q1", 24), ("Q2", 25), ("Q3", 25), ("Q4", 26)]
