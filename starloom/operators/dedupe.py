@@ -62,8 +62,12 @@ def _ascending_key(o: Order, dt: T.DataType, flip: bool) -> list[Column] | None:
         return None
     if isinstance(dt, T.DateType):
         neg = -F.unix_date(c)
-    elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        neg = -F.unix_micros(c.cast("timestamp"))
+    elif isinstance(dt, T.TimestampType):
+        neg = -F.unix_micros(c)
+    elif isinstance(dt, T.TimestampNTZType):
+        # zone-free: microseconds from a fixed wall-clock epoch
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        neg = -F.timestamp_diff("MICROSECOND", epoch, c)
     else:
         neg = -c
     return [null_rank, neg]

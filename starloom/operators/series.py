@@ -38,8 +38,11 @@ def intervals_between(start, end, datepart: str) -> Column:
     if p == "year":
         return F.year(e) - F.year(s)
     if p == "hour":
-        return ((F.unix_seconds(F.date_trunc("hour", e.cast("timestamp")))
-                 - F.unix_seconds(F.date_trunc("hour", s.cast("timestamp")))) / 3600).cast("long")
+        # wall-clock hours (timestamp_ntz): no session time zone applies
+        def hours(x):
+            trunc = F.date_trunc("hour", x.cast("timestamp_ntz")).cast("timestamp_ntz")
+            return F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), trunc)
+        return (hours(e) - hours(s)).cast("long")
     raise ValueError(f"datepart must be one of {_PARTS}")
 
 
@@ -56,7 +59,7 @@ def _add(start: Column, n: Column, datepart: str) -> Column:
     if p == "year":
         return F.add_months(start.cast("date"), (n * 12).cast("int"))
     if p == "hour":
-        return F.timestamp_add("HOUR", n, start.cast("timestamp"))
+        return F.timestamp_add("HOUR", n, start.cast("timestamp_ntz"))
     raise ValueError(f"datepart must be one of {_PARTS}")
 
 
