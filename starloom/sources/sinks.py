@@ -133,6 +133,16 @@ def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, key: Seq
     # its lineage and keeps the merge plan small
     delta.withColumn(part_col, partition_month(date_col)).write.parquet(f"{run}/delta")
     delta = spark.read.parquet(f"{run}/delta")
+    if _schema(target) != _schema(delta):
+        # schema change (sync_all_columns): every row takes the new columns,
+        # so the whole table is rewritten, not only the touched months
+        merge_by_key(target, delta, keys).write.parquet(f"{run}/rows")
+        try:
+            (spark.read.parquet(f"{run}/rows").hint("rebalance", part_col)
+             .write.mode("overwrite").partitionBy(part_col).parquet(path))
+        finally:
+            _fs_delete(spark, run)
+        return
     delta_keys = delta.select(*keys).distinct()
     moved = target.join(delta_keys, keys, "left_semi").select(part_col)
     affected = delta.select(part_col).union(moved).distinct()
@@ -157,6 +167,10 @@ def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, key: Seq
         _fs_delete(spark, run)
 
 
+def _schema(df: DataFrame) -> list[tuple[str, str]]:
+    return sorted((f.name.lower(), f.dataType.simpleString()) for f in df.schema.fields)
+
+
 def store_failures(checks, base_path: str) -> None:
     """Failure sink (S6): each check's failing rows to its own directory."""
     for i, ch in enumerate(checks):

@@ -50,3 +50,18 @@ def test_player_key_in_place_equals_lookup(spark, sf_small):
     a = FCT.fct_player_game_stats(*args)
     b = FCT.fct_player_game_stats(*args, join_players=True)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_incremental_schema_change_rewrites_all_partitions(spark):
+    base = tempfile.mkdtemp(prefix="inc-")
+    path = f"{base}/t"
+    first = spark.createDataFrame([(1, "2024-01-05", "x"), (2, "2024-02-20", "y")],
+                                  "k int, d string, v string").withColumn("game_date", F.col("d").cast("date")).drop("d")
+    incremental_refresh(spark, path, lambda since: first, "k")
+    # the model gained a column and lost v
+    delta = spark.createDataFrame([(2, "2024-02-21", 2.5)], "k int, d string, w double") \
+        .withColumn("game_date", F.col("d").cast("date")).drop("d")
+    assert incremental_refresh(spark, path, lambda since: delta, "k") == "incremental"
+    stored = spark.read.option("mergeSchema", "true").parquet(path)
+    assert sorted(c for c in stored.columns if c != "_month") == ["game_date", "k", "w"]
+    assert _rows(stored.select("k", "w")) == [(1, None), (2, 2.5)]
