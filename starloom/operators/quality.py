@@ -188,7 +188,7 @@ _GAP_OPS = {"not_allowed": ("=", "equal_to"), "allowed": ("<=", "less_than_or_eq
 
 
 def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_bound_column: str,
-                              partition_by: str | None = None, gaps: str = "allowed",
+                              partition_by: str | Column | None = None, gaps: str = "allowed",
                               zero_length_range_allowed: bool = False, where=None,
                               n_buckets: int = 64, split_above: int | None = SPLIT_ABOVE) -> Check:
     """Ranges ordered by (lower, upper) must not overlap (gap rules as named).
@@ -202,8 +202,11 @@ def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_boun
     gap_op, gap_words = _GAP_OPS[gaps]
     zl_op, zl_words = ("<=", "less_than_or_equal_to") if zero_length_range_allowed else ("<", "less_than")
     src = _scope(df, where)
-    part = ["partition_by_col"] if partition_by else []
-    base_cols = ([_c(partition_by).alias("partition_by_col")] if partition_by else []) + [
+    part = ["partition_by_col"] if partition_by is not None else []
+    if isinstance(partition_by, str):
+        # a column name, or a SQL expression over the columns
+        partition_by = _c(partition_by) if partition_by in src.columns else F.expr(partition_by)
+    base_cols = ([partition_by.alias("partition_by_col")] if partition_by is not None else []) + [
         _c(lower_bound_column).alias("lower_bound"), _c(upper_bound_column).alias("upper_bound")]
     runs = src.select(*base_cols).groupBy(*part, "lower_bound", "upper_bound").agg(
         F.count(F.lit(1)).alias("__n"))

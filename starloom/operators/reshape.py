@@ -56,10 +56,16 @@ def pivot_columns(column: str | Column, values: Sequence, agg: str = "sum", cmp:
     return out
 
 
-def pivot(df: DataFrame, group_cols: Sequence[str], column: str, values: Sequence,
-          **kwargs) -> DataFrame:
+def pivot(df: DataFrame, group_cols: Sequence[str], column: str, values: Sequence | None = None,
+          max_values: int = 1000, **kwargs) -> DataFrame:
     """``groupBy(group_cols).agg(pivot_columns(...))``: one shuffle, with
-    map-side partial aggregation of every CASE column."""
+    map-side partial aggregation of every CASE column.
+
+    Without ``values`` the distinct values of ``column`` are read first
+    (most frequent first, at most ``max_values``: each becomes a column)."""
+    if values is None:
+        from .aggregates import column_values_list
+        values = column_values_list(df, column, max_records=max_values)
     return df.groupBy(*group_cols).agg(*pivot_columns(column, values, **kwargs))
 
 
@@ -107,6 +113,9 @@ def union_relations(relations: Mapping[str, DataFrame] | Sequence[tuple[str, Dat
     if include and exclude:
         raise ValueError("Both an exclude and include list were provided; only one is allowed")
     items = list(relations.items()) if isinstance(relations, Mapping) else list(relations)
+    # a bare table name is read from the session catalog
+    items = [(it, None) if isinstance(it, str) else it for it in items]
+    items = [(name, df if df is not None else _table(name)) for name, df in items]
     if not items:
         raise ValueError("union_relations needs at least one relation")
     override = dict(column_override or {})
@@ -146,6 +155,11 @@ def union_relations(relations: Mapping[str, DataFrame] | Sequence[tuple[str, Dat
     return out
 
 
+def _table(name: str) -> DataFrame:
+    from pyspark.sql import SparkSession
+    return SparkSession.getActiveSession().table(name)
+
+
 def unpivot_groups(df: DataFrame, ids: Sequence[str], groups: Mapping[str, Mapping[str, str]],
                    field_name: str = "field_name", cast_to: str | None = None) -> DataFrame:
     """Unpivot several value columns at once: ``groups`` maps each output

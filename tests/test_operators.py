@@ -187,3 +187,15 @@ def test_neighbour_split_on_timestamps(spark):
     w = Window.partitionBy("p").orderBy("ts")
     want = df.withColumn("nb", F.lag("ts").over(w))
     assert rows(got.select("p", "ts", "nb")) == rows(want.select("p", "ts", "nb"))
+
+
+def test_api_variants(spark):
+    from starloom.operators import quality as Q
+    df = spark.createDataFrame([("S", "red"), ("S", "red"), ("M", "blue")], "size string, color string")
+    p = R.pivot(df, ["size"], "color")  # values read from the data
+    assert sorted(p.columns) == ["blue", "red", "size"]
+    df.createOrReplaceTempView("colors_a")
+    assert R.union_relations(["colors_a", ("other", df)]).count() == 6
+    r = spark.createDataFrame([(1, 0, 5), (1, 3, 8), (2, 0, 5)], "g int, lo int, hi int")
+    assert Q.mutually_exclusive_ranges(r, "lo", "hi", partition_by="g").failures.count() == 1
+    assert Q.mutually_exclusive_ranges(r, "lo", "hi", partition_by="g * 0").failures.count() == 2
