@@ -11,9 +11,15 @@ from starloom.plans.registry import query
 
 from .common import table
 from .op01_quality import quality_rules
+from .op02_chat import format_conversations, loss_text, read_back
+from .op03_bpe import encode
 from .op05_secrets import find_secrets, span_digest
 from .op07_simhash import simhash_components
 from .op08_packing import pack
+from .op09_toxicity import score_documents
+
+#: A conversation whose texts look like a template's own marks.
+TRICKY = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
 
 
 @query("op1_quality_rules")
@@ -21,6 +27,40 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query("op2_chat_format", sql="""
+    WITH t AS (
+        SELECT conv_id, turn, replace(coalesce(role, ''), chr(10), ' ') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+    ), e AS (
+        SELECT *, lag(role) OVER w IS DISTINCT FROM role OR lag(role) OVER w IS NULL AS opens,
+               replace(replace(role, '&', '&amp;'), '<', '&lt;') AS er, replace(replace(text, '&', '&amp;'), '<', '&lt;') AS et
+        FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+           CAST(sum(CASE WHEN opens THEN 6 + length(er) + 1 + 8 ELSE 6 END + length(et)) AS BIGINT) AS formatted_chars
+    FROM e GROUP BY conv_id""")
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(TRICKY, rows.schema))
+    back = format_conversations(rows).select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = loss_text(F.col("turns"))
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                       F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
+                       F.length(loss).cast("long").alias("loss_chars"),
+                       F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"), digests=True)
+
+
 @query("op5_secret_scan")
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
@@ -43,3 +83,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), keep_ids=False).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
