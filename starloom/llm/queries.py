@@ -14,6 +14,7 @@ from .op01_quality import quality_rules
 from .op02_chat import format_conversations, loss_text, read_back
 from .op03_bpe import encode
 from .op05_secrets import find_secrets, span_digest
+from .op06_token_counts import token_counts
 from .op07_simhash import simhash_components
 from .op08_packing import pack
 from .op09_toxicity import score_documents
@@ -75,6 +76,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         span_digest(F.col("found")).alias("spans"))
 
 
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
