@@ -13,6 +13,7 @@ from .common import table
 from .op01_quality import quality_rules
 from .op02_chat import format_conversations, loss_text, read_back
 from .op03_bpe import encode
+from .op04_langid import identify_languages
 from .op05_secrets import find_secrets, span_digest
 from .op06_token_counts import token_counts
 from .op07_simhash import simhash_components
@@ -63,6 +64,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), digests=True)
 
 
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 @query("op5_secret_scan")
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
