@@ -9,7 +9,8 @@ import __spark_entry__ as E
 from oracle_harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
+# the training-data queries have tests of their own
+QUERIES = {k: f for k, f in E.queries().items() if not f.__module__.startswith(("starloom.llm", "corpus_pipeline"))}
 ORACLE = E.oracle_sql()
 
 
