@@ -5,7 +5,7 @@ which (last token before x, x) survives encoding side by side; so a state holds,
 for each suffix of the prefix that begins some token, what may follow it and
 the relative token count before it. A transition is annotated with the change
 of the token count and the token that now ends. States are built when first met
-and kept in a table per worker (emptied when full); texts run through it in
+and kept in a hash table per worker (emptied when full); texts run through it in
 lockstep, one lane a pre-token.
 """
 
@@ -17,7 +17,11 @@ import numpy as np
 import regex
 
 MAX_STATES = 100_000
+#: Characters that run through the lanes at a time.
+LANES = 1 << 18
 _FEW = 48
+_MEMO = 100_000
+_MIX, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
 def byte_letters() -> dict[str, int]:
@@ -92,7 +96,7 @@ class Transducer:
         self.keys = [((b"", None, 0),)]
         self.number = {self.keys[0]: 0}
         self.fitting: dict[tuple, object] = {}
-        self.table = np.full((1024, 256), -1, np.int32)  # (state, byte) -> number of the transition
+        self._resize(1 << 16)
         self.moves = np.zeros((4, 4096), np.int32)  # of each: next state, change, id and size of the token
         self.n_moves = 0
 
@@ -144,6 +148,8 @@ class Transducer:
             else:
                 fit = self.fitting.get((who, s))
                 if fit is None:
+                    if len(self.fitting) > _MEMO:
+                        self.fitting.clear()
                     more = self.longer.get(s, ())
                     fit = who if more is None else tuple(y for y in more if self._fits(who, y))
                     self.fitting[who, s] = fit
@@ -157,11 +163,35 @@ class Transducer:
         if n is None:
             n = self.number[key] = len(self.keys)
             self.keys.append(key)
-            if n >= len(self.table):
-                more = np.full((len(self.table), 256), -1, np.int32)
-                self.table = np.concatenate([self.table, more])
         return n
 
+    def _resize(self, slots: int, known: tuple[np.ndarray, np.ndarray] | None = None) -> None:
+        """An empty open-addressing table (state * 256 + byte -> transition)."""
+        self.slot_shift = 64 - (slots.bit_length() - 1)
+        self.slot_key = np.full(slots, -1, np.int64)
+        self.slot_move = np.full(slots, -1, np.int32)
+        if known is not None:
+            for cell, move in zip(*(x.tolist() for x in known)):
+                self._put(cell, move)
+
+    def _put(self, cell: int, move: int) -> None:
+        at = (cell * _MIX & _ALL) >> self.slot_shift
+        while self.slot_key[at] != -1:
+            at = (at + 1) % len(self.slot_key)
+        self.slot_key[at], self.slot_move[at] = cell, move
+
+    def _moves_of(self, cell: np.ndarray) -> np.ndarray:
+        """The transition of each cell, -1 where it is not built yet."""
+        at = (cell.astype(np.uint64) * np.uint64(_MIX) >> np.uint64(self.slot_shift)).astype(np.int64)
+        key, out = self.slot_key[at], self.slot_move[at]
+        left = np.flatnonzero((key != cell) & (key != -1))
+        while len(left):
+            at[left] = (at[left] + 1) % len(self.slot_key)
+            key = self.slot_key[at[left]]
+            out[left] = self.slot_move[at[left]]
+            left = left[(key != cell[left]) & (key != -1)]
+        return out
+
     def _build(self, cell: int) -> None:
         key, change, token = self.step(self.keys[cell >> 8], bytes([cell & 255]))
         k = self.n_moves
@@ -169,8 +199,11 @@ class Transducer:
             self.moves = np.concatenate([self.moves, np.zeros_like(self.moves)], axis=1)
         to = self.state(key)
         self.moves[:, k] = to, change, self.id_of[token], len(token)
-        self.table[cell >> 8, cell & 255] = k
         self.n_moves = k + 1
+        if 4 * self.n_moves > len(self.slot_key):
+            full = self.slot_key != -1
+            self._resize(2 * len(self.slot_key), (self.slot_key[full], self.slot_move[full]))
+        self._put(cell, k)
 
     def run(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, entry: np.ndarray | None = None,
             trace: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -184,11 +217,11 @@ class Transducer:
         for t, n in enumerate(active):
             place = at[:n] + t
             cell = state[:n] * 256 + data[place]
-            move = self.table.reshape(-1)[cell]
+            move = self._moves_of(cell)
             if move.min() < 0:
                 for c in np.unique(cell[move < 0]).tolist():
                     self._build(c)
-                move = self.table.reshape(-1)[cell]
+                move = self._moves_of(cell)
             if trace is not None:
                 trace[place] = move
             state[:n] = self.moves[0][move]

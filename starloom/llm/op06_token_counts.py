@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_transducer import Transducer, byte_letters, character_classes, contractions, utf8_widths
+from .bpe_transducer import LANES, Transducer, byte_letters, character_classes, contractions, utf8_widths
 from .common import code_points, ship, slabs
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -190,7 +190,7 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = transducer(raw.value)
         for b in batches:
-            counts = [own.count(block) for block in slabs(b["text"])]
+            counts = [own.count(block) for block in slabs(b["text"], LANES)]
             yield pd.DataFrame({"id": b["id"], "n_bytes": [len((t or "").encode()) for t in b["text"]],
                                 "n_tokens": np.concatenate([*counts, np.zeros(0, np.int64)])})
 

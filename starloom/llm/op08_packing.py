@@ -5,90 +5,113 @@ of the full length and the binary digits of the rest, longest first. Each piece
 is a sequence by itself; sequences of equal length form a bucket, so no
 sequence crosses documents and none needs padding. One narrow pass.
 
-Tokenising: the tokenizer drops white space and never merges across it, so each
-space-separated word has ids of its own, kept in a bounded table per worker.
+Tokenising runs the tokenizer's merges as a transducer over bytes (one lane a
+word part, in lockstep) and reads the ids off it; texts that hold a special
+token's string go to the tokenizer itself.
 """
 
 from __future__ import annotations
 
-import re
+import json
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_udf_of
+from .bpe_transducer import LANES, Transducer, byte_letters, character_classes, contractions, utf8_widths
+from .common import code_points, ship, slabs
 
 LIMIT = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words and word parts kept per worker; the table is emptied when full.
-KNOWN_WORDS = 250_000
+#: Stands for the end of a word; no UTF-8 text holds this byte.
+_END = 0xFF
 
-_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_PLAIN = re.compile(rb"[!-~]+")
-#: Characters on whose class all Unicode versions agree; other words go to the tokenizer whole.
-_LATIN = re.compile(r"[!-~¡-ɏ]+")
 
+class WordTokenizer(Transducer):
+    """Ids of whole texts as the file's tokenizer gives them: composed (NFC),
+    lower case, white space dropped, word parts merged with an end mark."""
 
-def _byte_letters() -> dict[int, str]:
-    """The byte-level alphabet: printable Latin-1 bytes stand for themselves,
-    the others, in order, for code points from 256."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
-
-
-class WordIds(dict):
-    """Word (UTF-8, without ASCII white space) -> its ids, little-endian u32."""
-
-    def __init__(self, model: bytes, capacity: int = KNOWN_WORDS):
+    def __init__(self, raw: bytes, **how):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_buffer(model)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.model, self.capacity = self.tokenizer.model, capacity
-        self.letters = _byte_letters()
-        self.parts: dict[str, bytes] = {}
-
-    def _part(self, part: str) -> bytes:
-        got = self.parts.get(part)
-        if got is None:
-            shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-            got = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-            if len(self.parts) >= self.capacity:
-                self.parts.clear()
-            self.parts[part] = got
-        return got
-
-    def whole(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        if b"<|" in word:
-            got = self.whole(word)
-        elif _PLAIN.fullmatch(word):
-            got = b"".join(map(self._part, _ASCII_PARTS.findall(word.lower().decode())))
-        elif _LATIN.fullmatch(t := word.decode("utf-8", "replace")):
-            got = b"".join(map(self._part, _PARTS.findall(self.tokenizer.normalizer.normalize_str(t))))
-        else:
-            got = self.whole(word)
-        if len(self) >= self.capacity:
-            self.clear()
-        self[word] = got
-        return got
-
-    def ids(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or "").encode("utf-8", "replace").split()))
+        spec, back = json.loads(raw), byte_letters()
+        mark, special = spec["model"]["end_of_word_suffix"], [t["content"] for t in spec["added_tokens"]]
+
+        def as_bytes(s: str) -> bytes:
+            ends = s.endswith(mark)
+            return bytes(map(back.__getitem__, s[:-len(mark)] if ends else s)) + bytes([_END]) * ends
+
+        ids = {as_bytes(t): i for t, i in spec["model"]["vocab"].items() if t not in special}
+        ids.setdefault(bytes([_END]), -1)  # never left over
+        # first of all, a word's last byte takes the mark; then the file's merges
+        rank = {(bytes([b]), bytes([_END])): b - 256 for b in range(256) if bytes([b, _END]) in ids}
+        for r, pair in enumerate(spec["model"]["merges"]):
+            a, b = pair.split(" ") if isinstance(pair, str) else pair
+            rank[as_bytes(a), as_bytes(b)] = r
+        super().__init__(ids, rank, **how)
+        self.cls = character_classes()
+        self.special = regex.compile("|".join(map(regex.escape, special)))
+        self.library = Tokenizer.from_str(raw.decode())
+        self.library.no_truncation()
+        self.library.no_padding()
+
+    @staticmethod
+    def _plain(text: str) -> str:
+        if text.isascii():
+            return text.lower()
+        if not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
+        # letter by letter where lower case depends on the place in the word
+        return "".join(map(str.lower, text)) if "\u03a3" in text else text.lower()
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids (u32) of each text."""
+        self.make_room()
+        out: list = [None] * len(texts)
+        own, parts = [], []
+        for i, t in enumerate(texts):
+            if "<|" in t and self.special.search(t):
+                out[i] = np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4")
+            else:
+                own.append(i)
+                parts.append(self._plain(t))
+        cp, offsets = code_points(parts)
+        n = len(cp)
+        cls = self.cls[cp]
+        first = np.zeros(n + 1, bool)
+        first[offsets] = True
+        end, first = first[1:], first[:n]
+        word = cls != 3
+        begins = word & (first | (cls != np.roll(cls, 1)) | (cls == 2))
+        contractions(cp, begins, end)
+        begins &= word
+        # the bytes of all parts, without white space, each part followed by the mark
+        widths = utf8_widths(cp)
+        raw = np.frombuffer("".join(parts).encode("utf-8", "surrogatepass"), np.uint8)
+        part = np.cumsum(begins)
+        kept = np.repeat(word, widths)
+        place = np.cumsum(kept) - 1 + np.repeat(part, widths) - 1
+        n_parts = int(part[-1]) if n else 0
+        data = np.full(int(kept.sum()) + n_parts, _END, np.uint8)
+        data[place[kept]] = raw[kept]
+        at = np.concatenate([[0], np.cumsum(widths)])
+        starts = place[at[np.flatnonzero(begins)]]
+        ends, ids = self.encode(data, starts, np.diff(np.append(starts, len(data))))
+        part_at = np.searchsorted(offsets, np.flatnonzero(begins), side="right") - 1  # the text of each part
+        text_start = np.append(starts, len(data))[np.searchsorted(part_at, np.arange(len(parts) + 1))]
+        cut = np.searchsorted(ends, text_start)
+        ids = ids.astype("<u4")
+        for k, i in enumerate(own):
+            out[i] = ids[cut[k]:cut[k + 1]]
+        return out
 
 
 def piece_lengths(n: int, limit: int = LIMIT) -> list[int]:
@@ -97,43 +120,17 @@ def piece_lengths(n: int, limit: int = LIMIT) -> list[int]:
     return [limit] * full + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-_WORKER: dict[int, WordIds] = {}
+_WORKER: dict[int, WordTokenizer] = {}
 
 
-def _word_ids(model: bytes) -> WordIds:
+def word_tokenizer(model: bytes) -> WordTokenizer:
     key = zlib.crc32(model)
     if key not in _WORKER:
         _WORKER.clear()
-        _WORKER[key] = WordIds(model)
+        _WORKER[key] = WordTokenizer(model)
     return _WORKER[key]
 
 
-def pieces(text: Column, model, limit: int = LIMIT, end_id: int = END_ID, keep_ids: bool = False) -> Column:
-    """array<struct<start, length, ids_crc32, doc_tokens[, ids]>> of ``text``;
-    ``model``: a broadcast of the tokenizer's file."""
-    if limit < 1 or limit & (limit - 1):
-        raise ValueError("the limit must be a power of two")
-    last = np.array([end_id], "<u4").tobytes()
-
-    def rows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = _word_ids(model.value)
-        for texts in batches:
-            out = []
-            for t in texts:
-                ids = words.ids(t) + last
-                n, at, own = len(ids) // 4, 0, []
-                for k in piece_lengths(n, limit):
-                    part = ids[4 * at:4 * (at + k)]
-                    own.append({"start": at, "length": k, "ids_crc32": zlib.crc32(part), "doc_tokens": n}
-                               | ({"ids": np.frombuffer(part, "<u4").astype(np.int64)} if keep_ids else {}))
-                    at += k
-                out.append(own)
-            yield pd.Series(out, dtype=object)
-
-    kind = "start:long,length:long,ids_crc32:long,doc_tokens:long" + ",ids:array<long>" * keep_ids
-    return arrow_udf_of(rows, f"array<struct<{kind}>>")(text)
-
-
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = END_ID,
          keep_ids: bool = True, tokenizer: str | None = None) -> DataFrame:
     """One row per piece: the id, ``start``, ``length``, ``ids_crc32``,
@@ -141,11 +138,35 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: i
 
     ``length`` is also the bucket: every sequence of a bucket has that length
     and takes no padding. A null or empty text is the end id alone. Repeated
-    rows are packed like any row. Other columns are not read.
+    rows are packed like any row. Other columns are not read; empty input gives
+    an empty result.
     """
+    if limit < 1 or limit & (limit - 1):
+        raise ValueError("the limit must be a power of two")
+    ship(df.sparkSession)
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     with open(path, "rb") as f:  # a fixed vocabulary file, some 2 MB
         model = df.sparkSession.sparkContext.broadcast(f.read())
-    cut = df.select(F.col(id_col).alias(id_col), pieces(F.col(text_col), model, limit, end_id, keep_ids).alias("p"))
-    return (cut.select(id_col, F.explode("p").alias("p")).select(id_col, "p.*")
+    last = np.array([end_id], "<u4")
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = word_tokenizer(model.value)
+        for b in batches:
+            ids = iter(b["id"].tolist())
+            for block in slabs(b["text"], LANES):
+                found = [np.concatenate([x, last]) for x in words.ids(block)]
+                cuts = [piece_lengths(len(x), limit) for x in found]
+                many = [len(c) for c in cuts]
+                out = {"id": pd.Series(list(chain.from_iterable(repeat(next(ids), n) for n in many)), dtype=object),
+                       "start": [s for c in cuts for s in accumulate(c[:-1], initial=0)],
+                       "length": [n for c in cuts for n in c]}
+                parts = [x[s:s + n] for x, c in zip(found, cuts) for s, n in zip(accumulate(c[:-1], initial=0), c)]
+                out |= {"ids_crc32": [zlib.crc32(p.tobytes()) for p in parts],
+                        "doc_tokens": np.repeat([len(x) for x in found], many)}
+                yield pd.DataFrame(out | ({"ids": [p.astype(np.int32) for p in parts]} if keep_ids else {}))
+
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = (f"id {docs.schema['id'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long"
+            + ", ids array<int>" * keep_ids)
+    return (docs.mapInPandas(rows, kind).withColumnRenamed("id", id_col)
             .withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long")))
