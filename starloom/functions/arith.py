@@ -58,12 +58,21 @@ def width_bucket(expr, min_value, max_value, num_buckets) -> Column:
     ``ceil((x - min) / bin)`` capped at ``n + 1``, plus 1 when ``x mod bin = 0``.
 
     The edge test uses ``x`` itself (not ``x - min``), and values below the
-    minimum are not clamped -- both as in the formula this reproduces.
+    minimum are not clamped -- both as in the formula this reproduces. It is
+    computed in decimals, as fractional bins have no exact double: with
+    ``w = max - min``, ``x mod bin = 0`` is ``x * n mod w = 0`` and the ceiling
+    is the whole part of ``(x - min) * n / w``, plus 1 if there is a rest.
+    Values too large for 16 digits before the point fall back to doubles.
     """
-    x = as_col_or_lit(expr).cast("double")
-    lo = as_col_or_lit(min_value).cast("double")
-    hi = as_col_or_lit(max_value).cast("double")
     n = as_col_or_lit(num_buckets)
-    bin_size = (hi - lo) / n.cast("double")
-    edge = F.when(x % bin_size == 0, F.lit(1)).otherwise(F.lit(0))
-    return edge + F.least(F.ceil((x - lo) / bin_size), (n + 1).cast("long"))
+    many = n.cast("decimal(9,0)")
+    x, lo, hi = (as_col_or_lit(v).try_cast("decimal(28,12)") for v in (expr, min_value, max_value))
+    width = hi - lo
+    above = (x - lo).cast("decimal(28,12)") * many
+    edge = F.when((x * many) % width == 0, F.lit(1)).otherwise(F.lit(0))
+    whole = F.call_function("div", above, width)
+    exact = edge + F.least(whole + F.when(above % width > 0, 1).otherwise(0), (n + 1).cast("long"))
+    dx, dlo, dhi = (as_col_or_lit(v).cast("double") for v in (expr, min_value, max_value))
+    size = (dhi - dlo) / n.cast("double")
+    rough = F.when(dx % size == 0, F.lit(1)).otherwise(F.lit(0)) + F.least(F.ceil((dx - dlo) / size), (n + 1).cast("long"))
+    return F.when(above.isNotNull() & width.isNotNull(), exact).otherwise(rough)

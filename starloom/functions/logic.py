@@ -55,11 +55,11 @@ def regex_guarded_cast(c, pattern: str = r"^[0-9.]+$", to: str = "double",
                        default=0) -> Column:
     """Cast only text that matches ``pattern``; else ``default`` (P10).
 
-    The cast is a ``try_cast`` so that text such as ``'1.2.3'`` (which matches
-    the pattern but is not a number) cannot fail the job under ANSI mode.
+    Text such as ``'1.2.3'``, which matches the pattern but is no number, gives
+    the default too.
     """
     col = as_col(c)
-    return F.when(col.rlike(pattern), col.try_cast(to)).otherwise(F.lit(default).cast(to))
+    return F.coalesce(F.when(col.rlike(pattern), col.try_cast(to)), F.lit(default).cast(to))
 
 
 def clock_to_minutes(c, guarded: bool = False) -> Column:
@@ -71,8 +71,7 @@ def clock_to_minutes(c, guarded: bool = False) -> Column:
     s = as_col(c)
     mins = F.split_part(s, F.lit(":"), F.lit(1)).cast("double")
     secs = F.split_part(s, F.lit(":"), F.lit(2)).cast("double")
-    plain = (F.when(s.rlike(r"^[0-9.]+$"), s.try_cast("double")).otherwise(F.lit(0.0))
-             if guarded else s.cast("double"))
+    plain = regex_guarded_cast(s, default=0.0) if guarded else s.cast("double")
     present = s.isNotNull() & (s != F.lit(""))
     return (F.when(present & s.like("%:%"), mins + secs / F.lit(60.0))
             .when(present, plain)

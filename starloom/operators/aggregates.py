@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +20,13 @@ def distinct_members(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def column_values(df: DataFrame, column: str, order_by: Column | None = None,
                   max_records: int | None = None, where: str | Column | None = None,
-                  descending: bool = True) -> DataFrame:
+                  descending: bool = True, default: Sequence | None = None) -> DataFrame:
     """Distinct values of ``column`` ordered by an aggregate.
 
     Default order: frequency, most frequent first, ties by value. With
     ``max_records`` the plan is a TakeOrderedAndProject (top-k per partition,
-    then a k-row merge), never a full sort.
+    then a k-row merge), never a full sort. ``default`` lists the values to
+    return (with a NULL ordering) when the input has no rows.
     """
     src = df if where is None else df.filter(where)
     measure = F.count(F.lit(1)) if order_by is None else order_by
@@ -32,19 +35,19 @@ def column_values(df: DataFrame, column: str, order_by: Column | None = None,
     out = grouped.orderBy(ord_col, F.col(f"`{column}`").asc_nulls_last())
     if max_records is not None:
         out = out.limit(max_records)
-    return out.select(F.col(f"`{column}`"), F.col("__ord").alias("ordering"))
+    out = out.select(F.col(f"`{column}`"), F.col("__ord").alias("ordering"))
+    if default is None:
+        return out
+    kinds = {f.name: f.dataType for f in out.schema.fields}
+    none = src.limit(1).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0)
+    return out.unionByName(none.select(F.explode(F.array(*[F.lit(v).cast(kinds[column]) for v in default])).alias(column),
+                                       F.lit(None).cast(kinds["ordering"]).alias("ordering")))
 
 
-def column_values_list(df: DataFrame, column: str, max_records: int = 1000,
+def column_values_list(df: DataFrame, column: str, max_records: int | None = None,
                        where: str | Column | None = None, default=None) -> list:
-    """Values as a Python list, only to *name* columns (e.g. pivot output).
-
-    The list is bounded: more than ``max_records`` distinct values is an
-    error rather than a silent truncation, since each value becomes a column.
-    """
-    rows = column_values(df, column, max_records=max_records + 1, where=where).collect()
-    if len(rows) > max_records:
-        raise ValueError(f"{column}: more than {max_records} distinct values; "
-                         "too many to become columns")
+    """Values as a Python list, only to *name* columns (e.g. pivot output):
+    all of them, or the ``max_records`` most frequent."""
+    rows = column_values(df, column, max_records=max_records, where=where).collect()
     vals = [r[0] for r in rows]
     return vals if vals else (list(default) if default is not None else [])

@@ -1,19 +1,14 @@
 """Join helpers for conforming and star-schema lookups.
 
-Broadcast policy
-----------------
-``bounded(df)`` marks a side for broadcast and is used **only** for tables
-whose size is fixed by construction (seed mappings, the calendar, dimensions
-of a bounded label set). Dimensions that grow with the data (players, for
-example) are joined without a hint: the optimizer broadcasts them only if
-their measured size at runtime is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise keeps a
-sort-merge join, so the broadcast is always behind a size check.
+No side is ever marked for broadcast: the optimizer broadcasts a side only
+when its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` (or
+the adaptive one at run time) and keeps a shuffle join otherwise.
 """
 
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,45 +18,37 @@ from pyspark.sql import functions as F
 _ids = itertools.count()
 
 
-def bounded(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose row count is bounded by construction."""
-    return F.broadcast(df)
-
-
 def conform(df: DataFrame, mapping: DataFrame, src_col: str, map_from: str, map_to: str,
-            out_col: str, small: bool = True) -> DataFrame:
+            out_col: str) -> DataFrame:
     """Left join to a code mapping (J1): many aliases -> one code; unmatched
     -> NULL. The mapping must be unique on ``map_from`` to keep the grain."""
     m = mapping.select(F.col(map_from).alias("__from"), F.col(map_to).alias(out_col))
-    m = bounded(m) if small else m
     return (df.join(m, F.col(src_col) == F.col("__from"), "left").drop("__from"))
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[Column | str, str]],
-           take: Sequence[tuple[str, str]], small: bool = False,
-           how: str = "left") -> DataFrame:
+           take: Sequence[tuple[str, str]], how: str = "left",
+           one_row_per_key: bool = False) -> DataFrame:
     """Star-schema key lookup (J4-J6): ``fact LEFT JOIN dim`` on equality of
     fact expressions and dim columns; brings ``take`` = [(dim_col, out_name)].
 
     Plain ``=`` semantics: a NULL on either side never matches (J5). Computed
     fact expressions are materialised as columns first, so the join stays an
-    equi-join (hash or sort-merge), never a nested loop.
+    equi-join (hash or sort-merge), never a nested loop. A key with several
+    rows multiplies the fact's rows as SQL does; with ``one_row_per_key`` the
+    least of its ``take`` values is used instead.
     """
     tag = f"__d{next(_ids)}"
-    fact_keys, cond = [], None
-    f = fact
-    for i, (fexpr, dcol) in enumerate(on):
-        fk = f"{tag}_fk{i}"
-        f = f.withColumn(fk, F.col(fexpr) if isinstance(fexpr, str) else fexpr)
-        fact_keys.append(fk)
-    d = dim.select(*[F.col(dcol).alias(f"{tag}_dk{i}") for i, (_, dcol) in enumerate(on)],
+    keys = [f"{tag}_dk{i}" for i in range(len(on))]
+    made = [(f"{tag}_fk{i}", x) for i, (x, _) in enumerate(on)]
+    f = fact.select("*", *[(F.col(x) if isinstance(x, str) else x).alias(n) for n, x in made])
+    d = dim.select(*[F.col(dcol).alias(k) for k, (_, dcol) in zip(keys, on)],
                    *[F.col(src).alias(dst) for src, dst in take])
-    d = bounded(d) if small else d
-    for i, fk in enumerate(fact_keys):
-        c = F.col(fk) == F.col(f"{tag}_dk{i}")
-        cond = c if cond is None else cond & c
-    out = f.join(d, cond, how)
-    return out.drop(*fact_keys, *[f"{tag}_dk{i}" for i in range(len(on))])
+    if one_row_per_key:
+        d = d.groupBy(*keys).agg(F.min(F.struct(*[dst for _, dst in take])).alias(f"{tag}_t")).select(
+            *keys, *[F.col(f"{tag}_t")[dst].alias(dst) for _, dst in take])
+    cond = reduce(lambda a, b: a & b, [F.col(n) == F.col(k) for (n, _), k in zip(made, keys)])
+    return f.join(d, cond, how).select(*[F.col(f"`{c}`") for c in fact.columns], *[dst for _, dst in take])
 
 
 def semi(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -86,40 +73,15 @@ def natural_join(a: DataFrame, b: DataFrame) -> DataFrame:
 def other_side(df: DataFrame, group_cols: Sequence[str], side_col: str,
                value_cols: Sequence[str], prefix: str = "o_") -> DataFrame:
     """Pair each row with the rows of the same group whose ``side_col``
-    differs (J7: ``a.g = b.g AND a.side != b.side``), without a self-join.
-
-    Groups with exactly two rows on two different sides (a game's two teams)
-    are answered by one partial aggregate per group joined back to the rows
-    (a key-unique side: AQE can split a hot key). Only other groups (more
-    rows, repeated sides) fall back to the explicit pairing, restricted to
-    those groups, so the result is the same as the self-join's. Adds
-    ``prefix + side_col`` and ``prefix + v`` for each value column.
+    differs (J7: ``a.g = b.g AND a.side != b.side``).
+
+    A plain equi-join on the group with the sides' difference as residual:
+    both inputs have one shuffle on the group, and a hot group is split by the
+    adaptive skew join. Adds ``prefix + side_col`` and ``prefix + v`` for each
+    value column. Rows with a NULL group or side have no partner.
     """
-    g = list(group_cols)
-    vals = list(value_cols)
-    side = F.col(side_col)
-    agg = df.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("__n"), F.count(side).alias("__ns"),
-        F.min(side).alias("__s_lo"), F.max(side).alias("__s_hi"),
-        *[F.min_by(F.col(v), side).alias(f"__lo_{v}") for v in vals],
-        *[F.max_by(F.col(v), side).alias(f"__hi_{v}") for v in vals])
-    # exactly two rows, both with a side, and the two sides differ
-    pair = (F.col("__n") == 2) & (F.col("__ns") == 2) & (F.col("__s_lo") < F.col("__s_hi"))
-    normal_keys = agg.filter(pair)
-    j = df.join(normal_keys, g, "inner").filter(side.isNotNull())
-    is_lo = side == F.col("__s_lo")
-    fast = j.select(*df.columns,
-                    F.when(is_lo, F.col("__s_hi")).otherwise(F.col("__s_lo")).alias(prefix + side_col),
-                    *[F.when(is_lo, F.col(f"__hi_{v}")).otherwise(F.col(f"__lo_{v}")).alias(prefix + v)
-                      for v in vals])
-    odd_keys = agg.filter(~pair).select(*g)
-    odd = df.join(odd_keys, g, "left_semi")
-    other = odd.select(*[F.col(c).alias(f"__k_{c}") for c in g], side.alias(prefix + side_col),
-                       *[F.col(v).alias(prefix + v) for v in vals])
-    cond = None
-    for c in g:
-        e = F.col(c) == F.col(f"__k_{c}")
-        cond = e if cond is None else cond & e
-    slow = (odd.join(other, cond & (side != F.col(prefix + side_col)), "inner")
-            .select(*df.columns, prefix + side_col, *[prefix + v for v in vals]))
-    return fast.unionByName(slow)
+    other = df.select(*[F.col(c).alias(f"__k_{c}") for c in group_cols], F.col(side_col).alias(prefix + side_col),
+                      *[F.col(v).alias(prefix + v) for v in value_cols])
+    cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__k_{c}") for c in group_cols])
+    return (df.join(other, cond & (F.col(side_col) != F.col(prefix + side_col)), "inner")
+            .select(*df.columns, prefix + side_col, *[prefix + v for v in value_cols]))

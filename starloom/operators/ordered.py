@@ -1,11 +1,13 @@
 """Previous/next row in a total order, computed in parallel (H1).
 
 ``lag``/``lead`` over a window without (or with a huge) partition runs in a
-single task. Here the rows are cut into ranges of the first order column
-(boundaries from ``percentile_approx``, one aggregate pass), the window runs
-inside each (partition, range), and the first/last row of a range takes its
-neighbour from the nearest non-empty range through a small edge table (one
-row per partition and range). The result is exactly the global lag/lead.
+single task. Here the rows, whole table or any mix of group sizes, are cut into
+ranges of the full sort key (group columns, then order columns), whatever their
+types. The range bounds come from a uniform sample of the distinct keys; their
+number follows the row count. Each range is one window partition; the first (or
+last) row of a range takes its neighbour from the nearest range that has rows.
+Bounds and range edges are scalar subqueries of the same plan: no job runs
+while the plan is built, and both arrays are bounded by ``MAX_RANGES``.
 
 Inputs are expected to be unique on (partition, order columns): the checks
 that use this collapse duplicate rows into counts first (``replicate``
@@ -18,93 +20,67 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_RANGEABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-              T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# Rows that one range should hold, and the most ranges (the size of the
+# sample); beyond that ranges grow with the data and sort with spilling.
+ROWS_PER_RANGE = 100_000
+MAX_RANGES = 16_384
 
 
 def _sort_key(cols: Sequence[str]) -> list[Column]:
     """Ascending, NULLs last, as orderable struct fields."""
     out = []
     for i, c in enumerate(cols):
-        out += [F.col(c).isNull().alias(f"__n{i}"), F.col(c).alias(f"__o{i}")]
+        out += [F.col(f"`{c}`").isNull().alias(f"n{i}"), F.col(f"`{c}`").alias(f"o{i}")]
     return out
 
 
-# A window partition up to this many rows is sorted by one task; larger ones
-# (a hot group, or a whole table without partition) are range-split.
-SPLIT_ABOVE = 2_000_000
-
-
-def largest_group(df: DataFrame, partition_by: Sequence[str]) -> int:
-    """Row count of the largest ``partition_by`` group (one aggregate pass;
-    only the single number reaches the driver)."""
-    if not partition_by:
-        return df.count()
-    row = df.groupBy(*partition_by).count().agg(F.max("count")).collect()[0][0]
-    return int(row or 0)
+def _bounds(keys: DataFrame, rows_per_range: int) -> Column:
+    """Sorted array of the lower bounds of all ranges but the first: evenly
+    spaced members of a uniform sample (the keys of the smallest hashes)."""
+    sample = (keys.select("k", F.xxhash64("k").alias("h")).orderBy("h", "k").limit(MAX_RANGES)
+              .agg(F.sort_array(F.collect_list("k")).alias("s")))
+    n = F.greatest(F.lit(1), F.least(F.lit(MAX_RANGES), F.ceil(keys.agg(F.count(F.lit(1))).scalar() / rows_per_range)))
+    picked = F.filter(
+        F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / F.col("n")).cast("int"))),
+        lambda b: b.isNotNull())
+    return sample.withColumn("n", n.cast("int")).select(picked.alias("b")).scalar()
 
 
 def neighbour(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], value: str,
-              direction: str, out: str, n_buckets: int = 64,
-              split_above: int | None = SPLIT_ABOVE) -> DataFrame:
+              direction: str, out: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add ``out`` = ``value`` of the previous (``direction='prev'``) or next
     row in order ``order_by`` (ascending, NULLs last) within ``partition_by``.
 
-    Also adds ``out + '_exists'``: whether such a row exists. When every
-    group has at most ``split_above`` rows a plain window is used; otherwise
-    (or with ``split_above=None``) the range-split plan below.
+    Also adds ``out + '_exists'``: whether such a row exists.
     """
-    part = list(partition_by)
-    order = list(order_by)
-    first = order[0]
-    dtype = dict((f.name, f.dataType) for f in df.schema.fields)[first]
-    wspec = Window.partitionBy(*part) if part else Window.partitionBy()
-    small = split_above is not None and largest_group(df, part) <= split_above
-    if small or not isinstance(dtype, _RANGEABLE) or n_buckets <= 1:
-        w = wspec.orderBy(*[F.col(c).asc_nulls_last() for c in order])
-        fn = F.lag if direction == "prev" else F.lead
-        return (df.withColumn(out, fn(F.col(value)).over(w))
-                .withColumn(out + "_exists", fn(F.lit(True)).over(w).isNotNull()))
-
-    fracs = [i / n_buckets for i in range(1, n_buckets)]
-    # n_buckets - 1 boundary values (one aggregate pass; a bounded list)
-    cuts = df.filter(F.col(first).isNotNull()).agg(
-        F.percentile_approx(F.col(first), fracs, 10000)).first()[0] or []
-    # dates/timestamps go through their ISO text so no time zone is applied
-    as_lit = (lambda b: F.lit(b.isoformat(sep=" ") if hasattr(b, "hour") else b.isoformat())
-              ) if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)) else F.lit
-    bounds = (F.array(*[as_lit(b).cast(dtype) for b in cuts]) if cuts
-              else F.array().cast(T.ArrayType(dtype)))
-    # NULL first-order values sort last: they get bucket n_buckets
-    bucket = F.when(F.col(first).isNull(), F.lit(n_buckets)).otherwise(
-        F.size(F.filter(bounds, lambda b: b <= F.col(first))))
-    rows = df.withColumn("__bucket", bucket)
-
-    inner = Window.partitionBy(*part, "__bucket").orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    fn = F.lag if direction == "prev" else F.lead
-    rows = (rows.withColumn("__nb", fn(F.col(value)).over(inner))
-            .withColumn("__has", fn(F.lit(True)).over(inner).isNotNull()))
-
-    # edge row of each non-empty bucket: last (for 'prev') or first (for 'next')
-    key = F.struct(*_sort_key(order), F.col(value).alias("__val"))
-    edge_agg = F.max(key) if direction == "prev" else F.min(key)
-    edges = rows.groupBy(*part, "__bucket").agg(edge_agg.alias("__edge"))
-    bw = wspec.orderBy("__bucket") if part else Window.orderBy("__bucket")
-    efn = F.lag if direction == "prev" else F.lead
-    edges = (edges.withColumn("__from", efn(F.col("__edge.__val")).over(bw))
-             .withColumn("__from_has", efn(F.lit(True)).over(bw).isNotNull())
-             .select(*[F.col(c).alias(f"__e_{c}") for c in part], F.col("__bucket").alias("__e_bucket"),
-                     "__from", "__from_has"))
-    # window partitions group NULLs together, so the join back is NULL-safe
-    cond = F.col("__bucket") == F.col("__e_bucket")
-    for c in part:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"__e_{c}"))
-    joined = rows.join(edges, cond, "left").drop(*[f"__e_{c}" for c in part], "__e_bucket")
-    return (joined.withColumn(out, F.when(F.col("__has"), F.col("__nb")).otherwise(F.col("__from")))
-            .withColumn(out + "_exists", F.col("__has") | F.coalesce(F.col("__from_has"), F.lit(False)))
-            .drop("__bucket", "__nb", "__has", "__from", "__from_has"))
+    part, prev = list(partition_by), direction == "prev"
+    keyed = df.withColumn("__k", F.struct(*_sort_key([*part, *order_by])))
+    bounds = _bounds(keyed.select(F.col("__k").alias("k")), rows_per_range)
+    rows = keyed.withColumn("__b", bounds).withColumn("__range", F.lit(0))
+    step = MAX_RANGES
+    while step:  # binary search; a place past the end is null and does not move it
+        here = F.get(F.col("__b"), F.col("__range") + (step - 1))
+        rows = rows.withColumn("__range", F.when(here <= F.col("__k"), F.col("__range") + step).otherwise(F.col("__range")))
+        step //= 2
+    rows = rows.drop("__b")
+
+    same = F.struct(*[F.col(f"`{c}`").alias(f"p{i}") for i, c in enumerate(part)], F.lit(0).alias("p"))
+    held = F.struct(F.col("__k").alias("k"), same.alias("p"), F.col(f"`{value}`").alias("v"))
+    edges = rows.groupBy("__range").agg((F.max if prev else F.min)(held).alias("e")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("__range").alias("r"), F.col("e")))).alias("e"))
+    shift = -1 if prev else 1  # range -> edge of the nearest range with rows on that side
+    pairs = F.transform("e", lambda x, i: F.struct(x["r"], F.get(F.col("e"), i + shift)["e"]))
+    nearest = edges.select(F.map_from_entries(pairs).alias("m")).scalar()
+    w = Window.partitionBy("__range").orderBy("__k")
+    inside = (F.lag if prev else F.lead)(held).over(w)
+    across = F.element_at(nearest, F.col("__range"))
+    found = (rows.withColumn("__in", inside).withColumn("__p", same)
+             .withColumn("__near", F.coalesce(F.col("__in"), across)))
+    exists = F.col("__near").isNotNull() & F.col("__near")["p"].eqNullSafe(F.col("__p"))
+    return (found.withColumn(out + "_exists", exists)
+            .withColumn(out, F.when(F.col(out + "_exists"), F.col("__near")["v"]))
+            .select(*[F.col(f"`{c}`") for c in df.columns], out, out + "_exists"))
 
 
 CHUNK = 65536

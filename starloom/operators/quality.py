@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..fixed_values import EQUAL_ROWCOUNT_ID, FEWER_ROWS_THAN_ID
 from ..functions.text import slugify
-from .ordered import SPLIT_ABOVE, neighbour, replicate
+from .ordered import ROWS_PER_RANGE, neighbour, replicate
 
 
 @dataclass
@@ -136,6 +136,14 @@ def fewer_rows_than(df: DataFrame, compare: DataFrame, group_by: Sequence[str] =
 
 
 # ------------------------------------------------------------------ Q5
+def _rounded(c: Column, kind: T.DataType, precision: int) -> Column:
+    """``c`` rounded to ``precision`` decimals in its own type: decimals keep
+    their scale, floating values are rounded as doubles (no fixed width)."""
+    if isinstance(kind, T.DecimalType):
+        return F.round(c, precision) if precision < kind.scale else c
+    return F.round(c.cast("double"), precision)
+
+
 def equality(df: DataFrame, compare: DataFrame, compare_columns: Sequence[str] | None = None,
              exclude_columns: Sequence[str] | None = None, precision: int | None = None,
              where=None) -> Check:
@@ -164,7 +172,7 @@ def equality(df: DataFrame, compare: DataFrame, compare_columns: Sequence[str] |
         for c in cols:
             ref = F.col(f"`{c}`")
             if precision is not None and isinstance(types[c.lower()], T.FractionalType):
-                ref = F.round(ref.cast("decimal(38,10)"), precision)
+                ref = _rounded(ref, types[c.lower()], precision)
             out.append(ref.alias(c))
         return x.select(*out)
 
@@ -190,7 +198,7 @@ _GAP_OPS = {"not_allowed": ("=", "equal_to"), "allowed": ("<=", "less_than_or_eq
 def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_bound_column: str,
                               partition_by: str | Column | None = None, gaps: str = "allowed",
                               zero_length_range_allowed: bool = False, where=None,
-                              n_buckets: int = 64, split_above: int | None = SPLIT_ABOVE) -> Check:
+                              rows_per_range: int = ROWS_PER_RANGE) -> Check:
     """Ranges ordered by (lower, upper) must not overlap (gap rules as named).
 
     Equal (partition, lower, upper) rows are collapsed into counts: within a
@@ -211,7 +219,7 @@ def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_boun
     runs = src.select(*base_cols).groupBy(*part, "lower_bound", "upper_bound").agg(
         F.count(F.lit(1)).alias("__n"))
     nb = neighbour(runs, part, ["lower_bound", "upper_bound"], "lower_bound", "next",
-                   "__next", n_buckets, split_above)
+                   "__next", rows_per_range)
     last_of_run = nb.select(*part, "lower_bound", "upper_bound",
                             F.col("__next").alias("next_lower_bound"),
                             (~F.col("__next_exists")).alias("is_last_record"))
@@ -336,8 +344,8 @@ def not_empty_string(df: DataFrame, column: str, trim_whitespace: bool = True, w
 
 # ------------------------------------------------------------------ Q14
 def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: str | None = None,
-                      group_by: Sequence[str] = (), where=None, n_buckets: int = 64,
-                      split_above: int | None = SPLIT_ABOVE) -> Check:
+                      group_by: Sequence[str] = (), where=None,
+                      rows_per_range: int = ROWS_PER_RANGE) -> Check:
     """Value differs from the previous value (in value order) + interval.
 
     Runs on distinct values with counts: the first row of a run of equal
@@ -348,7 +356,7 @@ def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: s
     gb = list(group_by)
     src = _scope(df, where).filter(_c(column).isNotNull())
     runs = src.groupBy(*[_c(g) for g in gb], _c(column)).agg(F.count(F.lit(1)).alias("__n"))
-    nb = neighbour(runs, gb, [column], column, "prev", "__prev", n_buckets, split_above)
+    nb = neighbour(runs, gb, [column], column, "prev", "__prev", rows_per_range)
     first_rows = nb.select(*[_c(g) for g in gb], _c(column), F.col("__prev").alias(prev))
     repeats = replicate(nb.select(*[_c(g) for g in gb], _c(column), "__n"), F.col("__n") - 1)
     repeats = repeats.select(*[_c(g) for g in gb], _c(column), _c(column).alias(prev))

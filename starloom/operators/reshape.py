@@ -45,6 +45,8 @@ def pivot_columns(column: str | Column, values: Sequence, agg: str = "sum", cmp:
                 agg_col = F.count_distinct(expr)
             elif agg.lower() == "sum":
                 agg_col = F.sum_distinct(expr)
+            elif agg.lower() == "avg":
+                agg_col = F.sum_distinct(expr) / F.nullif(F.count_distinct(expr), F.lit(0))
             else:  # min/max ignore duplicates anyway
                 agg_col = agg_fn(expr)
         else:
@@ -57,12 +59,13 @@ def pivot_columns(column: str | Column, values: Sequence, agg: str = "sum", cmp:
 
 
 def pivot(df: DataFrame, group_cols: Sequence[str], column: str, values: Sequence | None = None,
-          max_values: int = 1000, **kwargs) -> DataFrame:
+          max_values: int | None = None, **kwargs) -> DataFrame:
     """``groupBy(group_cols).agg(pivot_columns(...))``: one shuffle, with
     map-side partial aggregation of every CASE column.
 
     Without ``values`` the distinct values of ``column`` are read first
-    (most frequent first, at most ``max_values``: each becomes a column)."""
+    (most frequent first; the ``max_values`` most frequent if given): each
+    becomes a column."""
     if values is None:
         from .aggregates import column_values_list
         values = column_values_list(df, column, max_records=max_values)
@@ -111,7 +114,7 @@ def union_relations(relations: Mapping[str, DataFrame] | Sequence[tuple[str, Dat
     include = [c.lower() for c in include]
     exclude = [c.lower() for c in exclude]
     if include and exclude:
-        raise ValueError("Both an exclude and include list were provided; only one is allowed")
+        raise ValueError("union_relations: give include or exclude, not both")
     items = list(relations.items()) if isinstance(relations, Mapping) else list(relations)
     # a bare table name is read from the session catalog
     items = [(it, None) if isinstance(it, str) else it for it in items]
@@ -120,22 +123,25 @@ def union_relations(relations: Mapping[str, DataFrame] | Sequence[tuple[str, Dat
         raise ValueError("union_relations needs at least one relation")
     override = dict(column_override or {})
 
+    # names are compared without case; the first spelling seen is kept
     superset: dict[str, T.DataType] = {}
-    per_rel: list[set[str]] = []
+    spelled: dict[str, str] = {}
+    per_rel: list[dict[str, str]] = []
+    override = {k.lower(): v for k, v in override.items()}
     for _, df in items:
-        mine = set()
+        mine = {}
         for f in df.schema.fields:
             low = f.name.lower()
             if exclude and low in exclude:
                 continue
             if include and low not in include:
                 continue
-            mine.add(f.name)
-            superset.setdefault(f.name, f.dataType)
+            mine[low] = f.name
+            spelled.setdefault(low, f.name)
+            superset.setdefault(low, f.dataType)
         per_rel.append(mine)
     if (include or exclude) and not superset:
-        raise ValueError("There were no columns found to union for relations "
-                         + ", ".join(n for n, _ in items))
+        raise ValueError("union_relations: the column lists leave nothing of " + ", ".join(n for n, _ in items))
 
     parts = []
     for (name, df), mine in zip(items, per_rel):
@@ -146,8 +152,8 @@ def union_relations(relations: Mapping[str, DataFrame] | Sequence[tuple[str, Dat
             cols.append(F.lit(name).cast("string").alias(source_column_name))
         for c, dt in superset.items():
             target = override.get(c, dt)
-            src = F.col(f"`{c}`") if c in mine else F.lit(None)
-            cols.append(src.cast(target).alias(c))
+            src = F.col(f"`{mine[c]}`") if c in mine else F.lit(None)
+            cols.append(src.cast(target).alias(spelled[c]))
         parts.append(df.select(*cols))
     out = parts[0]
     for p in parts[1:]:

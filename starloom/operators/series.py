@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 
 from .ordered import CHUNK
 
-_PARTS = ("day", "week", "month", "quarter", "year", "hour")
+_PARTS = ("day", "week", "month", "quarter", "year", "hour", "minute", "second")
 
 
 def intervals_between(start, end, datepart: str) -> Column:
     """Number of whole ``datepart`` boundaries from ``start`` to ``end``.
 
     day: date difference; week: days div 7; month/quarter/year: calendar
-    fields, ignoring the day (as a SQL ``datediff`` on parts does); hour:
-    truncated hour difference.
+    fields, ignoring the day (as a SQL ``datediff`` on parts does); hour,
+    minute, second: difference of the truncated times.
     """
     s = start if isinstance(start, Column) else F.lit(start)
     e = end if isinstance(end, Column) else F.lit(end)
@@ -37,12 +37,12 @@ def intervals_between(start, end, datepart: str) -> Column:
         return (F.year(e) - F.year(s)) * 4 + (F.quarter(e) - F.quarter(s))
     if p == "year":
         return F.year(e) - F.year(s)
-    if p == "hour":
-        # wall-clock hours (timestamp_ntz): no session time zone applies
-        def hours(x):
-            trunc = F.date_trunc("hour", x.cast("timestamp_ntz")).cast("timestamp_ntz")
-            return F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), trunc)
-        return (hours(e) - hours(s)).cast("long")
+    if p in ("hour", "minute", "second"):
+        # wall-clock times (timestamp_ntz): no session time zone applies
+        def since_epoch(x):
+            trunc = F.date_trunc(p, x.cast("timestamp_ntz")).cast("timestamp_ntz")
+            return F.timestamp_diff(p.upper(), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), trunc)
+        return (since_epoch(e) - since_epoch(s)).cast("long")
     raise ValueError(f"datepart must be one of {_PARTS}")
 
 
@@ -58,8 +58,8 @@ def _add(start: Column, n: Column, datepart: str) -> Column:
         return F.add_months(start.cast("date"), (n * 3).cast("int"))
     if p == "year":
         return F.add_months(start.cast("date"), (n * 12).cast("int"))
-    if p == "hour":
-        return F.timestamp_add("HOUR", n, start.cast("timestamp_ntz"))
+    if p in ("hour", "minute", "second"):
+        return F.timestamp_add(p.upper(), n, start.cast("timestamp_ntz"))
     raise ValueError(f"datepart must be one of {_PARTS}")
 
 
@@ -115,9 +115,11 @@ def generate_series(bounds: DataFrame | SparkSession, upper) -> DataFrame:
 
 def single_value(df: DataFrame, default=None) -> DataFrame:
     """First column of a (one-row) query as a one-row DataFrame ``value``;
-    ``default`` when the query has no row or a NULL value (G4)."""
+    ``default`` only when the query has no row: a NULL stays NULL (G4). Of
+    several rows one is taken, as the query's order or limit decides."""
     first = df.columns[0]
-    agg = df.agg(F.first(F.col(f"`{first}`")).alias("value"))
+    one = df.select(F.col(f"`{first}`").alias("value")).limit(1).agg(
+        F.count(F.lit(1)).alias("n"), F.any_value("value").alias("value"))
     if default is None:
-        return agg
-    return agg.select(F.coalesce(F.col("value"), F.lit(default)).alias("value"))
+        return one.select("value")
+    return one.select(F.when(F.col("n") == 0, F.lit(default)).otherwise(F.col("value")).alias("value"))

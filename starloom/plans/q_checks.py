@@ -186,7 +186,7 @@ def q_dq_mutually_exclusive_ranges_global(spark, d):
     r = o.select((k * 10).alias("lo"), (k * 10 + k % 12).alias("hi"))
     dup = o.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"))
     r = r.unionByName(dup.select((k * 10).alias("lo"), (k * 10 + k % 12).alias("hi")))
-    return Q.mutually_exclusive_ranges(r, "lo", "hi", gaps="not_allowed", n_buckets=16).failures
+    return Q.mutually_exclusive_ranges(r, "lo", "hi", gaps="not_allowed").failures
 
 
 @query("dq_not_constant", """
@@ -272,24 +272,23 @@ def q_dq_sequential_values(spark, d):
 
 
 @query("dq_sequential_values_global", """
-WITH w AS (SELECT o_orderkey, lag(o_orderkey) OVER (ORDER BY o_orderkey) AS previous_o_orderkey
-           FROM orders WHERE o_orderstatus = 'F')
-SELECT * FROM w WHERE NOT (o_orderkey = previous_o_orderkey + 1)
+WITH t AS (SELECT 2 * o_orderkey + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS step_key FROM orders),
+w AS (SELECT step_key, lag(step_key) OVER (ORDER BY step_key) AS previous_step_key FROM t)
+SELECT * FROM w WHERE NOT (step_key = previous_step_key + 2)
 """)
 def q_dq_sequential_values_global(spark, d):
-    o = Tables(spark, d).orders.filter(F.col("o_orderstatus") == "F")
-    return Q.sequential_values(o, "o_orderkey", n_buckets=16).failures
+    key = 2 * F.col("o_orderkey") + F.when(F.col("o_orderstatus") == "F", 0).otherwise(1)
+    return Q.sequential_values(Tables(spark, d).orders.select(key.alias("step_key")), "step_key", interval=2).failures
 
 
 @query("dq_sequential_dates", """
-WITH t AS (SELECT CAST(o_orderdate AS DATE) AS order_day FROM orders WHERE o_orderpriority = '1-URGENT'),
+WITH t AS (SELECT CAST(o_orderdate AS DATE) AS order_day FROM orders),
 w AS (SELECT order_day, lag(order_day) OVER (ORDER BY order_day) AS previous_order_day FROM t)
 SELECT * FROM w WHERE NOT (CAST(order_day AS TIMESTAMP) = CAST(previous_order_day + INTERVAL 1 DAY AS TIMESTAMP))
 """)
 def q_dq_sequential_dates(spark, d):
-    o = Tables(spark, d).orders.filter(F.col("o_orderpriority") == "1-URGENT")
-    t = o.select(F.col("o_orderdate").cast("date").alias("order_day"))
-    return Q.sequential_values(t, "order_day", datepart="day", n_buckets=8).failures
+    t = Tables(spark, d).orders.select(F.col("o_orderdate").cast("date").alias("order_day"))
+    return Q.sequential_values(t, "order_day", datepart="day").failures
 
 
 @query("dq_unique_combination", """

@@ -100,14 +100,15 @@ def test_column_values_topk(spark):
     df = spark.createDataFrame([(v,) for v in "aabbbcd"], "v string")
     assert rows(A.column_values(df, "v", max_records=2)) == [("a", 2), ("b", 3)]
     assert A.column_values_list(df, "v", max_records=10) == ["b", "a", "c", "d"]
-    with pytest.raises(ValueError):
-        A.column_values_list(df, "v", max_records=2)
+    assert A.column_values_list(df, "v", max_records=2) == ["b", "a"]  # a limit, not an error
+    assert rows(A.column_values(df.limit(0), "v", default=["x", "y"])) == [("x", None), ("y", None)]
+    assert len(rows(A.column_values(df, "v", default=["x"]))) == 4
 
 
 def test_lookup_plain_equality_and_natural_join(spark):
     fact = spark.createDataFrame([(1, "x"), (None, "y")], "k int, v string")
     dim = spark.createDataFrame([(1, "one"), (None, "null-row")], "k int, label string")
-    out = J.lookup(fact, dim, [("k", "k")], [("label", "label")], small=True)
+    out = J.lookup(fact, dim, [("k", "k")], [("label", "label")])
     assert rows(out) == [(1, "x", "one"), (None, "y", None)]  # NULL never matches
     assert rows(J.natural_join(fact, dim)) == [(1, "x", "one")]
 
@@ -130,7 +131,7 @@ def test_neighbour_equals_global_window(spark):
     data += [("p", None), (None, None)]
     df = spark.createDataFrame(data, "p string, v int").dropDuplicates()
     for direction, fn in (("prev", F.lag), ("next", F.lead)):
-        got = neighbour(df, ["p"], ["v"], "v", direction, "nb", n_buckets=7, split_above=None)
+        got = neighbour(df, ["p"], ["v"], "v", direction, "nb", rows_per_range=2)
         w = Window.partitionBy("p").orderBy(F.col("v").asc_nulls_last())
         want = df.withColumn("nb", fn("v").over(w)).withColumn("nb_exists", fn(F.lit(True)).over(w).isNotNull())
         assert rows(got.select("p", "v", "nb", "nb_exists")) == rows(want.select("p", "v", "nb", "nb_exists"))
@@ -183,7 +184,7 @@ def test_neighbour_split_on_timestamps(spark):
     base = dt.datetime(2024, 1, 1)
     data = [("a", base + dt.timedelta(minutes=7 * i)) for i in range(60)]
     df = spark.createDataFrame(data, "p string, ts timestamp_ntz")
-    got = neighbour(df, ["p"], ["ts"], "ts", "prev", "nb", n_buckets=5, split_above=None)
+    got = neighbour(df, ["p"], ["ts"], "ts", "prev", "nb", rows_per_range=2)
     w = Window.partitionBy("p").orderBy("ts")
     want = df.withColumn("nb", F.lag("ts").over(w))
     assert rows(got.select("p", "ts", "nb")) == rows(want.select("p", "ts", "nb"))

@@ -69,8 +69,7 @@ def test_mutually_exclusive_ranges(spark):
     f = Q.mutually_exclusive_ranges(overlap, "lo", "hi", partition_by="p").failures
     # a: (0,3) overlaps next; b: duplicate (0,3) overlaps itself, (4,4) zero length
     assert f.count() == 3
-    split = Q.mutually_exclusive_ranges(overlap, "lo", "hi", partition_by="p", n_buckets=2,
-                                        split_above=None).failures
+    split = Q.mutually_exclusive_ranges(overlap, "lo", "hi", partition_by="p", rows_per_range=2).failures
     assert sorted(map(tuple, split.collect())) == sorted(map(tuple, f.collect()))
     assert n(Q.mutually_exclusive_ranges(overlap.filter("p = 'b'"), "lo", "hi",
                                          zero_length_range_allowed=True)) == 1
@@ -114,16 +113,16 @@ def test_recency(spark):
 
 def test_sequential_values(spark):
     ok = spark.createDataFrame([(i,) for i in range(50)], "x int")
-    assert n(Q.sequential_values(ok, "x", n_buckets=4, split_above=None)) == 0
+    assert n(Q.sequential_values(ok, "x", rows_per_range=2)) == 0
     assert n(Q.sequential_values(ok, "x")) == 0
     bad = spark.createDataFrame([(1,), (2,), (2,), (2,), (4,), (None,)], "x int")
-    f = Q.sequential_values(bad, "x", n_buckets=3, split_above=None).failures
+    f = Q.sequential_values(bad, "x", rows_per_range=2).failures
     assert sorted(tuple(r) for r in f.collect()) == [(2, 2), (2, 2), (4, 2)]
     assert n(Q.sequential_values(bad, "x", interval=2)) == 3  # 2 after 1, and the repeated 2s
     days = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 2, 3, 5)], "d date")
     assert n(Q.sequential_values(days, "d", datepart="day")) == 1
     grp = spark.createDataFrame([(None, 1), (None, 2), (None, 4), ("a", 7)], "g string, x int")
-    assert n(Q.sequential_values(grp, "x", group_by=["g"], n_buckets=2, split_above=None)) == 1
+    assert n(Q.sequential_values(grp, "x", group_by=["g"], rows_per_range=2)) == 1
     assert n(Q.sequential_values(grp, "x", group_by=["g"])) == 1
 
 
