@@ -56,8 +56,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it (a shared filesystem path); only when it is unset, as in
-    local tests, a scratch folder is created and registered.
+    A cluster names it (a shared filesystem path), and leaving it unset there is
+    an error; only in local mode, as in tests, a scratch folder is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -65,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="starloom-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

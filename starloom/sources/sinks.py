@@ -9,10 +9,18 @@ partitioned by month of its date column. An incremental run:
 3. finds the *affected* partitions: those of the delta, plus those of the
    target that hold any delta key (a key may have moved to another date),
 4. writes ``(affected target rows minus delta keys) + delta`` to a staging
-   directory under the cluster's shared checkpoint folder (this cuts the
-   lineage: the target is never read and overwritten in one job), and
-5. overwrites only the affected partitions from the staging copy
-   (dynamic partition overwrite). Untouched partitions are not rewritten.
+   folder beside the target (this cuts the lineage: the target is never read
+   and overwritten in one job), then a small plan that marks the staging
+   complete, and
+5. applies the plan: overwrites the affected partitions from the staging copy
+   (dynamic partition overwrite), or the whole table if the schema changed,
+   and removes partitions that lost all their rows.
+
+The staging folder is deleted only after step 5 has succeeded. Step 5 can be
+repeated; a run that finds a complete staging folder of a broken earlier run
+applies it first (``recover``), so a failure at any point leaves either the old
+table or what is needed to finish the new one. Runs on one table must not
+overlap. Rows without a date live in the NULL partition and are upserted alike.
 
 Every step is a Spark job whose tasks commit atomically, so a lost executor
 only re-runs its tasks.
@@ -20,14 +28,11 @@ only re-runs its tasks.
 
 from __future__ import annotations
 
-import uuid
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
 
 def _fs_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -107,6 +112,7 @@ def incremental_refresh(spark: SparkSession, path: str,
     "incremental".
     """
     keys = [key] if isinstance(key, str) else list(key)
+    recover(spark, path)
     if not _fs_exists(spark, path):
         full = build(None)
         write_layer(full.withColumn(part_col, partition_month(date_col)), path,
@@ -118,53 +124,79 @@ def incremental_refresh(spark: SparkSession, path: str,
     return "incremental"
 
 
+def _staging(path: str) -> str:
+    return f"{path.rstrip('/')}__staging"
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish an upsert of the table at ``path`` that broke off after its
+    staging was complete; drop an incomplete one. True if one was finished."""
+    run = _staging(path)
+    if not _fs_exists(spark, run):
+        return False
+    complete = _fs_exists(spark, f"{run}/plan/_SUCCESS")
+    if complete:
+        _apply(spark, path)
+    _fs_delete(spark, run)
+    return complete
+
+
+def _apply(spark: SparkSession, path: str) -> None:
+    """Step 5: make the table what the complete staging folder says."""
+    run = _staging(path)
+    plan = spark.read.parquet(f"{run}/plan").collect()  # a row for each month that changed
+    part_col, whole = plan[0]["part_col"], plan[0]["whole"]
+    rows = spark.read.schema(spark.read.parquet(f"{run}/rows").schema).parquet(f"{run}/rows")
+    (rows.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col)
+     .option("partitionOverwriteMode", "static" if whole else "dynamic").parquet(path))
+    if whole:
+        return
+    kept = {r[0] for r in rows.select(part_col).distinct().collect()}  # at most as many
+    for value in {r["month"] for r in plan} - kept:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        _fs_delete(spark, f"{path.rstrip('/')}/{part_col}={name}")
+
+
 def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, key: Sequence[str] | str,
-                      date_col: str = "game_date", part_col: str = "_month") -> None:
+                      date_col: str = "game_date", part_col: str = "_month",
+                      version_col: str | None = None) -> None:
     """Upsert ``delta`` by key into the month-partitioned table at ``path``,
     rewriting only the affected partitions (steps 3-5 above). Idempotent:
-    applying the same delta twice leaves the same table."""
+    applying the same delta twice leaves the same table. With ``version_col``
+    a delta row older than the stored row of its key is left out."""
     keys = [key] if isinstance(key, str) else list(key)
+    recover(spark, path)
     if not _fs_exists(spark, path):
         write_layer(delta.withColumn(part_col, partition_month(date_col)), path, partition_by=[part_col])
         return
+    run = _staging(path)
     target = spark.read.parquet(path)
-    run = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging-{uuid.uuid4().hex}"
+    delta = delta.withColumn(part_col, partition_month(date_col))
+    if version_col is not None and version_col in target.columns:
+        stored = target.select(*keys, F.col(version_col).alias("__stored")).groupBy(*keys).agg(
+            F.max("__stored").alias("__stored"))
+        columns = delta.columns
+        delta = (delta.join(stored, keys, "left")
+                 .where(F.col("__stored").isNull() | (F.col(version_col) >= F.col("__stored"))).select(*columns))
     # the delta is computed once and read back by the steps below: this cuts
     # its lineage and keeps the merge plan small
-    delta.withColumn(part_col, partition_month(date_col)).write.parquet(f"{run}/delta")
-    delta = spark.read.parquet(f"{run}/delta")
-    if _schema(target) != _schema(delta):
+    delta.write.parquet(f"{run}/delta")
+    delta = spark.read.schema(delta.schema).parquet(f"{run}/delta")
+    whole = _schema(target) != _schema(delta)
+    moved = target.join(delta.select(*keys).distinct(), keys, "left_semi").select(part_col)
+    # partition values only (months the delta touches): a bounded list, found once
+    months = [r[0] for r in delta.select(part_col).union(moved).distinct().collect()]
+    if whole:
         # schema change (sync_all_columns): every row takes the new columns,
         # so the whole table is rewritten, not only the touched months
-        merge_by_key(target, delta, keys).write.parquet(f"{run}/rows")
-        try:
-            (spark.read.parquet(f"{run}/rows").hint("rebalance", part_col)
-             .write.mode("overwrite").partitionBy(part_col).parquet(path))
-        finally:
-            _fs_delete(spark, run)
-        return
-    delta_keys = delta.select(*keys).distinct()
-    moved = target.join(delta_keys, keys, "left_semi").select(part_col)
-    affected = delta.select(part_col).union(moved).distinct()
-    scope = target.join(F.broadcast(affected), part_col, "left_semi")  # months: bounded
-    rewritten = merge_by_key(scope, delta, keys)
-    rewritten.write.parquet(f"{run}/rows")
-    rows = spark.read.parquet(f"{run}/rows")
-    # partition values only (months touched by the delta): a bounded list
-    touched = {r[0] for r in affected.collect()}
-    kept = {r[0] for r in rows.select(part_col).distinct().collect()}
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        rows.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col).parquet(path)
-        # dynamic overwrite leaves partitions that received no rows (all
-        # their keys moved elsewhere): remove those explicitly
-        for value in touched - kept:
-            name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-            _fs_delete(spark, f"{path.rstrip('/')}/{part_col}={name}")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        _fs_delete(spark, run)
+        scope = target
+    else:
+        held = F.col(part_col).isin([m for m in months if m is not None])
+        scope = target.where(F.coalesce(held, F.lit(None in months)))  # literals: partitions are pruned
+    merge_by_key(scope, delta, keys).write.parquet(f"{run}/rows")
+    spark.createDataFrame([(m, part_col, whole) for m in months] or [(None, part_col, whole)],
+                          "month string, part_col string, whole boolean").coalesce(1).write.parquet(f"{run}/plan")
+    recover(spark, path)
 
 
 def _schema(df: DataFrame) -> list[tuple[str, str]]:

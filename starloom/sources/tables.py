@@ -10,43 +10,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-# A scan is spread when it yields at most half of the partitions it should
-# have: one per core, but no more than one per SPREAD_BYTES of input (so a
-# small table is never fanned out over a large cluster).
-SPREAD_BYTES = 1024 * 1024
-_spread_cache: dict[str, int] = {}
-
-
-def _scan_fanout(spark: SparkSession, df: DataFrame, path: str) -> int:
-    """Partitions to spread a scan over, or 0 to keep the scan as it is.
-
-    Only metadata is read (file sizes, split count). A large table on a
-    cluster is stored as many files and already has enough splits, so this
-    is 0 there; it triggers for single-file, single-row-group inputs.
-    """
-    if path not in _spread_cache:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            size = fs.getContentSummary(p).getLength()
-            want = min(cores, -(-size // SPREAD_BYTES))
-            splits = df.rdd.getNumPartitions()
-            _spread_cache[path] = want if splits * 2 <= want else 0
-        except Exception:  # no JVM handle (e.g. Spark Connect): keep the scan
-            _spread_cache[path] = 0
-    return _spread_cache[path]
-
-
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Columnar scan of one table; filters and projections applied later are
-    pushed into the Parquet reader by Catalyst (also through the spread
-    below, which the optimizer treats as a plain repartition)."""
-    path = f"{base.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    n = _scan_fanout(spark, df, path)
-    return df.repartition(n) if n else df
+    pushed into it, and its splits follow ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
 class Tables:

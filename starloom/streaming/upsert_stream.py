@@ -6,8 +6,8 @@ newest version of every key within the batch (a partial aggregate, so a hot
 key is reduced in every task), and upserts the result into the
 month-partitioned table with ``upsert_partitions``. The upsert is keyed and
 idempotent, so a micro-batch replayed after a failure (Structured Streaming
-re-runs the last uncommitted batch) leaves the same table: the sink is
-effectively exactly-once. Progress lives in the checkpoint location, which
+re-runs the last uncommitted batch) leaves the same table: each row takes
+effect once, also after a broken sink run, which is finished first. Progress lives in the checkpoint location, which
 on a cluster must be on the shared filesystem (by default a folder under
 ``spark.checkpoint.dir``).
 
@@ -42,7 +42,8 @@ def start_upsert_stream(spark: SparkSession, source: DataFrame,
     """Start the stream; ``transform(batch_df) -> rows to upsert``.
 
     ``version_col`` (e.g. ``updated_at``) picks the newest row per key when
-    a batch carries several versions of a key.
+    a batch carries several versions of a key, and keeps a late, older row
+    from replacing a newer stored one.
     """
     keys = [key] if isinstance(key, str) else list(key)
     ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
@@ -51,7 +52,7 @@ def start_upsert_stream(spark: SparkSession, source: DataFrame,
         rows = transform(batch)
         if version_col:
             rows = latest_per_key(rows, keys, version_col, nulls_first=False)
-        upsert_partitions(batch.sparkSession, target_path, rows, keys, date_col)
+        upsert_partitions(batch.sparkSession, target_path, rows, keys, date_col, version_col=version_col)
 
     writer = (source.writeStream.queryName(name).option("checkpointLocation", ckpt)
               .foreachBatch(apply))

@@ -1,8 +1,11 @@
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from starloom.plans.layers import FACTS, Warehouse, build_warehouse
+from starloom.sources import sinks
 from starloom.sources.sinks import incremental_refresh, merge_by_key, sync_schema
 
 
@@ -42,14 +45,62 @@ def test_incremental_facts_equal_full_refresh(spark, sf_small):
         assert stored.exceptAll(full).count() == 0 and full.exceptAll(stored).count() == 0, name
 
 
-def test_player_key_in_place_equals_lookup(spark, sf_small):
+def test_player_key_is_looked_up(spark, sf_small):
     from starloom.plans.models import facts as FCT
     w = Warehouse(spark, sf_small)
-    args = (w.int_player_performance, w.int_games_enriched, w.dim_player_game_archetypes,
-            w.dim_players, w.dim_teams, w.dim_dates, w.dim_seasons, w.dim_arenas)
-    a = FCT.fct_player_game_stats(*args)
-    b = FCT.fct_player_game_stats(*args, join_players=True)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    few = w.dim_players.where("player_id > 'P3'")
+    rows = FCT.fct_player_game_stats(w.int_player_performance, w.int_games_enriched, w.dim_player_game_archetypes,
+                                     few, w.dim_teams, w.dim_dates, w.dim_seasons, w.dim_arenas)
+    assert rows.where("player_key IS NULL").count() > 0  # a stale dimension gives no key
+    assert rows.join(few, "player_key", "left_anti").where("player_key IS NOT NULL").count() == 0
+
+
+def _dated(spark, rows):
+    return spark.createDataFrame(rows, "k string, d string, v int").withColumn("game_date", F.col("d").cast("date")).drop("d")
+
+
+def test_upsert_keeps_undated_rows(spark):
+    path = f"{tempfile.mkdtemp(prefix='inc-')}/t"
+    incremental_refresh(spark, path, lambda since: _dated(spark, [("u1", None, 1), ("u2", None, 2), ("d1", "2024-01-02", 3)]), "k")
+    sinks.upsert_partitions(spark, path, _dated(spark, [("u1", "2024-01-06", 10)]), "k")
+    assert _rows(spark.read.parquet(path).select("k", "v")) == [("d1", 3), ("u1", 10), ("u2", 2)]
+    sinks.upsert_partitions(spark, path, _dated(spark, [("u2", "2024-02-06", 20)]), "k")  # the NULL partition empties
+    assert _rows(spark.read.parquet(path).select("k", "v")) == [("d1", 3), ("u1", 10), ("u2", 20)]
+
+
+@pytest.mark.parametrize("columns", ["k string, d string, v int", "k string, d string, v int, extra int"])
+def test_broken_upsert_leaves_the_old_table_or_is_finished(spark, monkeypatch, columns):
+    path = f"{tempfile.mkdtemp(prefix='inc-')}/t"
+    old = _dated(spark, [("a", "2024-01-02", 1), ("b", "2024-02-02", 2)])
+    incremental_refresh(spark, path, lambda since: old, "k")
+    wide = len(columns.split(",")) > 3
+    delta = spark.createDataFrame([("a", "2024-01-03", 9) + (5,) * wide], columns).withColumn(
+        "game_date", F.col("d").cast("date")).drop("d")
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:  # before staging is complete
+        m.setattr(sinks, "merge_by_key", broken)
+        with pytest.raises(RuntimeError):
+            sinks.upsert_partitions(spark, path, delta, "k")
+    assert _rows(spark.read.parquet(path).select("k", "v")) == [("a", 1), ("b", 2)]
+    with monkeypatch.context() as m:  # while it is applied
+        m.setattr(sinks, "_apply", broken)
+        with pytest.raises(RuntimeError):
+            sinks.upsert_partitions(spark, path, delta, "k")
+    assert _rows(spark.read.parquet(path).select("k", "v")) == [("a", 1), ("b", 2)]
+    assert sinks.recover(spark, path) and not sinks.recover(spark, path)
+    assert _rows(spark.read.parquet(path).select("k", "v")) == [("a", 9), ("b", 2)]
+
+
+def test_late_older_version_does_not_win(spark):
+    path = f"{tempfile.mkdtemp(prefix='inc-')}/t"
+    row = lambda v, ver: spark.createDataFrame([("a", v, ver, "2024-01-02")], "k string, v int, ver int, d string").select(
+        "k", "v", "ver", F.col("d").cast("date").alias("game_date"))
+    for v, ver in ((1, 1), (3, 3), (2, 2)):
+        sinks.upsert_partitions(spark, path, row(v, ver), "k", version_col="ver")
+    assert _rows(spark.read.parquet(path).select("v")) == [(3,)]
 
 
 def test_incremental_schema_change_rewrites_all_partitions(spark):
