@@ -67,11 +67,7 @@ def dim_players(stg_basic: DataFrame, stg_games: DataFrame, ordered: bool = Fals
 
 
 def dim_seasons(games: DataFrame, ordered: bool = False) -> DataFrame:
-    """Seasons of the enriched games. The enriched model is ``stg_games``
-    followed only by left joins, which keep every game and add no new
-    season, so its season set equals that of ``stg_games``; the layer graph
-    passes ``stg_games`` and the dimension no longer depends on the whole
-    intermediate graph."""
+    """Seasons of the enriched games."""
     seasons = games.select("season_start_year").distinct()
     df = seasons.select(X.surrogate_key("season_start_year").alias("season_key"),
                         "season_start_year",

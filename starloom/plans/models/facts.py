@@ -1,15 +1,11 @@
 """Facts (M17-M20): natural keys -> dimension keys, incremental windows.
 
-Lookups are chained left joins. Dimensions whose size is fixed by
-construction (calendar days of the data range, seasons, seed arenas and
-teams, the bounded archetype label set) are broadcast; ``dim_players``,
-which grows with the data, is joined without a hint (AQE broadcasts it
-only when measured small at runtime, else a sort-merge join).
+Lookups are chained left joins without hints: the optimizer broadcasts a
+dimension only when it measures it small, else it shuffles both sides.
 
 ``since``: optional one-row DataFrame with column ``since`` (a date): the
 incremental look-back filter. It is applied where the reference applies it
-(see H5: before or after the lookups), by a broadcast one-row cross join,
-so the plan stays lazy.
+(see H5: before or after the lookups), as a scalar subquery of the same plan.
 """
 
 from __future__ import annotations
@@ -33,53 +29,31 @@ def lookback_since(target: DataFrame, days: int = 30, date_col: str = "game_date
 
 
 def _since_filter(df: DataFrame, since: DataFrame | None, col: Column | str) -> DataFrame:
-    """Keep rows on or after the look-back start.
-
-    The start is one value (a one-row aggregate); it is fetched and applied
-    as a literal so the predicate reaches the Parquet scan (row groups older
-    than the window are skipped by their min/max statistics). An empty
-    target (no start) keeps nothing, as ``x >= NULL`` does in SQL.
-    """
+    """Keep rows on or after the look-back start, a scalar subquery. An empty
+    target (no start) keeps nothing, as ``x >= NULL`` does in SQL."""
     if since is None:
         return df
     c = F.col(col) if isinstance(col, str) else col
-    start = since.select("since").first()[0]
-    if start is None:
-        return df.limit(0)
-    return df.filter(c >= F.lit(start))
-
-
-# Dimensions bounded by construction, broadcast unless a size check failed:
-# calendar days of the data range, seasons, seed teams/arenas/aliases, and the
-# archetype label combinations. ``build_warehouse`` counts each stored copy
-# against DIM_ROW_BOUNDS and passes False for any dimension over its bound.
-DIM_ROW_BOUNDS = {"dim_dates": 200 * 366, "dim_seasons": 1000, "dim_arenas": 100_000,
-                  "dim_teams": 100_000, "team_abbreviation_mappings": 100_000,
-                  "dim_player_game_archetypes": 100_000}
+    return df.filter(c >= since.select("since").scalar())
 
 
-def _b(bcast, name: str) -> bool:
-    return True if bcast is None else bcast.get(name, True)
-
-
-def _team_lookup(df, dim_teams, expr, out, bcast=None):
-    return lookup(df, dim_teams, [(expr, "team_abbr")], [("team_key", out)],
-                  small=_b(bcast, "dim_teams"))
+def _team_lookup(df, dim_teams, expr, out):
+    return lookup(df, dim_teams, [(expr, "team_abbr")], [("team_key", out)])
 
 
 def fct_game_results(ge: DataFrame, dim_dates: DataFrame, dim_seasons: DataFrame,
                      dim_arenas: DataFrame, dim_teams: DataFrame,
-                     since: DataFrame | None = None, bcast: dict | None = None) -> DataFrame:
+                     since: DataFrame | None = None) -> DataFrame:
     ge = _since_filter(ge, since, "game_date")
     gdate = F.col("game_date").cast("date")
-    df = lookup(ge, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=_b(bcast, "dim_dates"))
+    df = lookup(ge, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")])
     df = lookup(df, dim_seasons, [("season_start_year", "season_start_year")],
-                [("season_key", "season_key")], small=_b(bcast, "dim_seasons"))
+                [("season_key", "season_key")])
     df = lookup(df, dim_arenas, [("arena", "arena_name"), ("arena_city", "arena_city")],
-                [("arena_key", "arena_key")], small=_b(bcast, "dim_arenas"))
-    df = _team_lookup(df, dim_teams, "home_team", "home_team_key", bcast)
-    df = _team_lookup(df, dim_teams, "visitor_team", "visitor_team_key", bcast)
-    df = _team_lookup(df, dim_teams, "winning_team", "winning_team_key", bcast)
+                [("arena_key", "arena_key")])
+    df = _team_lookup(df, dim_teams, "home_team", "home_team_key")
+    df = _team_lookup(df, dim_teams, "visitor_team", "visitor_team_key")
+    df = _team_lookup(df, dim_teams, "winning_team", "winning_team_key")
     return df.select(
         X.surrogate_key("game_id").alias("game_key"), "date_key", "season_key", "arena_key",
         "home_team_key", "visitor_team_key", "winning_team_key", "game_id", "home_points",
@@ -95,35 +69,22 @@ def fct_game_results(ge: DataFrame, dim_dates: DataFrame, dim_seasons: DataFrame
 def fct_player_game_stats(pp: DataFrame, ge: DataFrame, dim_archetypes: DataFrame,
                           dim_players: DataFrame, dim_teams: DataFrame, dim_dates: DataFrame,
                           dim_seasons: DataFrame, dim_arenas: DataFrame,
-                          since: DataFrame | None = None, bcast: dict | None = None,
-                          join_players: bool = False) -> DataFrame:
-    """Player-game fact.
-
-    ``player_key``: ``dim_players`` holds exactly one row per player id of
-    the staging table this fact's rows come from, keyed by the hash of the
-    id, so the left join always returns ``surrogate_key(player_id)``. It is
-    computed in place (the join would shuffle the largest fact once more by
-    player); ``join_players=True`` does the lookup join instead, for a
-    ``dim_players`` that was built from other data.
-    """
+                          since: DataFrame | None = None) -> DataFrame:
+    """Player-game fact: one row per player and game."""
     gd = ge.select(F.col("game_id").alias("gd_game_id"), F.col("arena").alias("gd_arena_name"),
                    F.col("arena_city").alias("gd_arena_city"))
     df = pp.join(gd, F.col("game_id") == F.col("gd_game_id"), "left")
     # nine-column junk-dimension join with plain '=' (NULL never matches, J5)
     df = lookup(df, dim_archetypes, [(c, c) for c in ARCHETYPE_COLS],
-                [("archetype_key", "archetype_key")], small=_b(bcast, "dim_player_game_archetypes"))
-    if join_players:
-        df = lookup(df, dim_players, [("player_id", "player_id")], [("player_key", "player_key")])
-    else:
-        df = df.withColumn("player_key", F.when(F.col("player_id").isNotNull(),
-                                                X.surrogate_key("player_id")))
-    df = _team_lookup(df, dim_teams, "team", "team_key", bcast)
+                [("archetype_key", "archetype_key")])
+    df = lookup(df, dim_players, [("player_id", "player_id")], [("player_key", "player_key")])
+    df = _team_lookup(df, dim_teams, "team", "team_key")
     gdate = F.col("game_date").cast("date")
-    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=_b(bcast, "dim_dates"))
+    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")])
     df = lookup(df, dim_seasons, [("season_start_year", "season_start_year")],
-                [("season_key", "season_key")], small=_b(bcast, "dim_seasons"))
+                [("season_key", "season_key")])
     df = lookup(df, dim_arenas, [("gd_arena_name", "arena_name"), ("gd_arena_city", "arena_city")],
-                [("arena_key", "arena_key")], small=_b(bcast, "dim_arenas"))
+                [("arena_key", "arena_key")])
     df = _since_filter(df, since, "game_date")
     return df.select(
         X.surrogate_key("game_id", "player_id").alias("player_game_key"), "player_key",
@@ -138,32 +99,28 @@ def fct_player_game_stats(pp: DataFrame, ge: DataFrame, dim_archetypes: DataFram
 def fct_quarter_scoring(stg_line_scores: DataFrame, ge: DataFrame,
                         team_abbreviation_mappings: DataFrame, dim_teams: DataFrame,
                         dim_dates: DataFrame, dim_seasons: DataFrame,
-                        since: DataFrame | None = None, bcast: dict | None = None) -> DataFrame:
+                        since: DataFrame | None = None) -> DataFrame:
     games = _since_filter(ge.select("game_id", "game_date", "season_start_year"), since,
                           "game_date")
     # pre-filter by the games in range
     ls = (stg_line_scores.select("game_id", "team", *LINE_SCORE_PERIODS)
           .join(games.select("game_id"), "game_id", "left_semi"))
-    # opponent row: same game, other team (J7). Every line-score row yields all
-    # periods, so pairing the rows per game and then unpivoting both sides
-    # gives the same pairs as the per-period self-join, on 1/7 of the rows.
-    paired = other_side(ls, ["game_id"], "team", LINE_SCORE_PERIODS, prefix="o_")
-    df = unpivot_groups(paired, ["game_id", "team", "o_team"],
-                        {p: {"points_scored": p, "opponent_points_scored": f"o_{p}"}
-                         for p in LINE_SCORE_PERIODS},
-                        field_name="period_name", cast_to="int")
+    # every lookup and the opponent's row (J7) at the grain game x team; the
+    # periods are unpivoted last
+    df = other_side(ls, ["game_id"], "team", LINE_SCORE_PERIODS, prefix="o_")
     g = games.select(F.col("game_id").alias("g_game_id"), "game_date", "season_start_year")
     df = df.join(g, F.col("game_id") == F.col("g_game_id"), "inner")
-    df = lookup(df, team_abbreviation_mappings, [("team", "source_abbr")],
-                [("team_abbr", "team_abbr")], small=_b(bcast, "team_abbreviation_mappings"))
-    df = lookup(df, team_abbreviation_mappings, [("o_team", "source_abbr")],
-                [("team_abbr", "opp_abbr")], small=_b(bcast, "team_abbreviation_mappings"))
-    df = _team_lookup(df, dim_teams, "team_abbr", "team_key", bcast)
-    df = _team_lookup(df, dim_teams, "opp_abbr", "opponent_key", bcast)
+    df = lookup(df, team_abbreviation_mappings, [("team", "source_abbr")], [("team_abbr", "team_abbr")])
+    df = lookup(df, team_abbreviation_mappings, [("o_team", "source_abbr")], [("team_abbr", "opp_abbr")])
+    df = _team_lookup(df, dim_teams, "team_abbr", "team_key")
+    df = _team_lookup(df, dim_teams, "opp_abbr", "opponent_key")
     gdate = F.col("game_date").cast("date")
-    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=_b(bcast, "dim_dates"))
-    df = lookup(df, dim_seasons, [("season_start_year", "season_start_year")],
-                [("season_key", "season_key")], small=_b(bcast, "dim_seasons"))
+    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")])
+    df = lookup(df, dim_seasons, [("season_start_year", "season_start_year")], [("season_key", "season_key")])
+    df = unpivot_groups(df, ["game_id", "team_abbr", "date_key", "season_key", "team_key", "opponent_key", "game_date"],
+                        {p: {"points_scored": p, "opponent_points_scored": f"o_{p}"}
+                         for p in LINE_SCORE_PERIODS},
+                        field_name="period_name", cast_to="int")
     df = df.filter(F.col("points_scored").isNotNull())
     return df.select(
         X.surrogate_key("game_id", "team_abbr", "period_name").alias("quarter_scoring_key"),
@@ -176,21 +133,21 @@ def fct_quarter_scoring(stg_line_scores: DataFrame, ge: DataFrame,
 
 def fct_team_game_stats(tp: DataFrame, ge: DataFrame, dim_teams: DataFrame, dim_dates: DataFrame,
                         dim_seasons: DataFrame, dim_arenas: DataFrame,
-                        since: DataFrame | None = None, bcast: dict | None = None) -> DataFrame:
+                        since: DataFrame | None = None) -> DataFrame:
     gd = ge.select(F.col("game_id").alias("gd_game_id"), F.col("game_date").alias("gd_game_date"),
                    F.col("season_start_year").alias("gd_season"),
                    F.col("home_team").alias("gd_home"), F.col("visitor_team").alias("gd_visitor"),
                    F.col("arena").alias("gd_arena_name"), F.col("arena_city").alias("gd_arena_city"))
     df = tp.join(gd, F.col("game_id") == F.col("gd_game_id"), "left")
-    df = _team_lookup(df, dim_teams, "team", "team_key", bcast)
+    df = _team_lookup(df, dim_teams, "team", "team_key")
     opp_code = F.when(F.col("team") == F.col("gd_home"), F.col("gd_visitor")).otherwise(F.col("gd_home"))
-    df = _team_lookup(df, dim_teams, opp_code, "opponent_key", bcast)
+    df = _team_lookup(df, dim_teams, opp_code, "opponent_key")
     gdate = F.col("gd_game_date").cast("date")
-    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], small=_b(bcast, "dim_dates"))
+    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")])
     df = lookup(df, dim_seasons, [("gd_season", "season_start_year")],
-                [("season_key", "season_key")], small=_b(bcast, "dim_seasons"))
+                [("season_key", "season_key")])
     df = lookup(df, dim_arenas, [("gd_arena_name", "arena_name"), ("gd_arena_city", "arena_city")],
-                [("arena_key", "arena_key")], small=_b(bcast, "dim_arenas"))
+                [("arena_key", "arena_key")])
     df = _since_filter(df, since, "gd_game_date")
     return df.select(
         X.surrogate_key("game_id", "team").alias("team_game_key"), "team_key", "date_key",

@@ -1,8 +1,7 @@
 """Intermediate layer (M8-M10): conformed team codes, joined box scores.
 
-Seed mappings (team names, code aliases, arenas) are bounded by the number
-of teams/arenas, so they are broadcast; the big inputs meet in shuffle joins
-on ``game_id`` (and ``player_id``/team), which AQE may still convert.
+The big inputs meet in shuffle joins on ``game_id`` (and ``player_id``/team);
+a side is broadcast only where the optimizer measures it small.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...operators.dedupe import first_per_key
-from ...operators.joins import bounded, conform
+from ...operators.joins import conform
 
 
 def _games_with_codes(stg_games: DataFrame, team_mappings: DataFrame, roles: dict[str, str],
@@ -23,8 +22,7 @@ def _games_with_codes(stg_games: DataFrame, team_mappings: DataFrame, roles: dic
     """
     g = stg_games.select(*cols, *roles.keys())
     for src, out in roles.items():
-        m = bounded(team_mappings.select(F.col("full_name").alias(f"__fn_{out}"),
-                                         F.col("team_abbr").alias(out)))
+        m = team_mappings.select(F.col("full_name").alias(f"__fn_{out}"), F.col("team_abbr").alias(out))
         g = g.join(m, F.col(src) == F.col(f"__fn_{out}"), "left").drop(f"__fn_{out}")
     return g
 
@@ -110,7 +108,7 @@ def int_games_enriched(stg_games: DataFrame, int_team_perf: DataFrame, team_mapp
     # one city per arena name: the first by city (W2); bounded seed table
     arenas = first_per_key(arena_mappings.select("arena_name", F.col("city").alias("arena_city")),
                            "arena_name", "arena_city")
-    g = games.join(bounded(arenas), games.arena == arenas.arena_name, "left")
+    g = games.join(arenas, games.arena == arenas.arena_name, "left")
 
     def side(prefix: str) -> DataFrame:
         return int_team_perf.select(

@@ -243,11 +243,11 @@ def q_clock_to_minutes(spark, d):
 @query("regex_guarded_cast", f"""
 WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, {_mp_sql(True)} AS mp FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, mp,
-       CASE WHEN regexp_matches(mp, '^[0-9.]+$') THEN TRY_CAST(mp AS DOUBLE) ELSE 0.0 END AS mp_value,
+       CASE WHEN regexp_matches(mp, '^[0-9.]+$') THEN coalesce(TRY_CAST(mp AS DOUBLE), 0.0) ELSE 0.0 END AS mp_value,
        CASE WHEN mp IS NOT NULL AND mp <> '' AND mp LIKE '%:%'
             THEN CAST(split_part(mp, ':', 1) AS DOUBLE) + CAST(split_part(mp, ':', 2) AS DOUBLE) / 60.0
             WHEN mp IS NOT NULL AND mp <> '' THEN
-                 CASE WHEN regexp_matches(mp, '^[0-9.]+$') THEN TRY_CAST(mp AS DOUBLE) ELSE 0.0 END
+                 CASE WHEN regexp_matches(mp, '^[0-9.]+$') THEN coalesce(TRY_CAST(mp AS DOUBLE), 0.0) ELSE 0.0 END
             ELSE 0.0 END AS minutes
 FROM t
 """)

@@ -439,8 +439,8 @@ def q_join_role_playing(spark, d):
     t = Tables(spark, d)
     o = t.orders.select("o_orderkey", (F.col("o_custkey") % 25).alias("cn"),
                         ((F.col("o_custkey") + F.col("o_orderkey")) % 31).alias("sn"))
-    o = J.lookup(o, t.nation, [("cn", "n_nationkey")], [("n_name", "customer_nation")], small=True)
-    o = J.lookup(o, t.nation, [("sn", "n_nationkey")], [("n_name", "ship_nation")], small=True)
+    o = J.lookup(o, t.nation, [("cn", "n_nationkey")], [("n_name", "customer_nation")])
+    o = J.lookup(o, t.nation, [("sn", "n_nationkey")], [("n_name", "ship_nation")])
     return o.select("o_orderkey", "customer_nation", "ship_nation")
 
 
@@ -506,7 +506,7 @@ def q_join_junk_dim(spark, d):
     from .models.dimensions import ARCHETYPE_COLS
     w = Warehouse(spark, d)
     out = J.lookup(w.int_player_performance, w.dim_player_game_archetypes,
-                   [(c, c) for c in ARCHETYPE_COLS], [("archetype_key", "archetype_key")], small=True)
+                   [(c, c) for c in ARCHETYPE_COLS], [("archetype_key", "archetype_key")])
     return out.select("game_id", "player_id", "archetype_key")
 
 
@@ -531,7 +531,7 @@ def q_star_lookup(spark, d):
                 .select(X.date_key("full_date").alias("date_key"), "full_date"))
     dim_customer = t.customer.select(X.surrogate_key("c_custkey").alias("customer_key"), "c_custkey")
     f = J.lookup(o, dim_date, [(F.col("o_orderdate").cast("date"), "full_date")],
-                 [("date_key", "date_key")], small=True)  # calendar days: bounded
+                 [("date_key", "date_key")])  # calendar days: bounded
     f = J.lookup(f, dim_customer, [("o_custkey", "c_custkey")], [("customer_key", "customer_key")])
     return f.select(X.surrogate_key("o_orderkey").alias("order_key"), "date_key", "customer_key",
                     "o_orderkey", "o_totalprice")

@@ -228,8 +228,8 @@ class Raw:
         o = self.t.orders.alias("o")
         n = self.t.nation
         # nation has one row per team: a fixed, tiny table
-        h = F.broadcast(n.alias("h"))
-        v = F.broadcast(n.alias("v"))
+        h = n.alias("h")
+        v = n.alias("v")
         j = (o.join(h, F.expr("h.n_nationkey = o.o_custkey % 25"), "left")
              .join(v, F.expr("v.n_nationkey = (o.o_custkey + 1 + o.o_orderkey % 24) % 25"), "left"))
         return j.selectExpr(*_exprs(GAMES))
@@ -269,7 +269,7 @@ class Raw:
 
     @property
     def arena_mappings(self) -> DataFrame:
-        nr = self.t.nation.join(F.broadcast(self.t.region),
+        nr = self.t.nation.join(self.t.region,
                                 F.col("n_regionkey") == F.col("r_regionkey"), "inner")
         return (nr.selectExpr(*_exprs(ARENA_MAIN))
                 .unionByName(nr.filter(F.col("n_nationkey") % 5 == 0).selectExpr(*_exprs(ARENA_ANNEX))))
