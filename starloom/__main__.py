@@ -1,8 +1,11 @@
 """Command line: build the layers, run the project's tests.
 
     spark-submit -m starloom build --input DIR --output DIR [--select m1,m2]
+    spark-submit -m starloom build --sources DIR --seeds DIR --output DIR
     spark-submit -m starloom test  --input DIR [--layers DIR] [--store-failures DIR]
 
+``--sources`` holds the six source tables (NAME.parquet), ``--seeds`` the three
+seed files (NAME.csv); ``--input`` derives both from the test tables instead.
 ``build`` writes the staging table, the intermediate and dimension tables
 and loads the facts incrementally (full on the first run). ``test`` runs the
 project's schema tests and prints one summary row per test; failing rows go
@@ -21,7 +24,9 @@ def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="starloom")
     sub = ap.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("build")
-    b.add_argument("--input", required=True)
+    b.add_argument("--input", default="")
+    b.add_argument("--sources", default="")
+    b.add_argument("--seeds", default="")
     b.add_argument("--output", required=True)
     b.add_argument("--select", default="")
     t = sub.add_parser("test")
@@ -31,11 +36,14 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
+    if args.cmd == "build" and bool(args.input) == bool(args.sources and args.seeds):
+        ap.error("build needs --input, or --sources with --seeds")
     spark = get_session(args.master)
     from .plans.layers import TABLE_MODELS, Warehouse, build_warehouse
     if args.cmd == "build":
         models = [m for m in args.select.split(",") if m] or None
-        print(json.dumps(build_warehouse(spark, args.input, args.output, models)))
+        print(json.dumps(build_warehouse(spark, args.input, args.output, models,
+                                         sources_dir=args.sources, seeds_dir=args.seeds)))
         return 0
     from .plans.project_tests import project_checks
     from .operators.quality import run_suite
@@ -48,7 +56,7 @@ def main(argv=None) -> int:
                 w.use(name, spark.read.parquet(path))
     checks = project_checks(w)
     if args.store_failures:
-        store_failures(checks, args.store_failures)
+        checks = store_failures(checks, args.store_failures)
     for row in run_suite(checks).orderBy("check_index").collect():
         print(json.dumps(row.asDict()))
     return 0

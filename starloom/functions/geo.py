@@ -19,7 +19,7 @@ def haversine_distance(lat1, lon1, lat2, lon2, unit: str = "mi") -> Column:
     elif unit == "km":
         rate = KM_PER_MILE
     else:
-        raise ValueError(f"unit input must be one of 'mi' or 'km'. Got {unit}")
+        raise ValueError(f"haversine_distance: unknown unit {unit!r}, use mi or km")
     la1, lo1, la2, lo2 = (as_col_or_lit(c).cast("double") for c in (lat1, lon1, lat2, lon2))
     a = (F.pow(F.sin(F.radians((la2 - la1) / 2)), 2)
          + F.cos(F.radians(la1)) * F.cos(F.radians(la2))

@@ -14,6 +14,14 @@ _HASHABLE = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType,
              T.BooleanType, T.DateType, T.DecimalType)
 
 
+def _text(c: Column) -> Column:
+    """``c`` as text. Floating values have no text form that engines share: the
+    job fails on them (the type test is folded away when the plan is made)."""
+    floating = F.typeof(c).isin("float", "double")
+    return F.when(floating, F.raise_error(F.concat(F.lit("surrogate_key: cast to decimal or string first, not "), F.typeof(c)))
+                  ).otherwise(c.cast("string"))
+
+
 def surrogate_key(*cols, nulls_as_empty: bool = False) -> Column:
     """md5 of the fields cast to text and joined by ``-``; NULL becomes a
     fixed token (or ``''`` when ``nulls_as_empty``).
@@ -26,7 +34,7 @@ def surrogate_key(*cols, nulls_as_empty: bool = False) -> Column:
     if not cols:
         raise ValueError("surrogate_key needs at least one field")
     token = F.lit("" if nulls_as_empty else NULL_TOKEN)
-    parts = [F.coalesce(as_col(c).cast("string"), token) for c in cols]
+    parts = [F.coalesce(_text(as_col(c)), token) for c in cols]
     return F.md5(F.concat_ws(SEPARATOR, *parts))
 
 

@@ -32,6 +32,12 @@ class Check:
     failures: DataFrame
     fail_calc: Column | None = None  # None = count(*)
     severity: str = "warn"
+    # conditions on the number of failures; None: the suite's
+    warn_if: str | None = None
+    error_if: str | None = None
+    # a check of single rows: its relation and the condition a failing row meets
+    relation: DataFrame | None = None
+    fails: Column | None = None
 
     def count_expr(self) -> Column:
         return F.count(F.lit(1)) if self.fail_calc is None else self.fail_calc
@@ -45,17 +51,23 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _row_check(name: str, df: DataFrame, fails: Column, where, failures: DataFrame | None = None) -> Check:
+    """A check that looks at one row at a time."""
+    if where is not None:
+        fails = (F.expr(where) if isinstance(where, str) else where) & fails
+    return Check(name, df.filter(fails) if failures is None else failures, relation=df, fails=fails)
+
+
 # ------------------------------------------------------------------ Q1
 def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None,
                    inclusive: bool = True, where=None) -> Check:
-    src = _scope(df, where)
     c = _c(column)
     cond = F.lit(False)
     if min_value is not None:
         cond = cond | ~((c >= F.lit(min_value)) if inclusive else (c > F.lit(min_value)))
     if max_value is not None:
         cond = cond | ~((c <= F.lit(max_value)) if inclusive else (c < F.lit(max_value)))
-    return Check("accepted_range", src.filter(cond))
+    return _row_check("accepted_range", df, cond, where)
 
 
 # ------------------------------------------------------------------ Q2
@@ -154,7 +166,7 @@ def equality(df: DataFrame, compare: DataFrame, compare_columns: Sequence[str] |
     fail_calc = rows + |#a_minus_b - #b_minus_a|.
     """
     if compare_columns and exclude_columns:
-        raise ValueError("Both a compare and an ignore list were provided; only one is allowed")
+        raise ValueError("equality: give compare_columns or exclude_columns, not both")
     a = _scope(df, where)
     if compare_columns:
         low = {c.lower() for c in compare_columns}
@@ -187,7 +199,7 @@ def equality(df: DataFrame, compare: DataFrame, compare_columns: Sequence[str] |
 def expression_is_true(df: DataFrame, expression: str, column_name: str | None = None,
                        where=None) -> Check:
     expr = f"`{column_name}` {expression}" if column_name else expression
-    return Check("expression_is_true", _scope(df, where).filter(~F.expr(expr)))
+    return _row_check("expression_is_true", df, ~F.expr(expr), where)
 
 
 # ------------------------------------------------------------------ Q7
@@ -324,7 +336,7 @@ def unique(df: DataFrame, column: str, where=None) -> Check:
 
 
 def not_null(df: DataFrame, column: str, where=None) -> Check:
-    return Check("not_null", _scope(df, where).filter(_c(column).isNull()))
+    return _row_check("not_null", df, _c(column).isNull(), where)
 
 
 def accepted_values(df: DataFrame, column: str, values: Iterable, where=None) -> Check:
@@ -339,7 +351,7 @@ def accepted_values(df: DataFrame, column: str, values: Iterable, where=None) ->
 def not_empty_string(df: DataFrame, column: str, trim_whitespace: bool = True, where=None) -> Check:
     v = F.trim(_c(column)) if trim_whitespace else _c(column)
     out = _scope(df, where).select(v.alias(column)).filter(_c(column) == F.lit(""))
-    return Check("not_empty_string", out)
+    return _row_check("not_empty_string", df, v == F.lit(""), where, out)
 
 
 # ------------------------------------------------------------------ Q14
@@ -382,7 +394,7 @@ def unique_combination_of_columns(df: DataFrame, combination_of_columns: Sequenc
 def assert_equal(df: DataFrame, actual: str | Column, expected: str | Column, where=None) -> Check:
     a = F.expr(actual) if isinstance(actual, str) else actual
     e = F.expr(expected) if isinstance(expected, str) else expected
-    return Check("assert_equal", _scope(df, where).filter(a != e))
+    return _row_check("assert_equal", df, a != e, where)
 
 
 # ------------------------------------------------------------------ Q19
@@ -404,21 +416,32 @@ def columns_match_set(spark: SparkSession, df: DataFrame, column_list: Sequence[
 def run_suite(checks: Sequence[Check], warn_if: str = "!= 0", error_if: str = "!= 0") -> DataFrame:
     """One summary row per check: name, failures (fail_calc), status.
 
-    Each count is an aggregate over its check's failures (partial per task);
-    the union of one-row aggregates is the only thing to collect.
+    All row checks of a relation are counted in one aggregate (one scan, however
+    many checks); the others by an aggregate over their failures each. A check's
+    own ``warn_if`` and ``error_if`` go before the suite's.
     """
     if not checks:
         raise ValueError("run_suite needs at least one check")
-    parts = []
+    parts: list[DataFrame] = []
+    fused: dict[int, list[int]] = {}
     for i, ch in enumerate(checks):
-        failures = ch.failures.agg(F.coalesce(ch.count_expr(), F.lit(0)).cast("long").alias("failures"))
-        err = F.expr(f"failures {error_if}")
-        warn = F.expr(f"failures {warn_if}")
-        status = (F.when(err & F.lit(ch.severity == "error"), F.lit("error"))
-                  .when(warn, F.lit("warn")).otherwise(F.lit("pass")))
-        parts.append(failures.select(F.lit(i).alias("check_index"), F.lit(ch.name).alias("check_name"),
-                                     "failures", status.alias("status")))
+        if ch.fails is not None and ch.fail_calc is None:
+            fused.setdefault(id(ch.relation), []).append(i)
+        else:
+            parts.append(ch.failures.agg(F.coalesce(ch.count_expr(), F.lit(0)).cast("long").alias("failures"))
+                         .select(F.lit(i).alias("check_index"), "failures"))
+    for own in fused.values():
+        counts = checks[own[0]].relation.agg(*[F.count_if(checks[i].fails).alias(f"c{i}") for i in own])
+        parts.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("check_index"), F.col(f"c{i}").alias("failures")) for i in own]))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+
+    def told(value):  # a value of each check, by its index
+        return F.get(F.array(*[value(ch) for ch in checks]), F.col("check_index"))
+
+    errs = told(lambda ch: F.expr(f"failures {ch.error_if or error_if}") & F.lit(ch.severity == "error"))
+    warns = told(lambda ch: F.expr(f"failures {ch.warn_if or warn_if}"))
+    status = F.when(errs, F.lit("error")).when(warns, F.lit("warn")).otherwise(F.lit("pass"))
+    return out.select("check_index", told(lambda ch: F.lit(ch.name)).alias("check_name"), "failures", status.alias("status"))

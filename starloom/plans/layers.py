@@ -217,21 +217,40 @@ def land_sources(spark: SparkSession, base: str, out_dir: str) -> dict[str, Data
     return stored
 
 
-def build_warehouse(spark: SparkSession, base: str, out_dir: str,
-                    models: list[str] | None = None) -> dict[str, str]:
+SEED_SCHEMAS = {
+    "team_mappings": "team_abbr string, full_name string",
+    "team_abbreviation_mappings": "source_abbr string, team_abbr string",
+    "arena_mappings": "arena_name string, city string, state_or_country string, location string",
+}
+
+
+def read_sources(spark: SparkSession, sources_dir: str, seeds_dir: str) -> dict[str, DataFrame]:
+    """The six source tables (Parquet) and the three seeds (CSV with a header,
+    columns by name in any order)."""
+    from ..sources.tables import read_seed_csv
+    return {n: read_seed_csv(spark, f"{seeds_dir.rstrip('/')}/{n}.csv", SEED_SCHEMAS[n]) if n in SEED_SCHEMAS
+            else spark.read.parquet(f"{sources_dir.rstrip('/')}/{n}.parquet") for n in RAW_SOURCES}
+
+
+def build_warehouse(spark: SparkSession, base: str, out_dir: str, models: list[str] | None = None,
+                    sources_dir: str = "", seeds_dir: str = "") -> dict[str, str]:
     """Write every layer under ``out_dir`` in dependency order.
 
     Each written table is read back and used downstream, so every model is
     computed once and each job's lineage starts at the previous layer's
     files. Facts are loaded with the incremental sink (full on the first
     run, look-back upsert afterwards). Already written sources and layers
-    that are not selected are reused. Returns {model: how it was written}.
+    that are not selected are reused. Written staging tables carry ``loaded_at``.
+    With ``sources_dir`` and ``seeds_dir`` the real tables are read instead of
+    those derived from ``base``. Returns {model: how it was written}.
     """
-    from ..sources.sinks import _fs_exists, incremental_refresh, write_layer
+    from ..sources.sinks import _fs_exists, incremental_refresh, with_load_time, write_layer
 
     root = out_dir.rstrip("/")
     done: dict[str, str] = {}
-    if models is None or not all(_fs_exists(spark, f"{root}/raw/{n}") for n in RAW_SOURCES):
+    if sources_dir:
+        sources = read_sources(spark, sources_dir, seeds_dir)
+    elif models is None or not all(_fs_exists(spark, f"{root}/raw/{n}") for n in RAW_SOURCES):
         sources = land_sources(spark, base, root)
         done["sources"] = "landed"
     else:
@@ -242,13 +261,14 @@ def build_warehouse(spark: SparkSession, base: str, out_dir: str,
         path = f"{root}/{name}"
         if name not in wanted:
             if _fs_exists(spark, path):  # reuse the stored layer
-                w.use(name, spark.read.parquet(path))
+                w.use(name, spark.read.parquet(path).drop("loaded_at"))
             continue
         df = getattr(w, name)
         # date-bearing layers are clustered by date inside each file, so the
         # look-back filter of incremental runs skips old row groups
-        write_layer(df, path, sort_within=["game_date"] if "game_date" in df.columns else ())
-        w.use(name, spark.read.parquet(path))
+        write_layer(with_load_time(df) if name in STAGING else df, path,
+                    sort_within=["game_date"] if "game_date" in df.columns else ())
+        w.use(name, spark.read.parquet(path).drop("loaded_at"))
         done[name] = "table"
     for name in FACTS:
         if name not in wanted:

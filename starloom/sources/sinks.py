@@ -28,6 +28,7 @@ only re-runs its tasks.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -203,7 +204,14 @@ def _schema(df: DataFrame) -> list[tuple[str, str]]:
     return sorted((f.name.lower(), f.dataType.simpleString()) for f in df.schema.fields)
 
 
-def store_failures(checks, base_path: str) -> None:
-    """Failure sink (S6): each check's failing rows to its own directory."""
+def store_failures(checks, base_path: str) -> list:
+    """Failure sink (S6): each check's failing rows to its own directory.
+    Returns the checks reading those rows, so that counting them computes no
+    check again."""
+    out = []
     for i, ch in enumerate(checks):
-        ch.failures.write.mode("overwrite").parquet(f"{base_path.rstrip('/')}/{i:03d}_{ch.name}")
+        path = f"{base_path.rstrip('/')}/{i:03d}_{ch.name}"
+        ch.failures.write.mode("overwrite").parquet(path)
+        stored = ch.failures.sparkSession.read.schema(ch.failures.schema).parquet(path)
+        out.append(replace(ch, failures=stored, relation=None, fails=None))
+    return out

@@ -47,8 +47,11 @@ def scan_live(df: DataFrame, deleted_col: str = "deleted_at",
 
 
 def read_seed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Seed load (S2): header row, explicit schema, no inference pass."""
-    return spark.read.csv(path, header=True, schema=schema)
+    """Seed load (S2): header row, no inference pass; the columns of ``schema``
+    are taken by name, whatever their order in the file."""
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    rows = spark.read.csv(path, header=True)
+    return rows.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in fields])
 
 
 def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict,

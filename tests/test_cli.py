@@ -19,3 +19,25 @@ def test_cli_build_then_test(spark, sf_small, tmp_path, capsys):
     assert names["unique_stg_games_game_id"]["status"] == "pass"
     assert spark.read.parquet(f"{fails}/004_not_null_games_visitor_team").count() == \
         names["not_null_games_visitor_team"]["failures"]
+
+
+def test_cli_build_from_sources_and_seeds(spark, sf_small, tmp_path, capsys):
+    from starloom.plans.layers import RAW_SOURCES, SEED_SCHEMAS, Warehouse
+    from starloom.plans.raw import Raw
+    raw = Raw(spark, sf_small)
+    for name in RAW_SOURCES:
+        df = getattr(raw, name)
+        if name in SEED_SCHEMAS:
+            df.select(*reversed(df.columns)).coalesce(1).write.csv(str(tmp_path / "seeds" / f"{name}.csv"), header=True)
+        else:
+            df.write.parquet(str(tmp_path / "src" / f"{name}.parquet"))
+    out = str(tmp_path / "wh")
+    assert main(["build", "--sources", str(tmp_path / "src"), "--seeds", str(tmp_path / "seeds"), "--output", out,
+                 "--select", "stg_line_scores,stg_games,dim_teams"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {n: "table" for n in ("stg_line_scores", "stg_games", "dim_teams")}
+    w = Warehouse(spark, sf_small)
+    for name in ("stg_games", "dim_teams"):
+        got = spark.read.parquet(f"{out}/{name}")
+        assert ("loaded_at" in got.columns) == (name == "stg_games")
+        want = getattr(w, name)
+        assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count()

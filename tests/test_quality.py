@@ -133,3 +133,13 @@ def test_columns_match_and_suite(spark):
     suite = Q.run_suite([Q.not_null(df, "a"), Q.accepted_range(df, "a", 5, 9)])
     got = {r.check_name: (r.failures, r.status) for r in suite.collect()}
     assert got == {"not_null": (0, "pass"), "accepted_range": (1, "warn")}
+
+
+def test_suite_takes_each_checks_own_conditions(spark):
+    df = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "a int, b string")
+    checks = [Q.not_null(df, "a"), Q.not_null(df, "b"), Q.not_null(df, "b", where="a > 1"), Q.unique(df, "b")]
+    checks[0].severity, checks[0].error_if = "error", "> 5"
+    checks[1].severity, checks[1].error_if = "error", "> 1"
+    checks[3].warn_if = ">= 0"
+    got = {r.check_index: (r.failures, r.status) for r in Q.run_suite(checks).collect()}
+    assert got == {0: (1, "warn"), 1: (2, "error"), 2: (0, "pass"), 3: (0, "warn")}
