@@ -23,7 +23,8 @@ from .common import arrow_udf_of
 #: Most characters, as a share of all word characters, that repeated n-grams
 #: (without each one's first occurrence) may cover.
 COVERAGE_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
-MAX_DUP_LINE_SHARE = 0.30
+#: Most characters that duplicate lines may hold. The share of duplicate lines
+#: is measured but decides nothing: one of three lines is no defect.
 MAX_DUP_LINE_CHARS = 0.20
 BASE_WINDOW = 8
 BASE_MIN_WORDS = 20
@@ -90,7 +91,6 @@ def measure(text: str | None, lengths: tuple[int, ...]) -> tuple:
 
 
 def quality(text: Column, coverage_limits: dict[int, float] | None = None,
-            max_dup_line_share: float = MAX_DUP_LINE_SHARE,
             max_dup_line_chars: float = MAX_DUP_LINE_CHARS) -> Column:
     """Struct of the measures and verdicts of ``text``.
 
@@ -111,7 +111,7 @@ def quality(text: Column, coverage_limits: dict[int, float] | None = None,
                 n, chars, symbols, dup, lines, dup_chars, repeat, *cover = measure(t, lengths)
                 failed = n < BASE_MIN_WORDS or 100 * repeat > BASE_REPEAT_PERCENT * n
                 share, char_share = dup / max(1, lines), dup_chars / max(1, chars)
-                good = (not failed and share <= max_dup_line_share and char_share <= max_dup_line_chars
+                good = (not failed and char_share <= max_dup_line_chars
                         and all(c <= limits[k] for k, c in zip(lengths, cover)))
                 out.append((n, chars, symbols, dup, lines, dup_chars, repeat, failed, good, share, char_share, *cover))
             yield pd.DataFrame(out, columns=names)

@@ -197,7 +197,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for b in batches:
             yield pd.DataFrame({"x": [counter.features(t).tobytes() for t in b["text"]], "toxic": b["toxic"]})
 
-    got = sample.mapInPandas(rows, "x binary, toxic int").orderBy("x", "toxic").collect()  # about fit_rows rows
+    got = sample.mapInPandas(rows, "x binary, toxic int").collect()  # about fit_rows rows
+    got.sort(key=lambda r: (bytes(r["x"]), r["toxic"]))  # the sums below do not depend on the tasks' order
     x = np.array([np.frombuffer(r["x"], np.float32) for r in got], np.float64)
     post = label_model(votes_of(x, len(terms)), np.array([r["toxic"] for r in got]))
     return ToxicityModel(tuple(terms), tuple(logistic(x, post)))
