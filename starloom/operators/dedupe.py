@@ -6,7 +6,7 @@ Two plans are offered:
   The aggregate is partial (map-side combine), so a key that holds a third
   of all rows is reduced inside every map task before the shuffle; no task
   ever sorts a whole hot key. Used when every order column can be expressed
-  in one direction (or negated: numbers, dates, timestamps).
+  in one direction or turned round (numbers, dates, timestamps, texts).
 * ``window``: ``row_number()`` over the key, the textbook plan; a hot key
   lands in one task. Kept for order specs the aggregate cannot encode.
 
@@ -46,7 +46,8 @@ def _orders(order_by: Sequence[Order | str]) -> list[Order]:
 
 
 _NEGATABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-              T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+              T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType,
+              T.StringType, T.BinaryType, T.BooleanType)
 
 
 def _ascending_key(o: Order, dt: T.DataType, flip: bool) -> list[Column] | None:
@@ -60,7 +61,15 @@ def _ascending_key(o: Order, dt: T.DataType, flip: bool) -> list[Column] | None:
         return [null_rank, c]
     if not isinstance(dt, _NEGATABLE):
         return None
-    if isinstance(dt, T.DateType):
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        # the bytes' hex digits exchanged end for end; the closing G, above F,
+        # puts a longer text before its own beginning
+        neg = F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+    elif isinstance(dt, T.BooleanType):
+        neg = ~c
+    elif isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        neg = F.bitwise_not(c)  # also reverses the smallest value, which has no negative
+    elif isinstance(dt, T.DateType):
         neg = -F.unix_date(c)
     elif isinstance(dt, T.TimestampType):
         neg = -F.unix_micros(c)

@@ -77,6 +77,16 @@ def test_dedupe_nulls_and_ties(spark):
         assert rows(got) == [(1, "new", dt.date(2021, 1, 1)), (2, "a", dt.date(2020, 1, 1))]
 
 
+def test_dedupe_text_descending_needs_no_window(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "ab", 2), (1, "", 3), (2, "é", 4), (2, "z", 5), (3, None, 6), (3, "x", 7),
+                                (4, "b", -2**63), (4, "b", 2**63 - 1)], "id int, s string, n long")
+    for order in ([Order("s", desc=True)], [Order("s", desc=True, nulls_first=False)],
+                  [Order("s", desc=True), Order("n", desc=True)], [Order("n", desc=True)]):
+        a, b = deduplicate(df, ["id"], order), deduplicate(df, ["id"], order, method="window")
+        assert rows(a) == rows(b)
+        assert "Window" not in a._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_date_spine_end_excluded(spark):
     b = spark.createDataFrame([(dt.date(2018, 1, 1), dt.date(2018, 1, 10))], "s date, e date")
     days = [r[0] for r in G.date_spine(b, "s", "e", "day").orderBy("date_day").collect()]
