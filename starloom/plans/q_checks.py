@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import functions as X
+from ..fixed_values import EQUAL_ROWCOUNT_ID, FEWER_ROWS_THAN_ID
 from ..operators import quality as Q
 from ..sources.tables import Tables
 from .registry import query
@@ -59,11 +60,11 @@ def q_dq_cardinality_equality(spark, d):
     return Q.cardinality_equality(t.orders, "o_custkey", t.customer, "c_custkey").failures
 
 
-@query("dq_equal_rowcount", """
+@query("dq_equal_rowcount", f"""
 WITH a AS (SELECT o_orderstatus, 1 AS id, count(*) AS count_a FROM orders GROUP BY o_orderstatus),
      b AS (SELECT o_orderstatus, 1 AS id, count(*) AS count_b FROM orders
            WHERE o_totalprice >= 10000 AND o_orderstatus <> 'P' GROUP BY o_orderstatus)
-SELECT a.id AS id_dbtutils_test_equal_rowcount_a, b.id AS id_dbtutils_test_equal_rowcount_b,
+SELECT a.id AS {EQUAL_ROWCOUNT_ID}_a, b.id AS {EQUAL_ROWCOUNT_ID}_b,
        a.o_orderstatus AS o_orderstatus_a, b.o_orderstatus AS o_orderstatus_b,
        count_a, count_b, abs(count_a - count_b) AS diff_count
 FROM a FULL JOIN b ON a.id = b.id AND a.o_orderstatus = b.o_orderstatus
@@ -74,12 +75,12 @@ def q_dq_equal_rowcount(spark, d):
     return Q.equal_rowcount(o, other, group_by=["o_orderstatus"]).failures
 
 
-@query("dq_fewer_rows_than", """
+@query("dq_fewer_rows_than", f"""
 WITH a AS (SELECT o_orderpriority, 1 AS id, count(*) AS count_our_model FROM orders
            WHERE o_orderstatus = 'F' GROUP BY o_orderpriority),
      b AS (SELECT o_orderpriority, 1 AS id, count(*) AS count_comparison_model FROM orders
            WHERE o_orderstatus = 'O' AND o_orderpriority <> '2-HIGH' GROUP BY o_orderpriority)
-SELECT a.id AS id_dbtutils_test_fewer_rows_than_a, b.id AS id_dbtutils_test_fewer_rows_than_b,
+SELECT a.id AS {FEWER_ROWS_THAN_ID}_a, b.id AS {FEWER_ROWS_THAN_ID}_b,
        a.o_orderpriority AS o_orderpriority_a, b.o_orderpriority AS o_orderpriority_b,
        count_our_model, count_comparison_model,
        CASE WHEN count_our_model > count_comparison_model THEN count_our_model - count_comparison_model

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import functions as X
+from ..fixed_values import SURROGATE_KEY_NULL
 from ..sources.tables import Tables
 from .registry import query
 
@@ -18,13 +19,13 @@ def _null_when(col, key, n):
 
 
 # ---------------------------------------------------------------- F1 keys
-@query("surrogate_key", """
+@query("surrogate_key", f"""
 SELECT c_custkey,
        md5(concat_ws('-',
-           coalesce(CAST(c_custkey AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
-           coalesce(CAST(CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
-           coalesce(CAST(c_nationkey AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
-           coalesce(CAST(c_mktsegment = 'BUILDING' AS VARCHAR), '_dbt_utils_surrogate_key_null_'))) AS customer_key
+           coalesce(CAST(c_custkey AS VARCHAR), '{SURROGATE_KEY_NULL}'),
+           coalesce(CAST(CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS VARCHAR), '{SURROGATE_KEY_NULL}'),
+           coalesce(CAST(c_nationkey AS VARCHAR), '{SURROGATE_KEY_NULL}'),
+           coalesce(CAST(c_mktsegment = 'BUILDING' AS VARCHAR), '{SURROGATE_KEY_NULL}'))) AS customer_key
 FROM customer
 """)
 def q_surrogate_key(spark, d):

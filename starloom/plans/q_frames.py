@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import functions as X
+from ..fixed_values import UNION_SOURCE_COLUMN
 from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import reshape as R
@@ -225,8 +226,8 @@ _U_SUPP = "SELECT s_suppkey AS id, s_name AS name, s_nationkey AS nation, s_acct
 
 
 def _union_sql(cols_c, cols_s, where="", src=True):
-    tag_c = "'customer' AS _dbt_source_relation, " if src else ""
-    tag_s = "'supplier' AS _dbt_source_relation, " if src else ""
+    tag_c = f"'customer' AS {UNION_SOURCE_COLUMN}, " if src else ""
+    tag_s = f"'supplier' AS {UNION_SOURCE_COLUMN}, " if src else ""
     w = f" WHERE {where}" if where else ""
     return (f"SELECT {tag_c}{cols_c} FROM ({_U_CUST}) c{w}\n"
             f"UNION ALL SELECT {tag_s}{cols_s} FROM ({_U_SUPP}) s{w}")
@@ -270,8 +271,8 @@ def q_union_override(spark, d):
     return R.union_relations(_union_inputs(spark, d), column_override={"nation": "bigint"})
 
 
-@query("union_by_pattern", """
-SELECT 'events_click' AS _dbt_source_relation, event_id, ts, user_id, value, CAST(NULL AS VARCHAR) AS props
+@query("union_by_pattern", f"""
+SELECT 'events_click' AS {UNION_SOURCE_COLUMN}, event_id, ts, user_id, value, CAST(NULL AS VARCHAR) AS props
   FROM events WHERE event_type = 'click'
 UNION ALL SELECT 'events_other', event_id, ts, user_id, value, props
   FROM events WHERE event_type NOT IN ('click', 'purchase') OR event_type IS NULL

@@ -2,6 +2,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from starloom.fixed_values import SURROGATE_KEY_NULL
 from starloom import functions as X
 
 
@@ -12,7 +13,7 @@ def rows(df):
 def test_surrogate_key_matches_md5_text(spark):
     df = spark.createDataFrame([(1, "a", None), (None, None, True)], "c1 int, c2 string, c3 boolean")
     got = [r[0] for r in df.select(X.surrogate_key("c1", "c2", "c3")).collect()]
-    tok = "_dbt_utils_surrogate_key_null_"
+    tok = SURROGATE_KEY_NULL
     want = [hashlib.md5(f"1-a-{tok}".encode()).hexdigest(),
             hashlib.md5(f"{tok}-{tok}-true".encode()).hexdigest()]
     assert got == want

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.fixed_values import UNION_SOURCE_COLUMN
 from starloom.operators import aggregates as A
 from starloom.operators import joins as J
 from starloom.operators import reshape as R
@@ -54,7 +55,7 @@ def test_union_superset_first_type(spark):
     a = spark.createDataFrame([(1, "x")], "id int, name string")
     b = spark.createDataFrame([(2.5, 7)], "id double, extra int")
     u = R.union_relations({"a": a, "b": b})
-    assert u.columns == ["_dbt_source_relation", "id", "name", "extra"]
+    assert u.columns == [UNION_SOURCE_COLUMN, "id", "name", "extra"]
     assert dict(u.dtypes)["id"] == "int"  # first-seen type, no widening
     assert rows(u) == [("a", 1, "x", None), ("b", 2, None, 7)]
     with pytest.raises(ValueError):
