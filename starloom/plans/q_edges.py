@@ -3,6 +3,8 @@ buckets, NULL scalars, mixed-case names, text-ordered ranges, long decimals."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import functions as X
@@ -10,7 +12,9 @@ from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import reshape as R
 from ..operators import series as G
-from ..sources.tables import Tables, scan_live
+from ..session import ensure_checkpoint_dir
+from ..sources.sinks import store_failures, write_layer
+from ..sources.tables import Tables, read_seed_csv, scan_live
 from .registry import query
 
 
@@ -100,3 +104,42 @@ def q_dq_equality_precision_12(spark, d):
     diff = Q.equality(side(part[0]), side(F.when(F.col("c_mktsegment") == "BUILDING", part[1]).otherwise(part[2])),
                       precision=12).failures
     return diff.withColumn("v", F.col("v").cast("string"))
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("table_sink", "SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS order_date FROM orders")
+def q_table_sink(spark, d):
+    """Full-refresh sink (S4), partitioned and clustered, written twice and read back."""
+    rows = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("order_date"))
+    path = _scratch(spark, "table")
+    for _ in range(2):
+        write_layer(rows, path, partition_by=["o_orderstatus"], sort_within=["order_date"])
+    return spark.read.parquet(path).select("o_orderkey", F.col("o_orderstatus").cast("string").alias("o_orderstatus"), "order_date")
+
+
+@query("view_sink", "SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY c_nationkey")
+def q_view_sink(spark, d):
+    """A model as a session view (S3), read by SQL."""
+    Tables(spark, d).customer.createOrReplaceTempView("starloom_customers")
+    return spark.sql("SELECT c_nationkey, count(*) AS customers FROM starloom_customers GROUP BY c_nationkey")
+
+
+@query("seed_csv", "SELECT n_nationkey, n_name FROM nation")
+def q_seed_csv(spark, d):
+    """Seed load (S2): a CSV with its columns in another order."""
+    path = _scratch(spark, "seed")
+    Tables(spark, d).nation.select("n_name", "n_nationkey").write.csv(path, header=True)
+    return read_seed_csv(spark, path, f"n_nationkey {Tables(spark, d).nation.schema['n_nationkey'].dataType.simpleString()}, n_name string")
+
+
+@query("failure_sink", """
+SELECT 'accepted_range' AS check_name, count(*) AS failures FROM orders WHERE o_totalprice < 5000
+UNION ALL SELECT 'unique', count(*) FROM (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 1)""")
+def q_failure_sink(spark, d):
+    """Failing rows stored (S6), then counted from the stored rows."""
+    o = Tables(spark, d).orders
+    stored = store_failures([Q.accepted_range(o, "o_totalprice", 5000), Q.unique(o, "o_custkey")], _scratch(spark, "failures"))
+    return Q.run_suite(stored).select("check_name", "failures")
