@@ -6,8 +6,9 @@ concatenated into one text:
 
     <turn>ROLE\\nTEXT<next>TEXT</turn>\\n<turn>...
 
-``&`` and ``<`` inside roles and texts are written ``&amp;`` and ``&lt;``, so the
-three marks cannot occur in them and the reading back is exact.
+``&`` and ``<`` inside roles and texts are written ``&amp;`` and ``&lt;``, and a
+role's line ends ``&#10;``, so the marks cannot occur in them and the reading
+back is exact.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ def escaped(c: Column) -> Column:
 
 
 def unescaped(c: Column) -> Column:
-    return F.replace(F.replace(c, F.lit("&lt;"), F.lit("<")), F.lit("&amp;"), F.lit("&"))
+    lines = F.replace(c, F.lit("&#10;"), F.lit("\n"))
+    return F.replace(F.replace(lines, F.lit("&lt;"), F.lit("<")), F.lit("&amp;"), F.lit("&"))
 
 
 def blocks(turns: Column) -> Column:
@@ -39,14 +41,13 @@ def blocks(turns: Column) -> Column:
 
 def formatted(merged: Column) -> Column:
     one = F.transform(merged, lambda b: F.concat(
-        F.lit(OPEN), escaped(b["role"]), F.lit("\n"),
+        F.lit(OPEN), F.replace(escaped(b["role"]), F.lit("\n"), F.lit("&#10;")), F.lit("\n"),
         F.array_join(F.transform(b["texts"], escaped), NEXT), F.lit(CLOSE)))
     return F.array_join(one, "")
 
 
 def read_back(text: Column) -> Column:
-    """array<struct<role, text>> of a formatted text: the turns as they were.
-    (A role's own line ends are part of it only if escaped roles hold none.)"""
+    """array<struct<role, text>> of a formatted text: the turns as they were."""
     raw = F.filter(F.split(text, CLOSE, -1), lambda b: F.startswith(b, F.lit(OPEN)))
     parts = F.transform(raw, lambda b: F.struct(
         F.substring_index(F.substr(b, F.lit(len(OPEN) + 1)), "\n", 1).alias("role"),
@@ -63,10 +64,10 @@ def format_conversations(df: DataFrame, id_col: str = "conv_id", turn_col: str =
 
     Turns go by number, ties by role and text; repeated rows stay. A null text
     is empty, a null role the empty role, a null turn number comes first, and
-    rows with a null id form one conversation. Line ends in roles become spaces.
-    Further columns are not read. Empty input gives an empty result.
+    rows with a null id form one conversation. Further columns are not read.
+    Empty input gives an empty result.
     """
-    role = F.translate(F.coalesce(F.col(role_col), F.lit("")), "\n", " ")
+    role = F.coalesce(F.col(role_col), F.lit(""))
     turn = F.struct(F.col(turn_col).alias("turn"), role.alias("role"),
                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     turns = df.select(F.col(id_col).alias(id_col), turn.alias("t")).groupBy(id_col).agg(

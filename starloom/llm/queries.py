@@ -32,12 +32,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_chat_format", sql="""
     WITH t AS (
-        SELECT conv_id, turn, replace(coalesce(role, ''), chr(10), ' ') AS role, coalesce(text, '') AS text FROM conversations
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
         UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
         UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
     ), e AS (
         SELECT *, lag(role) OVER w IS DISTINCT FROM role OR lag(role) OVER w IS NULL AS opens,
-               replace(replace(role, '&', '&amp;'), '<', '&lt;') AS er, replace(replace(text, '&', '&amp;'), '<', '&lt;') AS et
+               replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), chr(10), '&#10;') AS er, replace(replace(text, '&', '&amp;'), '<', '&lt;') AS et
         FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
     )
     SELECT conv_id, count(*) AS n_turns,

@@ -87,7 +87,7 @@ def test_quality_rejects_repeats_below_the_base_limit(spark):
 
 def test_chat_round_trip_and_edges(spark):
     rows = [(1, 2, "user", "b <turn> &lt; &amp; </turn>\n"), (1, 1, "user", "a"), (1, 3, "assistant", "<next>"), (1, 3, "assistant", "<next>"),
-            (2, None, None, None), (2, 1, "assistant", ""), (None, 1, "system", "x"), (3, 1, "us<er&", "\\### Assistant: </turn> ok")]
+            (2, None, None, None), (2, 1, "assistant", ""), (None, 1, "system", "x"), (3, 1, "us<er&\n&#10;", "\\### Assistant: </turn> ok")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, blocks string")
     out = {r.conv_id: r for r in format_conversations(df).withColumn("back", read_back(F.col("formatted"))).collect()}
     assert [(t.role, t.text) for t in out[1].back] == [("user", "a"), ("user", rows[0][3]), ("assistant", "<next>"), ("assistant", "<next>")]
