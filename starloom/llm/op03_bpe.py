@@ -135,8 +135,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks:
     ship(spark)
     with open(ranks or public_tokenizers.path(RANKS), "rb") as f:  # a fixed vocabulary, under 1 MB
         raw = spark.sparkContext.broadcast(f.read())
-    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(F.col(id_col).alias("id")).schema)
-    kind += ", n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded binary")
+    kind = "id string, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded binary")
 
     def results(ids: list, pieces: Iterator[list[str]]) -> pd.DataFrame:
         own, out = codec(raw.value), []
@@ -172,14 +171,16 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks:
                   zip(p["start"], p["text"], p["ends"], p["last"])]
         return results(list(p["id"][:1]), iter([stitched(own, chunks)]))
 
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # ids travel as text: pandas would turn a nullable long into a double
+    docs = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     one = F.coalesce(F.length("text") <= chunk, F.lit(True))
     short = docs.where(one).mapInPandas(whole, kind)
     part = kind.split(", ")[0] + ", row long, start long, last boolean, text string"
     long = (docs.where(~one).withColumn("row", F.monotonically_increasing_id()).mapInPandas(cut, part)
             .repartition("row", "start").mapInPandas(split, part + ", ends array<long>")
             .groupBy("row").applyInPandas(join, kind))
-    return short.unionByName(long).withColumnRenamed("id", id_col)
+    out = short.unionByName(long)
+    return out.select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col), *out.columns[1:])
 
 
 def decode(df: DataFrame, ids_col: str = "ids", ranks: str | None = None, out_col: str = "decoded") -> DataFrame:

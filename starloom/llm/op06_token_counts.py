@@ -184,8 +184,9 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ship(spark)
     with open(tokenizer or public_tokenizers.path(TOKENIZER), "rb") as f:  # a fixed vocabulary, under 2 MB
         raw = spark.sparkContext.broadcast(f.read())
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = f"id {docs.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long"
+    # ids travel as text: pandas would turn a nullable long into a double
+    docs = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    kind = "id string, n_bytes long, n_tokens long"
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = transducer(raw.value)
@@ -240,7 +241,7 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .repartition("row", "start", "stretch")
             .mapInPandas(mapped, head + ", row long, stretch long, start long, n_bytes long, pairs array<string>, again string")
             .groupBy("row").applyInPandas(combine, kind))
-    return short.unionByName(long).select(F.col("id").alias(id_col), "n_bytes", "n_tokens",
+    return short.unionByName(long).select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col), "n_bytes", "n_tokens",
                                           (F.col("n_tokens") > limit).alias("over_limit"))
 
 

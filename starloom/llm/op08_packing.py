@@ -165,8 +165,9 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: i
                         "doc_tokens": np.repeat([len(x) for x in found], many)}
                 yield pd.DataFrame(out | ({"ids": [p.astype(np.int32) for p in parts]} if keep_ids else {}))
 
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = (f"id {docs.schema['id'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long"
-            + ", ids array<int>" * keep_ids)
-    return (docs.mapInPandas(rows, kind).withColumnRenamed("id", id_col)
+    # ids travel as text: pandas would turn a nullable long into a double
+    docs = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    kind = "id string, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * keep_ids
+    out = docs.mapInPandas(rows, kind)
+    return (out.select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col), *out.columns[1:])
             .withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long")))
