@@ -38,13 +38,15 @@ class SlicedBlock:
         self.ids, self.values = ids[order], values[order]
         self.n = len(ids)
         self.words = -(-self.n // 64)
-        self.low = self.values.min(axis=0)
-        shifted = (self.values - self.low).astype(np.uint64)  # not negative: plain binary slices
-        self.bits = [int(x).bit_length() for x in shifted.max(axis=0)]
-        self.slices = [[self._packed((shifted[:, d] >> np.uint64(b)) & np.uint64(1)) for b in range(k)]
-                       for d, k in enumerate(self.bits)]
+        shifted = (self.values - self.values.min(axis=0)).astype(np.uint64)  # not negative: plain binary slices
+        self.bits = int(shifted.max()).bit_length()
         self.all = self._packed(np.ones(self.n, np.uint64))
-        self.flipped = [[s ^ self.all for s in own] for own in self.slices]
+        # slices[0, d, b]: bit b of dimension d; slices[1]: of its complement
+        self.slices = np.zeros((2, shifted.shape[1], self.bits, self.words), np.uint64)
+        for d in range(shifted.shape[1]):
+            for bit in range(self.bits):
+                self.slices[0, d, bit] = self._packed((shifted[:, d] >> np.uint64(bit)) & np.uint64(1))
+        self.slices[1] = self.slices[0] ^ self.all
 
     def _packed(self, bit: np.ndarray) -> np.ndarray:
         out = np.zeros(self.words * 8, np.uint8)
@@ -52,43 +54,37 @@ class SlicedBlock:
         out[:len(raw)] = raw
         return out.view(np.uint64)
 
-    def score_slices(self, query: list[int]) -> list[np.ndarray | None]:
-        """Slices (least first) of score(row) minus a constant of the query."""
-        piles: list[list[np.ndarray]] = []
-        for d, q in enumerate(query):
-            # q < 0: |q| * (mask - value) differs from q * value by a constant
-            own = self.slices[d] if q > 0 else self.flipped[d]
-            q = abs(q)
-            while q:
-                j = (q & -q).bit_length() - 1
-                q &= q - 1
-                while len(piles) < j + len(own):
-                    piles.append([])
-                for b, s in enumerate(own):
-                    piles[j + b].append(s)
+    def score_slices(self, query: np.ndarray) -> list[np.ndarray | None]:
+        """Slices (least first) of score(row) minus a constant of the query.
+
+        A negative component adds the complement instead, which differs by a
+        constant. All bitmaps of one weight are added a third at a time."""
+        sign, size = (query < 0).astype(np.intp), np.abs(query)
+        shifts = int(size.max()).bit_length() if len(size) else 0
+        chosen = [np.flatnonzero(size >> j & 1) for j in range(shifts)]
         out: list[np.ndarray | None] = []
+        carry = np.zeros((0, self.words), np.uint64)
         w = 0
-        while w < len(piles):
-            pile = piles[w]
-            if len(pile) > 1 and w + 1 == len(piles):
-                piles.append([])
-            at = 0
-            while len(pile) - at >= 3:  # full adder
-                a, b, c = pile[at], pile[at + 1], pile[at + 2]
-                at += 3
+        while (shifts and self.bits and w < shifts + self.bits - 1) or len(carry):
+            pile = np.concatenate([carry, *(self.slices[sign[chosen[j]], chosen[j], w - j]
+                                            for j in range(max(0, w - self.bits + 1), min(shifts, w + 1)))])
+            carries = []
+            while len(pile) >= 3:  # full adders
+                m = len(pile) // 3
+                a, b, c = pile[:m], pile[m:2 * m], pile[2 * m:3 * m]
                 x = a ^ b
-                pile.append(x ^ c)
-                piles[w + 1].append((a & b) | (x & c))
-            if len(pile) - at == 2:  # half adder
-                a, b = pile[at], pile[at + 1]
-                piles[w + 1].append(a & b)
-                out.append(a ^ b)
+                carries.append((a & b) | (x & c))
+                pile = np.concatenate([x ^ c, pile[3 * m:]])
+            if len(pile) == 2:  # half adder
+                carries.append(pile[:1] & pile[1:])
+                out.append(pile[0] ^ pile[1])
             else:
-                out.append(pile[at] if len(pile) > at else None)
+                out.append(pile[0] if len(pile) else None)
+            carry = np.concatenate(carries) if carries else pile[:0]
             w += 1
         return out
 
-    def top(self, own_id, query: list[int], k: int) -> list[tuple[int, int]]:
+    def top(self, own_id, query: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The k best (id, score), without the rows of ``own_id``."""
         sure = np.zeros(self.words, np.uint64)
         tied = self.all.copy()
@@ -112,8 +108,7 @@ class SlicedBlock:
                 if have == k:
                     break
         rows = [self._rows(sure), self._rows(tied)[:k - have]]  # tied rows are in order of id
-        q = np.array(query, np.int64)
-        return [(int(self.ids[r]), int(self.values[r] @ q)) for r in np.concatenate(rows)]
+        return [(int(self.ids[r]), int(self.values[r] @ query)) for r in np.concatenate(rows)]
 
     def _rows(self, bitmap: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), count=self.n, bitorder="little"))
@@ -190,7 +185,7 @@ def top_inner_products(df: DataFrame, queries: DataFrame, k: int = TOP, id_col:
                     ids = np.frombuffer(r_ids, np.int64)
                     known, block = r_ids, SlicedBlock(ids, np.frombuffer(r_vals, np.int64).reshape(len(ids), dim))
                 asks = np.frombuffer(q_ids, np.int64)
-                out = [(q, i, s) for q, v in zip(asks.tolist(), np.frombuffer(q_vals, np.int64).reshape(len(asks), dim).tolist())
+                out = [(q, i, s) for q, v in zip(asks.tolist(), np.frombuffer(q_vals, np.int64).reshape(len(asks), dim))
                        for i, s in block.top(q, v, k)]
                 yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
