@@ -116,3 +116,12 @@ def test_incremental_schema_change_rewrites_all_partitions(spark):
     stored = spark.read.option("mergeSchema", "true").parquet(path)
     assert sorted(c for c in stored.columns if c != "_month") == ["game_date", "k", "w"]
     assert _rows(stored.select("k", "w")) == [(1, None), (2, 2.5)]
+
+
+def test_ordered_dimensions_come_sorted(spark, sf_small):
+    from starloom.plans.models import dimensions as D
+    w = Warehouse(spark, sf_small)
+    names = [(r.arena_name, r.arena_city) for r in D.dim_arenas(w.src("arena_mappings"), ordered=True).collect()]
+    days = [r.full_date for r in D.dim_dates(w.stg_games, ordered=True).collect()]
+    teams = [r.team_abbr for r in D.dim_teams(w.src("team_mappings"), ordered=True).collect()]
+    assert names == sorted(names) and days == sorted(days) and teams == sorted(teams) and len(days) > 365
