@@ -92,11 +92,11 @@ def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 20) -> np.nd
     class means and a shared covariance; ``given`` (0/1) is the label voter."""
     v = np.column_stack([votes, 2.0 * given - 1])
     post = 0.05 + 0.9 * given.astype(float)
+    products = v.T @ v
     for _ in range(rounds):
         n1, n0 = post.sum(), (1 - post).sum()
         m1, m0 = post @ v / n1, (1 - post) @ v / n0
-        d1, d0 = v - m1, v - m0
-        cov = ((d1 * post[:, None]).T @ d1 + (d0 * (1 - post)[:, None]).T @ d0) / len(v)
+        cov = (products - n1 * np.outer(m1, m1) - n0 * np.outer(m0, m0)) / len(v)
         cov[np.diag_indices_from(cov)] += 0.05  # voters that never disagree stay invertible
         w = np.linalg.solve(cov, m1 - m0)
         z = v @ w - w @ (m1 + m0) / 2 + np.log(n1 / n0)
@@ -199,8 +199,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     got = sample.mapInPandas(rows, "x binary, toxic int").collect()  # about fit_rows rows
     got.sort(key=lambda r: (bytes(r["x"]), r["toxic"]))  # the sums below do not depend on the tasks' order
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in got], np.float64)
-    post = label_model(votes_of(x, len(terms)), np.array([r["toxic"] for r in got]))
+    given = np.array([r["toxic"] for r in got])
+    x = np.frombuffer(b"".join([bytes(r["x"]) for r in got]), np.float32).reshape(len(got), -1)
+    del got
+    post = label_model(votes_of(x, len(terms)), given)
     return ToxicityModel(tuple(terms), tuple(logistic(x, post)))
 
 
@@ -208,7 +210,7 @@ def toxicity(text: Column, model: ToxicityModel) -> Column:
     """Score of ``text`` from 0 to 1; null counts as empty."""
 
     def rows(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(texts))
+        return pd.Series(np.concatenate([model.scores(texts[a:a + 1000]) for a in range(0, max(1, len(texts)), 1000)]))
 
     return arrow_udf_of(rows, "double")(text)
 
