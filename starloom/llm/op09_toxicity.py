@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_udf_of, id_bucket, ship, stored
+from .common import arrow_udf_of, code_points, id_bucket, ship, stored
 
 #: Most labelled rows (about) that the model is fitted on.
 FIT_ROWS = 20_000
@@ -40,6 +40,14 @@ HELD_OUT_MOD, HELD_OUT_REST = 3, 1
 _PREFIXES = (4, 5, 6, 7)
 _TABLE = bytes(32 if (b < 48 or 57 < b < 65 or 90 < b < 97 or 122 < b < 128) else b for b in range(256))
 _PATTERNS = 5
+_UPPER: list[np.ndarray] = []
+
+
+def capitals(text: str) -> int:
+    """How many characters of the whole text are upper case."""
+    if not _UPPER:
+        _UPPER.append(np.fromiter((chr(c).isupper() for c in range(0x110000)), bool, 0x110000))
+    return int(np.count_nonzero(_UPPER[0][code_points([text])[0]]))
 
 
 def words_of(text: str) -> list[bytes]:
@@ -73,7 +81,7 @@ class Terms:
         np.log1p(out, out=out)
         size = max(1, len(text))
         out[self.n:] = (np.log1p(hits), min(1.0, 10 * hits / max(1, len(words))),
-                        sum(map(str.isupper, text[:: max(1, size // 256)])) / min(size, 512), text.count("!") / size * 10,
+                        capitals(text) / size, text.count("!") / size * 10,
                         sum(map(text.count, "#$%&*@")) / size * 10)
         return out
 

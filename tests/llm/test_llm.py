@@ -326,6 +326,15 @@ def test_packing_matches_the_library(docs, empty):
     assert op08_packing.pack(empty).count() == 0
 
 
+def test_capitals_are_counted_over_the_whole_text():
+    at = 2  # the first pattern is the number of hit words, the second their share
+    for size in (1, 511, 512, 767, 1024, 50_000):
+        assert op09_toxicity.Terms([]).features("A" * size)[at] == 1
+    text = "quiet " * 3000 + "SHOUTED Ünï É 😀 " * 700 + "end. " * 2000
+    assert op09_toxicity.Terms([]).features(text)[at] == np.float32(sum(map(str.isupper, text)) / len(text))
+    assert op09_toxicity.votes_of(op09_toxicity.Terms([]).features("ALL OF THIS IS LOUD " * 200)[None], 0)[0, 2] == 1
+
+
 def test_toxicity_learns_and_handles_edges(spark, docs, empty):
     real, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = op09_toxicity.score_documents(real, labels).join(labels, "doc_id").toPandas()
