@@ -9,8 +9,10 @@ gram counts the different characters before it.
 Model: for each order a sorted array of hashed grams and, beside it, one row of
 probabilities with a column per language; contexts likewise with their weight
 for the shorter order. Grams are found by the top bits of the hash and a short
-walk. The arrays are broadcast; ``MAX_CELLS`` bounds them: if the grams of an
-order would exceed it, the rarest go (their mass stays with the shorter order).
+walk. Arrays of up to ``MAX_CELLS`` cells an order are broadcast. Larger models
+stay in Spark: texts are dealt into blocks, the distinct grams of a block are
+joined with the counts, and the block is scored by a model of the joined rows.
+A block looks up nothing else, so predictions, scores and entropies are the same.
 
 A text goes to the language of the lowest cross-entropy per character. It is
 marked ``rejected`` if that is higher than the language's own texts explain:
@@ -24,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -32,8 +35,10 @@ from pyspark.sql import functions as F
 from .common import arrow_udf_of, code_points, id_bucket, ship, slabs, stored
 
 ORDER = 4
-#: Most (gram, language) cells of an order in the model.
+#: Most (gram, language) cells of an order in a model that is broadcast.
 MAX_CELLS = 1 << 23
+#: Characters (about) of a block of texts that a larger model is joined with.
+BLOCK_CHARS = 1 << 22
 HELD_OUT_MOD, HELD_OUT_REST = 4, 2
 UNKNOWN = "und"
 #: Standard errors, and extra nats, above the mean at which a text is rejected.
@@ -188,51 +193,89 @@ def _columns(df: DataFrame) -> dict[str, np.ndarray]:
     return {c: np.array(got[c].to_pylist(), object) if c == "lang" else got[c].to_numpy() for c in got.column_names}
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_cells: int = MAX_CELLS) -> LanguageModel | None:
-    """The model of all rows of ``docs`` with a language and a text (None if none)."""
-    spark = docs.sparkSession
-    ship(spark)
-    counts = [stored(gram_counts(docs, text_col, lang_col), "grams")]
-    langs = sorted(r["lang"] for r in counts[0].select("lang").distinct().collect())  # as many as languages
+@dataclass
+class Counts:
+    """Gram counts in Spark, nothing left out."""
+
+    langs: list[str]
+    tables: list[DataFrame]  # (lang, gram, n) by order, from 1
+    discounts: list[np.ndarray]  # by order, a number per language
+
+    def contexts(self, order: int) -> DataFrame:
+        """(lang, gram, total, kinds) of what stands before the last character."""
+        context = F.shiftrightunsigned("gram", 16).alias("gram")
+        return self.tables[order - 1].groupBy("lang", context).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+
+    def per_language(self, values) -> Column:
+        return F.create_map(*[F.lit(x) for pair in zip(self.langs, values) for x in pair])[F.col("lang")]
+
+    def entropies(self) -> tuple[np.ndarray, np.ndarray]:
+        """Mean and spread of the entropy over each language's training grams."""
+        lower, table = F.lit(1 / 0x10000), None
+        for order in range(1, ORDER + 1):
+            d = self.per_language(map(float, self.discounts[order - 1]))
+            own = self.tables[order - 1].withColumn("context", F.shiftrightunsigned("gram", 16)).join(
+                self.contexts(order).withColumnRenamed("gram", "context"), ["lang", "context"])
+            if table is not None:
+                own = own.withColumn("shorter", F.col("gram").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))).join(
+                    table.select("lang", F.col("gram").alias("shorter"), F.col("p").alias("lower")), ["lang", "shorter"])
+                lower = F.col("lower")
+            p = (F.greatest(F.col("n") - d, F.lit(0.0)) + d * F.col("kinds") * lower) / F.col("total")
+            table = own.select("lang", "gram", "n", p.alias("p"))
+        cost = -F.log("p")
+        got = {r["lang"]: r for r in table.groupBy("lang").agg(
+            (F.sum(F.col("n") * cost) / F.sum("n")).alias("mean"),
+            (F.sum(F.col("n") * cost * cost) / F.sum("n")).alias("square")).collect()}  # as many as languages
+        mean, square = (np.array([got[x][k] if x in got else 0.0 for x in self.langs]) for k in ("mean", "square"))
+        return mean, np.sqrt(np.maximum(0, square - mean ** 2))
+
+
+def counted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Counts | None:
+    """The counts of all rows of ``docs`` with a language and a text (None if none)."""
+    ship(docs.sparkSession)
+    tables = [stored(gram_counts(docs, text_col, lang_col), "grams")]
+    langs = sorted(r["lang"] for r in tables[0].select("lang").distinct().collect())  # as many as languages
     if not langs:
         return None
     for n in range(ORDER - 1, 0, -1):  # distinct characters before each shorter gram
         shorter = F.col("gram").bitwiseAND(F.lit((1 << 16 * n) - 1))
-        counts.insert(0, counts[0].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n")))
-    column = {x: k for k, x in enumerate(langs)}
-    model = LanguageModel(langs, [], [], [], [], np.zeros(len(langs)), np.zeros(len(langs)))
-    for order, table in enumerate(counts, 1):
+        tables.insert(0, tables[0].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n")))
+    discounts = []
+    for table in tables:
         discount = {r["lang"]: r["ones"] / (r["ones"] + 2 * r["twos"]) if r["ones"] else 0.5
                     for r in table.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("ones"),
                                                        F.count_if(F.col("n") == 2).alias("twos")).collect()}
-        d = np.array([min(0.95, discount[x]) for x in langs])
-        context = F.shiftrightunsigned("gram", 16).alias("gram")
-        about = table.groupBy("lang", context).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-        sums = _columns(_fitting(about, "total", max_cells // len(langs)))
-        own = np.array([column[x] for x in sums["lang"]], np.int64)
-        where, at = np.unique(sums["gram"].view(np.uint64), return_inverse=True)
+        discounts.append(np.array([min(0.95, discount[x]) for x in langs]))
+    return Counts(langs, tables, discounts)
+
+
+def assembled(langs: list[str], discounts: list[np.ndarray], parts: Iterator[tuple]) -> LanguageModel:
+    """The model of gram rows: for each order (column, gram, total, kinds) of the
+    contexts, then (column, gram, n); ``column`` is the place of the language."""
+    model = LanguageModel(langs, [], [], [], [], np.zeros(len(langs)), np.zeros(len(langs)))
+    none = np.ones((1, len(langs)))  # place -1
+    for order, (d, (sums, rows)) in enumerate(zip(discounts, parts), 1):
+        own, gram, totals, kind = sums
+        where, at = np.unique(gram.view(np.uint64), return_inverse=True)
         total = np.zeros((len(where), len(langs)))
         kinds = np.zeros_like(total)
-        total[at, own], kinds[at, own] = sums["total"], sums["kinds"]
+        total[at, own], kinds[at, own] = totals, kind
         weight = np.where(total > 0, d * kinds / np.maximum(1, total), 1)
         contexts = Table(where)
 
-        rows = _columns(_fitting(table, "n", max_cells // len(langs)))
-        own = np.array([column[x] for x in rows["lang"]], np.int64)
-        grams, at = np.unique(rows["gram"].view(np.uint64), return_inverse=True)
-        of = contexts.find(grams >> np.uint64(16))
+        own, gram, n = rows
+        grams, at = np.unique(gram.view(np.uint64), return_inverse=True)
+        of = contexts.find(grams >> np.uint64(16))  # every gram has its context
         seen = np.zeros((len(grams), len(langs)))
-        seen[at, own] = rows["n"]
-        by_order = total[contexts.order]
-        known = np.where((of >= 0)[:, None], by_order[of], 0)
+        seen[at, own] = n
+        known = total[contexts.order][of]
         alpha = np.where(known > 0, np.maximum(seen - d, 0) / np.maximum(1, known), 0)
-        lam = np.where((of >= 0)[:, None], weight[contexts.order][of], 1)
-        p = alpha + lam * model.probabilities(grams, order - 1)
+        p = alpha + weight[contexts.order][of] * model.probabilities(grams, order - 1)
         found = Table(grams)
         model.grams.append(found)
-        model.probs.append(p[found.order].astype(np.float32))
+        model.probs.append(np.concatenate([p[found.order], none]).astype(np.float32))
         model.contexts.append(contexts)
-        model.weights.append(weight[contexts.order].astype(np.float32))
+        model.weights.append(np.concatenate([weight[contexts.order], none]).astype(np.float32))
     cost = -np.log(p)
     share = seen / np.maximum(1, seen.sum(axis=0))
     model.mean = (share * cost).sum(axis=0)
@@ -240,12 +283,65 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_cel
     return model
 
 
-def _fitting(table: DataFrame, count: str, most: int) -> DataFrame:
-    """``table`` without its rarest rows, if it has more than ``most``."""
-    least = 1
-    while table.where(F.col(count) >= least).count() > most:
-        least *= 2
-    return table.where(F.col(count) >= least)
+def gathered(counts: Counts) -> LanguageModel:
+    """The whole model in the driver."""
+    column = {x: k for k, x in enumerate(counts.langs)}
+
+    def arrays(df: DataFrame, *names: str) -> tuple:
+        got = _columns(df)
+        return np.array([column[x] for x in got["lang"]], np.int64), *(got[x] for x in names)
+
+    return assembled(counts.langs, counts.discounts, (
+        (arrays(counts.contexts(order), "gram", "total", "kinds"), arrays(table, "gram", "n"))
+        for order, table in enumerate(counts.tables, 1)))
+
+
+def by_blocks(rows: DataFrame, counts: Counts, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``rows`` (id, held_out, text) with the model's answers, where the model is
+    joined with blocks of texts instead of broadcast."""
+    langs, discounts = counts.langs, counts.discounts
+    mean, spread = counts.entropies()
+    chars = rows.agg(F.sum(F.length("text").cast("long")).alias("n")).first()["n"] or 0
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(-(-chars // block_chars) or 1)))
+
+    def needed(docs: pa.Table) -> pa.Table:
+        gram = np.unique(np.concatenate([np.unique(grams_of(block)[0]) for block in slabs(docs["text"].to_pylist())]))
+        part, keys = [], []
+        for order in range(1, ORDER + 1):
+            own = np.unique(gram & _LOW[order])
+            for kind, key in ((order, own), (-order, np.unique(own >> np.uint64(16)))):
+                part.append(np.full(len(key), kind, np.int32))
+                keys.append(key)
+        part, keys = np.concatenate(part), np.concatenate(keys)
+        return pa.table({"block": np.full(len(keys), docs["block"][0].as_py()), "part": part, "gram": keys.view(np.int64)})
+
+    column, zero = counts.per_language(range(len(langs))).alias("own"), F.lit(0).cast("long").alias("b")
+    known = None
+    for order, table in enumerate(counts.tables, 1):
+        for some in (table.select(F.lit(order).alias("part"), "gram", column, F.col("n").alias("a"), zero),
+                     counts.contexts(order).select(F.lit(-order).alias("part"), "gram", column,
+                                                   F.col("total").alias("a"), F.col("kinds").alias("b"))):
+            known = some if known is None else known.unionByName(some)
+    found = dealt.groupBy("block").applyInArrow(needed, "block long, part int, gram long").join(known, ["part", "gram"])
+
+    def score(docs: pa.Table, found: pa.Table) -> pa.Table:
+        part, gram, own, a, b = (found[c].to_numpy() for c in ("part", "gram", "own", "a", "b"))
+
+        def arrays(kind: int, *values: np.ndarray) -> tuple:
+            at = np.flatnonzero(part == kind)
+            return own[at], gram[at], *(v[at] for v in values)
+
+        model = assembled(langs, discounts, ((arrays(-n, a, b), arrays(n, a)) for n in range(1, ORDER + 1)))
+        model.mean, model.spread = mean, spread
+        out = [model.predict(block) for block in slabs(docs["text"].to_pylist())]
+        lang, *numbers = zip(*out)
+        return pa.table({"id": docs["id"], "held_out": docs["held_out"], "lang_pred": [x for one in lang for x in one],
+                         **{c: pa.array(np.concatenate(x), from_pandas=True)  # no entropy: null
+                            for c, x in zip(("score", "entropy", "rejected"), numbers)}})
+
+    kind = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("id", "held_out"))
+    return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
+        score, f"{kind}, lang_pred string, score double, entropy double, rejected boolean")
 
 
 def language(text: Column, model: Broadcast) -> Column:
@@ -274,10 +370,15 @@ def identify_languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     The model learns from the texts and languages of rows whose id's crc32
     modulo 4 is not 2 (a null id does not take part); only the text enters a
     prediction. Ties go to the first language by name. Repeated rows count as
-    often as they occur. Empty input gives an empty result.
+    often as they occur. Empty input gives an empty result. ``max_cells`` decides
+    how texts and grams come together, not which grams count.
     """
     held = id_bucket(id_col, HELD_OUT_MOD) == HELD_OUT_REST
-    model = df.sparkSession.sparkContext.broadcast(fit(df.where(~held), text_col, lang_col, max_cells))
+    counts = counted(df.where(~held), text_col, lang_col)
+    if counts and counts.tables[-1].count() * len(counts.langs) > max_cells:  # shorter orders have no more rows
+        rows = df.select(F.col(id_col).alias("id"), F.coalesce(held, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
+        return by_blocks(rows, counts).withColumnRenamed("id", id_col)
+    model = df.sparkSession.sparkContext.broadcast(counts and gathered(counts))
     return df.select(F.col(id_col).alias(id_col), F.coalesce(held, F.lit(False)).alias("held_out"),
                      language(F.col(text_col), model).alias("l")).select(
         id_col, "held_out", F.col("l.lang").alias("lang_pred"), "l.score", "l.entropy", "l.rejected")

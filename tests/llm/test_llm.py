@@ -141,6 +141,15 @@ def test_language_model_may_drop_rare_grams(spark):
     assert (got.lang == got.lang_pred).mean() > 0.95
 
 
+def test_language_model_beyond_the_broadcast_keeps_every_gram(spark, docs):
+    truth = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    for df in (truth, docs, truth.unionByName(spark.createDataFrame([(-5, "日本語だ", None), (-6, None, "en"), (-7, "12", "en")], truth.schema))):
+        whole, joined = (sorted((repr((r.doc_id, r.held_out, r.lang_pred, r.rejected)), r.score, r.entropy or 0.0)
+                                for r in identify_languages(df, **how).collect()) for how in ({}, {"max_cells": 1}))
+        assert [r[0] for r in whole] == [r[0] for r in joined]
+        assert np.allclose([r[1:] for r in whole], [r[1:] for r in joined], rtol=0, atol=1e-9)
+
+
 def base_spans(t):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     out = [(m.start(), 0, m.end()) for m in assign.finditer(t) if len(m[2]) >= 8]
