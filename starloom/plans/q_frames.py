@@ -423,6 +423,7 @@ FROM lineitem l LEFT JOIN (SELECT l_orderkey, l_linenumber, count(*) AS n_lines
   ON l.l_orderkey = d.l_orderkey AND l.l_linenumber = d.l_linenumber
 """)
 def q_join_multi_key(spark, d):
+    """The filter on the counted side makes the keys that the left join does not match."""
     li = Tables(spark, d).lineitem
     counts = (li.filter(F.col("l_returnflag") != "R").groupBy("l_orderkey", "l_linenumber")
               .agg(F.count(F.lit(1)).alias("n_lines")))
