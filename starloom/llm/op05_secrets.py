@@ -42,12 +42,24 @@ class Rule:
         return re.compile(self.regex, re.ASCII | (re.IGNORECASE if self.ignore_case else 0))
 
 
+#: What a key's body is made of besides base64: headers, and blanks, line ends
+#: (also written out as \\n) and marks of quotes, comments and code.
+_HEADER = r"[A-Za-z][A-Za-z0-9-]*+:(?:(?!-----)[^\r\n\\])*+"
+_BETWEEN = r"""[\s\\"'>#*|,;()]"""
+_LINE_END = r"""(?:\r?\n|\r|\\r|\\n)(?:[\x20\t"'>#*|,;()]|\\[rnt]|\r?\n|\+(?=\s))*+"""
+#: A line that is base64 to its end; a long run of base64 after other text.
+_BASE64_LINE = r"""[A-Za-z0-9+/=]++(?=[\x20\t"',;()+]*+(?:[\r\n\\]|-----|\Z))"""
+_BASE64_RUN = r"[\x20\t]*+[A-Za-z0-9+/=]{40,}+(?:[\x20\t]++[A-Za-z0-9+/]++={1,2})?+"
+#: From the BEGIN line to its END line; without one, to the last base64 line.
+_PRIVATE_KEY = (rf"-----BEGIN ((?:[A-Z]+ )*)PRIVATE KEY-----(?:(?:{_HEADER}|[A-Za-z0-9+/=]++|{_BETWEEN})*+-----END \1PRIVATE KEY-----"
+                rf"|(?:{_LINE_END}(?:{_HEADER}|{_BASE64_LINE})|{_BASE64_RUN})*+)")
+
 RULES = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
          8, 2, ignore_case=True, base=True),
     Rule("access", r"AKIA[A-Z0-9]+", 16, base=True),
     Rule("hex", r"[0-9a-f]+", 32, base=True),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", _PRIVATE_KEY),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{30,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),

@@ -183,6 +183,29 @@ def test_redaction(spark):
     assert [r[0] for r in df.select(op05_secrets.redacted(F.col("t"))).collect()] == ["[SECRET] end", None, "plain", "key [SECRET]"]
 
 
+def pem(kind, lines, end="\n", head=""):
+    random.seed(7)
+    body = [base64.b64encode(random.randbytes(48)).decode() for _ in range(lines)] + ["q83vEjRWeJCrze8="]
+    return end.join([f"-----BEGIN {kind}PRIVATE KEY-----", *([head, ""] if head else []), *body, f"-----END {kind}PRIVATE KEY-----"])
+
+
+def test_private_keys_are_redacted_to_their_end(spark):
+    keys = [pem("", 25), pem("RSA ", 3, "\r\n"), pem("EC ", 1, "\\n"), pem("", 2, " "), pem("", 2, ""), pem("", 3, "\n    "), pem("", 3, "\n> "), pem("", 2, '\\n" +\n  "'),
+            pem("RSA ", 20_000), pem("RSA ", 4, head="Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF")]
+    texts = [f"one {a} two, three. {b} four" for a, b in zip(keys, keys[1:] + keys[:1])]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r[0] for r in df.select(op05_secrets.redacted(F.col("t"))).collect()} == {"one [SECRET] two, three. [SECRET] four"}
+    scanner = op05_secrets.Scanner((next(r for r in op05_secrets.RULES if r.kind == "private_key"),))
+    for key in keys:  # cut off before the END line, then prose
+        cut = key[:key.index("-----END")].rstrip(" >\n\r\\")
+        cut = cut.removesuffix('\\n" +\n  "')
+        for rest in ("", "\n", "\nThis is prose, not a key.", "\n\n# Next part\n"):
+            (start, _, end), = scanner.scan([f"is {cut}{rest}"])[0]
+            assert start == 3 and 3 + len(cut) - 2 <= end <= 3 + len(cut) + len(rest) and "prose" not in f"is {cut}{rest}"[:end]
+    prose = "A file opens with -----BEGIN PRIVATE KEY----- and that is that. Go on\nwith the text."
+    assert scanner.scan([prose])[0] == [(18, 0, 45)]
+
+
 @pytest.mark.parametrize("cut", [{}, {"chunk": 3000, "context": 64}])
 def test_token_counts_match_the_library(docs, empty, cut):
     lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
