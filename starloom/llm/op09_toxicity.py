@@ -12,8 +12,9 @@
 3. A linear (logistic) classifier over lexicon counts and patterns is trained on
    the posterior labels and scores every text.
 
-The fit uses about ``FIT_ROWS`` labelled rows (chosen by a hash of the id);
-term counts and the fit matrices are bounded by that. Scoring is one narrow pass.
+Terms are counted over all labelled training rows. The label model and the
+classifier are fitted on about ``FIT_ROWS`` of them (chosen by a hash of the id),
+which bounds the fit matrices. Scoring is one narrow pass.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_udf_of, code_points, id_bucket, ship, stored
 
-#: Most labelled rows (about) that the model is fitted on.
+#: Most labelled rows (about) that the label model and the classifier are fitted on.
 FIT_ROWS = 20_000
 #: Lexicon voters.
 TERMS = 256
@@ -144,19 +145,19 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
 
-def _term_counts(sample: DataFrame) -> DataFrame:
+def _term_counts(rows: DataFrame) -> DataFrame:
     """(term, n1, n0): documents of each class that use it, summed per batch
-    before the shuffle."""
+    before the shuffle. The empty term counts all documents."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             both = (Counter(), Counter())
             for text, toxic in zip(b["text"], b["toxic"]):
-                both[int(toxic)].update({t for w in set(words_of(text or "")) for t in _terms_of(w)})
+                both[int(toxic)].update({b"", *(t for w in set(words_of(text or "")) for t in _terms_of(w))})
             terms = list({*both[0], *both[1]})
             yield pd.DataFrame({"term": terms, "n1": [both[1][t] for t in terms], "n0": [both[0][t] for t in terms]})
 
-    return (sample.mapInPandas(count, "term binary, n1 long, n0 long").groupBy("term")
+    return (rows.mapInPandas(count, "term binary, n1 long, n0 long").groupBy("term")
             .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")))
 
 
@@ -187,18 +188,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if held_out is not None:
         known = known.where(~held_out)
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    ship(docs.sparkSession)
+    counts = stored(_term_counts(texts.join(known.hint("merge"), "id").select("text", "toxic")), "terms")
+    n1, n0 = next(((r["n1"], r["n0"]) for r in counts.where(F.length("term") == 0).collect()), (0, 0))
+    share = float(n1 > 0 and not n0)
+    flat = ToxicityModel((), (0.0,) * _PATTERNS + (float(np.log((share + 1e-3) / (1 - share + 1e-3))),))
+    if not (n1 and n0):
+        return flat
+    terms = _lexicon(counts, n1, n0, n_terms, min(MIN_DOCS, n1))
     total = known.count()
     if total > fit_rows:
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * fit_rows / total))
     # about fit_rows narrow rows: a bounded broadcast, which spares a shuffle of the texts
-    sample = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-                    .join(F.broadcast(known), "id").select("text", "toxic"), "toxicity")
-    n = {int(r["toxic"]): r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(n) < 2:
-        share = float(n.get(1, 0) > 0)
-        return ToxicityModel((), (0.0,) * _PATTERNS + (float(np.log((share + 1e-3) / (1 - share + 1e-3))),))
-    ship(docs.sparkSession)
-    terms = _lexicon(_term_counts(sample), n[1], n[0], n_terms, min(MIN_DOCS, n[1]))
+    sample = texts.join(F.broadcast(known), "id").select("text", "toxic")
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = Terms(terms)
@@ -206,6 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pd.DataFrame({"x": [counter.features(t).tobytes() for t in b["text"]], "toxic": b["toxic"]})
 
     got = sample.mapInPandas(rows, "x binary, toxic int").collect()  # about fit_rows rows
+    if not got:  # hardly any of very many labels has a document
+        return flat
     got.sort(key=lambda r: (bytes(r["x"]), r["toxic"]))  # the sums below do not depend on the tasks' order
     given = np.array([r["toxic"] for r in got])
     x = np.frombuffer(b"".join([bytes(r["x"]) for r in got]), np.float32).reshape(len(got), -1)

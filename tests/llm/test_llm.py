@@ -381,6 +381,14 @@ def test_toxicity_learns_and_handles_edges(spark, docs, empty):
     assert op09_toxicity.score_documents(empty, few).count() == 0
 
 
+def test_toxic_terms_are_counted_beyond_the_fit_rows(spark):
+    rows = [(i, f"plain words {i % 7} of a text " + ("zorgblat" if i % 100 == 3 else "vilest" if i % 4 == 3 else ""), int(i % 4 == 3)) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    whole, part = (op09_toxicity.fit(df, df, fit_rows=n) for n in (800, 200))
+    assert b"zorgblat " in part.terms and part.terms == whole.terms  # of 8 documents, about 2 are fit rows
+    assert part.scores(["zorgblat"])[0] > part.scores(["plain words"])[0]
+
+
 def test_label_model_weighs_correlated_voters_once():
     rng = np.random.default_rng(0)
     y = (rng.random(4000) < 0.3).astype(int)
