@@ -7,10 +7,11 @@ shifts that dimension's slices, and carry-save adders (three bitmaps of one
 weight become one of that weight and one of the next) sum them to the slices of
 the score. The top rows are then chosen from the most significant slice down:
 rows certainly in, rows still tied; the rows tied at the boundary have equal
-scores and are resolved by id. Blocks give their own top k, merged per query.
+scores and are resolved by id.
 
-Queries are packed into blocks too; every lane of the cluster gets all query
-blocks and a share of the row blocks, which meet by an equi-join on the lane.
+Queries and rows meet in a grid of cells (``grid``): a cell builds the index of
+a block of its rows, asks it all its queries, and keeps the best k of each.
+Where products may not fit a long, scores are computed in Python's integers.
 """
 
 from __future__ import annotations
@@ -19,15 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, stored
+from .grid import QUERIES_PER_CELL, ROWS_PER_BLOCK, as_long, best_of, blocks, exact, finite, floors, in_cells, in_range, merged
 
 SCALE = 1024
 TOP = 10
-ROWS_PER_BLOCK = 8192
-QUERIES_PER_BLOCK = 256
 
 
 class SlicedBlock:
@@ -114,40 +114,21 @@ class SlicedBlock:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), count=self.n, bitorder="little"))
 
 
-def quantised(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of every component; null where the vector or a component
-    is null or not finite, or the vector is empty."""
-    real = F.transform(vector, lambda x: x.cast("double"))
-    whole = F.forall(real, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.when((F.size(vector) > 0) & whole, F.transform(real, lambda x: F.floor(x * F.lit(float(scale))).cast("long")))
-
-
-def _blocks(df: DataFrame, size: int) -> DataFrame:
-    """Rows (id, v) packed into blocks of equal dimension: (dim, n, ids, values)."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list] = {}
-
-        def block(dim: int, rows: list) -> pd.DataFrame:
-            ids = np.array([r[0] for r in rows], np.int64)
-            values = np.array([r[1] for r in rows], np.int64)
-            return pd.DataFrame({"dim": [dim], "n": [len(rows)], "ids": [ids.tobytes()], "vals": [values.tobytes()]})
-
-        for b in batches:
-            for i, v in zip(b["id"], b["v"]):
-                own = held.setdefault(len(v), [])
-                own.append((i, v))
-                if len(own) >= size:
-                    yield block(len(v), held.pop(len(v)))
-        for dim, rows in held.items():
-            yield block(dim, rows)
-
-    return df.mapInPandas(pack, "dim int, n long, ids binary, vals binary")
+def _top_of(block: SlicedBlock | None, ids: np.ndarray, vectors: np.ndarray, own_id: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """The k best (score, id) of a block of whole doubles; by integers where the
+    products need them."""
+    if block is not None:
+        return [(s, i) for i, s in block.top(own_id, query.astype(np.int64), k)]
+    others = ids != own_id
+    size = float(np.abs(vectors).max(initial=0))
+    query = exact(query, max(size, 1.0), len(query))
+    values = vectors[others] if query.dtype != object else np.array([int(x) for x in vectors[others].ravel()], object).reshape(-1, len(query))
+    return best_of(ids[others], values.astype(query.dtype) @ query, k)
 
 
 def top_inner_products(df: DataFrame, queries: DataFrame, k: int = TOP, id_col: str = "vec_id",
                        vector_col: str = "embedding", scale: int = SCALE, rows_per_block: int = ROWS_PER_BLOCK,
-                       queries_per_block: int = QUERIES_PER_BLOCK) -> DataFrame:
+                       queries_per_block: int = QUERIES_PER_CELL) -> DataFrame:
     """The ``k`` best rows of ``df`` for each row of ``queries``: query_id, rank
     (from 1), the row's id (as ``vec_id``) and its score, best first, ties to the
     smaller id; fewer rows if there are fewer.
@@ -155,41 +136,41 @@ def top_inner_products(df: DataFrame, queries: DataFrame, k: int = TOP, id_col:
     A query never meets rows of its own id. Vectors that are null, empty, or
     hold null or non-finite components, and rows without an id, take no part;
     only vectors of equal dimension meet. Repeated rows of one id are rows of
-    their own; a repeated query is answered once. Other columns are not read.
+    their own; a repeated query is answered once (queries of one id that differ
+    are queries of their own). Scores are exact for components of any size; one
+    that is returned and does not fit a long is an error. Other columns are not
+    read.
     """
     spark = df.sparkSession
     ship(spark)
 
     def shaped(d: DataFrame) -> DataFrame:
-        return d.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v")).where(
-            "id IS NOT NULL AND v IS NOT NULL")
-
-    asked = shaped(queries).groupBy("id").agg(F.min("v").alias("v"))
-    # few partitions, so that query blocks fill up
-    asked = stored(_blocks(asked.coalesce(max(1, spark.sparkContext.defaultParallelism)), queries_per_block), "queries")
-    # every lane has all query blocks and its share of the row blocks: an equi-join on the lane
-    lanes = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    number = F.monotonically_increasing_id()
-    lane = F.pmod(F.shiftright(number, 33) + number.bitwiseAND(F.lit((1 << 33) - 1)), F.lit(lanes))
-    rows = _blocks(shaped(df), rows_per_block).select("dim", lane.cast("int").alias("lane"), F.col("ids").alias("r_ids"),
-                                                      F.col("vals").alias("r_vals"))
-    asked = asked.select("dim", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"),
-                         F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals"))
-    pairs = rows.join(asked, ["dim", "lane"])
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, block = None, None
-        for b in batches:
-            for dim, r_ids, r_vals, q_ids, q_vals in zip(b["dim"], b["r_ids"], b["r_vals"], b["q_ids"], b["q_vals"]):
-                if known != r_ids:
-                    ids = np.frombuffer(r_ids, np.int64)
-                    known, block = r_ids, SlicedBlock(ids, np.frombuffer(r_vals, np.int64).reshape(len(ids), dim))
-                asks = np.frombuffer(q_ids, np.int64)
-                out = [(q, i, s) for q, v in zip(asks.tolist(), np.frombuffer(q_vals, np.int64).reshape(len(asks), dim))
-                       for i, s in block.top(q, v, k)]
-                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    found = pairs.mapInPandas(best, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return d.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where(
+            F.col("id").isNotNull() & finite(F.col("v")))
+
+    asked = stored(shaped(queries).dropDuplicates(["id", "v"]).select(F.monotonically_increasing_id().alias("q"), "id", "v"), "queries")
+    rows = stored(shaped(df).select(F.lit(None).cast("long").alias("q"), "id", "v"), "vectors")
+
+    def cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asks: dict[int, tuple[pd.DataFrame, np.ndarray, list]] = {}
+        for side, dim, part in blocks(batches, rows_per_block):
+            vectors = floors(part["v"], scale)
+            if side == 0:
+                asks[dim] = part, vectors, [[] for _ in range(len(part))]
+            elif dim in asks:
+                own, wanted, best = asks[dim]
+                ids = part["id"].to_numpy(np.int64)
+                size = float(np.abs(vectors).max(initial=0))
+                fits = [size * float(np.abs(q).max()) * dim < 2.0 ** 61 for q in wanted]
+                block = SlicedBlock(ids, vectors.astype(np.int64)) if size < 2.0 ** 61 and any(fits) else None
+                for n, (i, q, fit) in enumerate(zip(own["id"], wanted, fits)):
+                    best[n] = merged(best[n], _top_of(block if fit else None, ids, vectors, i, q, k), k)
+        for own, _, best in asks.values():
+            rows_out = [(q, i, j, as_long(s)) for q, i, top in zip(own["q"], own["id"], best) for s, j in top]
+            for at in range(0, len(rows_out), 100_000):
+                yield pd.DataFrame(rows_out[at:at + 100_000], columns=["q", "query_id", "vec_id", "score"]).astype({"score": "Int64"})
+
+    found = in_cells(rows, asked, queries_per_block).mapInPandas(cell, "q long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("q").orderBy(F.desc_nulls_last("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", in_range("score")))

@@ -20,6 +20,7 @@ from .op07_simhash import simhash_components
 from .op08_packing import pack
 from .op09_toxicity import score_documents
 from .op10_topk import top_inner_products
+from .op11_negatives import hard_negatives
 
 #: A conversation whose texts look like a template's own marks.
 TRICKY = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
@@ -118,3 +119,28 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return top_inner_products(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
+@query("op11_hard_negatives", sql="""
+    WITH e AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+               CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+        FROM e a JOIN e c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0
+    ), p AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+    QUALIFY row_number() OVER w <= 5""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
