@@ -64,7 +64,8 @@ RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("stripe", r"[rs]k_live_[0-9A-Za-z]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # a run that does not go on as a token matches with an empty group and is read past, not again from its next eyJ
+    Rule("jwt", r"eyJ((?:[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)?)[A-Za-z0-9_-]*+", 1, 1),
 )
 
 #: Alternatives of a literal stretch that are followed one by one; a class or

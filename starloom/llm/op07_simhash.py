@@ -171,21 +171,37 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     component id unless its whole component has none. Other columns are not read.
     """
     rows = stored(df.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp")), "simhash")
-    classes = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(near_links(classes, radius))
-    named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = _rooted(rows, radius)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = named.join(least, "root").select("fp", "component_id")
     return rows.join(of_class, "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``df`` with the row of the smallest id of each component; all its columns.
-    Of repeated rows (same id and text) one stays; rows without an id stay."""
-    mark = free_name(df, "kept_id")
-    winners = (simhash_components(df, id_col, text_col, **how).where(F.col(id_col) == F.col("component_id"))
-               .select(F.col(id_col).alias(mark)).distinct())
-    kept = (df.join(winners, df[id_col] == winners[mark], "left_semi").dropDuplicates([id_col, text_col]))
-    return kept.unionByName(df.where(F.col(id_col).isNull()))
+def _rooted(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, least, root): each fingerprint of ``rows`` (id, fp), its smallest id and
+    the least fingerprint of its component."""
+    classes = rows.groupBy("fp").agg(F.min("id").alias("least"))
+    roots = components(near_links(classes, radius))
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def keep_one_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS,
+                  radius: int = MAX_BITS) -> DataFrame:
+    """``df`` with one row of each component, all its columns: the row of the
+    smallest id; of several such rows (of one id and one component) the one whose
+    columns hash least, once if it is repeated. Rows without an id stay."""
+    h1, h2, n = (free_name(df, x) for x in ("row_hash", "row_hash_2", "row_times"))
+    every = [F.sort_array(F.map_entries(F.col(f"`{f.name}`"))) if f.dataType.typeName() == "map" else F.col(f"`{f.name}`") for f in df.schema]
+    signed = df.withColumn(h1, F.xxhash64(*every)).withColumn(h2, F.xxhash64(F.lit("second"), *reversed(every)))
+    rows = stored(signed.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp"), F.col(h1).alias("h1"), F.col(h2).alias("h2")), "simhash-rows")
+    first = (rows.groupBy("fp", "id", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+             .join(_rooted(rows, radius).select("fp", "root"), "fp")
+             .groupBy("root").agg(F.min(F.struct("id", "h1", "h2", "n")).alias("w")))
+    winners = stored(first.select(F.col("w.h1").alias(h1), F.col("w.h2").alias(h2), F.col("w.n").alias(n)), "simhash-winners")
+    kept = signed.join(winners, [h1, h2]).select(*df.columns, h1, h2, n)
+    # texts are shuffled once more only where a row is repeated
+    once, again = kept.where(F.col(n) == 1), kept.where(F.col(n) > 1).dropDuplicates([h1, h2])
+    return once.unionByName(again).select(*df.columns).unionByName(df.where(F.col(id_col).isNull()))

@@ -6,8 +6,8 @@ is a sequence by itself; sequences of equal length form a bucket, so no
 sequence crosses documents and none needs padding. One narrow pass.
 
 Tokenising runs the tokenizer's merges as a transducer over bytes (one lane a
-word part, in lockstep) and reads the ids off it; texts that hold a special
-token's string go to the tokenizer itself.
+word part, in lockstep) and reads the ids off it; texts that hold a special token's string, or a character that the
+tokenizer's Unicode tables take otherwise than Python's, go to the tokenizer itself.
 """
 
 from __future__ import annotations
@@ -35,11 +35,45 @@ TOKENIZER = "word_bpe_49k.json"
 _END = 0xFF
 
 
+def odd_characters(raw: bytes) -> np.ndarray:
+    """For every code point, whether the file's tokenizer may take it otherwise than
+    ``WordTokenizer``: those that Python's Unicode tables do not know (the composed
+    form of known ones never changes), and those whose normal form or class the
+    tokenizer gives otherwise."""
+    from tokenizers import Tokenizer
+
+    library, ours = Tokenizer.from_str(raw.decode()), character_classes()
+    normal, split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+    out = np.ones(0x110000, bool)
+    known = [c for c in range(0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+    plain = []
+    for c in known:
+        own = WordTokenizer._plain(chr(c))
+        if normal(chr(c)) == (" " if ours[c] == 3 else own):
+            out[c] = False
+            if own == chr(c):
+                plain.append(c)
+
+    def parts(chars: list[str]) -> np.ndarray:
+        """How many parts each character makes between letters, and between signs."""
+        n = np.zeros(2 * len(chars), np.int64)
+        for at in range(0, len(chars), 2048):
+            some = chars[at:at + 2048]
+            starts = [span[0] for _, span in split("".join(f"a{c}a !{c}! " for c in some))]
+            n[2 * at:2 * (at + len(some))] = np.bincount(np.array(starts) // 4, minlength=2 * len(some))
+        return n.reshape(-1, 2)
+
+    of_class = parts(["#", "b", "2", " "])  # in the order of the classes
+    out[plain] |= (parts([chr(c) for c in plain]) != of_class[ours[plain]]).any(axis=1)
+    return out
+
+
 class WordTokenizer(Transducer):
     """Ids of whole texts as the file's tokenizer gives them: composed (NFC),
-    lower case, white space dropped, word parts merged with an end mark."""
+    lower case, white space dropped, word parts merged with an end mark. ``odd``
+    (see ``odd_characters``) marks the characters that are left to the library."""
 
-    def __init__(self, raw: bytes, **how):
+    def __init__(self, raw: bytes, odd: np.ndarray | None = None, **how):
         from tokenizers import Tokenizer
 
         spec, back = json.loads(raw), byte_letters()
@@ -58,6 +92,7 @@ class WordTokenizer(Transducer):
             rank[as_bytes(a), as_bytes(b)] = r
         super().__init__(ids, rank, **how)
         self.cls = character_classes()
+        self.odd = odd_characters(raw) if odd is None else odd
         self.special = regex.compile("|".join(map(regex.escape, special)))
         self.library = Tokenizer.from_str(raw.decode())
         self.library.no_truncation()
@@ -77,8 +112,10 @@ class WordTokenizer(Transducer):
         self.make_room()
         out: list = [None] * len(texts)
         own, parts = [], []
+        cp, offsets = code_points(texts)
+        strange = set((np.searchsorted(offsets, np.flatnonzero(self.odd[cp]), side="right") - 1).tolist())
         for i, t in enumerate(texts):
-            if "<|" in t and self.special.search(t):
+            if i in strange or "<|" in t and self.special.search(t):
                 out[i] = np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4")
             else:
                 own.append(i)
@@ -123,14 +160,25 @@ def piece_lengths(n: int, limit: int = LIMIT) -> list[int]:
 _WORKER: dict[int, WordTokenizer] = {}
 
 
-def word_tokenizer(model: bytes) -> WordTokenizer:
+def word_tokenizer(model: bytes, odd: bytes) -> WordTokenizer:
     key = zlib.crc32(model)
     if key not in _WORKER:
         _WORKER.clear()
-        _WORKER[key] = WordTokenizer(model)
+        _WORKER[key] = WordTokenizer(model, np.unpackbits(np.frombuffer(odd, np.uint8)).astype(bool))
     return _WORKER[key]
 
 
+_ODD: dict[int, bytes] = {}
+
+
+def _odd_bits(model: bytes) -> bytes:
+    """``odd_characters``, found once on the driver: a bit for each code point."""
+    key = zlib.crc32(model)
+    if key not in _ODD:
+        _ODD[key] = np.packbits(odd_characters(model)).tobytes()
+    return _ODD[key]
+
+
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = END_ID,
          keep_ids: bool = True, tokenizer: str | None = None) -> DataFrame:
     """One row per piece: the id, ``start``, ``length``, ``ids_crc32``,
@@ -146,11 +194,12 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: i
     ship(df.sparkSession)
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     with open(path, "rb") as f:  # a fixed vocabulary file, some 2 MB
-        model = df.sparkSession.sparkContext.broadcast(f.read())
+        raw = f.read()
+    model, odd = (df.sparkSession.sparkContext.broadcast(x) for x in (raw, _odd_bits(raw)))
     last = np.array([end_id], "<u4")
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = word_tokenizer(model.value)
+        words = word_tokenizer(model.value, odd.value)
         for b in batches:
             ids = iter(b["id"].tolist())
             for block in slabs(b["text"], LANES):

@@ -21,6 +21,8 @@ from .op08_packing import pack
 from .op09_toxicity import score_documents
 from .op10_topk import top_inner_products
 from .op11_negatives import hard_negatives
+from .op12_divergence import source_divergence
+from .op13_vector_dedup import near_duplicate_vectors
 
 #: A conversation whose texts look like a template's own marks.
 TRICKY = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
@@ -50,9 +52,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = rows.unionByName(spark.createDataFrame(TRICKY, rows.schema))
-    back = format_conversations(rows).select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns"))
+    back = format_conversations(rows).select("conv_id", "formatted", "loss_spans", read_back(F.col("formatted")).alias("turns"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = loss_text(F.col("turns"))
+    loss = loss_text(F.col("formatted"), F.col("loss_spans"))
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
                        F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
                        F.length(loss).cast("long").alias("loss_chars"),
@@ -144,3 +146,41 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
     return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+@query("op12_source_divergence", sql=r"""
+    WITH d AS (
+        SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents
+    ), kept AS (
+        SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 3
+    ), n AS (
+        SELECT lang, source, term, count(*) AS c FROM (SELECT lang, source, unnest(terms) AS term FROM d) JOIN kept USING (lang, term) GROUP BY ALL
+    ), v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang), groups AS (SELECT DISTINCT lang, source FROM d),
+    counts AS (
+        SELECT g.lang, g.source, k.term, coalesce(n.c, 0) AS c, v FROM groups g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source, term)
+    ), shares AS (
+        SELECT lang, source, term, c, 1 + (1000000000::HUGEINT * (c + 1)) // (sum(c) OVER (PARTITION BY lang, source) + v) AS p FROM counts
+    ), lang_shares AS (
+        SELECT lang, term, 1 + (1000000000::HUGEINT * (c + 1)) // (sum(c) OVER (PARTITION BY lang) + v) AS q
+        FROM (SELECT lang, term, sum(c) AS c, any_value(v) AS v FROM counts GROUP BY ALL)
+    ), pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+    ), terms AS (
+        SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM shares JOIN lang_shares USING (lang, term) WHERE c > 0 AND p > q
+    ), ranked AS (
+        SELECT g.lang, g.source, 'pair' AS part, o.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+        FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = o.source
+        UNION ALL SELECT lang, source, 'term', item, CAST(value AS BIGINT) FROM terms
+    )
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM ranked
+    QUALIFY part = 'pair' OR rank <= 200""")
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_vector_dedup")
+def op13_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
