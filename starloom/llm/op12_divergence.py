@@ -7,11 +7,11 @@ then it spills a run: the block's postings sorted by term, cut into the hash
 shards of the terms and there into pages of bounded size. Spark's shuffle carries
 the pages, a shard to a task.
 
-Merge: a shard's pages arrive in the order of their first terms. A heap holds the
-open pages by their next term; a page is opened when the heap's least term passes
-its first, so only pages that overlap are in memory. Equal terms of all runs meet
-on top of the heap and are summed: the frequencies, stored one row for each term
-and source, of the terms in enough documents.
+Merge: a shard's pages arrive in the order of their first terms and are opened
+until a bounded number of postings is held; a heap merges what the open pages have
+below the first term of the next. Equal terms of all runs meet and are summed: the
+frequencies, stored one row for each term and source, of the terms in enough
+documents.
 
 Divergence: summed over all kept terms, most of which neither or one of two
 sources has. With every count 0 the sum is V equal parts; what one source's terms
@@ -24,8 +24,10 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import groupby, repeat
 
 import numpy as np
 import pandas as pd
@@ -39,7 +41,7 @@ TOP_TERMS = 200
 UNIT = 1_000_000_000
 #: A block is spilled as a run when it has as many (lang, source, term) entries, or
 #: has read as many bytes of terms.
-ENTRIES_IN_MEMORY = 400_000
+ENTRIES_IN_MEMORY = 1_000_000
 BYTES_IN_MEMORY = 256 << 20
 ENTRIES_PER_PAGE = 4096
 #: Bytes below 128 that are letters stay (in lower case); all others end a term.
@@ -62,34 +64,34 @@ def term_lists(text: str | None, chars: int = PIECE_CHARS) -> Iterator[list[byte
 
 def _run_pages(counts: dict, docs: dict, shards: int, run: int) -> Iterator[dict]:
     """A block's postings, term-sorted, as pages of one shard and language."""
-    postings: dict[tuple[int, str, bytes], list] = defaultdict(list)
-    for (lang, source), own in counts.items():
-        seen, salt = docs[lang, source], zlib.crc32(lang.encode("utf-8", "surrogatepass"))
-        for term, n in own.items():
-            postings[zlib.crc32(term, salt) % shards, lang, term].append((source, n, seen[term]))
-
-    def page(shard: int, lang: str, terms: list[bytes], lists: list[list]) -> dict:
-        names = sorted({s for own in lists for s, _, _ in own})
-        code = {s: i for i, s in enumerate(names)}
-        flat = [(code[s], n, d) for own in lists for s, n, d in own]
-        codes, n, d = (np.array(x, np.int64) for x in zip(*flat))
-        return {"shard": shard, "lang": lang, "first": terms[0], "run": run, "terms": b" ".join(terms), "names": names,
-                "sizes": np.array([len(own) for own in lists], np.int32).tobytes(), "codes": codes.astype(np.int32).tobytes(),
-                "counts": n.tobytes(), "docs": d.tobytes()}
-
-    terms: list[bytes] = []
-    lists: list[list] = []
-    at, entries = None, 0
-    for (shard, lang, term), own in sorted(postings.items()):
-        if terms and (at != (shard, lang) or entries >= ENTRIES_PER_PAGE):
-            yield page(*at, terms, lists)
-            terms, lists, entries = [], [], 0
-        at = shard, lang
-        terms.append(term)
-        lists.append(own)
-        entries += len(own)
-    if terms:
-        yield page(*at, terms, lists)
+    for lang in sorted({lang for lang, _ in counts}):
+        names = sorted(source for other, source in counts if other == lang)
+        terms = sorted(set().union(*(counts[lang, s] for s in names)))
+        if not terms:
+            continue
+        number = dict(zip(terms, range(len(terms))))
+        salt = zlib.crc32(lang.encode("utf-8", "surrogatepass"))
+        shard = np.fromiter((zlib.crc32(t, salt) % shards for t in terms), np.int64, len(terms))
+        parts = []
+        for code, source in enumerate(names):
+            own, seen = counts[lang, source], docs[lang, source]
+            parts.append((np.fromiter(map(number.__getitem__, own), np.int64, len(own)), np.full(len(own), code, np.int32),
+                          np.fromiter(own.values(), np.int64, len(own)), np.fromiter(map(seen.get, own, repeat(0)), np.int64, len(own))))
+        term, codes, n, d = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((codes, term, shard[term]))
+        term, codes, n, d = term[order], codes[order], n[order], d[order]
+        begins = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))  # of each term's postings
+        ends = np.append(begins[1:], len(term))
+        first = 0
+        while first < len(begins):
+            same_shard = np.searchsorted(shard[term[begins]], shard[term[begins[first]]], side="right")
+            last = min(same_shard, max(first + 1, int(np.searchsorted(begins, begins[first] + ENTRIES_PER_PAGE))))
+            x, y = begins[first], ends[last - 1]
+            own_terms = [terms[k] for k in term[begins[first:last]]]
+            yield {"shard": int(shard[term[x]]), "lang": lang, "first": own_terms[0], "run": run, "terms": b" ".join(own_terms), "names": names,
+                   "sizes": (ends[first:last] - begins[first:last]).astype(np.int32).tobytes(), "codes": codes[x:y].tobytes(),
+                   "counts": n[x:y].tobytes(), "docs": d[x:y].tobytes()}
+            first = last
 
 
 def spilled_runs(batches: Iterator[pd.DataFrame], shards: int, entries: int, size: int) -> Iterator[pd.DataFrame]:
@@ -132,87 +134,75 @@ def spilled_runs(batches: Iterator[pd.DataFrame], shards: int, entries: int, siz
 
 
 class _Open:
-    """A page on the heap, at its next term."""
+    """A page, from its next term on."""
 
     def __init__(self, row, code: dict[str, int]):
         self.terms = row.terms.split(b" ")
-        self.ends = np.cumsum(np.frombuffer(row.sizes, np.int32))
+        self.ends = np.concatenate([[0], np.cumsum(np.frombuffer(row.sizes, np.int32))])
         self.codes = np.array([code.setdefault(s, len(code)) for s in row.names], np.int64)[np.frombuffer(row.codes, np.int32)]
         self.counts, self.docs = np.frombuffer(row.counts, np.int64), np.frombuffer(row.docs, np.int64)
         self.at = 0
 
-    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        a, b = (self.ends[self.at - 1] if self.at else 0), self.ends[self.at]
-        self.at += 1
-        return self.codes[a:b], self.counts[a:b], self.docs[a:b]
+    def __len__(self) -> int:
+        return int(self.ends[-1] - self.ends[self.at])
+
+    def take(self, until: bytes | None) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The terms below ``until`` (None: all), the number of postings of each, the postings."""
+        stop = len(self.terms) if until is None else bisect_left(self.terms, until, self.at)
+        x, y = self.ends[self.at], self.ends[stop]
+        out = self.terms[self.at:stop], np.diff(self.ends[self.at:stop + 1]), self.codes[x:y], self.counts[x:y], self.docs[x:y]
+        self.at = stop
+        return out
 
 
-def merged_runs(batches: Iterator[pd.DataFrame], min_docs: int, flush: int = 200_000) -> Iterator[pd.DataFrame]:
-    """Frequencies of a shard: a row for each kept term and source, and on each
-    the term's count in the whole language."""
-    heap: list[tuple[bytes, int, _Open]] = []
+def merged_runs(batches: Iterator[pd.DataFrame], min_docs: int, held_entries: int = 300_000) -> Iterator[pd.DataFrame]:
+    """Frequencies of a shard: a row for each kept term and source, with the term's
+    number ``t`` and its count in the whole language. Pages are opened until
+    ``held_entries`` postings are; all terms below the next page's first are then
+    merged by a heap over the open pages."""
+    opened: list[_Open] = []
     names: dict[str, int] = {}
-    terms: list[bytes] = []
-    parts: list[tuple[int, tuple]] = []  # (place in terms, postings)
-    held = opened = 0
-    lang = None
-
-    def frame() -> pd.DataFrame | None:
-        nonlocal held
-        if not parts:
-            return None
-        place = np.repeat(np.array([p for p, _ in parts]), [len(x[0]) for _, x in parts])
-        codes, n, d = (np.concatenate(x) for x in zip(*(x for _, x in parts)))
+    lang = shard = None
+    held = made = 0
+
+    def merge(until: bytes | None) -> Iterator[pd.DataFrame]:
+        nonlocal opened, held, made
+        taken = [x for x in (page.take(until) for page in opened) if x[0]]
+        opened = [page for page in opened if page.at < len(page.terms)]
+        held = sum(map(len, opened))
+        if not taken:
+            return
+        terms = [t for t, _ in groupby(heapq.merge(*(x[0] for x in taken)))]
+        number = dict(zip(terms, range(len(terms))))
+        place = np.concatenate([np.repeat(np.fromiter(map(number.__getitem__, x[0]), np.int64, len(x[0])), x[1]) for x in taken])
+        codes, n, d = (np.concatenate([x[k] for x in taken]) for k in (2, 3, 4))
         order = np.lexsort((codes, place))
         place, codes, n, d = place[order], codes[order], n[order], d[order]
         new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (codes[1:] != codes[:-1])]))
         place, codes, n, d = place[new], codes[new], np.add.reduceat(n, new), np.add.reduceat(d, new)
-        in_lang, in_docs = np.zeros(len(terms), np.int64), np.zeros(len(terms), np.int64)
-        np.add.at(in_lang, place, n)
-        np.add.at(in_docs, place, d)
+        term_starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        in_lang, in_docs = np.add.reduceat(n, term_starts), np.add.reduceat(d, term_starts)
         keep = in_docs[place] >= min_docs
         place, codes, n = place[keep], codes[keep], n[keep]
-        known, text = list(names), [t.decode("utf-8", "surrogatepass") for t in terms]
-        terms.clear()
-        parts.clear()
-        held = 0
         if not len(place):
-            return None
-        return pd.DataFrame({"lang": [lang] * len(place), "term": [text[p] for p in place], "source": [known[c] for c in codes], "n": n, "n_lang": in_lang[place],
+            return
+        known, text = list(names), [t.decode("utf-8", "surrogatepass") for t in terms]
+        yield pd.DataFrame({"lang": [lang] * len(place), "term": [text[p] for p in place], "source": [known[c] for c in codes],
+                            "t": (shard << 40) + made + place, "n": n, "n_lang": in_lang[place],
                             "first": np.concatenate([[True], place[1:] != place[:-1]])})
-
-    def drained(until: bytes | None) -> Iterator[pd.DataFrame]:
-        """Take the terms below ``until`` (None: all) off the heap."""
-        nonlocal held
-        while heap and (until is None or heap[0][0] < until):
-            term, no, page = heap[0]
-            if not terms or terms[-1] != term:
-                if held >= flush and (out := frame()) is not None:
-                    yield out
-                terms.append(term)
-            postings = page.take()
-            parts.append((len(terms) - 1, postings))
-            held += len(postings[0])
-            if page.at < len(page.terms):
-                heapq.heapreplace(heap, (page.terms[page.at], no, page))
-            else:
-                heapq.heappop(heap)
+        made += len(terms)
 
     for b in batches:
         for row in b.itertuples(index=False):
             if row.lang != lang:
-                yield from drained(None)
-                if (out := frame()) is not None:
-                    yield out
-                lang = row.lang
+                yield from merge(None)
+                lang, shard = row.lang, int(row.shard)
                 names.clear()
-            yield from drained(row.first)
-            page = _Open(row, names)
-            opened += 1
-            heapq.heappush(heap, (page.terms[0], opened, page))
-    yield from drained(None)
-    if (out := frame()) is not None:
-        yield out
+            elif held >= held_entries:
+                yield from merge(row.first)
+            opened.append(_Open(row, names))
+            held += len(opened[-1])
+    yield from merge(None)
 
 
 def share(count: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -231,10 +221,10 @@ def excess(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
-def pair_corrections(batches: Iterator[pd.DataFrame], pairs_at_once: int = 1 << 20) -> Iterator[pd.DataFrame]:
+def pair_corrections(batches: Iterator[pd.DataFrame], rows_at_once: int = 100_000, pairs_at_once: int = 1 << 20) -> Iterator[pd.DataFrame]:
     """For terms that both sources of a pair have, what the sum of the pair needs
     beside the parts that look at one source's count (the other's being 0). Rows
-    come in order of (lang, term); ``g`` numbers the groups, ``p0`` is the share
+    come in order of ``t``, the term; ``g`` numbers the groups, ``p0`` is the share
     of a count of 0. Sums are returned as text: they may not fit a long."""
     sums: dict[tuple[int, int], int] = defaultdict(int)
 
@@ -245,49 +235,62 @@ def pair_corrections(batches: Iterator[pd.DataFrame], pairs_at_once: int = 1 <<
             part = items[at:at + 100_000]
             yield pd.DataFrame({"g": [k[0] for k, _ in part], "h": [k[1] for k, _ in part], "value": [str(v) for _, v in part]})
 
-    def add(x: np.ndarray, y: np.ndarray, g: np.ndarray, p: np.ndarray, p0: np.ndarray) -> None:
-        for at in range(0, len(x), pairs_at_once):
-            a, b = x[at:at + pairs_at_once], y[at:at + pairs_at_once]
-            value = excess(p[a], p[b]) - excess(p[a], p0[b]) - excess(p0[a], p[b]) + excess(p0[a], p0[b])
-            order = np.lexsort((g[b], g[a]))
-            ga, gb, value = g[a][order], g[b][order], value[order]
-            new = np.flatnonzero(np.concatenate([[True], (ga[1:] != ga[:-1]) | (gb[1:] != gb[:-1])]))
-            # halves of the value, so that sums of a million stay within a long
-            high, low = np.add.reduceat(value >> 32, new), np.add.reduceat(value & 0xFFFFFFFF, new)
-            for s, t, hi, lo in zip(ga[new].tolist(), gb[new].tolist(), high.tolist(), low.tolist()):
-                sums[s, t] += (hi << 32) + lo
+    def add(pair: np.ndarray, value: np.ndarray, ids: np.ndarray) -> None:
+        """Add up the values of equal pairs (first * len(ids) + second). Halves of the
+        values are summed, so that sums of a million stay exact."""
+        high, low = value >> 32, value & 0xFFFFFFFF
+        if len(ids) ** 2 <= 4 * len(pair):
+            at = np.flatnonzero(np.bincount(pair, minlength=len(ids) ** 2))
+            sums_of = [np.bincount(pair, x, len(ids) ** 2)[at] for x in (high, low)]
+        else:
+            order = np.argsort(pair, kind="stable")
+            pair = pair[order]
+            new = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+            at = pair[new]
+            sums_of = [np.add.reduceat(x[order], new) for x in (high, low)]
+        for k, hi, lo in zip(at.tolist(), *(x.tolist() for x in sums_of)):
+            sums[int(ids[k // len(ids)]), int(ids[k % len(ids)])] += (int(hi) << 32) + int(lo)
 
     def whole_terms(rows: pd.DataFrame) -> None:
-        new = np.concatenate([[True], ((rows["term"] != rows["term"].shift()) | (rows["lang"] != rows["lang"].shift())).to_numpy()[1:]])
-        size = np.diff(np.append(np.flatnonzero(new), len(rows)))
-        left = np.concatenate([np.arange(s, 0, -1) for s in size]) - 1  # rows after it in its term
-        g, p, p0 = (rows[c].to_numpy(np.int64) for c in ("g", "p", "p0"))
+        t, g, p, p0 = (rows[c].to_numpy(np.int64) for c in ("t", "g", "p", "p0"))
+        size = np.diff(np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1], [True]])))
+        left = np.repeat(np.cumsum(size), size) - np.arange(len(t)) - 1  # rows after it in its term
+        ids, code = np.unique(g, return_inverse=True)
         for step in range(1, int(size.max())):
-            x = np.flatnonzero(left >= step)
-            add(x, x + step, g, p, p0)
-            add(x + step, x, g, p, p0)
-
-    held = None
+            rows_at = np.flatnonzero(left >= step)
+            for at in range(0, len(rows_at), pairs_at_once):
+                x = rows_at[at:at + pairs_at_once]
+                y = x + step
+                both, x_only, y_only = (p[x] - p[y]) ** 2, (p[x] - p0[y]) ** 2, (p0[x] - p[y]) ** 2
+                none = (p0[x] - p0[y]) ** 2
+                add(code[x] * len(ids) + code[y], both // p[y] - x_only // p0[y] - y_only // p[y] + none // p0[y], ids)
+                add(code[y] * len(ids) + code[x], both // p[x] - y_only // p0[x] - x_only // p[x] + none // p0[x], ids)
+
+    held: list[pd.DataFrame] = []
+    n = 0
     for b in batches:
         if not len(b):
             continue
-        held = b if held is None else pd.concat([held, b], ignore_index=True)
-        differs = ((held["term"] != held["term"].iloc[-1]) | (held["lang"] != held["lang"].iloc[-1])).to_numpy()
-        open_from = int(np.flatnonzero(differs).max(initial=-1)) + 1
+        held.append(b)
+        n += len(b)
+        if n < rows_at_once:
+            continue
+        rows = pd.concat(held, ignore_index=True)
+        open_from = int(np.searchsorted(rows["t"].to_numpy(), rows["t"].iloc[-1]))
         if open_from:
-            whole_terms(held.iloc[:open_from].reset_index(drop=True))
-            held = held.iloc[open_from:].reset_index(drop=True)
+            whole_terms(rows.iloc[:open_from])
+        held, n = [rows.iloc[open_from:]], len(rows) - open_from
         if len(sums) > 1_000_000:
             yield from flushed()
-    if held is not None and len(held):
-        whole_terms(held)
+    if held:
+        whole_terms(pd.concat(held, ignore_index=True))
     yield from flushed()
 
 
 def term_frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, entries: int = ENTRIES_IN_MEMORY, size: int = BYTES_IN_MEMORY) -> DataFrame:
-    """(lang, term, source, n, n_lang, first): occurrences of each term that is in
+    """(lang, term, source, t, n, n_lang, first): occurrences of each term that is in
     at least ``min_docs`` documents of the language, in the source and in the
-    language; ``first`` marks one row of each term. Stored."""
+    language; ``t`` numbers the terms, ``first`` marks one row of each. Stored."""
     spark = docs.sparkSession
     ship(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -295,7 +298,7 @@ def term_frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, entries: int = E
                              "shard int, lang string, first binary, run int, terms binary, names array<string>, sizes binary, codes binary, "
                              "counts binary, docs binary")
     merged = (pages.repartitionById(shards, F.col("shard")).sortWithinPartitions("lang", "first")
-              .mapInPandas(lambda b: merged_runs(b, min_docs), "lang string, term string, source string, n long, n_lang long, first boolean"))
+              .mapInPandas(lambda b: merged_runs(b, min_docs), "lang string, term string, source string, t long, n long, n_lang long, first boolean"))
     return stored(merged, "divergence-frequencies")
 
 
@@ -341,7 +344,7 @@ def source_divergence(df: DataFrame, min_docs: int = MIN_DOCS, top_terms: int =
     shared = stored(freq.join(groups, ["lang", "source"])
                     .withColumn("p", _share(F.col("n"), F.col("n_all") + F.col("v")))
                     .withColumn("q", _share(F.col("n_lang"), F.col("n_lang_all") + F.col("v")))
-                    .select("lang", "source", "term", "g", "p0", "p", "q"), "divergence-shares")
+                    .select("lang", "source", "term", "t", "g", "p0", "p", "q"), "divergence-shares")
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     terms = (shared.where("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
                                           _excess(F.col("p"), F.col("q")).alias("value"))
@@ -358,7 +361,7 @@ def source_divergence(df: DataFrame, min_docs: int = MIN_DOCS, top_terms: int =
         F.struct(F.col("g").alias("g"), F.col("other").alias("h"), (m * (_excess(p, o0) - _excess(p0, o0)).cast(big)).alias("value")),
         F.struct(F.col("other").alias("g"), F.col("g").alias("h"), (m * (_excess(o0, p) - _excess(o0, p0)).cast(big)).alias("value"))))
     single = both.select(one_sided.alias("x")).select("x.g", "x.h", F.col("x.value").cast(big).alias("value"))
-    corrections = (shared.select("lang", "term", "g", "p", "p0").repartition("lang", "term").sortWithinPartitions("lang", "term", "g")
+    corrections = (shared.select("t", "g", "p", "p0").repartition("t").sortWithinPartitions("t", "g")
                    .mapInPandas(pair_corrections, "g long, h long, value string").withColumn("value", F.col("value").cast(big)))
     added = single.unionByName(corrections).groupBy("g", "h").agg(F.sum("value").cast(big).alias("added"))
     total = F.col("v").cast(big) * _excess(F.col("g0"), F.col("h0")).cast(big) + F.coalesce("added", F.lit(0).cast(big))

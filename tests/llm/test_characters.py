@@ -84,7 +84,7 @@ def test_secret_rules_are_linear(rule):
 def test_jwt_spans():
     scanner = op05_secrets.Scanner(tuple(r for r in op05_secrets.RULES if r.kind == "jwt"))
     one = "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJ_-SM"
-    for before, after in (("", ""), ("token=", " x"), ("Bearer ", "."), ("ab_", ";"), ("eyJ.", ""), (one[:12] + ".", "")):
+    for before, after in (("", ""), ("token=", " x"), ("Bearer ", "."), ("ab_", ";"), ("eyJ.", ""), (one[:9] + ".", "")):
         (found,) = scanner.scan([before + one + after])
         assert [(s, e) for s, _, e in found] == [(len(before), len(before) + len(one))]
     assert [(s, e) for s, _, e in scanner.scan(["eyJ" + one])[0]] == [(0, 3 + len(one))]

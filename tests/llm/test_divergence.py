@@ -92,7 +92,7 @@ def test_runs_are_merged_in_bounded_pages(monkeypatch):
                         columns=["lang", "source", "text"])
     pages = pd.concat(D.spilled_runs(iter([rows]), 1, 40, 1 << 30)).sort_values(["lang", "first"], kind="stable")
     assert pages["run"].nunique() > 10 and len(pages) > 100
-    got = pd.concat(D.merged_runs(iter([pages.iloc[:50], pages.iloc[50:]]), 1, flush=20))
+    got = pd.concat(D.merged_runs(iter([pages.iloc[:50], pages.iloc[50:]]), 1, held_entries=20))
     want = Counter((lang, t, s) for lang, s, text in rows.itertuples(index=False) for t in text.split())
     assert {(r.lang, r.term, r.source): r.n for r in got.itertuples()} == dict(want) and len(got) == len(want)
     assert got["first"].sum() == len({k[:2] for k in want})
