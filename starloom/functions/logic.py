@@ -109,12 +109,13 @@ def threshold_count(cols: Sequence, threshold) -> Column:
                    for c in cols])
 
 
-def thresholds_from_data(df, column: str, quantiles, accuracy: int = 10000) -> list:
-    """Data-driven thresholds for ``tier`` (the optional form of P7): the
-    approximate quantiles of ``column`` in one aggregate pass. Only the
-    quantile values (as many as requested) reach the driver."""
-    row = df.agg(F.percentile_approx(F.col(column), list(quantiles), accuracy)).first()
-    return list(row[0] or [])
+def thresholds_from_data(df, column: str, quantiles) -> list:
+    """Data-driven thresholds for ``tier`` (the optional form of P7), as values: the
+    exact quantiles of ``column``, computed at once. ``quantile_columns`` gives the
+    same as columns, without a job."""
+    from ..operators.quantiles import exact_quantiles
+    found = exact_quantiles(df, column, quantiles).first()[0]
+    return [v for v in found if v is not None]
 
 
 def quartile_label(value, cuts, labels=("Q1", "Q2", "Q3", "Q4")) -> Column:

@@ -44,10 +44,51 @@ def column_values(df: DataFrame, column: str, order_by: Column | None = None,
                                        F.lit(None).cast(kinds["ordering"]).alias("ordering")))
 
 
+#: Values that name columns at most; more are an error, not a plan of that width.
+MAX_NAMES = 1000
+
+
 def column_values_list(df: DataFrame, column: str, max_records: int | None = None,
-                       where: str | Column | None = None, default=None) -> list:
+                       where: str | Column | None = None, default=None, max_names: int = MAX_NAMES) -> list:
     """Values as a Python list, only to *name* columns (e.g. pivot output):
-    all of them, or the ``max_records`` most frequent."""
-    rows = column_values(df, column, max_records=max_records, where=where).collect()
+    all of them, or the ``max_records`` most frequent. More than ``max_names``
+    values are an error; no more than that reach the driver."""
+    asked = max_names + 1 if max_records is None else max_records
+    rows = column_values(df, column, max_records=min(asked, max_names + 1), where=where).collect()
+    if len(rows) > max_names:
+        raise ValueError(f"{column} has more than {max_names} values: give max_records or max_names, or aggregate without naming columns")
     vals = [r[0] for r in rows]
     return vals if vals else (list(default) if default is not None else [])
+
+
+#: Values that a frequency sketch tracks, and candidates that are counted again.
+TRACKED, CANDIDATES = 65_536, 1000
+
+
+def top_values(df: DataFrame, column: str, k: int, where: str | Column | None = None,
+               tracked: int = TRACKED, candidates: int = CANDIDATES) -> DataFrame:
+    """``column_values`` with ``max_records=k`` for a column of very many values: the
+    same rows, without a shuffle of all values where a sketch proves them.
+
+    Mergeable frequency sketches give candidates; these are counted exactly. A value
+    that is no candidate occurs at most as often as the last candidate is estimated
+    to, or, untracked, as the sketch's error. If the k-th candidate's exact
+    count is above both, the candidates' order is the answer; otherwise (a flat
+    column, ties at the boundary) the values are counted in full. Both are in the
+    plan; the one that does not apply gets no rows.
+    """
+    src = (df if where is None else df.filter(where)).select(F.col(f"`{column}`").alias(column))
+    c = F.col(f"`{column}`")
+    candidates = min(max(candidates, 2 * k), tracked)
+    sketch = src.where(c.isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(`{column}`, {candidates}, {tracked})").alias("top"))
+    # an estimate is never below the count; of a sketch for m values, in slots of
+    # 2^j >= m / 0.75, untracked values are below 3.5 / 2^j of all, values it does not return below twice that
+    slots = 1 << (-(-tracked * 4 // 3) - 1).bit_length()
+    unseen = sketch.select(F.greatest(
+        F.when(F.size("top") == candidates, F.element_at("top", -1)["count"]).otherwise(0), F.ceil(F.col("n") * 7 / slots) - 1).alias("b"))
+    names = sketch.select(F.explode(F.array_append(F.col("top")["item"], F.lit(None))).alias("item"))
+    counted = (src.join(names, c.eqNullSafe(F.col("item")), "left_semi").groupBy(c).agg(F.count(F.lit(1)).alias("ordering")))
+    best = counted.orderBy(F.desc("ordering"), c.asc_nulls_last()).limit(k)
+    proven = F.coalesce(best.agg(F.when(F.count(F.lit(1)) == k, F.min("ordering"))).scalar() > unseen.scalar(), F.lit(False))
+    every = column_values(src.where(~proven), column, max_records=k)
+    return best.where(proven).unionByName(every).select(c, "ordering")

@@ -3,11 +3,12 @@
 ``lag``/``lead`` over a window without (or with a huge) partition runs in a
 single task. Here the rows, whole table or any mix of group sizes, are cut into
 ranges of the full sort key (group columns, then order columns), whatever their
-types. The range bounds come from a uniform sample of the distinct keys; their
-number follows the row count. Each range is one window partition; the first (or
-last) row of a range takes its neighbour from the nearest range that has rows.
-Bounds and range edges are scalar subqueries of the same plan: no job runs
-while the plan is built, and both arrays are bounded by ``MAX_RANGES``.
+types, by Spark's own range partitioning; a row's range is the partition that it
+falls into. The ranged rows are checkpointed, so everything after it sees the
+same cuts and reads the input once. Each range is one window partition; the
+first (or last) row of a range takes its neighbour from the nearest range that
+has rows. The edges, one row for each range, are a scalar subquery: they grow
+with the number of shuffle partitions, not with the data.
 
 Inputs are expected to be unique on (partition, order columns): the checks
 that use this collapse duplicate rows into counts first (``replicate``
@@ -21,10 +22,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows that one range should hold, and the most ranges (the size of the
-# sample); beyond that ranges grow with the data and sort with spilling.
-ROWS_PER_RANGE = 100_000
-MAX_RANGES = 16_384
+from ..session import ensure_checkpoint_dir
 
 
 def _sort_key(cols: Sequence[str]) -> list[Column]:
@@ -35,35 +33,20 @@ def _sort_key(cols: Sequence[str]) -> list[Column]:
     return out
 
 
-def _bounds(keys: DataFrame, rows_per_range: int) -> Column:
-    """Sorted array of the lower bounds of all ranges but the first: evenly
-    spaced members of a uniform sample (the keys of the smallest hashes)."""
-    sample = (keys.select("k", F.xxhash64("k").alias("h")).orderBy("h", "k").limit(MAX_RANGES)
-              .agg(F.sort_array(F.collect_list("k")).alias("s")))
-    n = F.greatest(F.lit(1), F.least(F.lit(MAX_RANGES), F.ceil(keys.agg(F.count(F.lit(1))).scalar() / rows_per_range)))
-    picked = F.filter(
-        F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / F.col("n")).cast("int"))),
-        lambda b: b.isNotNull())
-    return sample.withColumn("n", n.cast("int")).select(picked.alias("b")).scalar()
-
-
 def neighbour(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], value: str,
-              direction: str, out: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+              direction: str, out: str, rows_per_range: int | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the previous (``direction='prev'``) or next
     row in order ``order_by`` (ascending, NULLs last) within ``partition_by``.
 
-    Also adds ``out + '_exists'``: whether such a row exists.
+    Also adds ``out + '_exists'``: whether such a row exists. The number of ranges
+    is Spark's (shuffle partitions, joined by size); ``rows_per_range`` sets it from
+    a count of the rows. The ranged rows are computed and checkpointed at once.
     """
     part, prev = list(partition_by), direction == "prev"
+    ensure_checkpoint_dir(df.sparkSession)
     keyed = df.withColumn("__k", F.struct(*_sort_key([*part, *order_by])))
-    bounds = _bounds(keyed.select(F.col("__k").alias("k")), rows_per_range)
-    rows = keyed.withColumn("__b", bounds).withColumn("__range", F.lit(0))
-    step = MAX_RANGES
-    while step:  # binary search; a place past the end is null and does not move it
-        here = F.get(F.col("__b"), F.col("__range") + (step - 1))
-        rows = rows.withColumn("__range", F.when(here <= F.col("__k"), F.col("__range") + step).otherwise(F.col("__range")))
-        step //= 2
-    rows = rows.drop("__b")
+    ranges = [] if rows_per_range is None else [max(1, -(-df.count() // rows_per_range))]
+    rows = keyed.repartitionByRange(*ranges, "__k").withColumn("__range", F.spark_partition_id()).checkpoint()
 
     same = F.struct(*[F.col(f"`{c}`").alias(f"p{i}") for i, c in enumerate(part)], F.lit(0).alias("p"))
     held = F.struct(F.col("__k").alias("k"), same.alias("p"), F.col(f"`{value}`").alias("v"))

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..fixed_values import EQUAL_ROWCOUNT_ID, FEWER_ROWS_THAN_ID
 from ..functions.text import slugify
-from .ordered import ROWS_PER_RANGE, neighbour, replicate
+from .ordered import neighbour, replicate
 
 
 @dataclass
@@ -156,11 +156,32 @@ def _rounded(c: Column, kind: T.DataType, precision: int) -> Column:
     return F.round(c.cast("double"), precision)
 
 
+def _differing(a: DataFrame, b: DataFrame, cols: list[str], buckets: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides in the hash buckets whose digests differ. A digest (row
+    count, sum and xor of two row hashes) does not depend on the order of rows; equal
+    digests mean equal multisets of rows. Buckets that differ only in repeats are
+    compared too, as sets."""
+    bucket = F.pmod(F.xxhash64(*[_c(c) for c in cols]), F.lit(buckets)).cast("int")
+    other = F.xxhash64(F.lit("second"), *[_c(c) for c in reversed(cols)])
+
+    def digest(x: DataFrame, side: str) -> DataFrame:
+        return x.groupBy(bucket.alias("__bucket")).agg(F.struct(
+            F.count(F.lit(1)).alias("n"), F.sum(other.cast("decimal(38,0)")).alias("s"),
+            F.bit_xor(F.xxhash64(*[_c(c) for c in cols])).alias("x")).alias(side))
+
+    unequal = (digest(a, "__a").join(digest(b, "__b"), "__bucket", "full").where(~F.col("__a").eqNullSafe(F.col("__b"))).select("__bucket"))
+    return tuple(x.withColumn("__bucket", bucket).join(unequal, "__bucket", "left_semi").drop("__bucket") for x in (a, b))
+
+
 def equality(df: DataFrame, compare: DataFrame, compare_columns: Sequence[str] | None = None,
              exclude_columns: Sequence[str] | None = None, precision: int | None = None,
-             where=None) -> Check:
+             where=None, digest_buckets: int | None = None) -> Check:
     """Rows in one table only (set semantics), tagged ``which_diff``.
 
+    With ``digest_buckets`` the sides are first compared by digests of so many hash
+    buckets, one small row a bucket and side; only rows of buckets whose digests
+    differ are shuffled and compared. For tables that are (nearly) equal.
+
     With ``precision``, float and decimal columns (not integers) are rounded
     (as decimals) first.
     fail_calc = rows + |#a_minus_b - #b_minus_a|.
@@ -188,7 +209,10 @@ def equality(df: DataFrame, compare: DataFrame, compare_columns: Sequence[str] |
             out.append(ref.alias(c))
         return x.select(*out)
 
-    diff = _one_sided(prep(a), prep(compare), cols, tag="which_diff")
+    sides = prep(a), prep(compare)
+    if digest_buckets:
+        sides = _differing(*sides, cols, digest_buckets)
+    diff = _one_sided(*sides, cols, tag="which_diff")
     n_a = F.sum(F.when(F.col("which_diff") == "a_minus_b", 1).otherwise(0))
     n_b = F.sum(F.when(F.col("which_diff") == "b_minus_a", 1).otherwise(0))
     calc = F.count(F.lit(1)) + F.coalesce(F.abs(n_a - n_b), F.lit(0))
@@ -210,7 +234,7 @@ _GAP_OPS = {"not_allowed": ("=", "equal_to"), "allowed": ("<=", "less_than_or_eq
 def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_bound_column: str,
                               partition_by: str | Column | None = None, gaps: str = "allowed",
                               zero_length_range_allowed: bool = False, where=None,
-                              rows_per_range: int = ROWS_PER_RANGE) -> Check:
+                              rows_per_range: int | None = None) -> Check:
     """Ranges ordered by (lower, upper) must not overlap (gap rules as named).
 
     Equal (partition, lower, upper) rows are collapsed into counts: within a
@@ -357,7 +381,7 @@ def not_empty_string(df: DataFrame, column: str, trim_whitespace: bool = True, w
 # ------------------------------------------------------------------ Q14
 def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: str | None = None,
                       group_by: Sequence[str] = (), where=None,
-                      rows_per_range: int = ROWS_PER_RANGE) -> Check:
+                      rows_per_range: int | None = None) -> Check:
     """Value differs from the previous value (in value order) + interval.
 
     Runs on distinct values with counts: the first row of a run of equal

@@ -74,18 +74,28 @@ def date_spine(bounds: DataFrame, start: str | Column, end: str | Column,
     e = F.col(end) if isinstance(end, str) else end
     name = f"date_{datepart.lower()}"
     n = intervals_between(s, e, datepart)
-    steps = (bounds.select(s.alias("__s"), e.alias("__e"), n.alias("__n"))
-             .filter(F.col("__n") > 0)
-             .select("__s", "__e", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__i")))
+    steps = _numbered(bounds.select(s.alias("__s"), e.alias("__e"), n.cast("long").alias("__n")), "__n", "__i")
     return (steps.select(_add(F.col("__s"), F.col("__i"), datepart).alias(name), "__e")
             .filter(F.col(name) <= F.col("__e")).select(name))
 
 
+def _numbered(rows: DataFrame, count: str, name: str) -> DataFrame:
+    """Each row once for every number 0 .. ``count`` - 1 (column ``name``): in chunks of
+    at most CHUNK numbers, spread over the cluster before they are expanded, so
+    that no single row or task holds a whole series."""
+    n = F.col(count)
+    chunks = rows.where(n > 0).withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / CHUNK).cast("long"))))
+    low = F.col("__chunk") * CHUNK
+    return (chunks.repartition("__chunk")
+            .withColumn(name, F.explode(F.sequence(low, F.least(n, low + CHUNK) - 1))).drop("__chunk"))
+
+
 def day_series_inclusive(bounds: DataFrame, start: str, end: str,
                          name: str = "date_day") -> DataFrame:
     """Every day from ``start`` to ``end``, both included."""
-    return bounds.select(F.explode(F.sequence(F.col(start).cast("date"),
-                                              F.col(end).cast("date"))).alias(name))
+    first, last = F.col(start).cast("date"), F.col(end).cast("date")
+    days = bounds.select(first.alias("__s"), (F.datediff(last, first) + 1).cast("long").alias("__n"))
+    return _numbered(days, "__n", "__i").select(F.date_add("__s", F.col("__i").cast("int")).alias(name))
 
 
 def generate_series(bounds: DataFrame | SparkSession, upper) -> DataFrame:
@@ -101,16 +111,7 @@ def generate_series(bounds: DataFrame | SparkSession, upper) -> DataFrame:
     u = F.col(upper) if isinstance(upper, str) else upper
     checked = F.when(u > 0, u).otherwise(
         F.raise_error(F.lit("generate_series: upper bound must be positive"))).cast("long")
-    # chunks of at most CHUNK numbers, spread over the cluster before they
-    # are expanded: no single row or task holds the whole series
-    n = bounds.select(checked.alias("__n"))
-    chunks = n.select("__n", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                  F.floor((F.col("__n") - 1) / CHUNK).cast("long")))
-                      .alias("__c"))
-    lo = F.col("__c") * CHUNK + 1
-    hi = F.least(F.col("__n"), (F.col("__c") + 1) * CHUNK)
-    return (chunks.repartition("__c")
-            .select(F.explode(F.sequence(lo, hi)).alias("generated_number")))
+    return _numbered(bounds.select(checked.alias("__n")), "__n", "__i").select((F.col("__i") + 1).alias("generated_number"))
 
 
 def single_value(df: DataFrame, default=None) -> DataFrame:

@@ -207,13 +207,13 @@ FACT_KEYS = {"fct_game_results": "game_key", "fct_player_game_stats": "player_ga
 def land_sources(spark: SparkSession, base: str, out_dir: str) -> dict[str, DataFrame]:
     """Write the raw source and seed tables (derived from the test tables)
     once; the models then read them like the reference reads its sources."""
-    from ..sources.sinks import write_layer
+    from ..sources.sinks import read_layer, write_layer
     raw = Raw(spark, base)
     stored = {}
     for name in RAW_SOURCES:
         path = f"{out_dir.rstrip('/')}/raw/{name}"
         write_layer(getattr(raw, name), path)
-        stored[name] = spark.read.parquet(path)
+        stored[name] = read_layer(spark, path)
     return stored
 
 
@@ -232,48 +232,78 @@ def read_sources(spark: SparkSession, sources_dir: str, seeds_dir: str) -> dict[
             else spark.read.parquet(f"{sources_dir.rstrip('/')}/{n}.parquet") for n in RAW_SOURCES}
 
 
+#: What ``--select`` may name besides a model: the layers and their tags.
+LAYERS = {"staging": STAGING, "bronze": STAGING, "intermediate": INTERMEDIATE, "silver": INTERMEDIATE,
+          "dimensions": DIMENSIONS, "dimension": DIMENSIONS, "facts": FACTS, "fact": FACTS,
+          "marts": DIMENSIONS + FACTS, "gold": DIMENSIONS + FACTS}
+
+
+def select_models(names: list[str]) -> list[str]:
+    """The models that ``names`` select, in dependency order: models, layers, or
+    tags (``tag:staging``). An unknown name is an error."""
+    chosen: set[str] = set()
+    for name in names:
+        bare = name.removeprefix("tag:")
+        if bare in LAYERS:
+            chosen.update(LAYERS[bare])
+        elif name in MODELS:
+            chosen.add(name)
+        else:
+            raise ValueError(f"nothing is named {name!r}; models: {', '.join(MODELS)}; layers and tags: {', '.join(LAYERS)}")
+    return [m for m in MODELS if m in chosen]
+
+
+def stored_warehouse(spark: SparkSession, base: str, out_dir: str, sources: dict[str, DataFrame] | None = None,
+                     but: set[str] | frozenset = frozenset()) -> Warehouse:
+    """A warehouse that reads the layers stored under ``out_dir``, except ``but``."""
+    from ..sources.sinks import layer_exists, read_layer
+    w = Warehouse(spark, base, sources=sources)
+    for name in TABLE_MODELS:
+        path = f"{out_dir.rstrip('/')}/{name}"
+        if name not in but and layer_exists(spark, path):
+            w.use(name, read_layer(spark, path).drop("loaded_at"))
+    return w
+
+
 def build_warehouse(spark: SparkSession, base: str, out_dir: str, models: list[str] | None = None,
-                    sources_dir: str = "", seeds_dir: str = "") -> dict[str, str]:
+                    sources_dir: str = "", seeds_dir: str = "", full_refresh: bool = False) -> dict[str, str]:
     """Write every layer under ``out_dir`` in dependency order.
 
     Each written table is read back and used downstream, so every model is
     computed once and each job's lineage starts at the previous layer's
-    files. Facts are loaded with the incremental sink (full on the first
-    run, look-back upsert afterwards). Already written sources and layers
-    that are not selected are reused. Written staging tables carry ``loaded_at``.
-    With ``sources_dir`` and ``seeds_dir`` the real tables are read instead of
-    those derived from ``base``. Returns {model: how it was written}.
+    files. Facts are loaded with the incremental sink (full on the first run or
+    with ``full_refresh``, look-back upsert otherwise). ``models`` may name models,
+    layers and tags. Already written sources and layers that are not selected are
+    reused. Written staging tables carry ``loaded_at``. With ``sources_dir`` and
+    ``seeds_dir`` the real tables are read instead of those derived from ``base``.
+    Returns {model: how it was written} (a view is not).
     """
-    from ..sources.sinks import _fs_exists, incremental_refresh, with_load_time, write_layer
+    from ..sources.sinks import incremental_refresh, layer_exists, read_layer, with_load_time, write_layer
 
     root = out_dir.rstrip("/")
     done: dict[str, str] = {}
+    wanted = select_models(models) if models else MODELS
     if sources_dir:
         sources = read_sources(spark, sources_dir, seeds_dir)
-    elif models is None or not all(_fs_exists(spark, f"{root}/raw/{n}") for n in RAW_SOURCES):
+    elif models is None or not all(layer_exists(spark, f"{root}/raw/{n}") for n in RAW_SOURCES):
         sources = land_sources(spark, base, root)
         done["sources"] = "landed"
     else:
-        sources = {n: spark.read.parquet(f"{root}/raw/{n}") for n in RAW_SOURCES}
-    w = Warehouse(spark, base, sources=sources)
-    wanted = set(models or (TABLE_MODELS + FACTS))
-    for name in TABLE_MODELS:
+        sources = {n: read_layer(spark, f"{root}/raw/{n}") for n in RAW_SOURCES}
+    w = stored_warehouse(spark, base, root, sources, but=set(wanted))
+    for name in wanted:
         path = f"{root}/{name}"
-        if name not in wanted:
-            if _fs_exists(spark, path):  # reuse the stored layer
-                w.use(name, spark.read.parquet(path).drop("loaded_at"))
-            continue
-        df = getattr(w, name)
-        # date-bearing layers are clustered by date inside each file, so the
-        # look-back filter of incremental runs skips old row groups
-        write_layer(with_load_time(df) if name in STAGING else df, path,
-                    sort_within=["game_date"] if "game_date" in df.columns else ())
-        w.use(name, spark.read.parquet(path).drop("loaded_at"))
-        done[name] = "table"
-    for name in FACTS:
-        if name not in wanted:
-            continue
-        done[name] = incremental_refresh(spark, f"{root}/{name}",
-                                         lambda since, _n=name: w.fact(_n, since),
-                                         FACT_KEYS[name])
+        if name in FACTS:
+            done[name] = incremental_refresh(spark, path, lambda since, _n=name: w.fact(_n, since), FACT_KEYS[name],
+                                             full_refresh=full_refresh)
+        elif name in TABLE_MODELS:
+            df = getattr(w, name)
+            # date-bearing layers are clustered by date inside each file, so the
+            # look-back filter of incremental runs skips old row groups
+            write_layer(with_load_time(df) if name in STAGING else df, path,
+                        sort_within=["game_date"] if "game_date" in df.columns else ())
+            w.use(name, read_layer(spark, path).drop("loaded_at"))
+            done[name] = "table"
+        elif models:
+            done[name] = "view"
     return done

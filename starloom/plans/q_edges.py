@@ -13,7 +13,7 @@ from ..operators import quality as Q
 from ..operators import reshape as R
 from ..operators import series as G
 from ..session import ensure_checkpoint_dir
-from ..sources.sinks import store_failures, write_layer
+from ..sources.sinks import read_layer, store_failures, write_layer
 from ..sources.tables import Tables, read_seed_csv, scan_live
 from .registry import query
 
@@ -117,7 +117,7 @@ def q_table_sink(spark, d):
     path = _scratch(spark, "table")
     for _ in range(2):
         write_layer(rows, path, partition_by=["o_orderstatus"], sort_within=["order_date"])
-    return spark.read.parquet(path).select("o_orderkey", F.col("o_orderstatus").cast("string").alias("o_orderstatus"), "order_date")
+    return read_layer(spark, path).select("o_orderkey", "o_orderstatus", "order_date")
 
 
 @query("view_sink", "SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY c_nationkey")

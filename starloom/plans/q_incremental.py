@@ -18,7 +18,7 @@ from .layers import Warehouse
 from .oracle_models import with_models
 from .registry import query
 from ..session import ensure_checkpoint_dir
-from ..sources.sinks import upsert_partitions, write_layer, partition_month
+from ..sources.sinks import partition_month, read_layer, upsert_partitions, write_layer
 from ..sources.tables import Tables
 
 CUTOFF = "1998-01-01"
@@ -69,9 +69,9 @@ def _dated_orders(spark, d):
 def _sink_run(spark, target, delta):
     """The real sink: write the target table, upsert the delta, read it back."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sink-{uuid.uuid4().hex}"
-    write_layer(target.withColumn("_month", partition_month("order_date")), path, partition_by=["_month"])
+    write_layer(target.withColumn("_month", partition_month("order_date")), path, ["_month"], key=["o_orderkey"])
     upsert_partitions(spark, path, delta, "o_orderkey", "order_date")
-    return spark.read.parquet(path).select(*delta.columns)
+    return read_layer(spark, path).select(*delta.columns)
 
 
 _DATED = """

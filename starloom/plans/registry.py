@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import q_columns, q_frames, q_checks, q_models, q_incremental, q_edges  # noqa: F401
+    from . import q_columns, q_frames, q_checks, q_models, q_incremental, q_edges, q_scale  # noqa: F401

@@ -21,6 +21,8 @@ BASE_CONF = {
     # a broadcast; anything larger stays a shuffle join.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # tables bucketed by some of a join's keys are joined as they lie
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # MIN/MAX/COUNT answered from Parquet footers where possible
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",

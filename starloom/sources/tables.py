@@ -52,23 +52,3 @@ def read_seed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     fields = [f.strip().split(" ") for f in schema.split(",")]
     rows = spark.read.csv(path, header=True)
     return rows.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in fields])
-
-
-def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict,
-                    partition_column: str | None = None, lower_bound: int | None = None,
-                    upper_bound: int | None = None, num_partitions: int = 64,
-                    fetch_size: int = 10000) -> DataFrame:
-    """Source table kept in a database (the reference's sources live in
-    PostgreSQL). With ``partition_column`` and bounds the read is split into
-    ``num_partitions`` range queries run by the executors in parallel;
-    filters and projections applied later are pushed into the SQL sent to
-    the database. Not exercised by the tests (no database server here)."""
-    opts = dict(properties)
-    opts["fetchsize"] = str(fetch_size)
-    if partition_column is None:
-        return spark.read.jdbc(url, table, properties=opts)
-    if lower_bound is None or upper_bound is None:
-        raise ValueError("a partitioned JDBC read needs lower_bound and upper_bound")
-    return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
-                           upperBound=upper_bound, numPartitions=num_partitions,
-                           properties=opts)

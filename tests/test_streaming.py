@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from starloom.plans.layers import Warehouse
 from starloom.plans.models.staging import stg_games
+from starloom.sources.sinks import read_layer
 from starloom.streaming import read_raw_stream, start_upsert_stream
 
 
@@ -32,6 +33,6 @@ def test_stream_upsert_equals_batch(spark, sf_small):
 
     expected_raw = games.filter(k % 10 != 0).unionByName(later)
     expected = stg_games(expected_raw, line_scores)
-    got = spark.read.parquet(out).drop("_month")
+    got = read_layer(spark, out).drop("_month")
     assert got.count() == expected.count()
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
