@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 import starloom
 from starloom.session import ensure_checkpoint_dir
+from starloom.sources.versions import delete
 
 PIECE_CHARS = 1 << 20
 _SHIPPED: set[str] = set()
@@ -52,10 +54,27 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, the files of every table that is ``stored`` meanwhile: for
+    work whose result is written elsewhere before the end."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            delete(spark, path)
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its lineage ends in
     files that outlive any executor."""
     path = shared_path(df.sparkSession, tag)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

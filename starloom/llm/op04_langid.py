@@ -15,8 +15,10 @@ joined with the counts, and the block is scored by a model of the joined rows.
 A block looks up nothing else, so predictions, scores and entropies are the same.
 
 A text goes to the language of the lowest cross-entropy per character. It is
-marked ``rejected`` if that is higher than the language's own texts explain:
-mean and spread of the per-character entropy over all training grams.
+marked ``rejected`` if that is higher than the language's own texts explain. The
+limit is calibrated on texts that the counts leave out, a second fold of the
+training rows: for each language and class of lengths, the entropy that all but
+``REJECT_SHARE`` of its texts there stay below.
 """
 
 from __future__ import annotations
@@ -41,23 +43,35 @@ MAX_CELLS = 1 << 23
 BLOCK_CHARS = 1 << 22
 HELD_OUT_MOD, HELD_OUT_REST = 4, 2
 UNKNOWN = "und"
-#: Standard errors, and extra nats, above the mean at which a text is rejected.
-REJECT_ERRORS, REJECT_SLACK = 6.0, 0.5
+#: Of the training rows, those with crc32 modulo 20 below 4 calibrate the rejection.
+CALIBRATION_MOD, CALIBRATION_BELOW = 20, 4
+#: Share of a language's own texts above its limit, and the texts that a class of
+#: lengths (powers of 4 in characters) needs for a limit of its own; a language
+#: with fewer texts in all has the limit of all languages' texts.
+REJECT_SHARE, REJECT_TEXTS, LENGTH_CLASSES = 0.005, 200, 8
 #: Characters' worth of evidence that turns entropies into a score.
 SHARPNESS = 16.0
-_BLANK, _OUTSIDE = 32, 0xFFFD
+_BLANK = 32
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 _CODES: list[np.ndarray] = []
 
 
 def _codes() -> np.ndarray:
-    """Code point -> its lower-case letter as a 16-bit code; no letter: blank."""
+    """Code point -> its lower-case letter as a 16-bit code; no letter: blank.
+
+    Letters above U+FFFF take, in order, the codes that no lower-case letter below
+    has. These are some 18,000: enough for all scripts up to U+1FFFF; the rare
+    ideographs above go round again."""
     if not _CODES:
         out = np.full(0x110000, _BLANK, np.uint64)
         every = "".join(map(chr, (c for c in range(0x110000) if not 0xD800 <= c < 0xE000)))
-        for m in regex.finditer(r"\p{L}", every):
-            low = m[0].lower()
-            out[ord(m[0])] = ord(low[0]) if ord(low[0]) <= 0xFFFF else _OUTSIDE
+        low = {ord(m[0]): ord(m[0].lower()[0]) for m in regex.finditer(r"\p{L}", every)}
+        used = set(low.values())
+        free = [c for c in range(1, 0x10000) if c != _BLANK and c not in used]
+        code = {c: c for c in used if c <= 0xFFFF}
+        code |= {c: free[k % len(free)] for k, c in enumerate(sorted(c for c in used if c > 0xFFFF))}
+        for c, l in low.items():
+            out[c] = code[l]
         _CODES.append(out)
     return _CODES[0]
 
@@ -157,8 +171,6 @@ class LanguageModel:
     probs: list[np.ndarray]
     contexts: list[Table]
     weights: list[np.ndarray]
-    mean: np.ndarray
-    spread: np.ndarray
 
     def probabilities(self, gram: np.ndarray, order: int = ORDER) -> np.ndarray:
         """P(last character | those before) for every gram and language."""
@@ -175,7 +187,7 @@ class LanguageModel:
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """(language, score, entropy, rejected) of each text."""
+        """(language, score, entropy, kept characters) of each text."""
         gram, bounds, letters = grams_of(texts)
         n = np.diff(bounds)
         cost = np.concatenate([np.zeros((1, len(self.langs))), -np.log(self.probabilities(gram)).cumsum(axis=0, dtype=np.float64)])
@@ -183,9 +195,8 @@ class LanguageModel:
         best = mean.argmin(axis=1)
         low = mean[np.arange(len(texts)), best]
         score = 1 / np.exp(SHARPNESS * np.maximum(-40, low[:, None] - mean)).sum(axis=1)
-        rejected = low > self.mean[best] + REJECT_ERRORS * self.spread[best] / np.sqrt(np.maximum(1, n)) + REJECT_SLACK
         return [self.langs[b] if ok else UNKNOWN for b, ok in zip(best, letters)], np.where(letters, score, 0.0), \
-            np.where(letters, low, np.nan), rejected | ~letters
+            np.where(letters, low, np.nan), n.astype(np.int64)
 
 
 def _columns(df: DataFrame) -> dict[str, np.ndarray]:
@@ -209,26 +220,6 @@ class Counts:
     def per_language(self, values) -> Column:
         return F.create_map(*[F.lit(x) for pair in zip(self.langs, values) for x in pair])[F.col("lang")]
 
-    def entropies(self) -> tuple[np.ndarray, np.ndarray]:
-        """Mean and spread of the entropy over each language's training grams."""
-        lower, table = F.lit(1 / 0x10000), None
-        for order in range(1, ORDER + 1):
-            d = self.per_language(map(float, self.discounts[order - 1]))
-            own = self.tables[order - 1].withColumn("context", F.shiftrightunsigned("gram", 16)).join(
-                self.contexts(order).withColumnRenamed("gram", "context"), ["lang", "context"])
-            if table is not None:
-                own = own.withColumn("shorter", F.col("gram").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))).join(
-                    table.select("lang", F.col("gram").alias("shorter"), F.col("p").alias("lower")), ["lang", "shorter"])
-                lower = F.col("lower")
-            p = (F.greatest(F.col("n") - d, F.lit(0.0)) + d * F.col("kinds") * lower) / F.col("total")
-            table = own.select("lang", "gram", "n", p.alias("p"))
-        cost = -F.log("p")
-        got = {r["lang"]: r for r in table.groupBy("lang").agg(
-            (F.sum(F.col("n") * cost) / F.sum("n")).alias("mean"),
-            (F.sum(F.col("n") * cost * cost) / F.sum("n")).alias("square")).collect()}  # as many as languages
-        mean, square = (np.array([got[x][k] if x in got else 0.0 for x in self.langs]) for k in ("mean", "square"))
-        return mean, np.sqrt(np.maximum(0, square - mean ** 2))
-
 
 def counted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Counts | None:
     """The counts of all rows of ``docs`` with a language and a text (None if none)."""
@@ -239,7 +230,7 @@ def counted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
         return None
     for n in range(ORDER - 1, 0, -1):  # distinct characters before each shorter gram
         shorter = F.col("gram").bitwiseAND(F.lit((1 << 16 * n) - 1))
-        tables.insert(0, tables[0].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n")))
+        tables.insert(0, stored(tables[0].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n")), "grams"))
     discounts = []
     for table in tables:
         discount = {r["lang"]: r["ones"] / (r["ones"] + 2 * r["twos"]) if r["ones"] else 0.5
@@ -252,7 +243,7 @@ def counted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
 def assembled(langs: list[str], discounts: list[np.ndarray], parts: Iterator[tuple]) -> LanguageModel:
     """The model of gram rows: for each order (column, gram, total, kinds) of the
     contexts, then (column, gram, n); ``column`` is the place of the language."""
-    model = LanguageModel(langs, [], [], [], [], np.zeros(len(langs)), np.zeros(len(langs)))
+    model = LanguageModel(langs, [], [], [], [])
     none = np.ones((1, len(langs)))  # place -1
     for order, (d, (sums, rows)) in enumerate(zip(discounts, parts), 1):
         own, gram, totals, kind = sums
@@ -276,10 +267,6 @@ def assembled(langs: list[str], discounts: list[np.ndarray], parts: Iterator[tup
         model.probs.append(np.concatenate([p[found.order], none]).astype(np.float32))
         model.contexts.append(contexts)
         model.weights.append(np.concatenate([weight[contexts.order], none]).astype(np.float32))
-    cost = -np.log(p)
-    share = seen / np.maximum(1, seen.sum(axis=0))
-    model.mean = (share * cost).sum(axis=0)
-    model.spread = np.sqrt((share * (cost - model.mean) ** 2).sum(axis=0))
     return model
 
 
@@ -300,7 +287,6 @@ def by_blocks(rows: DataFrame, counts: Counts, block_chars: int = BLOCK_CHARS) -
     """``rows`` (id, held_out, text) with the model's answers, where the model is
     joined with blocks of texts instead of broadcast."""
     langs, discounts = counts.langs, counts.discounts
-    mean, spread = counts.entropies()
     chars = rows.agg(F.sum(F.length("text").cast("long")).alias("n")).first()["n"] or 0
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(-(-chars // block_chars) or 1)))
 
@@ -332,20 +318,19 @@ def by_blocks(rows: DataFrame, counts: Counts, block_chars: int = BLOCK_CHARS) -
             return own[at], gram[at], *(v[at] for v in values)
 
         model = assembled(langs, discounts, ((arrays(-n, a, b), arrays(n, a)) for n in range(1, ORDER + 1)))
-        model.mean, model.spread = mean, spread
         out = [model.predict(block) for block in slabs(docs["text"].to_pylist())]
         lang, *numbers = zip(*out)
         return pa.table({"id": docs["id"], "held_out": docs["held_out"], "lang_pred": [x for one in lang for x in one],
                          **{c: pa.array(np.concatenate(x), from_pandas=True)  # no entropy: null
-                            for c, x in zip(("score", "entropy", "rejected"), numbers)}})
+                            for c, x in zip(("score", "entropy", "kept"), numbers)}})
 
     kind = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("id", "held_out"))
     return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
-        score, f"{kind}, lang_pred string, score double, entropy double, rejected boolean")
+        score, f"{kind}, lang_pred string, score double, entropy double, kept long")
 
 
 def language(text: Column, model: Broadcast) -> Column:
-    """struct<lang, score, entropy, rejected> of ``text``: ``und`` with score 0
+    """struct<lang, score, entropy, kept> of ``text``: ``und`` with score 0
     for a null text, one without letters, or a model without languages."""
 
     def rows(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -353,13 +338,30 @@ def language(text: Column, model: Broadcast) -> Column:
             out = []
             for block in slabs(texts):
                 if model.value is None:
-                    out.append(pd.DataFrame({"lang": [UNKNOWN] * len(block), "score": 0.0, "entropy": np.nan, "rejected": True}))
+                    out.append(pd.DataFrame({"lang": [UNKNOWN] * len(block), "score": 0.0, "entropy": np.nan, "kept": 0}))
                 else:
-                    out.append(pd.DataFrame(dict(zip(("lang", "score", "entropy", "rejected"), model.value.predict(block)))))
+                    out.append(pd.DataFrame(dict(zip(("lang", "score", "entropy", "kept"), model.value.predict(block)))))
             yield pd.concat(out, ignore_index=True) if out else pd.DataFrame(
-                {"lang": pd.Series([], dtype=object), "score": [], "entropy": [], "rejected": pd.Series([], dtype=bool)})
+                {"lang": pd.Series([], dtype=object), "score": [], "entropy": [], "kept": pd.Series([], dtype=np.int64)})
+
+    return arrow_udf_of(rows, "lang string, score double, entropy double, kept long")(text)
+
+
+def _length_class() -> Column:
+    """Powers of 4 in kept characters."""
+    return F.least(F.floor(F.log2(F.greatest(F.col("kept"), F.lit(1))) / 2).cast("int"), F.lit(LENGTH_CLASSES - 1))
+
 
-    return arrow_udf_of(rows, "lang string, score double, entropy double, rejected boolean")(text)
+def limits(own: DataFrame, langs: list[str]) -> dict[str, list[float]]:
+    """For each language the greatest accepted entropy by class of lengths, from
+    left-out texts (lang, entropy, kept) scored as their own language."""
+    quantile = F.percentile_approx("entropy", 1 - REJECT_SHARE, 10_000).alias("limit")
+    own = own.where("NOT isnan(entropy)").withColumn("size", _length_class())
+    # a row for each language and class
+    got = own.rollup("lang", "size").agg(quantile, F.count(F.lit(1)).alias("n")).collect()
+    found = {(r["lang"], r["size"]): r["limit"] for r in got if r["n"] >= REJECT_TEXTS or (r["lang"] is None and r["n"])}
+    every = found.get((None, None), float("inf"))  # of all languages; without left-out texts nothing is rejected
+    return {x: [found.get((x, size), found.get((x, None), every)) for size in range(LENGTH_CLASSES)] for x in langs}
 
 
 def identify_languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -368,17 +370,32 @@ def identify_languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``entropy`` (nats per character), ``rejected``.
 
     The model learns from the texts and languages of rows whose id's crc32
-    modulo 4 is not 2 (a null id does not take part); only the text enters a
-    prediction. Ties go to the first language by name. Repeated rows count as
-    often as they occur. Empty input gives an empty result. ``max_cells`` decides
-    how texts and grams come together, not which grams count.
+    modulo 4 is not 2 (a null id does not take part): four in five are counted, the
+    others calibrate the rejection. Only the text enters a prediction. Ties go to
+    the first language by name. Repeated rows count as often as they occur. Empty
+    input gives an empty result. ``max_cells`` decides how texts and grams come
+    together, not which grams count.
     """
     held = id_bucket(id_col, HELD_OUT_MOD) == HELD_OUT_REST
-    counts = counted(df.where(~held), text_col, lang_col)
+    left_out = ~held & (id_bucket(id_col, CALIBRATION_MOD) < CALIBRATION_BELOW)
+    counts = counted(df.where(~held & ~left_out), text_col, lang_col)
+    rows = df.select(F.col(id_col).alias("id"), F.coalesce(held, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"),
+                     F.when(left_out, F.col(lang_col).cast("string")).alias("own"))
     if counts and counts.tables[-1].count() * len(counts.langs) > max_cells:  # shorter orders have no more rows
-        rows = df.select(F.col(id_col).alias("id"), F.coalesce(held, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-        return by_blocks(rows, counts).withColumnRenamed("id", id_col)
-    model = df.sparkSession.sparkContext.broadcast(counts and gathered(counts))
-    return df.select(F.col(id_col).alias(id_col), F.coalesce(held, F.lit(False)).alias("held_out"),
-                     language(F.col(text_col), model).alias("l")).select(
-        id_col, "held_out", F.col("l.lang").alias("lang_pred"), "l.score", "l.entropy", "l.rejected")
+        def told(some: DataFrame) -> DataFrame:
+            return by_blocks(some.drop("own"), counts)
+    else:
+        model = df.sparkSession.sparkContext.broadcast(counts and gathered(counts))
+
+        def told(some: DataFrame) -> DataFrame:
+            return some.select("id", "held_out", language(F.col("text"), model).alias("l")).select(
+                "id", "held_out", F.col("l.lang").alias("lang_pred"), "l.score", "l.entropy", "l.kept")
+    accepted = {}
+    if counts:
+        own = told(rows.where("own IS NOT NULL AND text IS NOT NULL").withColumn("id", F.col("own")))
+        accepted = limits(own.where("lang_pred = id").select(F.col("id").alias("lang"), "entropy", "kept"), counts.langs)
+    # languages times classes of lengths
+    limit = F.get(F.create_map(*[F.lit(x) for lang, own in accepted.items() for x in (lang, own)])[F.col("lang_pred")], _length_class()) \
+        if accepted else F.lit(float("inf"))
+    return told(rows).select(F.col("id").alias(id_col), "held_out", "lang_pred", "score", "entropy",
+                             ((F.col("lang_pred") == UNKNOWN) | (F.col("entropy") > limit)).alias("rejected"))

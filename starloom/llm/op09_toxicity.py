@@ -1,8 +1,9 @@
 """Toxicity by weak supervision.
 
-1. Voters. Lexicon voters are words and word beginnings that the training rows'
-   documents use unevenly (log-likelihood ratio, counted in Spark); pattern
-   voters look at how many lexicon hits a text has, how dense they are, and at
+1. Voters. The lexicon is every word and word beginning that the training rows'
+   documents use unevenly (log-likelihood ratio, counted in Spark, beyond what
+   chance gives among so many terms). The strongest are voters of their own, the
+   others are pooled by strength; pattern voters look at how many lexicon hits a text has, how dense they are, and at
    shouting. Each votes +1 (toxic), -1 (clean) or 0 (abstains). The given label
    of a training row is one more voter, with an accuracy of its own.
 2. Generative label model. Votes given the hidden class are modelled by a mean
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,13 +34,16 @@ from .common import arrow_udf_of, code_points, id_bucket, ship, stored
 
 #: Most labelled rows (about) that the label model and the classifier are fitted on.
 FIT_ROWS = 20_000
-#: Lexicon voters.
-TERMS = 256
-MIN_DOCS = 4
+#: Terms that are voters of their own; the rest of the lexicon, however long, is pooled
+#: in so many voters.
+VOTERS, POOLS = 256, 8
 REJECT_AT = 0.7
 HELD_OUT_MOD, HELD_OUT_REST = 3, 1
 
+#: Lengths of word beginnings, in characters.
 _PREFIXES = (4, 5, 6, 7)
+#: Scripts that put no blanks between words: every two neighbours are a word.
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]{3,}")
 _TABLE = bytes(32 if (b < 48 or 57 < b < 65 or 90 < b < 97 or 122 < b < 128) else b for b in range(256))
 _PATTERNS = 5
 _UPPER: list[np.ndarray] = []
@@ -52,24 +57,31 @@ def capitals(text: str) -> int:
 
 
 def words_of(text: str) -> list[bytes]:
-    return text.lower().encode("utf-8", "surrogatepass").translate(_TABLE).split()
+    text = text.lower()
+    if not text.isascii():
+        text = _UNSPACED.sub(lambda m: " ".join(map("".join, zip(m[0], m[0][1:]))).join("  "), text)
+    return text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
 
 def _terms_of(word: bytes) -> list[bytes]:
-    """The word (marked by a closing space) and its beginnings, in bytes."""
-    return [word + b" ", *(word[:k] for k in _PREFIXES if len(word) >= k)]
+    """The word (marked by a closing space) and its beginnings, by characters."""
+    if word.isascii():
+        return [word + b" ", *(word[:k] for k in _PREFIXES if len(word) >= k)]
+    letters = word.decode("utf-8", "surrogatepass")
+    return [word + b" ", *(letters[:k].encode("utf-8", "surrogatepass") for k in _PREFIXES if len(letters) >= k)]
 
 
 class Terms:
-    """Counts lexicon terms in a text."""
+    """Counts the lexicon's terms (strongest first) in a text, by voter."""
 
-    def __init__(self, terms: list[bytes]):
-        self.at = {t: i for i, t in enumerate(terms)}
+    def __init__(self, terms: list[bytes], voters: int = VOTERS, pools: int = POOLS):
+        rest = max(1, len(terms) - voters)
+        self.at = {t: i if i < voters else voters + (i - voters) * pools // rest for i, t in enumerate(terms)}
         self.heads = {t.strip()[:4] for t in terms}
-        self.n = len(terms)
+        self.n = len(terms) if len(terms) <= voters else voters + pools
 
     def features(self, text: str | None) -> np.ndarray:
-        """log(1 + count) per term, then the patterns: hit words, their share,
+        """log(1 + count) per voter, then the patterns: hit words, their share,
         share of capitals, of ! and of other marks."""
         text = text or ""
         out = np.zeros(self.n + _PATTERNS, np.float32)
@@ -78,7 +90,8 @@ class Terms:
         for w, times in Counter([w for w in words if w[:4] in heads]).items():
             own = [self.at[t] for t in _terms_of(w) if t in self.at]
             hits += times * bool(own)
-            out[own] += times
+            for at in own:
+                out[at] += times
         np.log1p(out, out=out)
         size = max(1, len(text))
         out[self.n:] = (np.log1p(hits), min(1.0, 10 * hits / max(1, len(words))),
@@ -138,8 +151,8 @@ class ToxicityModel:
     terms: tuple[bytes, ...]
     weights: tuple[float, ...]
 
-    def scores(self, texts) -> np.ndarray:
-        counter = Terms(list(self.terms))
+    def scores(self, texts, counter: Terms | None = None) -> np.ndarray:
+        counter = counter or Terms(list(self.terms))
         w = np.array(self.weights)
         x = np.array([counter.features(t) for t in texts], np.float64).reshape(-1, len(w) - 1)
         return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
@@ -161,8 +174,10 @@ def _term_counts(rows: DataFrame) -> DataFrame:
             .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")))
 
 
-def _lexicon(counts: DataFrame, all1: int, all0: int, n_terms: int, least: int) -> list[bytes]:
-    """The terms that lean most to class 1, by log-likelihood ratio."""
+def _lexicon(counts: DataFrame, all1: int, all0: int) -> list[bytes]:
+    """The terms that lean to class 1, strongest first: by log-likelihood ratio, if
+    it is above the logarithm of the number of terms (by chance, less than one term
+    would be)."""
     n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
 
     def part(k: Column, n: int) -> Column:
@@ -170,14 +185,14 @@ def _lexicon(counts: DataFrame, all1: int, all0: int, n_terms: int, least: int)
         some = F.when(k > 0, k * F.log(k / (n * rate))).otherwise(0.0)
         return some + F.when(n - k > 0, (n - k) * F.log((n - k) / (n * (1 - rate)))).otherwise(0.0)
 
-    leaning = counts.where((n1 + n0 >= least) & (n1 + n0 < all1 + all0) & (n1 / all1 > 2 * n0 / all0))
-    top = leaning.orderBy((part(n1, all1) + part(n0, all0)).desc(), "term").limit(n_terms)
-    return [bytes(r["term"]) for r in top.collect()]  # at most n_terms rows
+    least = float(np.log(max(1, counts.count())))
+    leaning = counts.where((n1 + n0 < all1 + all0) & (n1 / all1 > 2 * n0 / all0) & (F.length("term") > 0))
+    found = leaning.withColumn("ratio", part(n1, all1) + part(n0, all0)).where(F.col("ratio") > least)
+    return [bytes(r["term"]) for r in found.orderBy(F.desc("ratio"), "term").select("term").collect()]  # the lexicon, a part of every model
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", fit_rows: int = FIT_ROWS, n_terms: int = TERMS,
-        held_out: Column | None = None) -> ToxicityModel:
+        label_col: str = "toxic", fit_rows: int = FIT_ROWS, held_out: Column | None = None) -> ToxicityModel:
     """Fit on labelled rows that are not ``held_out`` (a Boolean over the labels).
 
     Null labels and ids do not take part; of several labels of a document the
@@ -196,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     flat = ToxicityModel((), (0.0,) * _PATTERNS + (float(np.log((share + 1e-3) / (1 - share + 1e-3))),))
     if not (n1 and n0):
         return flat
-    terms = _lexicon(counts, n1, n0, n_terms, min(MIN_DOCS, n1))
+    terms = _lexicon(counts, n1, n0)
     total = known.count()
     if total > fit_rows:
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * fit_rows / total))
@@ -215,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     given = np.array([r["toxic"] for r in got])
     x = np.frombuffer(b"".join([bytes(r["x"]) for r in got]), np.float32).reshape(len(got), -1)
     del got
-    post = label_model(votes_of(x, len(terms)), given)
+    post = label_model(votes_of(x, x.shape[1] - _PATTERNS), given)
     return ToxicityModel(tuple(terms), tuple(logistic(x, post)))
 
 
@@ -223,7 +238,8 @@ def toxicity(text: Column, model: ToxicityModel) -> Column:
     """Score of ``text`` from 0 to 1; null counts as empty."""
 
     def rows(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.concatenate([model.scores(texts[a:a + 1000]) for a in range(0, max(1, len(texts)), 1000)]))
+        counter = Terms(list(model.terms))
+        return pd.Series(np.concatenate([model.scores(texts[a:a + 1000], counter) for a in range(0, max(1, len(texts)), 1000)]))
 
     return arrow_udf_of(rows, "double")(text)
 
@@ -233,7 +249,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """One row per row of ``docs``: the id, ``held_out``, ``score``, ``predicted``.
 
     Training takes only ids whose crc32 modulo 3 is not 1. Empty and null texts
-    get the score of a text without words; repeated rows are scored alike.
+    get the score of a text without words; repeated rows are scored alike. Whole
+    texts are counted, however long. Other columns, whatever their names, are not
+    read; without labelled rows of both classes all texts score alike, and an empty
+    table of documents gives an empty result.
     """
     held = F.coalesce(id_bucket(id_col, HELD_OUT_MOD) == HELD_OUT_REST, F.lit(False))
     model = fit(docs, labels, id_col, text_col, held_out=held, **how)

@@ -41,7 +41,7 @@ TOP_TERMS = 200
 UNIT = 1_000_000_000
 #: A block is spilled as a run when it has as many (lang, source, term) entries, or
 #: has read as many bytes of terms.
-ENTRIES_IN_MEMORY = 1_000_000
+ENTRIES_IN_MEMORY = 500_000
 BYTES_IN_MEMORY = 256 << 20
 ENTRIES_PER_PAGE = 4096
 #: Bytes below 128 that are letters stay (in lower case); all others end a term.

@@ -135,7 +135,7 @@ def test_language_held_out_accuracy_and_edges(spark, docs, empty):
     assert {r.lang_pred for r in identify_languages(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
-def test_language_model_may_drop_rare_grams(spark):
+def test_language_model_keeps_rare_grams(spark):
     truth = spark.read.parquet(f"{SF}/documents.parquet")
     got = identify_languages(truth, max_cells=20_000).join(truth.select("doc_id", "lang"), "doc_id").toPandas()
     assert (got.lang == got.lang_pred).mean() > 0.95
