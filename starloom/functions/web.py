@@ -27,15 +27,15 @@ def url_host(field) -> Column:
 
 
 def url_path(field) -> Column:
-    """Scheme removed; text after the first ``/`` and before ``?``.
+    """Scheme removed; what lies between the first ``/`` and the next ``?``.
 
-    With neither ``/`` nor ``?`` the whole remaining string is returned.
+    Without a ``/`` there is no path, but a string that has no ``?`` either is
+    returned whole.
     """
     s = _strip_scheme(as_col(field), android=False)
-    first_slash = F.coalesce(F.nullif(F.position(F.lit("/"), s), F.lit(0)),
-                             F.position(F.lit("?"), s) - 1)
-    tail = F.right(s, F.length(s) - first_slash)
-    return F.split_part(tail, F.lit("?"), F.lit(1))
+    slash, query = F.instr(s, "/"), F.instr(s, "?")
+    return (F.when(slash > 0, F.substring_index(F.substr(s, slash + 1), "?", 1))
+            .when(query > 0, F.lit("")).otherwise(s))
 
 
 def url_parameter(field, name: str) -> Column:

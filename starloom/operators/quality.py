@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import fixed_values as N
 from ..fixed_values import EQUAL_ROWCOUNT_ID, FEWER_ROWS_THAN_ID
 from ..functions.text import slugify
 from .ordered import neighbour, replicate
@@ -77,10 +78,10 @@ def at_least_one(df: DataFrame, column: str, group_by: Sequence[str] = (), where
     src = _scope(df, where)
     if not group_by:
         pruned = src.select(_c(column)).filter(_c(column).isNotNull()).limit(1)
-        out = pruned.agg(F.count(_c(column)).alias("filler_column")).filter(F.col("filler_column") == 0)
+        out = pruned.agg(F.count(_c(column)).alias(N.FILLER)).filter(F.col(N.FILLER) == 0)
     else:
-        out = (src.groupBy(*[_c(g) for g in group_by]).agg(F.count(_c(column)).alias("filler_column"))
-               .filter(F.col("filler_column") == 0))
+        out = (src.groupBy(*[_c(g) for g in group_by]).agg(F.count(_c(column)).alias(N.FILLER))
+               .filter(F.col(N.FILLER) == 0))
     return Check("at_least_one", out)
 
 
@@ -88,9 +89,9 @@ def at_least_one(df: DataFrame, column: str, group_by: Sequence[str] = (), where
 def cardinality_equality(df: DataFrame, column: str, to: DataFrame, field: str, where=None) -> Check:
     """(value, count) pairs present on one side only; one tagged union and
     one aggregation instead of two EXCEPTs (four scans)."""
-    a = _scope(df, where).groupBy(_c(column).alias(column)).agg(F.count(F.lit(1)).alias("num_rows"))
-    b = to.groupBy(_c(field).alias(column)).agg(F.count(F.lit(1)).alias("num_rows"))
-    return Check("cardinality_equality", _one_sided(a, b, [column, "num_rows"]))
+    a = _scope(df, where).groupBy(_c(column).alias(column)).agg(F.count(F.lit(1)).alias(N.NUM_ROWS))
+    b = to.groupBy(_c(field).alias(column)).agg(F.count(F.lit(1)).alias(N.NUM_ROWS))
+    return Check("cardinality_equality", _one_sided(a, b, [column, N.NUM_ROWS]))
 
 
 def _one_sided(a: DataFrame, b: DataFrame, cols: list[str], tag: str | None = None) -> DataFrame:
@@ -103,7 +104,7 @@ def _one_sided(a: DataFrame, b: DataFrame, cols: list[str], tag: str | None = No
     one = g.filter(F.col("__in_a") != F.col("__in_b"))
     if tag is None:
         return one.select(*[_c(c) for c in cols])
-    which = F.when(F.col("__in_a") == 1, F.lit("a_minus_b")).otherwise(F.lit("b_minus_a"))
+    which = F.when(F.col("__in_a") == 1, F.lit(N.A_MINUS_B)).otherwise(F.lit(N.B_MINUS_A))
     return one.select(which.alias(tag), *[_c(c) for c in cols])
 
 
@@ -132,19 +133,19 @@ def equal_rowcount(df: DataFrame, compare: DataFrame, group_by: Sequence[str] =
     """Row counts per group; failures = sum of |a - b| (a one-sided group
     gives NULL, counted as 0)."""
     j = _counts_full_join(df, compare, group_by, EQUAL_ROWCOUNT_ID,
-                          "count_a", "count_b", where)
-    out = j.withColumn("diff_count", F.abs(F.col("count_a") - F.col("count_b")))
-    return Check("equal_rowcount", out, F.sum(F.coalesce(F.col("diff_count"), F.lit(0))))
+                          N.COUNT_A, N.COUNT_B, where)
+    out = j.withColumn(N.DIFF_COUNT, F.abs(F.col(N.COUNT_A) - F.col(N.COUNT_B)))
+    return Check("equal_rowcount", out, F.sum(F.coalesce(F.col(N.DIFF_COUNT), F.lit(0))))
 
 
 def fewer_rows_than(df: DataFrame, compare: DataFrame, group_by: Sequence[str] = (),
                     where=None) -> Check:
     j = _counts_full_join(df, compare, group_by, FEWER_ROWS_THAN_ID,
-                          "count_our_model", "count_comparison_model", where)
-    a, b = F.col("count_our_model"), F.col("count_comparison_model")
-    out = j.withColumn("row_count_delta",
+                          N.COUNT_OURS, N.COUNT_COMPARED, where)
+    a, b = F.col(N.COUNT_OURS), F.col(N.COUNT_COMPARED)
+    out = j.withColumn(N.ROW_COUNT_DELTA,
                        F.when(a > b, a - b).when(a == b, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")))
-    return Check("fewer_rows_than", out, F.sum(F.coalesce(F.col("row_count_delta"), F.lit(0))))
+    return Check("fewer_rows_than", out, F.sum(F.coalesce(F.col(N.ROW_COUNT_DELTA), F.lit(0))))
 
 
 # ------------------------------------------------------------------ Q5
@@ -212,9 +213,9 @@ def equality(df: DataFrame, compare: DataFrame, compare_columns: Sequence[str] |
     sides = prep(a), prep(compare)
     if digest_buckets:
         sides = _differing(*sides, cols, digest_buckets)
-    diff = _one_sided(*sides, cols, tag="which_diff")
-    n_a = F.sum(F.when(F.col("which_diff") == "a_minus_b", 1).otherwise(0))
-    n_b = F.sum(F.when(F.col("which_diff") == "b_minus_a", 1).otherwise(0))
+    diff = _one_sided(*sides, cols, tag=N.WHICH_DIFF)
+    n_a = F.sum(F.when(F.col(N.WHICH_DIFF) == N.A_MINUS_B, 1).otherwise(0))
+    n_b = F.sum(F.when(F.col(N.WHICH_DIFF) == N.B_MINUS_A, 1).otherwise(0))
     calc = F.count(F.lit(1)) + F.coalesce(F.abs(n_a - n_b), F.lit(0))
     return Check("equality", diff, calc)
 
@@ -227,8 +228,7 @@ def expression_is_true(df: DataFrame, expression: str, column_name: str | None =
 
 
 # ------------------------------------------------------------------ Q7
-_GAP_OPS = {"not_allowed": ("=", "equal_to"), "allowed": ("<=", "less_than_or_equal_to"),
-            "required": ("<", "less_than")}
+_GAP_OPS = {"not_allowed": ("=", N.EQUAL_TO), "allowed": ("<=", N.LESS_OR_EQUAL), "required": ("<", N.LESS)}
 
 
 def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_bound_column: str,
@@ -244,7 +244,7 @@ def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_boun
     if gaps not in _GAP_OPS:
         raise ValueError(f"gaps must be one of {list(_GAP_OPS)}; got {gaps!r}")
     gap_op, gap_words = _GAP_OPS[gaps]
-    zl_op, zl_words = ("<=", "less_than_or_equal_to") if zero_length_range_allowed else ("<", "less_than")
+    zl_op, zl_words = ("<=", N.LESS_OR_EQUAL) if zero_length_range_allowed else ("<", N.LESS)
     src = _scope(df, where)
     part = ["partition_by_col"] if partition_by is not None else []
     if isinstance(partition_by, str):
@@ -279,15 +279,15 @@ def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_boun
 def not_constant(df: DataFrame, column: str, group_by: Sequence[str] = (), where=None) -> Check:
     src = _scope(df, where)
     g = src.groupBy(*[_c(c) for c in group_by]) if group_by else src.groupBy()
-    out = g.agg(F.count_distinct(_c(column)).alias("filler_column")).filter(F.col("filler_column") == 1)
+    out = g.agg(F.count_distinct(_c(column)).alias(N.FILLER)).filter(F.col(N.FILLER) == 1)
     return Check("not_constant", out)
 
 
 # ------------------------------------------------------------------ Q9
 def not_accepted_values(df: DataFrame, column: str, values: Iterable, where=None) -> Check:
     vals = list(values)
-    out = (_scope(df, where).select(_c(column).alias("value_field")).distinct()
-           .filter(F.col("value_field").isin(vals)))
+    out = (_scope(df, where).select(_c(column).alias(N.VALUE_FIELD)).distinct()
+           .filter(F.col(N.VALUE_FIELD).isin(vals)))
     return Check("not_accepted_values", out)
 
 
@@ -331,9 +331,9 @@ def recency(df: DataFrame, field: str, datepart: str, interval: int,
         threshold = threshold.cast("date")
     g = src.groupBy(*[_c(c) for c in group_by]) if group_by else src.groupBy()
     most = F.max(_c(field))
-    v = g.agg((most.cast("date") if ignore_time_component else most).alias("most_recent"))
-    out = v.select(*[_c(c) for c in group_by], "most_recent", threshold.alias("threshold")) \
-        .filter(F.col("most_recent") < F.col("threshold"))
+    v = g.agg((most.cast("date") if ignore_time_component else most).alias(N.MOST_RECENT))
+    out = v.select(*[_c(c) for c in group_by], N.MOST_RECENT, threshold.alias(N.THRESHOLD)) \
+        .filter(F.col(N.MOST_RECENT) < F.col(N.THRESHOLD))
     return Check("recency", out)
 
 
@@ -343,14 +343,14 @@ def relationships_where(df: DataFrame, column: str, to: DataFrame, field: str,
     left = (_scope(df, where).filter(F.expr(from_condition)).filter(_c(column).isNotNull())
             .select(_c(column).alias("id")))
     right = to.filter(F.expr(to_condition)).filter(_c(field).isNotNull()).select(_c(field).alias("id"))
-    out = left.join(right, "id", "left_anti").withColumn("right_id", F.lit(None).cast(left.schema["id"].dataType))
+    out = left.join(right, "id", "left_anti").withColumn(N.RIGHT_ID, F.lit(None).cast(left.schema["id"].dataType))
     return Check("relationships_where", out)
 
 
 def relationships(df: DataFrame, column: str, to: DataFrame, field: str, where=None) -> Check:
-    child = _scope(df, where).filter(_c(column).isNotNull()).select(_c(column).alias("from_field"))
-    parent = to.select(_c(field).alias("from_field"))
-    return Check("relationships", child.join(parent, "from_field", "left_anti"))
+    child = _scope(df, where).filter(_c(column).isNotNull()).select(_c(column).alias(N.FROM_FIELD))
+    parent = to.select(_c(field).alias(N.FROM_FIELD))
+    return Check("relationships", child.join(parent, N.FROM_FIELD, "left_anti"))
 
 
 def unique(df: DataFrame, column: str, where=None) -> Check:
@@ -365,9 +365,9 @@ def not_null(df: DataFrame, column: str, where=None) -> Check:
 
 def accepted_values(df: DataFrame, column: str, values: Iterable, where=None) -> Check:
     vals = list(values)
-    out = (_scope(df, where).groupBy(_c(column).alias("value_field"))
+    out = (_scope(df, where).groupBy(_c(column).alias(N.VALUE_FIELD))
            .agg(F.count(F.lit(1)).alias("n_records"))
-           .filter(~F.coalesce(F.col("value_field").isin(vals), F.lit(False))))
+           .filter(~F.coalesce(F.col(N.VALUE_FIELD).isin(vals), F.lit(False))))
     return Check("accepted_values", out)
 
 

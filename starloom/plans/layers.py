@@ -9,9 +9,11 @@ a cluster: the written tables cut the lineage between layers.
 
 from __future__ import annotations
 
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ensure_checkpoint_dir
 from .models import dimensions as D
 from .models import facts as FCT
 from .models import intermediate as I
@@ -31,6 +33,22 @@ class Warehouse:
         """Replace a model by a stored copy (e.g. the table just written)."""
         self._memo[name] = df
 
+    def keep(self, *names: str) -> Warehouse:
+        """Compute models (or raw tables) that several others read once: each is
+        written to the shared folder, and whatever is built from now on reads it."""
+        folder = ensure_checkpoint_dir(self.spark).rstrip("/")
+        for name in names:
+            model = hasattr(type(self), name)
+            df = getattr(self, name) if model else self.src(name)
+            path = f"{folder}/kept-{name}-{uuid.uuid4().hex}"
+            df.write.parquet(path)
+            stored = self.spark.read.schema(df.schema).parquet(path)
+            if model:
+                self.use(name, stored)
+            else:
+                self._sources[name] = stored
+        return self
+
     def src(self, name: str) -> DataFrame:
         """A raw or seed table (overridable, e.g. by already-written tables)."""
         if name in self._sources:

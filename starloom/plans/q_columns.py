@@ -158,10 +158,9 @@ def q_url_host(spark, d):
 
 
 @query("url_path", f"""
-SELECT page_id, url,
-       split_part(right({_STRIP}, length({_STRIP})
-             - coalesce(nullif(strpos({_STRIP}, '/'), 0), strpos({_STRIP}, '?') - 1)), '?', 1) AS path
-FROM pages
+SELECT page_id, url, CASE WHEN contains(s, '/') THEN regexp_extract(s, '^[^/]*/([^?]*)', 1)
+                          WHEN contains(s, '?') THEN '' ELSE s END AS path
+FROM (SELECT page_id, url, {_STRIP} AS s FROM pages)
 """)
 def q_url_path(spark, d):
     p = Tables(spark, d).pages

@@ -1,5 +1,9 @@
 import os
+import signal
+import subprocess
+import sys
 import tempfile
+import time
 
 import pytest
 
@@ -130,6 +134,38 @@ def test_a_job_that_dies_while_writing_leaves_the_old_table(spark):
     assert len(os.listdir(f"{path}/data")) == versions.KEPT_VERSIONS  # the broken and the oldest files are gone
 
 
+_WRITER = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import functions as F
+from starloom.session import get_session
+from starloom.sources.sinks import write_layer
+spark = get_session("local[2]", shuffle_partitions=2)
+slow = F.udf(lambda i: __import__("time").sleep(0.2) or i, "long")
+write_layer(spark.range(0, 4000, 1, 400).select(slow("id").alias("id")), {path!r})
+"""
+
+
+def test_a_killed_process_leaves_the_old_table(spark):
+    """SIGKILL while the files are being written, then the same write again."""
+    path = f"{tempfile.mkdtemp(prefix='inc-')}/t"
+    write_layer(spark.range(3), path)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    writer = subprocess.Popen([sys.executable, "-c", _WRITER.format(root=root, path=path)], stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL,
+                              start_new_session=True)
+    try:
+        end = time.time() + 120
+        while time.time() < end and not any("part-" in f for d, _, names in os.walk(f"{path}/data") if "_temporary" in d for f in names):
+            time.sleep(0.2)
+        assert len(os.listdir(f"{path}/data")) == 2 and writer.poll() is None
+    finally:
+        os.killpg(writer.pid, signal.SIGKILL)
+        writer.wait()
+    assert _rows(read_layer(spark, path)) == [(0,), (1,), (2,)]
+    write_layer(spark.range(4), path)
+    assert read_layer(spark, path).count() == 4 and len(os.listdir(f"{path}/data")) == 2  # without the killed run's
+
+
 def test_of_two_runs_the_second_to_finish_fails(spark, monkeypatch):
     path = f"{tempfile.mkdtemp(prefix='inc-')}/t"
     write_layer(spark.range(1), path)
