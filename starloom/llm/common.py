@@ -72,11 +72,19 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its lineage ends in
     files that outlive any executor."""
+    return stored_instead(df, tag, None)[0]
+
+
+def stored_instead(df: DataFrame, tag: str, before: str | None) -> tuple[DataFrame, str]:
+    """``stored``, with its path; the table at the path ``before``, which ``df`` was
+    made from, is removed once ``df`` is written."""
     path = shared_path(df.sparkSession, tag)
     if _SCRATCH:
         _SCRATCH[-1].append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if before:
+        delete(df.sparkSession, before)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def id_bucket(id_col: str, modulus: int) -> Column:

@@ -192,16 +192,14 @@ def keep_one_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``df`` with one row of each component, all its columns: the row of the
     smallest id; of several such rows (of one id and one component) the one whose
     columns hash least, once if it is repeated. Rows without an id stay."""
-    h1, h2, n = (free_name(df, x) for x in ("row_hash", "row_hash_2", "row_times"))
+    h1, h2 = (free_name(df, x) for x in ("row_hash", "row_hash_2"))
     every = [F.sort_array(F.map_entries(F.col(f"`{f.name}`"))) if f.dataType.typeName() == "map" else F.col(f"`{f.name}`") for f in df.schema]
     signed = df.withColumn(h1, F.xxhash64(*every)).withColumn(h2, F.xxhash64(F.lit("second"), *reversed(every)))
-    rows = stored(signed.where(F.col(id_col).isNotNull()).select(
+    rows = stored(signed.select(
         F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp"), F.col(h1).alias("h1"), F.col(h2).alias("h2")), "simhash-rows")
-    first = (rows.groupBy("fp", "id", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
-             .join(_rooted(rows, radius).select("fp", "root"), "fp")
-             .groupBy("root").agg(F.min(F.struct("id", "h1", "h2", "n")).alias("w")))
-    winners = stored(first.select(F.col("w.h1").alias(h1), F.col("w.h2").alias(h2), F.col("w.n").alias(n)), "simhash-winners")
-    kept = signed.join(winners, [h1, h2]).select(*df.columns, h1, h2, n)
-    # texts are shuffled once more only where a row is repeated
-    once, again = kept.where(F.col(n) == 1), kept.where(F.col(n) > 1).dropDuplicates([h1, h2])
-    return once.unionByName(again).select(*df.columns).unionByName(df.where(F.col(id_col).isNull()))
+    first = (rows.where("id IS NOT NULL").join(_rooted(rows, radius).select("fp", "root"), "fp")
+             .groupBy("root").agg(F.min(F.struct("id", "h1", "h2")).alias("w")))
+    winners = stored(first.select(F.col("w.h1").alias(h1), F.col("w.h2").alias(h2)), "simhash-winners")
+    # both steps deal rows by the same two columns: texts are shuffled once
+    kept = signed.join(winners, [h1, h2], "left_semi").dropDuplicates([h1, h2])
+    return kept.select(*df.columns).unionByName(df.where(F.col(id_col).isNull()))

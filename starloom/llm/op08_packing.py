@@ -182,10 +182,10 @@ def _odd_bits(model: bytes) -> bytes:
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = END_ID,
          keep_ids: bool = True, tokenizer: str | None = None) -> DataFrame:
     """One row per piece: the id, ``start``, ``length``, ``ids_crc32``,
-    ``doc_tokens``, ``sequence_id``, ``offset`` and, if kept, ``ids``.
+    ``doc_tokens``, ``sequence_id``, ``offset``, ``bucket`` and, if kept, ``ids``.
 
-    ``length`` is also the bucket: every sequence of a bucket has that length
-    and takes no padding. A null or empty text is the end id alone. Repeated
+    ``bucket`` is the power of two that the length is: every sequence of a bucket has
+    that length and takes no padding (``write_buckets`` lays them out so). A null or empty text is the end id alone. Repeated
     rows are packed like any row. Other columns are not read; empty input gives
     an empty result.
     """
@@ -219,4 +219,11 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: i
     kind = "id string, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * keep_ids
     out = docs.mapInPandas(rows, kind)
     return (out.select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col), *out.columns[1:])
-            .withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long")))
+            .withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+            .withColumn("bucket", F.length(F.bin("length")) - 1))
+
+
+def write_buckets(packed: DataFrame, path: str) -> None:
+    """Write packed sequences in a folder for each bucket, so that a reader takes
+    batches of one length. A bucket of many rows is split over tasks and files."""
+    packed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)

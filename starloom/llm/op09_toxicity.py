@@ -205,6 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     ship(docs.sparkSession)
+    # a merge at every size: if few labels were broadcast and many not, a small run would say nothing of a large one
     counts = stored(_term_counts(texts.join(known.hint("merge"), "id").select("text", "toxic")), "terms")
     n1, n0 = next(((r["n1"], r["n0"]) for r in counts.where(F.length("term") == 0).collect()), (0, 0))
     share = float(n1 > 0 and not n0)

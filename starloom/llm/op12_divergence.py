@@ -81,14 +81,14 @@ def _run_pages(counts: dict, docs: dict, shards: int, run: int) -> Iterator[dict
         order = np.lexsort((codes, term, shard[term]))
         term, codes, n, d = term[order], codes[order], n[order], d[order]
         begins = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))  # of each term's postings
-        ends = np.append(begins[1:], len(term))
+        ends, in_shard = np.append(begins[1:], len(term)), shard[term[begins]]
         first = 0
         while first < len(begins):
-            same_shard = np.searchsorted(shard[term[begins]], shard[term[begins[first]]], side="right")
+            same_shard = int(np.searchsorted(in_shard, in_shard[first], side="right"))
             last = min(same_shard, max(first + 1, int(np.searchsorted(begins, begins[first] + ENTRIES_PER_PAGE))))
             x, y = begins[first], ends[last - 1]
             own_terms = [terms[k] for k in term[begins[first:last]]]
-            yield {"shard": int(shard[term[x]]), "lang": lang, "first": own_terms[0], "run": run, "terms": b" ".join(own_terms), "names": names,
+            yield {"shard": int(in_shard[first]), "lang": lang, "first": own_terms[0], "run": run, "terms": b" ".join(own_terms), "names": names,
                    "sizes": (ends[first:last] - begins[first:last]).astype(np.int32).tobytes(), "codes": codes[x:y].tobytes(),
                    "counts": n[x:y].tobytes(), "docs": d[x:y].tobytes()}
             first = last

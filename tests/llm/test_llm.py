@@ -356,6 +356,16 @@ def test_packing_matches_the_library(docs, empty):
         assert [x for r in own for x in r.ids] == ids and {r.doc_tokens for r in own} == {len(ids)}
         assert [r.length for r in own] == op08_packing.piece_lengths(len(ids))
     assert op08_packing.pack(empty).count() == 0
+    assert all(1 << r.bucket == r.length for r in got)
+
+
+def test_equal_lengths_lie_together(spark, docs, tmp_path):
+    packed = op08_packing.pack(docs)
+    op08_packing.write_buckets(packed, str(tmp_path / "sequences"))
+    back = spark.read.parquet(str(tmp_path / "sequences"))
+    assert sorted(map(str, back.select("doc_id", "ids", "bucket").collect())) == sorted(map(str, packed.select("doc_id", "ids", "bucket").collect()))
+    for folder in (tmp_path / "sequences").glob("bucket=*"):
+        assert {r.length for r in spark.read.parquet(str(folder)).select("length").collect()} == {1 << int(folder.name[7:])}
 
 
 def test_capitals_are_counted_over_the_whole_text():
