@@ -27,10 +27,12 @@ import zlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import groupby, repeat
+from itertools import groupby, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,10 +42,12 @@ MIN_DOCS = 3
 TOP_TERMS = 200
 UNIT = 1_000_000_000
 #: A block is spilled as a run when it has as many (lang, source, term) entries, or
-#: has read as many bytes of terms.
-ENTRIES_IN_MEMORY = 500_000
+#: has read as many bytes of texts.
+ENTRIES_IN_MEMORY = 1_000_000
 BYTES_IN_MEMORY = 256 << 20
 ENTRIES_PER_PAGE = 4096
+#: Characters of texts that are counted at once.
+SLAB_CHARS = 4 * PIECE_CHARS
 #: Bytes below 128 that are letters stay (in lower case); all others end a term.
 _LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
@@ -62,74 +66,140 @@ def term_lists(text: str | None, chars: int = PIECE_CHARS) -> Iterator[list[byte
         yield [rest]
 
 
-def _run_pages(counts: dict, docs: dict, shards: int, run: int) -> Iterator[dict]:
-    """A block's postings, term-sorted, as pages of one shard and language."""
-    for lang in sorted({lang for lang, _ in counts}):
-        names = sorted(source for other, source in counts if other == lang)
-        terms = sorted(set().union(*(counts[lang, s] for s in names)))
-        if not terms:
-            continue
-        number = dict(zip(terms, range(len(terms))))
-        salt = zlib.crc32(lang.encode("utf-8", "surrogatepass"))
-        shard = np.fromiter((zlib.crc32(t, salt) % shards for t in terms), np.int64, len(terms))
-        parts = []
-        for code, source in enumerate(names):
-            own, seen = counts[lang, source], docs[lang, source]
-            parts.append((np.fromiter(map(number.__getitem__, own), np.int64, len(own)), np.full(len(own), code, np.int32),
-                          np.fromiter(own.values(), np.int64, len(own)), np.fromiter(map(seen.get, own, repeat(0)), np.int64, len(own))))
-        term, codes, n, d = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((codes, term, shard[term]))
-        term, codes, n, d = term[order], codes[order], n[order], d[order]
-        begins = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))  # of each term's postings
-        ends, in_shard = np.append(begins[1:], len(term)), shard[term[begins]]
-        first = 0
-        while first < len(begins):
-            same_shard = int(np.searchsorted(in_shard, in_shard[first], side="right"))
-            last = min(same_shard, max(first + 1, int(np.searchsorted(begins, begins[first] + ENTRIES_PER_PAGE))))
-            x, y = begins[first], ends[last - 1]
-            own_terms = [terms[k] for k in term[begins[first:last]]]
-            yield {"shard": int(in_shard[first]), "lang": lang, "first": own_terms[0], "run": run, "terms": b" ".join(own_terms), "names": names,
-                   "sizes": (ends[first:last] - begins[first:last]).astype(np.int32).tobytes(), "codes": codes[x:y].tobytes(),
-                   "counts": n[x:y].tobytes(), "docs": d[x:y].tobytes()}
-            first = last
+class Block:
+    """Postings of a task's documents in memory: for each (group, term) of a slab of
+    texts the occurrences and the documents that have it, as arrays; terms are
+    numbered by their place in the slabs' dictionaries."""
+
+    def __init__(self):
+        self.groups: dict[tuple[str, str], int] = {}
+        self.names: list[pa.Array] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []  # group, term, occurrences, documents
+        self.read = self.entries = self.known = 0
+
+    def group(self, lang: str, source: str) -> int:
+        return self.groups.setdefault((lang, source), len(self.groups))
+
+    def _add(self, names: pa.Array, group: np.ndarray, term: np.ndarray, n: np.ndarray, d: np.ndarray) -> None:
+        self.names.append(names)
+        self.parts.append((group, term + self.known, n, d))
+        self.known += len(names)
+        self.entries += len(group)
+
+    def add(self, texts: list[str], groups: list[int]) -> None:
+        """Count whole texts, all words at once."""
+        raws = [t.encode("utf-8", "surrogatepass") for t in texts]
+        flat = np.frombuffer(b" ".join(raws).translate(_LETTERS), np.uint8)
+        self.read += len(flat)
+        letter = flat != 32
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], letter.view(np.int8), [0]])))
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        if not len(starts):
+            return
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(flat[letter])]).dictionary_encode()
+        many = len(words.dictionary)
+        doc = np.searchsorted(np.cumsum([len(r) + 1 for r in raws]), starts, side="right")
+        in_doc, n = np.unique(doc * many + words.indices.to_numpy(), return_counts=True)
+        key, at = np.unique(np.array(groups, np.int64)[in_doc // many] * many + in_doc % many, return_inverse=True)
+        self._add(words.dictionary, key // many, key % many, np.bincount(at, n, len(key)).astype(np.int64), np.bincount(at, minlength=len(key)))
+
+    def add_long(self, text: str, group: int) -> None:
+        """Count one text piece by piece."""
+        counts: Counter = Counter()
+        for terms in term_lists(text):
+            counts.update(terms)
+        self.read += len(text)
+        n = np.fromiter(counts.values(), np.int64, len(counts))
+        self._add(pa.array(list(counts), pa.binary()), np.full(len(n), group), np.arange(len(n)), n, np.ones(len(n), np.int64))
+
+    def pages(self, shards: int, run: int) -> Iterator[dict]:
+        """The postings as a run: term-sorted pages of one shard and language each."""
+        if not self.entries:
+            return
+        one = pa.concat_arrays(self.names).dictionary_encode()
+        order = pc.sort_indices(one.dictionary).to_numpy().astype(np.int64)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        names = one.dictionary.take(pa.array(order))
+        group, term, n, d = (np.concatenate(x) for x in zip(*self.parts))
+        key, at = np.unique((group << 40) | rank[one.indices.to_numpy()[term]], return_inverse=True)
+        group, term, n, d = key >> 40, key & ((1 << 40) - 1), *(np.bincount(at, x, len(key)).astype(np.int64) for x in (n, d))
+        listed, hashed = names.to_pylist(), _hashes(names)
+        for lang in sorted({x for x, _ in self.groups}):
+            own = sorted((source, g) for (x, source), g in self.groups.items() if x == lang)
+            code = np.full(len(self.groups), -1, np.int32)
+            code[[g for _, g in own]] = np.arange(len(own))
+            some = np.flatnonzero(code[group] >= 0)
+            if len(some):
+                salt = np.uint64(zlib.crc32(lang.encode("utf-8", "surrogatepass")))
+                shard = ((hashed ^ salt) * _MIX >> np.uint64(32)) % np.uint64(shards)
+                yield from _pages_of(lang, [s for s, _ in own], listed, shard.astype(np.int32), code[group[some]], term[some], n[some], d[some], run)
+
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_WEIGHTS = np.random.default_rng(12).integers(1, 1 << 63, 256).astype(np.uint64) | np.uint64(1)
+
+
+def _hashes(names: pa.Array) -> np.ndarray:
+    """A hash of each name that depends on its bytes only."""
+    ends = np.frombuffer(names.buffers()[1], np.int32)[names.offset:names.offset + len(names) + 1].astype(np.int64)
+    data = np.frombuffer(names.buffers()[2], np.uint8)[ends[0]:ends[-1]].astype(np.uint64)
+    place = np.arange(len(data)) - np.repeat(ends[:-1] - ends[0], np.diff(ends))
+    h = np.add.reduceat(data * _WEIGHTS[place & 255], ends[:-1] - ends[0])
+    return (h ^ (h >> np.uint64(29))) * _MIX
+
+
+def _pages_of(lang: str, sources: list[str], names: list[bytes], shard: np.ndarray, codes: np.ndarray, term: np.ndarray, n: np.ndarray,
+              d: np.ndarray, run: int) -> Iterator[dict]:
+    order = np.lexsort((codes, term, shard[term]))
+    term, codes, n, d = term[order], codes[order], n[order], d[order]
+    begins = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))  # of each term's postings
+    ends, in_shard = np.append(begins[1:], len(term)), shard[term[begins]]
+    first = 0
+    while first < len(begins):
+        same_shard = int(np.searchsorted(in_shard, in_shard[first], side="right"))
+        last = min(same_shard, max(first + 1, int(np.searchsorted(begins, begins[first] + ENTRIES_PER_PAGE))))
+        x, y = begins[first], ends[last - 1]
+        own_terms = [names[k] for k in term[begins[first:last]].tolist()]
+        yield {"shard": int(in_shard[first]), "lang": lang, "first": own_terms[0], "run": run, "terms": b" ".join(own_terms), "names": sources,
+               "sizes": (ends[first:last] - begins[first:last]).astype(np.int32).tobytes(), "codes": codes[x:y].tobytes(),
+               "counts": n[x:y].tobytes(), "docs": d[x:y].tobytes()}
+        first = last
 
 
 def spilled_runs(batches: Iterator[pd.DataFrame], shards: int, entries: int, size: int) -> Iterator[pd.DataFrame]:
     """The pages of all runs of a task's documents."""
-    counts: dict = defaultdict(Counter)
-    docs: dict = defaultdict(Counter)
-    held = read = runs = 0
+    block, runs = Block(), 0
+    texts: list[str] = []
+    groups: list[int] = []
+    chars = 0
 
     def spilled() -> Iterator[pd.DataFrame]:
-        nonlocal held, read, runs
-        rows = []
-        for p in _run_pages(counts, docs, shards, runs):
-            rows.append(p)
-            if len(rows) == 64:
-                yield pd.DataFrame(rows)
-                rows = []
-        if rows:
+        nonlocal block, runs
+        pages = block.pages(shards, runs)
+        while rows := list(islice(pages, 64)):
             yield pd.DataFrame(rows)
-        counts.clear()
-        docs.clear()
-        held = read = 0
-        runs += 1
+        block, runs = Block(), runs + 1
 
     for b in batches:
         for lang, source, text in zip(b["lang"], b["source"], b["text"]):
-            seen: set[bytes] = set()
-            own, in_docs = counts[lang, source], docs[lang, source]
-            for terms in term_lists(text):
-                before = len(own)
-                own.update(terms)
-                held += len(own) - before
-                read += sum(map(len, terms))
-                new = set(terms) - seen
-                in_docs.update(new)
-                seen |= new
-                if held >= entries or read >= size:
-                    yield from spilled()
-                    own, in_docs = counts[lang, source], docs[lang, source]
+            group = block.group(lang, source)
+            if len(text) > PIECE_CHARS:
+                block.add_long(text, group)
+            else:
+                texts.append(text)
+                groups.append(group)
+                chars += len(text)
+                if chars < min(SLAB_CHARS, size, 4 * entries):
+                    continue
+            if texts:
+                block.add(texts, groups)
+                texts, groups, chars = [], [], 0
+            if block.entries >= entries or block.read >= size:
+                yield from spilled()
+    if texts:
+        block.add(texts, groups)
     yield from spilled()
 
 
