@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from ..sources import versions
 from .quality import _date_add
 
+#: Folders of states after which they are written anew as one.
+STATE_FOLDERS = 16
+
 
 @dataclass(frozen=True)
 class StateCheck:
@@ -75,18 +78,40 @@ def _stored(spark: SparkSession, folder: str) -> list[str]:
     return [f"{folder}/{n}" for n in versions.children(spark, folder) if versions.exists(spark, f"{folder}/{n}/_SUCCESS")]
 
 
+def _owners(spark: SparkSession, folder: str, wanted: set[tuple[str, str]]) -> dict[str, list[tuple[str, str]]]:
+    """The complete folders of states, and which of the wanted (part, run) are read
+    from each: one folder for each, also if a rewrite broke off before its end."""
+    left, out = set(wanted), {}
+    for p in _stored(spark, folder):
+        own = {tuple(r) for r in spark.read.parquet(p).select("part", "run").distinct().collect()} & left  # parts, not rows
+        out[p] = sorted(own)
+        left -= own
+    return out
+
+
 def _refreshed(spark: SparkSession, path: str, version: versions.Version, kind: str, compute) -> tuple[DataFrame, list[str]]:
     """The states of all parts of the version, and the parts that had to be computed."""
     folder = f"{path.rstrip('/')}__states/{kind}"
-    now = spark.createDataFrame(sorted(version.parts.items()), "part string, run string")
-    had = {tuple(r) for p in _stored(spark, folder) for r in spark.read.parquet(p).select("part", "run").distinct().collect()}  # parts, not rows
-    missing = sorted(p for p, r in version.parts.items() if (p, r) not in had)
-    if missing or not had:
-        rows = versions.read_table(spark, path, version, missing).withColumn("part", _part_of(version))
-        new = compute(rows).join(now, "part")
-        new.write.parquet(f"{folder}/{uuid.uuid4().hex}")
-    states = [spark.read.parquet(p) for p in _stored(spark, folder)]
-    return reduce(DataFrame.unionByName, states).join(now, ["part", "run"], "left_semi"), missing
+    wanted = set(version.parts.items())
+
+    def of(pairs: list[tuple[str, str]]) -> DataFrame:
+        return spark.createDataFrame(pairs, "part string, run string")
+
+    def states() -> DataFrame:
+        found = [spark.read.parquet(p).join(of(own), ["part", "run"], "left_semi") for p, own in _owners(spark, folder, wanted).items()]
+        return reduce(DataFrame.unionByName, found)
+
+    before = _owners(spark, folder, wanted)
+    missing = sorted(wanted - {x for own in before.values() for x in own})
+    if missing or not before:
+        rows = versions.read_table(spark, path, version, [p for p, _ in missing]).withColumn("part", _part_of(version))
+        compute(rows).join(of(missing), "part").write.parquet(f"{folder}/{uuid.uuid4().hex}")
+    if len(before) >= STATE_FOLDERS:
+        old = _stored(spark, folder)
+        states().write.parquet(f"{folder}/{uuid.uuid4().hex}")
+        for p in old:  # states of parts that are gone go with them
+            versions.delete(spark, p)
+    return states(), [p for p, _ in missing]
 
 
 def run_state_checks(spark: SparkSession, path: str, checks: Sequence[StateCheck]) -> tuple[DataFrame, list[str]]:

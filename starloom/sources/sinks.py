@@ -40,6 +40,8 @@ from .versions import NULL_PART, Version, read_table
 
 #: Buckets of a key locator: the most files that a small delta reads there.
 LOCATOR_BUCKETS = 64
+#: Runs after which a key locator is written anew as one.
+LOCATOR_RUNS = 32
 
 
 def partition_month(date_col: str) -> Column:
@@ -233,7 +235,10 @@ def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, key: Seq
         pairs = _pairs(delta, keys, part_col)
     run, parts = _write_run(merge_by_key(scope, delta, keys), path, [part_col], ())
     new_places = pairs.join(here, (pairs["key_hash"] == here["key_hash"]) & pairs["part"].eqNullSafe(here["part"]), "left_anti")
-    locator = _locate(spark, path, known, new_places, keys)
+    if len(known["runs"]) < LOCATOR_RUNS:
+        locator = _locate(spark, path, known, new_places, keys)
+    else:
+        locator = _locate(spark, path, {}, _located(spark, path, known).select("key_hash", "part").union(pairs).distinct(), keys)
     kept = {} if whole else {p: r for p, r in old.parts.items() if p not in touched}
     versions.commit(spark, path, old, old.partition_by, columns, kept | parts, run, locator)
 

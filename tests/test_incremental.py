@@ -210,6 +210,16 @@ def test_only_touched_months_and_buckets_are_read_and_written(spark):
     assert sinks._located(spark, path, versions.current(spark, path).locator).count() == 601
 
 
+def test_a_locator_of_many_runs_becomes_one(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "LOCATOR_RUNS", 3)
+    path = f"{tempfile.mkdtemp(prefix='inc-')}/t"
+    for i in range(6):
+        sinks.upsert_partitions(spark, path, _dated(spark, [("a", f"2024-0{1 + i}-02", i), (f"k{i}", "2024-01-02", i)]), "k")
+        assert len(versions.current(spark, path).locator["runs"]) <= 3
+    assert _rows(read_layer(spark, path).select("k", "v")) == [("a", 5)] + [(f"k{i}", i) for i in range(6)]
+    assert sinks._located(spark, path, versions.current(spark, path).locator).count() == 12
+
+
 def test_schema_versions_leave_untouched_files(spark):
     path = f"{tempfile.mkdtemp(prefix='inc-')}/t"
 

@@ -173,6 +173,17 @@ def test_state_checks_read_touched_months_only(spark):
     assert got == full() and len(read) == len(versions.current(spark, path).parts)
 
 
+def test_states_of_many_refreshes_become_one_folder(spark, monkeypatch):
+    monkeypatch.setattr(C, "STATE_FOLDERS", 2)
+    path = f"{tempfile.mkdtemp(prefix='states-')}/t"
+    for i in range(4):
+        rows = spark.createDataFrame([(i, f"2024-0{1 + i}-01")], "k int, day string").withColumn("game_date", F.col("day").cast("date")).drop("day")
+        sinks.upsert_partitions(spark, path, rows, "k")
+        out, read = C.run_state_checks(spark, path, [C.unique_combination("k"), C.at_least_one("k")])
+        assert [r.failures for r in out.collect()] == [0, 0] and len(read) == 1
+        assert all(len(os.listdir(f"{path}__states/{k}")) <= 3 for k in os.listdir(f"{path}__states"))
+
+
 def test_bucketed_layers_join_without_an_exchange(spark, sf_small):
     from starloom.plans.layers import Warehouse
     from starloom.plans.q_scale import bucketed_warehouse
