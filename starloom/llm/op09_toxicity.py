@@ -46,6 +46,8 @@ _PREFIXES = (4, 5, 6, 7)
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]{3,}")
 _TABLE = bytes(32 if (b < 48 or 57 < b < 65 or 90 < b < 97 or 122 < b < 128) else b for b in range(256))
 _PATTERNS = 5
+#: Words whose voters are remembered, and terms that are counted before they are sent on.
+_MEMO, _COUNTED = 50_000, 150_000
 _UPPER: list[np.ndarray] = []
 
 
@@ -79,6 +81,15 @@ class Terms:
         self.at = {t: i if i < voters else voters + (i - voters) * pools // rest for i, t in enumerate(terms)}
         self.heads = {t.strip()[:4] for t in terms}
         self.n = len(terms) if len(terms) <= voters else voters + pools
+        self.seen: dict[bytes, tuple[int, ...]] = {}  # the voters of words met before
+
+    def voters_of(self, word: bytes) -> tuple[int, ...]:
+        own = self.seen.get(word)
+        if own is None:
+            if len(self.seen) >= _MEMO:
+                self.seen.clear()
+            own = self.seen[word] = tuple(self.at[t] for t in _terms_of(word) if t in self.at)
+        return own
 
     def features(self, text: str | None) -> np.ndarray:
         """log(1 + count) per voter, then the patterns: hit words, their share,
@@ -87,11 +98,13 @@ class Terms:
         out = np.zeros(self.n + _PATTERNS, np.float32)
         words = words_of(text)
         heads, hits = self.heads, 0
-        for w, times in Counter([w for w in words if w[:4] in heads]).items():
-            own = [self.at[t] for t in _terms_of(w) if t in self.at]
-            hits += times * bool(own)
-            for at in own:
-                out[at] += times
+        counts: dict[int, int] = {}
+        for w in words:
+            if w[:4] in heads and (own := self.voters_of(w)):
+                hits += 1
+                for at in own:
+                    counts[at] = counts.get(at, 0) + 1
+        out[list(counts)] = list(counts.values())
         np.log1p(out, out=out)
         size = max(1, len(text))
         out[self.n:] = (np.log1p(hits), min(1.0, 10 * hits / max(1, len(words))),
@@ -159,16 +172,26 @@ class ToxicityModel:
 
 
 def _term_counts(rows: DataFrame) -> DataFrame:
-    """(term, n1, n0): documents of each class that use it, summed per batch
+    """(term, n1, n0): documents of each class that use it, summed in each task
     before the shuffle. The empty term counts all documents."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        both = (Counter(), Counter())
+
+        def frame() -> pd.DataFrame:
+            terms = list({*both[0], *both[1]})
+            out = pd.DataFrame({"term": terms, "n1": [both[1][t] for t in terms], "n0": [both[0][t] for t in terms]})
+            both[0].clear()
+            both[1].clear()
+            return out
+
         for b in batches:
-            both = (Counter(), Counter())
             for text, toxic in zip(b["text"], b["toxic"]):
                 both[int(toxic)].update({b"", *(t for w in set(words_of(text or "")) for t in _terms_of(w))})
-            terms = list({*both[0], *both[1]})
-            yield pd.DataFrame({"term": terms, "n1": [both[1][t] for t in terms], "n0": [both[0][t] for t in terms]})
+                if len(both[0]) + len(both[1]) > _COUNTED:
+                    yield frame()
+        if both[0] or both[1]:
+            yield frame()
 
     return (rows.mapInPandas(count, "term binary, n1 long, n0 long").groupBy("term")
             .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")))
