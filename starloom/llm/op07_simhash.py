@@ -197,8 +197,8 @@ def keep_one_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     signed = df.withColumn(h1, F.xxhash64(*every)).withColumn(h2, F.xxhash64(F.lit("second"), *reversed(every)))
     rows = stored(signed.select(
         F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp"), F.col(h1).alias("h1"), F.col(h2).alias("h2")), "simhash-rows")
-    first = (rows.where("id IS NOT NULL").join(_rooted(rows, radius).select("fp", "root"), "fp")
-             .groupBy("root").agg(F.min(F.struct("id", "h1", "h2")).alias("w")))
+    least = rows.where("id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("id", "h1", "h2")).alias("w"))  # of all copies, in every task
+    first = least.join(_rooted(rows, radius).select("fp", "root"), "fp").groupBy("root").agg(F.min("w").alias("w"))
     winners = stored(first.select(F.col("w.h1").alias(h1), F.col("w.h2").alias(h2)), "simhash-winners")
     # both steps deal rows by the same two columns: texts are shuffled once
     kept = signed.join(winners, [h1, h2], "left_semi").dropDuplicates([h1, h2])
