@@ -173,8 +173,8 @@ def _bucket(key_hash: Column) -> Column:
 
 
 def _pairs(rows: DataFrame, keys: list[str], part_col: str) -> DataFrame:
-    """Distinct (key hash, partition value) of ``rows``."""
-    return rows.select(F.xxhash64(*keys).alias("key_hash"), F.col(part_col).cast("string").alias("part")).distinct()
+    """(key hash, partition value) of each row."""
+    return rows.select(F.xxhash64(*keys).alias("key_hash"), F.col(part_col).cast("string").alias("part"))
 
 
 def _located(spark: SparkSession, path: str, locator: dict, buckets: list[int] | None = None) -> DataFrame:
@@ -217,7 +217,7 @@ def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, key: Seq
 
     known = old.locator if old.locator.get("keys") == keys else _locate(
         spark, path, {}, _pairs(read_table(spark, path, old), keys, part_col), keys)
-    pairs = _pairs(delta, keys, part_col)
+    pairs = _pairs(delta, keys, part_col).distinct()
     buckets = [r[0] for r in pairs.select(_bucket(F.col("key_hash"))).distinct().collect()]  # at most LOCATOR_BUCKETS
     here = _located(spark, path, known, buckets).select("key_hash", "part")
     places = pairs.select("part").union(here.join(pairs.select("key_hash").distinct(), "key_hash", "left_semi").select("part"))
@@ -232,7 +232,7 @@ def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, key: Seq
                   .groupBy(*keys).agg(F.max("__stored").alias("__stored")))
         delta = (delta.join(newest, keys, "left")
                  .where(F.col("__stored").isNull() | (F.col(version_col) >= F.col("__stored"))).select(*delta.columns))
-        pairs = _pairs(delta, keys, part_col)
+        pairs = _pairs(delta, keys, part_col).distinct()
     run, parts = _write_run(merge_by_key(scope, delta, keys), path, [part_col], ())
     new_places = pairs.join(here, (pairs["key_hash"] == here["key_hash"]) & pairs["part"].eqNullSafe(here["part"]), "left_anti")
     if len(known["runs"]) < LOCATOR_RUNS:
