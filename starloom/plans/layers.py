@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, settings_of_layers
 from .models import dimensions as D
 from .models import facts as FCT
 from .models import intermediate as I
@@ -24,6 +24,7 @@ from .raw import Raw
 class Warehouse:
     def __init__(self, spark: SparkSession, base: str, raw: Raw | None = None,
                  sources: dict[str, DataFrame] | None = None):
+        settings_of_layers(spark)
         self.spark = spark
         self.raw = raw or Raw(spark, base)
         self._sources = dict(sources or {})
@@ -33,16 +34,20 @@ class Warehouse:
         """Replace a model by a stored copy (e.g. the table just written)."""
         self._memo[name] = df
 
-    def keep(self, *names: str) -> Warehouse:
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` computed once: written to the shared folder and read from there."""
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/kept-{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep(self, *names: str, columns: list[str] | None = None) -> Warehouse:
         """Compute models (or raw tables) that several others read once: each is
-        written to the shared folder, and whatever is built from now on reads it."""
-        folder = ensure_checkpoint_dir(self.spark).rstrip("/")
+        written to the shared folder, and whatever is built from now on reads it. With
+        ``columns`` only these are kept: every row, but nothing else can be read."""
         for name in names:
             model = hasattr(type(self), name)
             df = getattr(self, name) if model else self.src(name)
-            path = f"{folder}/kept-{name}-{uuid.uuid4().hex}"
-            df.write.parquet(path)
-            stored = self.spark.read.schema(df.schema).parquet(path)
+            stored = self.stored(df.select(*columns) if columns else df, name)
             if model:
                 self.use(name, stored)
             else:

@@ -7,9 +7,19 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+#: What the plans of the layers count on in any session (see ``settings_of_layers``).
+LAYER_CONF = {
+    # the JVM never compiles a method of more than 8000 bytes of byte code: the wide
+    # projections of the staging models would be interpreted, row by row. Above
+    # this, Spark evaluates them in many small methods
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # tables bucketed or shuffled by some of a join's keys are joined as they lie
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+
 # Settings the library's semantics depend on (null order, decimal scale and
 # ANSI errors are spelled out per operator; these are the session-wide ones).
-BASE_CONF = {
+BASE_CONF = LAYER_CONF | {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -21,8 +31,6 @@ BASE_CONF = {
     # a broadcast; anything larger stays a shuffle join.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    # tables bucketed by some of a join's keys are joined as they lie
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # MIN/MAX/COUNT answered from Parquet footers where possible
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
@@ -55,6 +63,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def settings_of_layers(spark: SparkSession) -> None:
+    """Make the settings of the layers in a session that somebody else built."""
+    for k, v in LAYER_CONF.items():
+        spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
