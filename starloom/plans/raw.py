@@ -11,11 +11,13 @@ separately in each engine.
 
 Work grows with the inputs: games = orders, player lines = lineitem
 groups; the per-side expansion is a 2-element ``explode`` (no join).
+Both tables are dealt out by game while their rows are narrow. Every model joins
+by game, so the wide rows of the layers are not shuffled again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
@@ -206,55 +208,67 @@ def _exprs(cols):
     return [f"{e} AS {n}" for n, e in cols]
 
 
+def _dealt(cols):
+    """The expressions on rows that have their ``game_id`` already: as it is the
+    column they are dealt out by, it is taken over and not computed again."""
+    return [n if n == "game_id" else f"{e} AS {n}" for n, e in cols]
+
+
 # ------------------------------------------------------------------ Spark
 class Raw:
-    """Spark DataFrames of the raw tables for one data directory."""
+    """Spark DataFrames of the raw tables for one data directory, dealt out by game
+    to ``buckets`` partitions (else as many as the session's shuffles have)."""
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, buckets: int | None = None):
         self.t = Tables(spark, base)
+        self.buckets = buckets
+
+    def _by_game(self, df: DataFrame, key: str, *cols: Column | str) -> DataFrame:
+        rows = df.select(F.expr(f"'G' || CAST({key} AS STRING)").alias("game_id"), *cols)
+        return rows.repartition(self.buckets, "game_id") if self.buckets else rows.repartition("game_id")
 
     def _sides(self) -> DataFrame:
-        return self.t.orders.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("s"))
+        return (self._by_game(self.t.orders, "o_orderkey", "*")
+                .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("s")))
 
     def _player_base(self) -> DataFrame:
-        li = self.t.lineitem
-        grouped = (li.groupBy("l_orderkey", "l_partkey")
-                   .agg(F.sum("l_quantity").cast("int").alias("qty")))
-        o = self.t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-        return grouped.join(o, grouped.l_orderkey == o.o_orderkey, "inner")
+        grouped = (self._by_game(self.t.lineitem, "l_orderkey", "l_partkey", "l_quantity")
+                   .groupBy("game_id", "l_partkey").agg(F.sum("l_quantity").cast("int").alias("qty")))
+        o = self._by_game(self.t.orders, "o_orderkey", F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+        return grouped.join(o, "game_id", "inner")
 
     @property
     def games(self) -> DataFrame:
-        o = self.t.orders.alias("o")
+        o = self._by_game(self.t.orders, "o_orderkey", "*").alias("o")
         n = self.t.nation
         # nation has one row per team: a fixed, tiny table
         h = n.alias("h")
         v = n.alias("v")
         j = (o.join(h, F.expr("h.n_nationkey = o.o_custkey % 25"), "left")
              .join(v, F.expr("v.n_nationkey = (o.o_custkey + 1 + o.o_orderkey % 24) % 25"), "left"))
-        return j.selectExpr(*_exprs(GAMES))
+        return j.selectExpr(*_dealt(GAMES))
 
     @property
     def line_scores(self) -> DataFrame:
-        return self._sides().selectExpr(*_exprs(LINE_SCORES)).selectExpr("*", *_exprs(LINE_SCORES_POST))
+        return self._sides().selectExpr(*_dealt(LINE_SCORES)).selectExpr("*", *_exprs(LINE_SCORES_POST))
 
     @property
     def player_game_basic_stats(self) -> DataFrame:
-        return (self._player_base().selectExpr(*_exprs(PLAYER_BASIC))
+        return (self._player_base().selectExpr(*_dealt(PLAYER_BASIC))
                 .selectExpr("*", *_exprs(PLAYER_BASIC_POST)))
 
     @property
     def player_game_adv_stats(self) -> DataFrame:
         return (self._player_base().filter(F.col("l_partkey") % 11 != 0)
-                .selectExpr(*_exprs(PLAYER_ADV)))
+                .selectExpr(*_dealt(PLAYER_ADV)))
 
     @property
     def team_game_basic_stats(self) -> DataFrame:
-        return self._sides().selectExpr(*_exprs(TEAM_BASIC)).selectExpr("*", *_exprs(TEAM_BASIC_POST))
+        return self._sides().selectExpr(*_dealt(TEAM_BASIC)).selectExpr("*", *_exprs(TEAM_BASIC_POST))
 
     @property
     def team_game_adv_stats(self) -> DataFrame:
-        return self._sides().selectExpr(*_exprs(TEAM_ADV))
+        return self._sides().selectExpr(*_dealt(TEAM_ADV))
 
     @property
     def team_mappings(self) -> DataFrame:
