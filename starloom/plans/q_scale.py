@@ -25,6 +25,7 @@ from .layers import Warehouse
 from .models import dimensions as D
 from .oracle_models import model_sql, with_models
 from .q_checks import _CUST_B_SQL, _cust_pair
+from .raw import Raw
 from .registry import query
 
 
@@ -182,9 +183,17 @@ def q_date_spine_second(spark, d):
 
 
 # ------------------------------------------------------------- J2, J8, M8, M9
-def bucketed_warehouse(spark, d, buckets: int = 8) -> Warehouse:
-    """The warehouse on staging layers that are written in buckets of game_id."""
-    w = Warehouse(spark, d)
+#: Lines of one bucket: a task sorts them in memory before it writes them.
+BUCKET_LINES = 400_000
+
+
+def bucketed_warehouse(spark, d, buckets: int | None = None) -> Warehouse:
+    """The warehouse on staging layers that are written in buckets of game_id, eight
+    or as many as the number of lines asks for (counted from the files' footers). The
+    raw rows are dealt out to the buckets, so that no layer is shuffled to be written."""
+    t = Tables(spark, d)
+    buckets = buckets or max(8, -(-max(t.orders.count(), t.lineitem.count()) // BUCKET_LINES))
+    w = Warehouse(spark, d, raw=Raw(spark, d, buckets))
     names = ["stg_games", "stg_player_game_basic_stats", "stg_player_game_adv_stats_extended", "stg_player_game_adv_stats",
              "stg_team_game_basic_stats", "stg_team_game_adv_stats"]
     for name in names:
