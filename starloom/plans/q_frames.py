@@ -506,7 +506,8 @@ FROM int_player_performance pp LEFT JOIN dim_player_game_archetypes arch
 """))
 def q_join_junk_dim(spark, d):
     from .models.dimensions import ARCHETYPE_COLS
-    w = Warehouse(spark, d)
+    # the dimension is made of the rows that are looked up: they are computed once
+    w = Warehouse(spark, d).keep("int_player_performance", columns=["game_id", "player_id", *ARCHETYPE_COLS])
     out = J.lookup(w.int_player_performance, w.dim_player_game_archetypes,
                    [(c, c) for c in ARCHETYPE_COLS], [("archetype_key", "archetype_key")])
     return out.select("game_id", "player_id", "archetype_key")
