@@ -49,13 +49,14 @@ SELECT f.* FROM fct_team_game_stats f, s WHERE f.game_date >= s.since
 """))
 def q_schema_sync(spark, d):
     w = Warehouse(spark, d)
-    full = w.fct_team_game_stats
+    full = w.stored(w.fct_team_game_stats, "fct_team_game_stats")
     # the stored table predates the turnover_rate column and still has a
     # column the model no longer produces
     target = (full.filter(F.col("game_date") < F.lit(CUTOFF).cast("date"))
               .drop("turnover_rate").withColumn("legacy_flag", F.lit(True)))
     since = lookback_start(target, "game_date", 30)
-    delta = w.fact("fct_team_game_stats", since=since)
+    # the delta is computed once, though the merge reads its keys and its rows
+    delta = w.stored(w.fact("fct_team_game_stats", since=since), "delta")
     return merge_by_key(target, delta, "team_game_key")
 
 
