@@ -387,4 +387,9 @@ def _project_suite_sql():
 def q_dq_project_suite(spark, d):
     from .layers import Warehouse
     from .project_tests import run_project_tests
-    return run_project_tests(Warehouse(spark, d))
+    w = Warehouse(spark, d)
+    # several checks and models read these; each is computed once, with what is checked
+    w.keep("int_team_performance")
+    w.keep("int_player_performance", columns=["game_id", "player_id"])
+    w.keep("int_games_enriched", columns=["game_id", "home_team", "visitor_team"])
+    return run_project_tests(w)
