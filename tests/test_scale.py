@@ -205,3 +205,51 @@ def test_written_versions_read_as_one_table(spark):
     rows = spark.createDataFrame([(1, "x y/z=1"), (2, None), (3, "é")], "id int, part string")
     write_layer(rows, path, ["part"])
     assert sorted(map(str, read_layer(spark, path).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_layers_make_their_settings_in_any_session(spark, sf_small):
+    from starloom.plans.layers import Warehouse
+    from starloom.session import LAYER_CONF
+    for k, v in {"spark.sql.codegen.hugeMethodLimit": "65535", "spark.sql.requireAllClusterKeysForCoPartition": "true"}.items():
+        spark.conf.set(k, v)
+    Warehouse(spark, sf_small)
+    assert {k: spark.conf.get(k) for k in LAYER_CONF} == LAYER_CONF
+
+
+def test_layers_are_dealt_out_by_game_while_narrow(spark, sf_small):
+    from starloom.plans.layers import Warehouse
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        text = plan(Warehouse(spark, sf_small).int_player_performance)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert "SortMergeJoin" in text
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    assert shuffles and all("hashpartitioning(game_id" in x and "player_id" not in x for x in shuffles), text
+
+
+def test_buckets_grow_with_the_lines_and_are_written_without_a_shuffle(spark, sf_small, monkeypatch):
+    from starloom.plans import q_scale
+    from starloom.plans.layers import Warehouse
+    from starloom.plans.raw import Raw
+    monkeypatch.setattr(q_scale, "BUCKET_LINES", 500)
+    lines = spark.read.parquet(f"{sf_small}/lineitem.parquet").count()
+    stored = q_scale.bucketed_warehouse(spark, sf_small).stg_player_game_basic_stats
+    assert len(stored.inputFiles()) == -(-lines // 500) > 8
+    w = Warehouse(spark, sf_small, raw=Raw(spark, sf_small, 12))
+    for name in ("stg_games", "stg_player_game_basic_stats", "stg_player_game_adv_stats_extended", "stg_team_game_basic_stats"):
+        df = getattr(w, name)
+        assert plan(df.repartition(12, "game_id")).count("Exchange hashpartitioning") == plan(df).count("Exchange hashpartitioning"), name
+
+
+def test_what_several_steps_read_is_computed_once(spark, sf_small):
+    from starloom.plans.q_checks import q_dq_project_suite
+    from starloom.plans.q_frames import q_join_junk_dim
+    from starloom.plans.q_incremental import q_schema_sync
+    for q in (q_join_junk_dim, q_schema_sync):
+        assert all("/kept-" in f for f in q(spark, sf_small).inputFiles()), q.__name__
+    kept = {f.split("/kept-")[1].split("-")[0] for f in q_dq_project_suite(spark, sf_small).inputFiles() if "/kept-" in f}
+    assert kept == {"int_team_performance", "int_player_performance", "int_games_enriched"}
