@@ -50,6 +50,15 @@ _NEGATABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
               T.StringType, T.BinaryType, T.BooleanType)
 
 
+#: Types whose equal values are the same (0.0 and -0.0 are not, nor collated texts).
+_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType,
+          T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType)
+
+
+def _exact(dt: T.DataType | None) -> bool:
+    return isinstance(dt, _EXACT) or dt == T.StringType()
+
+
 def _ascending_key(o: Order, dt: T.DataType, flip: bool) -> list[Column] | None:
     """Components whose ascending struct order equals ``o`` (or its reverse
     when ``flip``); None when the type cannot be negated."""
@@ -99,9 +108,11 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[O
             keys.extend(k)
     if method == "aggregate":
         packed = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)], row.alias("row"))
+        # a key's value is the group's own: who reads nothing but keys carries no rows
+        own = {p: f"__p{i}" for i, p in enumerate(partition_by) if _exact(types.get(p))}
         return (df.groupBy(*[F.col(f"`{p}`").alias(f"__p{i}") for i, p in enumerate(partition_by)])
                 .agg(F.min(packed).alias("__best"))
-                .select(*[F.col(f"__best.row.`{c}`").alias(c) for c in cols]))
+                .select(*[F.col(own.get(c, f"__best.row.`{c}`")).alias(c) for c in cols]))
     w = (Window.partitionBy(*[F.col(f"`{p}`") for p in partition_by])
          .orderBy(*[o.sort_col() for o in orders],
                   *[F.col(f"`{c}`").asc_nulls_first() for c in cols]))

@@ -1,8 +1,9 @@
 """Join helpers for conforming and star-schema lookups.
 
-No side is ever marked for broadcast: the optimizer broadcasts a side only
-when its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` (or
-the adaptive one at run time) and keeps a shuffle join otherwise.
+No side is marked for broadcast unless the caller says that it is bounded: the
+optimizer broadcasts a side only when its measured size is under
+``spark.sql.autoBroadcastJoinThreshold`` (or the adaptive one at run time) and
+keeps a shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def conform(df: DataFrame, mapping: DataFrame, src_col: str, map_from: str, map_
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[Column | str, str]],
            take: Sequence[tuple[str, str]], how: str = "left",
-           one_row_per_key: bool = False) -> DataFrame:
+           one_row_per_key: bool = False, bounded: bool = False) -> DataFrame:
     """Star-schema key lookup (J4-J6): ``fact LEFT JOIN dim`` on equality of
     fact expressions and dim columns; brings ``take`` = [(dim_col, out_name)].
 
@@ -36,7 +37,9 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[Column | str, str
     fact expressions are materialised as columns first, so the join stays an
     equi-join (hash or sort-merge), never a nested loop. A key with several
     rows multiplies the fact's rows as SQL does; with ``one_row_per_key`` the
-    least of its ``take`` values is used instead.
+    least of its ``take`` values is used instead. ``bounded``: the dimension is small
+    by what it is (a calendar, a seed, combinations of labels), however many facts
+    there are, so that the facts need not be shuffled until it has been measured.
     """
     tag = f"__d{next(_ids)}"
     keys = [f"{tag}_dk{i}" for i in range(len(on))]
@@ -48,7 +51,20 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[Column | str, str
         d = d.groupBy(*keys).agg(F.min(F.struct(*[dst for _, dst in take])).alias(f"{tag}_t")).select(
             *keys, *[F.col(f"{tag}_t")[dst].alias(dst) for _, dst in take])
     cond = reduce(lambda a, b: a & b, [F.col(n) == F.col(k) for (n, _), k in zip(made, keys)])
-    return f.join(d, cond, how).select(*[F.col(f"`{c}`") for c in fact.columns], *[dst for _, dst in take])
+    return f.join(F.broadcast(d) if bounded else d, cond, how).select(*[F.col(f"`{c}`") for c in fact.columns], *[dst for _, dst in take])
+
+
+def lookup_from_afar(fact: DataFrame, dim: DataFrame, key: str, dim_key: str,
+                     take: Sequence[tuple[str, str]], at: str) -> DataFrame:
+    """``lookup`` of ``key`` in a dimension that may be large, where the rows of
+    ``fact`` lie together by ``at``: the distinct pairs of ``at`` and ``key`` go to the
+    dimension, and what they find comes back to ``at``. The wide rows stay where they
+    lie and as they are sorted. ``at`` must not be NULL (such a row finds nothing)."""
+    tag = f"__d{next(_ids)}"
+    pairs = fact.select(F.col(at).alias(f"{tag}_at"), F.col(key).alias(f"{tag}_key")).distinct()
+    found = lookup(pairs, dim, [(f"{tag}_key", dim_key)], take, how="inner")
+    cond = (F.col(at) == F.col(f"{tag}_at")) & (F.col(key) == F.col(f"{tag}_key"))
+    return fact.join(found, cond, "left").drop(f"{tag}_at", f"{tag}_key")
 
 
 def semi(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:

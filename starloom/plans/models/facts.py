@@ -1,7 +1,8 @@
 """Facts (M17-M20): natural keys -> dimension keys, incremental windows.
 
-Lookups are chained left joins without hints: the optimizer broadcasts a
-dimension only when it measures it small, else it shuffles both sides.
+Lookups are chained left joins: the optimizer broadcasts a dimension only when
+it measures it small, else it shuffles both sides. The player fact, the widest,
+says which dimensions are bounded, and looks its players up from where it lies.
 
 ``since``: optional one-row DataFrame with column ``since`` (a date): the
 incremental look-back filter. It is applied where the reference applies it
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ... import functions as X
-from ...operators.joins import lookup, other_side
+from ...operators.joins import lookup, lookup_from_afar, other_side
 from ...operators.reshape import unpivot_groups
 from .dimensions import ARCHETYPE_COLS
 
@@ -37,8 +38,8 @@ def _since_filter(df: DataFrame, since: DataFrame | None, col: Column | str) ->
     return df.filter(c >= since.select("since").scalar())
 
 
-def _team_lookup(df, dim_teams, expr, out):
-    return lookup(df, dim_teams, [(expr, "team_abbr")], [("team_key", out)])
+def _team_lookup(df, dim_teams, expr, out, bounded=False):
+    return lookup(df, dim_teams, [(expr, "team_abbr")], [("team_key", out)], bounded=bounded)
 
 
 def fct_game_results(ge: DataFrame, dim_dates: DataFrame, dim_seasons: DataFrame,
@@ -73,19 +74,21 @@ def fct_player_game_stats(pp: DataFrame, ge: DataFrame, dim_archetypes: DataFram
     """Player-game fact: one row per player and game."""
     gd = ge.select(F.col("game_id").alias("gd_game_id"), F.col("arena").alias("gd_arena_name"),
                    F.col("arena_city").alias("gd_arena_city"))
-    df = pp.join(gd, F.col("game_id") == F.col("gd_game_id"), "left")
+    # the look-back reads a column that no left join changes: the lookups see its rows only
+    df = _since_filter(pp, since, "game_date")
+    # players grow with the data; the other dimensions are bounded. No wide row is shuffled
+    df = lookup_from_afar(df, dim_players, "player_id", "player_id", [("player_key", "player_key")], at="game_id")
+    df = df.join(gd, F.col("game_id") == F.col("gd_game_id"), "left")
     # nine-column junk-dimension join with plain '=' (NULL never matches, J5)
     df = lookup(df, dim_archetypes, [(c, c) for c in ARCHETYPE_COLS],
-                [("archetype_key", "archetype_key")])
-    df = lookup(df, dim_players, [("player_id", "player_id")], [("player_key", "player_key")])
-    df = _team_lookup(df, dim_teams, "team", "team_key")
+                [("archetype_key", "archetype_key")], bounded=True)
+    df = _team_lookup(df, dim_teams, "team", "team_key", bounded=True)
     gdate = F.col("game_date").cast("date")
-    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")])
+    df = lookup(df, dim_dates, [(gdate, "full_date")], [("date_key", "date_key")], bounded=True)
     df = lookup(df, dim_seasons, [("season_start_year", "season_start_year")],
-                [("season_key", "season_key")])
+                [("season_key", "season_key")], bounded=True)
     df = lookup(df, dim_arenas, [("gd_arena_name", "arena_name"), ("gd_arena_city", "arena_city")],
-                [("arena_key", "arena_key")])
-    df = _since_filter(df, since, "game_date")
+                [("arena_key", "arena_key")], bounded=True)
     return df.select(
         X.surrogate_key("game_id", "player_id").alias("player_game_key"), "player_key",
         "team_key", "date_key", "season_key", "arena_key", "archetype_key", "game_id",

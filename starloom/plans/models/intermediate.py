@@ -1,7 +1,8 @@
 """Intermediate layer (M8-M10): conformed team codes, joined box scores.
 
 The big inputs meet in shuffle joins on ``game_id`` (and ``player_id``/team);
-a side is broadcast only where the optimizer measures it small.
+a side is broadcast only where the optimizer measures it small, or where it is
+a seed.
 """
 
 from __future__ import annotations
@@ -43,9 +44,10 @@ def int_player_performance(stg_basic: DataFrame, stg_adv: DataFrame, stg_games:
                               ["game_id", "game_date", "season_start_year", "is_playoff"])
     games = games.select(F.col("game_id").alias("g_game_id"), "game_date", "season_start_year",
                          "is_playoff", "home_team_abbr", "winning_team_abbr")
-    j = (basic.join(adv, (F.col("game_id") == F.col("a_game_id"))
-                    & (F.col("player_id") == F.col("a_player_id")), "left")
-         .join(games, F.col("game_id") == F.col("g_game_id"), "left"))
+    # the join by more keys last: its rows are left sorted by game and player
+    j = (basic.join(games, F.col("game_id") == F.col("g_game_id"), "left")
+         .join(adv, (F.col("game_id") == F.col("a_game_id"))
+               & (F.col("player_id") == F.col("a_player_id")), "left"))
     tc = F.col("team_conformed")
     return j.select(
         "game_id", "player_id", "player_name", tc.alias("team"), "game_date", "season_start_year",
@@ -108,7 +110,7 @@ def int_games_enriched(stg_games: DataFrame, int_team_perf: DataFrame, team_mapp
     # one city per arena name: the first by city (W2); bounded seed table
     arenas = first_per_key(arena_mappings.select("arena_name", F.col("city").alias("arena_city")),
                            "arena_name", "arena_city")
-    g = games.join(arenas, games.arena == arenas.arena_name, "left")
+    g = games.join(F.broadcast(arenas), games.arena == arenas.arena_name, "left")
 
     def side(prefix: str) -> DataFrame:
         return int_team_perf.select(

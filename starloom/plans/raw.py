@@ -227,19 +227,29 @@ class Raw:
         rows = df.select(F.expr(f"'G' || CAST({key} AS STRING)").alias("game_id"), *cols)
         return rows.repartition(self.buckets, "game_id") if self.buckets else rows.repartition("game_id")
 
+    def _shared(self, dealt: DataFrame, *cols: str) -> DataFrame:
+        """The same rows, dealt out once for all models of a plan. No filter and no
+        pruning of columns passes a generator; else the rows dealt out for one model
+        would differ from those of the next, and each model would shuffle its own.
+        (Layers dealt out to buckets are written one by one: nothing is shared.)"""
+        return dealt if self.buckets else dealt.select("game_id", F.inline(F.array(F.struct(*cols))))
+
+    def _orders(self) -> DataFrame:
+        cols = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]
+        return self._shared(self._by_game(self.t.orders, "o_orderkey", *cols), *cols)
+
     def _sides(self) -> DataFrame:
-        return (self._by_game(self.t.orders, "o_orderkey", "*")
-                .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("s")))
+        return self._orders().select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("s"))
 
     def _player_base(self) -> DataFrame:
         grouped = (self._by_game(self.t.lineitem, "l_orderkey", "l_partkey", "l_quantity")
                    .groupBy("game_id", "l_partkey").agg(F.sum("l_quantity").cast("int").alias("qty")))
-        o = self._by_game(self.t.orders, "o_orderkey", F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-        return grouped.join(o, "game_id", "inner")
+        o = self._orders().select("game_id", F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+        return self._shared(grouped, "l_partkey", "qty").join(o, "game_id", "inner")
 
     @property
     def games(self) -> DataFrame:
-        o = self._by_game(self.t.orders, "o_orderkey", "*").alias("o")
+        o = self._orders().alias("o")
         n = self.t.nation
         # nation has one row per team: a fixed, tiny table
         h = n.alias("h")
