@@ -59,12 +59,20 @@ def lookup_from_afar(fact: DataFrame, dim: DataFrame, key: str, dim_key: str,
     """``lookup`` of ``key`` in a dimension that may be large, where the rows of
     ``fact`` lie together by ``at``: the distinct pairs of ``at`` and ``key`` go to the
     dimension, and what they find comes back to ``at``. The wide rows stay where they
-    lie and as they are sorted. ``at`` must not be NULL (such a row finds nothing)."""
+    lie and as they are sorted. A text that is the lower-case hexadecimal form of some
+    bytes, as surrogate keys are, comes back as these bytes, half as long. ``at`` must
+    not be NULL (such a row finds nothing)."""
     tag = f"__d{next(_ids)}"
     pairs = fact.select(F.col(at).alias(f"{tag}_at"), F.col(key).alias(f"{tag}_key")).distinct()
     found = lookup(pairs, dim, [(f"{tag}_key", dim_key)], take, how="inner")
+    texts = {c: f"{tag}_b{i}" for i, (c, kind) in enumerate(found.dtypes) if kind == "string" and c in {dst for _, dst in take}}
+    is_hex = {c: F.coalesce(F.lower(F.hex(F.unhex(c))) == F.col(c), F.lit(False)) for c in texts}
+    found = found.select(*[F.when(~is_hex[c], F.col(c)).alias(c) if c in texts else F.col(c) for c in found.columns],
+                         *[F.when(is_hex[c], F.unhex(c)).alias(b) for c, b in texts.items()])
     cond = (F.col(at) == F.col(f"{tag}_at")) & (F.col(key) == F.col(f"{tag}_key"))
-    return fact.join(found, cond, "left").drop(f"{tag}_at", f"{tag}_key")
+    return fact.join(found, cond, "left").select(
+        *[F.col(f"`{c}`") for c in fact.columns],
+        *[F.coalesce(F.col(dst), F.lower(F.hex(texts[dst]))).alias(dst) if dst in texts else F.col(dst) for _, dst in take])
 
 
 def semi(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -45,13 +45,22 @@ def test_lookup_from_afar_finds_what_lookup_finds(spark):
     fact = spark.createDataFrame([(f"g{i % 7}", None if i % 5 == 0 else f"p{i % 11}", i % 13) for i in range(200)],
                                  "game string, player string, n int")
     dim = spark.createDataFrame([(f"p{i}", f"key{i}") for i in range(8)] + [("p3", "other"), (None, "none"), ("p1", None)],
-                                "player string, k string")
-    near = J.lookup(fact, dim, [("player", "player")], [("k", "k")])
-    far = J.lookup_from_afar(fact, dim, "player", "player", [("k", "k")], at="game")
-    assert far.columns == near.columns
+                                "player string, k string").withColumn("at", F.length("k"))
+    take = [("k", "k"), ("at", "size")]
+    near = J.lookup(fact, dim, [("player", "player")], take)
+    far = J.lookup_from_afar(fact, dim, "player", "player", take, at="game")
+    assert far.dtypes == near.dtypes
     assert Counter(map(tuple, far.collect())) == Counter(map(tuple, near.collect()))
 
 
+def test_texts_come_back_from_afar_as_they_were(spark):
+    texts = ["0123456789abcdef" * 2, "ABCDEF", "abc", "", "00", "0g", "d'", "aB12", None, "ää"]
+    dim = spark.createDataFrame(list(enumerate(texts)), "id int, k string")
+    fact = spark.createDataFrame([(1, i) for i in range(len(texts) + 1)], "at int, id int")
+    got = J.lookup_from_afar(fact, dim, "id", "id", [("k", "k")], at="at").collect()
+    assert {r.id: r.k for r in got} == dict(enumerate([*texts, None]))
+
+
 def test_only_keys_read_of_a_latest_row_carry_no_rows(spark):
     df = spark.createDataFrame([(1, "a", 3), (1, "b", 4), (2, "c", None), (None, "d", 1), (None, "e", 2)], "id int, name string, at int")
     latest = latest_per_key(df, "id", "at")
